@@ -27,9 +27,12 @@ def _hash(*parts):
 
 def tokens():
     """Words of a text: what stands between single spaces, line ends or tabs."""
-    t = F.trim(F.translate(whole_text(), "\n\r\t", "   "))
-    gaps = F.length(t) - F.length(F.translate(t, " ", ""))
-    return F.when(F.length(t) == 0, F.lit(0)).otherwise(gaps + 1).cast("long")
+    t = whole_text()
+    for mark in ("\n", "\r", "\t"):
+        t = F.replace(t, F.lit(mark), F.lit(" "))
+    t = F.trim(t)
+    gaps = F.octet_length(t) - F.octet_length(F.replace(t, F.lit(" "), F.lit("")))
+    return F.when(F.octet_length(t) == 0, F.lit(0)).otherwise(gaps + 1).cast("long")
 
 
 def _block():
