@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import whole_text
+from perilframe.llm.common import slices, whole_text
 
 #: Distinct words whose encodings a Python worker keeps between batches.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 200_000
 #: Token pairs whose fit it keeps, and a rank beyond all.
-KEPT_PAIRS, NEVER = 400_000, 1 << 60
+KEPT_PAIRS, NEVER = 200_000, 1 << 60
 
 
 def default_tokenizer() -> str:
@@ -202,12 +202,17 @@ def encoded(docs: DataFrame, path: str | None = None, ids: bool = False) -> Data
 
     def run(batches):
         gc.disable()  # the cache holds no cycles, and walking it costs a fifth of the time
+        try:
+            yield from coded(batches)
+        finally:
+            gc.enable()
+
+    def coded(batches):
         bpe = tokenizer(path)
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            for a in range(0, len(texts), 500):
-                got = bpe.encode_batch(texts[a : a + 500])
-                cols = [b.column(0).slice(a, 500), pa.array([n for *_, n in got], pa.int64())]
+        for batch in batches:
+            for b in slices(batch):
+                got = bpe.encode_batch(b.column(1).to_pylist())
+                cols = [b.column(0), pa.array([n for *_, n in got], pa.int64())]
                 cols += [pa.array([hashlib.sha256(x[k].encode()).hexdigest() for x in got], pa.string()) for k in (0, 1)]
                 names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if ids:

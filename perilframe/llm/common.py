@@ -18,6 +18,12 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def slices(batch, rows: int = 500):
+    """An Arrow batch in slices, so that only few texts are Python strings at a time."""
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)
+
+
 def pieces(texts: list, most_chars: int = 4_000_000):
     """Index ranges (start, end) over ``texts`` with at most so many characters each, or one text alone."""
     start, held = 0, 0

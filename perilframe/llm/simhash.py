@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import whole_text, written
+from perilframe.llm.common import slices, whole_text, written
 from perilframe.network import components
 
 BITS, LONG_LIST = 3, 64
@@ -45,7 +45,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """(doc_id, fp): the fingerprint of every whole text as a signed long; a null text counts as empty."""
 
     def run(batches):
-        for b in batches:
+        for b in (s for batch in batches for s in slices(batch)):
             fp = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
 

@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import whole_text
+from perilframe.llm.common import slices, whole_text
 
 #: Most labelled documents of each class that training takes.
 TRAIN_ROWS = 4000
@@ -32,7 +32,7 @@ WINDOWS, CONTRAST, SUPPORT = 1024, 0.05, 0.01
 WIDTH, LONG_WORD, STRIDE = 48, 40, 12
 #: Margins among which calibration chooses, and the least gain of a hit in bytes.
 MARGINS, LEAST_GAIN = (0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.7, 0.8), 2
-KEPT_WINDOWS = 500_000
+KEPT_WINDOWS = 200_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -161,7 +161,7 @@ def _hits_by_margin(train: DataFrame, model: ToxicModel) -> DataFrame:
 
     def run(batches):
         gain = _Gains(model)
-        for b in batches:
+        for b in (s for batch in batches for s in slices(batch)):
             t, w, texts = (c.to_pylist() for c in b.columns)
             rows = []
             for i, text in enumerate(texts):
@@ -198,7 +198,7 @@ def hits(docs: DataFrame, model: ToxicModel, keep: list[str]) -> DataFrame:
 
     def run(batches):
         counter = _Hits(model)
-        for b in batches:
+        for b in (s for batch in batches for s in slices(batch)):
             n = [sum(map(counter.__getitem__, _WORD.findall(t.lower()))) for t in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64())], names=[*keep, "hits"])
 
