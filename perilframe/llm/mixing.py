@@ -43,7 +43,7 @@ def weights(sizes: DataFrame, repetition_limit: float | None = 2.0, entropy: flo
     """(source, source_tokens, weight, source_budget) from (source, source_tokens).
 
     The bisection runs in one row over the array of token counts: the sources of a mixture are a recipe, not data. Without a
-    ``budget`` the budget is the least that takes every document once. Sources without tokens get no budget.
+    ``budget`` the budget is the least that takes every document once. Sources without tokens have weight and budget 0.
     """
     some = sizes.where("source_tokens > 0")
     n = some.agg(F.sort_array(F.collect_list(F.col("source_tokens").cast("double"))).alias("n"))
@@ -73,7 +73,9 @@ def weights(sizes: DataFrame, repetition_limit: float | None = 2.0, entropy: flo
     found = found.select("e", F.array_max("n").alias("top"), total(shares(F.col("e"))).alias("norm"))
     out = some.crossJoin(F.broadcast(found)).select("source", "source_tokens", (F.pow(F.col("source_tokens") / F.col("top"), F.col("e")) / F.col("norm")).alias("weight"), "norm", "top")
     whole = F.col("norm") * F.col("top") if budget is None else F.lit(float(budget))  # the largest source once, others oftener
-    return out.select("source", "source_tokens", "weight", F.floor(F.col("weight") * whole + 1e-6).alias("source_budget"))
+    out = out.select(F.col("source").alias("_s"), "weight", F.floor(F.col("weight") * whole + 1e-6).alias("source_budget"))
+    zero = F.coalesce("weight", F.lit(0.0)).alias("weight"), F.coalesce("source_budget", F.lit(0)).cast("long").alias("source_budget")
+    return sizes.join(out, F.col("source").eqNullSafe(F.col("_s")), "left").select("source", "source_tokens", *zero)
 
 
 def schedule(blocks: DataFrame, weight: DataFrame) -> DataFrame:
@@ -82,7 +84,7 @@ def schedule(blocks: DataFrame, weight: DataFrame) -> DataFrame:
     place: the block's rank in the pass's order; start: the source's tokens before it; whole: it fits the budget; left:
     tokens that the budget leaves it. ``blocks`` holds at most BLOCKS rows a source.
     """
-    passes = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("source_budget") / F.col("source_tokens")) - 1, F.lit(0)).cast("int")))
+    passes = F.explode(F.sequence(F.lit(0), F.coalesce(F.greatest(F.ceil(F.col("source_budget") / F.nullif("source_tokens", F.lit(0))) - 1, F.lit(0)), F.lit(0)).cast("int")))
     rows = blocks.join(weight, F.col("source").eqNullSafe(F.col("_source"))).withColumn("pass", passes)
     order = Window.partitionBy("source", "pass").orderBy(_hash(F.lit(SEED), F.coalesce("source", F.lit("")), F.col("pass").cast("string"), F.col("block").cast("string")), "block")
     rows = rows.withColumn("place", F.row_number().over(order) - 1).withColumn("_sum", F.sum("block_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
@@ -106,7 +108,7 @@ def mixed(docs: DataFrame, keep: list[str] | None = None, repetition_limit: floa
     plan = schedule(blocks, weights(sizes, repetition_limit, entropy, budget).withColumnRenamed("source", "_source")).cache()
     side = F.broadcast(plan) if plan.count() <= BROADCAST_ROWS else plan
     placed = rows.join(side, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block")))
-    out = [*(F.col(a).alias(c) for c, a in at.items()), "mix_tokens", F.col("pass").alias("mix_pass"), F.col("block").alias("mix_block"), (F.col("start") / F.col("source_budget")).alias("mix_place")]
+    out = [*(F.col(a).alias(c) for c, a in at.items()), "mix_tokens", F.col("pass").alias("mix_pass"), F.col("block").alias("mix_block"), F.coalesce(F.col("start") / F.nullif("source_budget", F.lit(0)), F.lit(0.0)).alias("mix_place")]
     whole = placed.where("whole").select(*out)
     order = Window.partitionBy("source", "block", "pass").orderBy(_hash(F.lit(SEED), F.lit("doc"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), "doc_id", "mix_tokens")
     cut = placed.where("NOT whole").withColumn("_end", F.sum("mix_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))

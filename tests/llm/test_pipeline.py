@@ -8,7 +8,7 @@ import __spark_entry__
 import corpus_pipeline
 from perilframe.llm.common import written
 
-DIR = "/root/testdata/sf0.001"
+DIR = "/root/testdata/sf0.01"  # the smallest tables have too few toxic labels
 pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="tables are not there")
 
 
