@@ -137,7 +137,7 @@ def fit(train: DataFrame, windows_kept: int = WINDOWS, contrast: float = CONTRAS
     sums = {r["toxic"]: (r["n"], r["w"]) for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).collect()}
     (n1, w1), (n0, w0) = sums.get(1, (0, 0.0)), sums.get(0, (0, 0.0))
     if not n1 or not n0:
-        return ToxicModel(b"none    ", b"none    ", 1 << 30, 0.0, math.log((w1 + 0.5) / (w0 + 0.5)))
+        return ToxicModel(b"none    ", b"none    ", 1 << 30, 0.0, math.log((w1 + 0.5) / (w0 + 1.5)))
     words = train.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))).alias("word")).where(F.length("word") <= LONG_WORD)
     seen = words.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
     share_t, share_o = F.col("t") / n1, (F.col("o") + 0.5) / (n0 + 1)
@@ -146,7 +146,7 @@ def fit(train: DataFrame, windows_kept: int = WINDOWS, contrast: float = CONTRAS
     plain = [r["word"] for r in seen.where("o > 0").orderBy(F.desc("o"), "word").limit(windows_kept).collect()]
     apart = [r["word"] for r in apart if r["c"] >= contrast * apart[0]["c"]]
     if not apart or not plain:
-        return ToxicModel(b"none    ", b"none    ", 1 << 30, 0.0, math.log((w1 + 0.5) / (w0 + 0.5)))
+        return ToxicModel(b"none    ", b"none    ", 1 << 30, 0.0, math.log((w1 + 0.5) / (w0 + 1.5)))
     toxic, ordinary = dictionary(apart), dictionary([w for w in plain if w not in set(apart)])
     model = ToxicModel(toxic, ordinary, MARGINS[0], 1.0, 0.0)
     found = _hits_by_margin(train, model).groupBy("margin", "toxic", F.least("hits", F.lit(50)).alias("hits")).agg(F.sum("weight").alias("w")).collect()  # 102 rows a margin at most
