@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perilframe.io import written
+from perilframe.operators.joins import near_pairs
 
 
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
@@ -26,3 +27,40 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
         labels = step.select("node", "component")
         if step.where("changed").isEmpty():
             return labels
+
+
+def stitched_nodes(segs: DataFrame, snap_m: float = 250.0) -> DataFrame:
+    """(part_id, end, node): ends of polylines, 0 first and 1 last, those within ``snap_m`` of each other, also in steps, as
+    one node. A node's id is the least of its ends' ids (twice the part's plus the end)."""
+    first, last = F.min_by(F.struct("x1", "y1"), "seq"), F.max_by(F.struct("x2", "y2"), "seq")
+    parts = segs.groupBy("part_id").agg(first.alias("a"), last.alias("b"))
+    at = F.inline(F.array(F.struct(F.lit(0).alias("end"), F.col("a.x1").alias("x"), F.col("a.y1").alias("y")), F.struct(F.lit(1).alias("end"), F.col("b.x2").alias("x"), F.col("b.y2").alias("y"))))
+    ends = written(parts.select("part_id", at).withColumn("u", (F.col("part_id") * 2 + F.col("end")).cast("long")), "ends")
+    other = ends.select(F.col("u").alias("v"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    found = components(near_pairs(ends.select("u", "x", "y"), other, snap_m, F.col("u") < F.col("v")).select("u", "v"))
+    return ends.join(found, ends["u"] == found["node"], "left").select("part_id", "end", F.coalesce("component", "u").alias("node"))
+
+
+def part_edges(nodes: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(u, v, cost) both ways, the shortest of parallel parts. nodes: as from ``stitched_nodes``; lengths: part_id, length_m."""
+    ends = nodes.groupBy("part_id").agg(F.min_by("node", "end").alias("u"), F.max_by("node", "end").alias("v")).join(lengths, "part_id")
+    both = ends.select("u", "v", "length_m").union(ends.select("v", "u", "length_m"))
+    return both.where("u != v").groupBy("u", "v").agg(F.min("length_m").alias("cost"))
+
+
+def distances(edges: DataFrame, sources: DataFrame, cap: float, hops: int) -> DataFrame:
+    """(source, node, cost): the least cost over at most ``hops`` edges, if not above ``cap``; a source reaches itself at 0.
+
+    Every round joins only the pairs that the last one found or improved, is written to the shared folder, and ends the walk
+    when there are none. edges: u, v, cost (above 0); sources: source.
+    """
+    best = sources.select("source", F.col("source").alias("node"), F.lit(0.0).alias("cost"), F.lit(True).alias("fresh")).distinct()
+    for _ in range(hops):
+        step = best.where("fresh").select("source", F.col("node").alias("u"), F.col("cost").alias("so_far")).join(edges, "u")
+        step = step.select("source", F.col("v").alias("node"), (F.col("so_far") + F.col("cost")).alias("cost")).where(F.col("cost") <= cap)
+        both = best.select("source", "node", "cost", F.col("cost").alias("was")).union(step.withColumn("was", F.lit(None).cast("double")))
+        best = both.groupBy("source", "node").agg(F.min("cost").alias("cost"), F.min("was").alias("was"))
+        best = written(best.select("source", "node", "cost", (F.col("was").isNull() | (F.col("cost") < F.col("was"))).alias("fresh")), "distances")
+        if best.where("fresh").isEmpty():
+            break
+    return best.select("source", "node", "cost")

@@ -178,3 +178,48 @@ def asof_nearest(samples: DataFrame, observed: DataFrame, keys: list[str], at: s
     rows = rows.withColumn("_m", mark).withColumn("_b", F.last("_m", True).over(back)).withColumn("_a", F.last("_m", True).over(ahead))
     closer = F.when(F.col("_b").isNull() | (F.col("_a")["at"] - F.col(at) < F.col(at) - F.col("_b")["at"]), F.col("_a")["v"]).otherwise(F.col("_b")["v"])
     return rows.where("_kind = 1").withColumn(value, closer).select(*samples.columns, value)
+
+
+def first_hits(origins: DataFrame, segs: DataFrame, step_deg: float = 1.0, max_m: float = 3_000_000.0) -> DataFrame:
+    """First segment hit by each ray from an origin: event_id, bearing_deg, range_m, part_id, station_m; no row without a hit.
+
+    origins: event_id, ox, oy, in the segments' plane; bearings count from the x axis. Segments are exploded to the cells of
+    size ``max_m`` that their box touches, origins to the 3 x 3 cells round their own; a pair is exploded to the bearings that
+    the segment spans, and the nearest hit is taken before the shuffle as well as after. Ties go to the lower part, then
+    station; segments along a ray are hit at their neighbours' ends.
+    """
+    cell = lambda v: F.floor(v / max_m).cast("long")
+    around = F.sequence(F.lit(-1), F.lit(1))
+    near = origins.withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around)).select("event_id", "ox", "oy", (cell(F.col("ox")) + F.col("_dx")).alias("cx"), (cell(F.col("oy")) + F.col("_dy")).alias("cy"))
+    first = lambda axis: cell(F.least(f"{axis}1", f"{axis}2"))
+    reach = segs.withColumn("cx", F.explode(F.sequence(first("x"), cell(F.greatest("x1", "x2"))))).withColumn("cy", F.explode(F.sequence(first("y"), cell(F.greatest("y1", "y2")))))
+    ax, ay, dx, dy = F.col("x1") - F.col("ox"), F.col("y1") - F.col("oy"), F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    both = near.join(reach, ["cx", "cy"])
+    one = (F.col("cx") == F.greatest(cell(F.col("ox")) - 1, first("x"))) & (F.col("cy") == F.greatest(cell(F.col("oy")) - 1, first("y")))
+    both = both.where(one)  # the first shared cell stands for all
+    start = F.degrees(F.atan2(ay, ax))
+    turn = F.degrees(F.atan2(ax * (ay + dy) - ay * (ax + dx), ax * (ax + dx) + ay * (ay + dy)))
+    lo, hi = start + F.least(F.lit(0.0), turn), start + F.greatest(F.lit(0.0), turn)
+    n = round(360 / step_deg)
+    ks = F.sequence(F.ceil(lo / step_deg - 1e-6).cast("long"), F.floor(hi / step_deg + 1e-6).cast("long"))
+    has = F.ceil(lo / step_deg - 1e-6) <= F.floor(hi / step_deg + 1e-6)
+    rays = both.where(has).withColumn("k", F.explode(ks)).withColumn("k", F.pmod("k", F.lit(n)))
+    cb, sb = F.cos(F.radians(F.col("k") * step_deg)), F.sin(F.radians(F.col("k") * step_deg))
+    cross = F.nullif(cb * dy - sb * dx, F.lit(0.0))
+    rays = rays.withColumn("range_m", (ax * dy - ay * dx) / cross).withColumn("_u", (ax * sb - ay * cb) / cross)
+    rays = rays.where((F.col("_u") >= -1e-9) & (F.col("_u") <= 1 + 1e-9) & (F.col("range_m") >= 0) & (F.col("range_m") <= max_m))
+    best = F.min(F.struct("range_m", "part_id", (F.col("s0") + F.col("_u") * F.col("length")).alias("station_m"))).alias("b")
+    return rays.groupBy("event_id", "k").agg(best).select("event_id", (F.col("k") * step_deg).alias("bearing_deg"), "b.range_m", "b.part_id", "b.station_m")
+
+
+def near_pairs(left: DataFrame, right: DataFrame, max_m: float, extra: Column | None = None, keys: list[str] = []) -> DataFrame:
+    """Pairs of ``left`` (x, y) and ``right`` (x2, y2) at most ``max_m`` apart, with distance_m; equal in ``keys``.
+
+    The right side is exploded to the 3 x 3 cells of that size round each point.
+    """
+    cell = lambda v: F.floor(F.col(v) / max_m).cast("long")
+    around = F.sequence(F.lit(-1), F.lit(1))
+    b = right.withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around)).withColumn("_cx", cell("x2") + F.col("_dx")).withColumn("_cy", cell("y2") + F.col("_dy")).drop("_dx", "_dy")
+    both = left.withColumn("_cx", cell("x")).withColumn("_cy", cell("y")).join(b, [*keys, "_cx", "_cy"])
+    both = both.withColumn("distance_m", F.hypot(F.col("x") - F.col("x2"), F.col("y") - F.col("y2"))).where(F.col("distance_m") <= max_m)
+    return (both if extra is None else both.where(extra)).drop("_cx", "_cy")

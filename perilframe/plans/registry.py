@@ -736,3 +736,65 @@ def canonical_storms(track):
 @query("SELECT row_id AS event_id, 'flood' AS event_type, CAST(start_date AS VARCHAR) AS start_time, CAST(coalesce(end_date, start_date) AS VARCHAR) AS end_time, round(area_km2, 6) AS area_km2 FROM fx_flood", "fx_flood")
 def canonical_floods(flood):
     return flood.select(c("row_id").alias("event_id"), F.lit("flood").alias("event_type"), c("start_date").cast("string").alias("start_time"), F.coalesce("end_date", "start_date").cast("string").alias("end_time"), r6(c("area_km2")).alias("area_km2"))
+
+
+@query(f"WITH {DISC} SELECT event_id, 'tsunami' AS event_type, CAST(NULL AS VARCHAR) AS start_time, CAST(NULL AS VARCHAR) AS end_time, CAST(NULL AS VARCHAR) AS band, 'runup_discs' AS geom_method, CAST(NULL AS DOUBLE) AS geom_confidence, count(*) * 4.0::DOUBLE AS area_km2 FROM (SELECT DISTINCT event_id, cx, cy FROM dc) GROUP BY 1", "fx_runup")
+def canonical_tsunamis(runup):
+    none = F.lit(None).cast("string")
+    area = cover.area_km2(_discs(runup), ["event_id"], 2000.0)
+    return area.select("event_id", F.lit("tsunami").alias("event_type"), none.alias("start_time"), none.alias("end_time"), none.alias("band"), F.lit("runup_discs").alias("geom_method"), F.lit(None).cast("double").alias("geom_confidence"), "area_km2")
+
+
+@query("""WITH r AS (SELECT avg(CASE WHEN event_id % 3 = 0 THEN 0.0 ELSE 1.0 END) AS a, avg(CASE WHEN event_id % 5 = 0 THEN 1.0 ELSE 0.0 END) AS b FROM fx_quake)
+SELECT 'size' AS field, 0.0::DOUBLE AS rate, false AS chosen FROM r UNION ALL SELECT 'seen', round(a, 6), a >= 0.5 AND a >= b FROM r UNION ALL SELECT 'revised', round(b, 6), b >= 0.5 AND b > a FROM r""", "fx_quake")
+def datetime_profile(quake):
+    day = F.date_format("eq_time", "yyyy-MM-dd")
+    rows = quake.select(F.concat(F.lit("M"), c("mw").cast("string")).alias("size"), F.when(c("event_id") % 3 == 0, "unknown").otherwise(day).alias("seen"), F.when(c("event_id") % 5 == 0, day).alias("revised"))
+    return T.datetime_profile(rows, ["size", "seen", "revised"]).select("field", r6(c("rate")).alias("rate"), "chosen")
+
+
+@query(f"""WITH {SEG}, o AS (SELECT tsunami_event_id AS event_id, avg(x_m) + 0.5 AS ox, avg(y_m) + 0.5 AS oy FROM fx_runup GROUP BY 1), k AS (SELECT unnest(range(0, 24)) AS k),
+r AS (SELECT event_id, k, part_id, s0, len, x1 - ox AS ax, y1 - oy AS ay, x2 - x1 AS dx, y2 - y1 AS dy, cos(radians(k * 15.0)) AS cb, sin(radians(k * 15.0)) AS sb FROM o, seg, k),
+h AS (SELECT *, (ax * dy - ay * dx) / (cb * dy - sb * dx) AS t, (ax * sb - ay * cb) / (cb * dy - sb * dx) AS u FROM r WHERE cb * dy - sb * dx <> 0)
+SELECT event_id, k * 15.0::DOUBLE AS bearing_deg, round(t, 2) AS range_m, part_id, round(s0 + u * len, 2) AS station_m FROM h WHERE u BETWEEN -1e-9 AND 1 + 1e-9 AND t BETWEEN 0 AND 3000000.0
+QUALIFY row_number() OVER (PARTITION BY event_id, k ORDER BY t, part_id, s0 + u * len) = 1""", "fx_runup", "fx_coast_vertex")
+def bearing_first_hit(runup, coast):
+    origins = runup.groupBy(c("tsunami_event_id").alias("event_id")).agg((F.avg("x_m") + 0.5).alias("ox"), (F.avg("y_m") + 0.5).alias("oy"))
+    hits = joins.first_hits(origins, joins.segments(coast), 15.0)
+    return hits.select("event_id", "bearing_deg", F.round("range_m", 2).alias("range_m"), "part_id", F.round("station_m", 2).alias("station_m"))
+
+
+@query(f"""WITH {RSEG}, e AS (SELECT event_id, part_id, 'l' AS side, s0 AS s FROM rseg UNION ALL SELECT event_id, part_id, 'r', s1 FROM rseg),
+pos AS (SELECT e.*, x1 + (s - s0) / len * (x2 - x1) AS x, y1 + (s - s0) / len * (y2 - y1) AS y FROM e JOIN seg ON seg.part_id = e.part_id AND s0 <= s AND s <= s0 + len + 1e-6
+  QUALIFY row_number() OVER (PARTITION BY e.event_id, e.part_id, side, s ORDER BY s0 DESC) = 1)
+SELECT a.event_id, a.part_id AS right_part, round(a.s, 3) AS right_s, b.part_id AS left_part, round(b.s, 3) AS left_s, round(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)), 3) AS distance_m
+FROM pos a JOIN pos b ON a.event_id = b.event_id AND a.side = 'r' AND b.side = 'l' AND a.part_id <> b.part_id WHERE sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 250000.0""", "fx_runup", "fx_coast_vertex")
+def cross_part_pairs(runup, coast):
+    pairs = TS.cross_part_pairs(_runup_segments(runup, coast), joins.segments(coast), 250_000.0)
+    return pairs.select("event_id", "right_part", F.round("right_s", 3).alias("right_s"), "left_part", F.round("left_s", 3).alias("left_s"), F.round("distance_m", 3).alias("distance_m"))
+
+
+NODES = f"""{SEG}, ends AS (SELECT part_id, 0 AS "end", part_id * 2 AS u, arg_min(x1, seq) AS x, arg_min(y1, seq) AS y FROM seg GROUP BY part_id UNION ALL SELECT part_id, 1, part_id * 2 + 1, arg_max(x2, seq), arg_max(y2, seq) FROM seg GROUP BY part_id),
+el AS (SELECT a.u, b.u AS v FROM ends a JOIN ends b ON sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 200000.0), reach AS (SELECT u AS a, u AS b FROM ends UNION SELECT reach.a, el.v FROM reach JOIN el ON el.u = reach.b),
+nodes AS (SELECT part_id, "end", node FROM ends JOIN (SELECT a, min(b) AS node FROM reach GROUP BY 1) ON a = u)"""
+
+
+@query(f'WITH RECURSIVE {NODES} SELECT part_id, "end", CAST(node AS BIGINT) AS node FROM nodes', "fx_coast_vertex")
+def coast_nodes(coast):
+    return network.stitched_nodes(joins.segments(coast), 200_000.0)
+
+
+@query(f"""WITH RECURSIVE {NODES}, pe AS (SELECT part_id, arg_min(node, "end") AS u, arg_max(node, "end") AS v FROM nodes GROUP BY 1), ed AS (SELECT u, v, min(length_m) AS cost FROM (SELECT u, v, length_m FROM pe JOIN len USING (part_id) UNION ALL SELECT v, u, length_m FROM pe JOIN len USING (part_id)) WHERE u <> v GROUP BY 1, 2),
+w AS (SELECT DISTINCT node AS source, node, 0.0::DOUBLE AS cost, 0 AS hops FROM nodes UNION SELECT source, ed.v, w.cost + ed.cost, hops + 1 FROM w JOIN ed ON ed.u = w.node WHERE hops < 3 AND w.cost + ed.cost <= 3000000.0)
+SELECT CAST(source AS BIGINT) AS source, CAST(node AS BIGINT) AS node, round(min(cost), 3) AS cost_m FROM w GROUP BY 1, 2""", "fx_coast_vertex")
+def coast_distance(coast):
+    segs = joins.segments(coast)
+    nodes = network.stitched_nodes(segs, 200_000.0)
+    edges = network.part_edges(nodes, segs.groupBy("part_id").agg(F.sum("length").alias("length_m")))
+    found = network.distances(edges, nodes.select(c("node").alias("source")), 3_000_000.0, 3)
+    return found.select("source", "node", F.round("cost", 3).alias("cost_m"))
+
+
+@query(None, "fx_track")
+def track_hull(track):
+    return ST.track_hull(ST.steps(track).select("sid", c("lon").alias("x"), c("lat").alias("y")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -67,3 +68,29 @@ def chosen_methods(rows: DataFrame, basin: str = "WP") -> DataFrame:
     climo = F.when(F.col("category") >= 0, F.struct(F.lit("climo_r34").alias("method"), F.lit(0.55).alias("conf")))
     rows = rows.withColumn("candidates", F.filter(F.array(quad, scaled, climo), lambda c: c.isNotNull()))
     return sequence.hysteresis(rows.select("sid", *STEP_ORDER, "candidates"), "sid", STEP_ORDER)
+
+
+def track_hull(points: DataFrame, key: str = "sid") -> DataFrame:
+    """(key, i, x, y): corners of the convex hull of a track's points (x, y), counter-clockwise from the lowest x, then y.
+
+    Repeated points count once and null ones not at all; a track of one place or on one line has one or two corners. A track is
+    one group of a pandas function: distinct positions of one storm.
+    """
+    distinct = points.where("x IS NOT NULL AND y IS NOT NULL").select(key, "x", "y").distinct()
+    kind = dict(distinct.dtypes)[key]
+
+    def hull(group: pd.DataFrame) -> pd.DataFrame:
+        at = sorted(zip(group["x"], group["y"]))
+
+        def chain(run):
+            out = []
+            for p in run:
+                while len(out) > 1 and (out[-1][0] - out[-2][0]) * (p[1] - out[-2][1]) <= (out[-1][1] - out[-2][1]) * (p[0] - out[-2][0]):
+                    out.pop()
+                out.append(p)
+            return out
+
+        ring = chain(at)[:-1] + chain(at[::-1])[:-1] or at
+        return pd.DataFrame({key: group[key].iloc[0], "i": range(len(ring)), "x": [p[0] for p in ring], "y": [p[1] for p in ring]})
+
+    return distinct.groupBy(key).applyInPandas(hull, f"{key} {kind}, i long, x double, y double")

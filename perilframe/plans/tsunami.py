@@ -79,3 +79,14 @@ def events_snapped(runups: DataFrame, vertices: DataFrame, max_m: float = 25_000
     pts = runups.select(F.col("runup_id").alias("pt_id"), F.col("x_m").alias("x"), F.col("y_m").alias("y"))
     near = joins.snapped(pts, joins.segments(vertices), max_m)
     return runups.join(near, runups["runup_id"] == near["pt_id"]).select("runup_id", F.col("tsunami_event_id").alias("event_id"), "part_id", "station_m", "distance_m", F.col("runup_ht").alias("h"))
+
+
+def cross_part_pairs(segments: DataFrame, segs: DataFrame, max_m: float) -> DataFrame:
+    """Right ends of an event's segments with left ends on other parts at most ``max_m`` away: event_id, right_part, right_s,
+    left_part, left_s, distance_m. segments: event_id, part_id, s0, s1; segs: the parts' line segments."""
+    both = F.inline(F.array(F.struct(F.lit("l").alias("side"), F.col("s0").alias("station_m")), F.struct(F.lit("r").alias("side"), F.col("s1").alias("station_m"))))
+    at = sequence.located(segs, segments.select("event_id", "part_id", both).distinct())
+    right = at.where("side = 'r'").select("event_id", F.col("part_id").alias("right_part"), F.col("station_m").alias("right_s"), "x", "y")
+    left = at.where("side = 'l'").select("event_id", F.col("part_id").alias("left_part"), F.col("station_m").alias("left_s"), F.col("x").alias("x2"), F.col("y").alias("y2"))
+    pairs = joins.near_pairs(right, left, max_m, F.col("right_part") != F.col("left_part"), ["event_id"])
+    return pairs.select("event_id", "right_part", "right_s", "left_part", "left_s", "distance_m")
