@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import slices, whole_text
+from perilframe.llm.common import mapped, slices, whole_text
 
 #: Distinct words whose encodings a Python worker keeps between batches.
 KEPT_WORDS = 200_000
@@ -221,4 +221,4 @@ def encoded(docs: DataFrame, path: str | None = None, ids: bool = False) -> Data
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * ids
-    return docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(run, schema)
+    return mapped(docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")), run, schema)

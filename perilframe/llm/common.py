@@ -18,6 +18,15 @@ def whole_text(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def mapped(df: DataFrame, run, schema, rows: int = 1000) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` with at most ``rows`` rows a batch, as texts can be long: a batch is held by Spark and
+    by the worker. Spark has this as a setting of the session only; it is lowered there, and a smaller one stays."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, rows)
+    return df.mapInArrow(run, schema)
+
+
 def slices(batch, rows: int = 500):
     """An Arrow batch in slices, so that only few texts are Python strings at a time."""
     for start in range(0, batch.num_rows, rows):

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import pieces, whole_text, written
+from perilframe.llm.common import mapped, pieces, whole_text, written
 
 WORDS, BINS, BITS = 5, 256, 4
 _EMPTY = np.uint64(2**64 - 1)
@@ -170,7 +170,7 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    table = written(ordered.mapInArrow(_within, _ENDS), "op3")
+    table = written(mapped(ordered, _within, _ENDS), "op3")
     inside = table.where("place = 'inside'").select(*NAMES)
     return inside.union(_described_ends(table.where("place <> 'inside'")))
 
@@ -187,4 +187,4 @@ def _described_ends(ends: DataFrame) -> DataFrame:
     following = F.coalesce(F.try_element_at(beyond, F.lit(1)), F.lit(starts[0]).cast("long"))
     last = ends.where("place = 'last'").select("doc_id", "text", following.alias("_next"))
     first = ends.where("place = 'first'").select(key.alias("_next"), F.col("text").alias("following"))
-    return last.join(first, "_next").select("doc_id", "text", "following").mapInArrow(_across, SCHEMA)
+    return mapped(last.join(first, "_next").select("doc_id", "text", "following"), _across, SCHEMA)

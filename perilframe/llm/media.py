@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from perilframe.llm.common import pieces, whole_text
+from perilframe.llm.common import mapped, pieces, whole_text
 
 
 def _zigzag() -> np.ndarray:
@@ -559,7 +559,7 @@ def with_rgb(df: DataFrame, media: str = "media") -> DataFrame:
             cols = [pa.array([o[i] for o in out], pa.int32()) for i in range(3)] + [pa.array([o[3] for o in out], pa.binary())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *new])
 
-    return kept.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + ", " + RGB_SCHEMA)
+    return mapped(kept, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + ", " + RGB_SCHEMA)
 
 
 STORED = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -584,4 +584,4 @@ def stored_texts(docs: DataFrame, piece_chars: int = 1_500_000) -> DataFrame:
                 kinds = [pa.int64()] * 3 + [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=[x.split()[0] for x in STORED.split(", ")])
 
-    return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, STORED)
+    return mapped(docs.select("doc_id", whole_text().alias("text")), run, STORED)

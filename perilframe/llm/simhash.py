@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import slices, whole_text, written
+from perilframe.llm.common import mapped, slices, whole_text, written
 from perilframe.network import components
 
 BITS, LONG_LIST = 3, 64
@@ -49,7 +49,7 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             fp = np.array([fingerprint(t, words) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return mapped(docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")), run, "doc_id long, fp long")
 
 
 def _byte(x, i: int):

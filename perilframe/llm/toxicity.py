@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import slices, whole_text
+from perilframe.llm.common import mapped, slices, whole_text
 
 #: Most labelled documents of each class that training takes.
 TRAIN_ROWS = 4000
@@ -170,7 +170,7 @@ def _hits_by_margin(train: DataFrame, model: ToxicModel) -> DataFrame:
             kinds = [pa.int32(), pa.float64(), pa.float64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names=["toxic", "weight", "margin", "hits"])
 
-    return train.select("toxic", "weight", "text").mapInArrow(run, "toxic int, weight double, margin double, hits long")
+    return mapped(train.select("toxic", "weight", "text"), run, "toxic int, weight double, margin double, hits long")
 
 
 def logistic(rows: list[tuple[float, int, float]], ridge: float = 1e-3) -> tuple[float, float]:
@@ -202,7 +202,7 @@ def hits(docs: DataFrame, model: ToxicModel, keep: list[str]) -> DataFrame:
             n = [sum(map(counter.__getitem__, _WORD.findall(t.lower()))) for t in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64())], names=[*keep, "hits"])
 
-    return kept.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]) + ", hits long")
+    return mapped(kept, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]) + ", hits long")
 
 
 def with_score(docs: DataFrame, model: ToxicModel, keep: list[str]) -> DataFrame:
