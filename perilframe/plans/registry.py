@@ -297,6 +297,11 @@ def temporal_overlap_semi(quake, loss):
     return joins.temporal_overlap_semi(A.quakes_as_left(quake.where("event_id % 3 = 0")), right).select(c("l_id").alias("event_id"))
 
 
+@query(f"WITH {NL} SELECT event_id FROM fx_quake p WHERE EXISTS (SELECT 1 FROM nl q WHERE q.hazard = 'earthquake' AND p.eq_time <= q.start_date + 7 AND p.eq_time >= q.start_date - 7)", "fx_quake", "fx_loss")
+def temporal_overlap_semi_all(quake, loss):
+    return joins.temporal_overlap_semi(A.quakes_as_left(quake), A.as_right(A.loss_records(loss), "earthquake")).select(c("l_id").alias("event_id"))
+
+
 @query(f"WITH {NL} SELECT DISTINCT p.event_id FROM fx_quake p JOIN nl q ON {EQ} WHERE q.hazard = 'earthquake' AND q.lat IS NOT NULL", "fx_quake", "fx_loss")
 def spacetime_filter(quake, loss):
     right = A.as_right(A.loss_records(loss).where("lat IS NOT NULL"), "earthquake")
@@ -371,12 +376,24 @@ def quakes_in_loss_countries(quake, country, loss):
     return _in_country(quake, country.join(wanted, c("country_id") == c("_c"), "left_semi")).select("event_id", "iso3")
 
 
+@query("SELECT event_id, iso3 FROM fx_quake JOIN fx_country ON lon >= minx AND lon < maxx AND lat >= miny AND lat < maxy WHERE country_id IN (SELECT country_id FROM fx_loss WHERE disaster_type = 'Earthquake')", "fx_quake", "fx_country", "fx_loss")
+def quakes_in_loss_countries_all(quake, country, loss):
+    wanted = loss.where("disaster_type = 'Earthquake'").select(c("country_id").alias("_c")).distinct()
+    return _in_country(quake, country.join(wanted, c("country_id") == c("_c"), "left_semi")).select("event_id", "iso3")
+
+
 @query("SELECT row_id, source, o_orderpriority AS priority FROM fx_flood LEFT JOIN orders ON o_orderkey = row_id AND row_id % 2 = 0", "fx_flood", "orders")
 def attr_left_join(flood, orders):
     attrs = orders.select(c("o_orderkey").alias("_id"), c("o_orderpriority").alias("priority")).where("_id % 2 = 0")
     return flood.join(attrs, c("row_id") == c("_id"), "left").select("row_id", "source", "priority")
 
 
+@query("SELECT row_id, source, o_orderpriority AS priority FROM fx_flood LEFT JOIN orders ON o_orderkey = row_id", "fx_flood", "orders")
+def attr_left_join_all(flood, orders):
+    attrs = orders.select(c("o_orderkey").alias("_id"), c("o_orderpriority").alias("priority"))
+    return flood.join(attrs, c("row_id") == c("_id"), "left").select("row_id", "source", "priority")
+
+
 @query("""WITH e AS (SELECT row_id, unnest([row_id % 25, (row_id + 7) % 25]) AS code FROM fx_flood)
 SELECT row_id, count(*) AS regions, round(min(minx), 3) AS minx, round(max(maxx), 3) AS maxx FROM e JOIN fx_country ON country_id = code GROUP BY 1""", "fx_flood", "fx_country")
 def code_list_join(flood, country):
@@ -679,6 +696,13 @@ def flood_enrich_best(flood, loss):
     return got.select("row_id", "rec_id", r6(c("km")).alias("km"))
 
 
+@query(f"""WITH {NL}, pr AS (SELECT p.row_id, q.rec_id, {HAV} AS km FROM fx_flood p JOIN nl q ON p.start_date <= q.start_date + 14 AND coalesce(p.end_date, p.start_date) >= q.start_date - 14 WHERE q.hazard = 'flood')
+SELECT row_id, coalesce(arg_min(rec_id, struct_pack(k := km, r := rec_id)) FILTER (km IS NOT NULL), min(rec_id)) AS rec_id, round(min(km), 6) AS km FROM pr GROUP BY 1""", "fx_flood", "fx_loss")
+def flood_enrich_all(flood, loss):
+    got = FL.enriched(flood, A.loss_records(loss).where("hazard = 'flood'"))
+    return got.select("row_id", "rec_id", r6(c("km")).alias("km"))
+
+
 FLOOD_PAIRS = f"""pr AS (SELECT p.row_id AS u, q.row_id AS v FROM fx_flood p JOIN fx_flood q ON p.row_id < q.row_id AND p.start_date <= coalesce(q.end_date, q.start_date) + 14 AND coalesce(p.end_date, p.start_date) >= q.start_date - 14 AND {HAV} <= 200.0)"""
 
 

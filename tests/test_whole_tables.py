@@ -1,0 +1,16 @@
+"""The queries over whole tables have what the ones over subsets leave out."""
+
+import os
+
+import pytest
+
+from perilframe.plans import registry
+
+DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(DIR), reason="tables are not there")
+
+
+@pytest.mark.parametrize("part, whole", [("flood_enrich_best", "flood_enrich_all"), ("temporal_overlap_semi", "temporal_overlap_semi_all"), ("quakes_in_loss_countries", "quakes_in_loss_countries_all"), ("attr_left_join", "attr_left_join_all")])
+def test_whole_tables(spark, part, whole):
+    some, every = (registry.queries()[name](spark, DIR).dropna() for name in (part, whole))
+    assert some.exceptAll(every).isEmpty() and every.count() > some.count()
