@@ -1,114 +1,136 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on labelled text: one on ordinary windows, one on toxic windows. A window is a
-word, repeated to a fixed length so that the coder's fixed costs don't hide the difference; long runs of letters (also
-scripts without spaces) give a window every few characters. A window counts as a hit if the toxic dictionary compresses
-it better than the ordinary one by at least 2 bytes and by ``margin`` bytes a byte of the word; the margin and the
-score's scale are calibrated on the training documents. As a toxic document is mostly ordinary text, the toxic
-dictionary holds the windows that set toxic documents apart (document-frequency contrast), the ordinary one the most
-frequent windows of ordinary documents. Both are content dictionaries: the library's own trainer drops most windows that
-are as short as words.
+Two zstandard dictionaries are trained by the library's own trainer: one on ordinary text, one on toxic text. A window is
+a word of the running text with the spaces about it, or a stretch of a longer run (scripts without spaces, long tokens),
+repeated so that the coder's fixed costs don't hide the difference. Its gain is the number of bytes by which the toxic
+dictionary compresses it better, as a share of its length. As a toxic document is mostly ordinary text, the toxic
+dictionary holds the ordinary one, at the same distance, and before it what its own training adds: then windows of
+ordinary text have the same length under both, and a gain comes from toxic passages alone. Labels mark documents, not
+passages, so the toxic samples are, of each toxic document, the windows that occur in a larger share of toxic than of
+ordinary documents; those that the trainer leaves out of its dictionary are put before it.
+
+Labelled rows that are not held out are divided by hash of the text: two thirds train the dictionaries, one third
+calibrates. A document's features are its numbers of windows beyond each of five margins of gain; a logistic function of
+them is fitted on the calibration rows, and shifted so that 0.5 is the threshold with the best F1 there.
 """
 
 from __future__ import annotations
 
 import math
-import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perilframe.llm.common import mapped, slices, whole_text
 
-#: Most labelled documents of each class that training takes.
-TRAIN_ROWS = 4000
-#: Windows for the dictionaries: most of each class; the least share of the best contrast that a toxic one has, and the
-#: least share of toxic documents that hold it (3 documents at least).
-WINDOWS, CONTRAST, SUPPORT = 1024, 0.05, 0.01
-WIDTH, LONG_WORD, STRIDE = 48, 40, 12
-#: Margins among which calibration chooses, and the least gain of a hit in bytes.
-MARGINS, LEAST_GAIN = (0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.7, 0.8), 2
+#: Most labelled documents of each class that training takes; of them, one part in CALIBRATE calibrates.
+TRAIN_ROWS, CALIBRATE = 4000, 4
+#: A window's length in bytes beyond which a run is cut, the step of such cuts, and the length that repeats fill.
+LONG, STRIDE, WIDTH = 48, 24, 48
+#: A window stands for toxic passages if at least this share of toxic documents hold it (3 at least), RATIO times the ordinary share.
+SUPPORT, RATIO, MOST_WINDOWS = 0.01, 20.0, 4096
+#: Most bytes of a training sample, most ordinary samples, and the dictionaries' sizes in bytes.
+SAMPLE, ORDINARY_SAMPLES, TOXIC_SIZE, ORDINARY_SIZE = 4096, 4000, 4096, 16384
+#: Least gains, as shares of a window's length.
+MARGINS = (0.25, 0.3, 0.35, 0.4, 0.5)
 KEPT_WINDOWS = 200_000
 
-_WORD = re.compile(r"[^\W\d_]+")
+_MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 @dataclass(frozen=True)
 class ToxicModel:
-    """Dictionary contents and calibration; ``score`` of a document with n hits is a logistic function of log(1 + n)."""
+    """Contents of the dictionaries and the calibrated logistic function of log(1 + windows beyond each margin)."""
 
     toxic: bytes
     ordinary: bytes
-    margin: float
-    slope: float
+    slopes: tuple[float, ...]
     offset: float
 
-    def score(self, hits: int) -> float:
-        return 1 / (1 + math.exp(-(self.slope * math.log1p(hits) + self.offset)))
+    def scores(self, counts: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(np.log1p(counts) @ np.array(self.slopes) + self.offset, -30, 30)))
 
 
-class _Gains(dict):
-    """The largest gain of each word's windows in bytes a byte of the window (0 below ``LEAST_GAIN``), as words come."""
+def tokens(text: str) -> list[bytes]:
+    """What stands between white space, in lower case."""
+    return text.lower().encode().split()
 
-    def __init__(self, model: ToxicModel):
-        super().__init__()
-        self.gain = gains(model.toxic, model.ordinary)
 
-    def __missing__(self, word: str) -> float:
-        if len(self) > KEPT_WINDOWS:
-            self.clear()
-        got = self[word] = max((g / len(w.encode()) for w in windows(word) if (g := self.gain(w)) >= LEAST_GAIN), default=0.0)
-        return got
+def windows(token: bytes) -> list[bytes]:
+    """The windows of a token: without ASCII marks at its ends, between spaces, cut if it is long. Marks alone have none."""
+    word = token.strip(_MARKS)
+    if not word:
+        return []
+    run = b" " + word + b" "
+    return [run] if len(run) <= LONG else [run[i : i + LONG] for i in range(0, len(run) - STRIDE, STRIDE)]
 
 
-class _Hits(_Gains):
-    """1 for words that have a hit window, 0 for others."""
-
-    def __init__(self, model: ToxicModel):
-        super().__init__(model)
-        self.margin = model.margin
-
-    def __missing__(self, word: str) -> int:
-        got = self[word] = int(super().__missing__(word) >= self.margin)
-        return got
+def tiled(window: bytes) -> bytes:
+    return window * max(2, -(-WIDTH // len(window)))
 
 
-def windows(word: str) -> list[str]:
-    """A word itself, or all stretches of a long one."""
-    if len(word) <= LONG_WORD:
-        return [word]
-    return [word[i : i + LONG_WORD] for i in range(0, len(word) - LONG_WORD + STRIDE, STRIDE)]
+def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+    how = zstandard.ZstdCompressionParameters.from_level(
+        6, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_dict_id=False, min_match=3, search_log=9, hash_log=16, chain_log=16, window_log=18
+    )
+    d = zstandard.ZstdCompressionDict(content.rjust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    d.precompute_compress(compression_params=how)
+    return zstandard.ZstdCompressor(dict_data=d, compression_params=how)
 
 
-def tiled(window: str) -> bytes:
-    raw = (window + " ").encode()
-    return raw * max(1, -(-WIDTH // len(raw)))
+def lengths(compressor: zstandard.ZstdCompressor, found: list[bytes]) -> np.ndarray:
+    """Compressed length of each window."""
+    out = compressor.multi_compress_to_buffer([tiled(w) for w in found])
+    return np.array([len(out[i]) for i in range(len(out))], np.int64)
 
 
-def _compressor(content: bytes):
-    d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    p = zstandard.ZstdCompressionParameters.from_level(16, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=False, write_dict_id=False, min_match=3)
-    return zstandard.ZstdCompressor(dict_data=d, compression_params=p).compress
+def trained(samples: list[bytes], size: int, segment: int) -> bytes:
+    """A dictionary that zstandard's trainer makes of the samples; of samples too few for it, the samples themselves."""
+    try:
+        return zstandard.train_dictionary(size, samples, k=segment, d=6, level=6).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(dict.fromkeys(samples))[-size:]
 
 
-def gains(toxic: bytes, ordinary: bytes):
-    """A function of a window: by how many bytes the toxic dictionary compresses it better."""
-    a, b = _compressor(toxic), _compressor(ordinary)
-
-    def gain(window: str) -> int:
-        raw = tiled(window)
-        return len(b(raw)) - len(a(raw))
-
-    return gain
+class Levels(dict):
+    """For each token, the number of margins that the best of its windows reaches; ``learn`` adds tokens in one call."""
 
+    def __init__(self, model: ToxicModel):
+        super().__init__()
+        self.ordinary, self.toxic = _compressor(model.ordinary), _compressor(model.toxic + model.ordinary)
 
-def dictionary(texts: list[str]) -> bytes:
-    """The content of a dictionary over windows, best first; the coder reaches the end of it most cheaply."""
-    return b"".join(tiled(t) for t in reversed(texts)).rjust(8)
+    def learn(self, wanted: set[bytes]) -> None:
+        if len(self) > KEPT_WINDOWS:
+            self.clear()
+        new = sorted(wanted.difference(self))
+        for i in range(0, len(new), 4096):
+            part = new[i : i + 4096]
+            of = [windows(t) for t in part]
+            flat = [w for ws in of for w in ws]
+            if not flat:
+                self.update(dict.fromkeys(part, 0))
+                continue
+            gain = (lengths(self.ordinary, flat) - lengths(self.toxic, flat)) / np.array([len(w) for w in flat])
+            reach, at = np.searchsorted(np.array(MARGINS), gain + 1e-9, side="right").tolist(), 0
+            for t, ws in zip(part, of):
+                self[t] = max(reach[at : at + len(ws)], default=0)
+                at += len(ws)
+
+    def counts(self, texts: list[str]) -> np.ndarray:
+        """Numbers of tokens that reach each margin, one row for each text."""
+        split = [tokens(t) for t in texts]
+        self.learn(set().union(*split))
+        out = np.zeros((len(texts), len(MARGINS)), np.int64)
+        for row, words in zip(out, split):
+            for level, n in Counter(map(self.__getitem__, words)).items():
+                row[:level] += n
+        return out
 
 
 def held_out(doc_id="doc_id"):
@@ -131,86 +153,132 @@ def training_texts(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -
     return docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(ids), "doc_id").select("text", "toxic", weight.alias("weight")).groupBy("text", "toxic").agg(F.sum("weight").alias("weight"))
 
 
-def fit(train: DataFrame, windows_kept: int = WINDOWS, contrast: float = CONTRAST) -> ToxicModel:
-    """A model from (text, toxic, weight). With no row of one class, every score is that class's share, smoothed."""
-    train = train.select("text", "toxic", "weight").cache()
-    sums = {r["toxic"]: (r["n"], r["w"]) for r in train.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).collect()}
-    (n1, w1), (n0, w0) = sums.get(1, (0, 0.0)), sums.get(0, (0, 0.0))
-    if not n1 or not n0:
-        return ToxicModel(b"none    ", b"none    ", 1 << 30, 0.0, math.log((w1 + 0.5) / (w0 + 1.5)))
-    words = train.select("toxic", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))).alias("word")).where(F.length("word") <= LONG_WORD)
-    seen = words.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
-    share_t, share_o = F.col("t") / n1, (F.col("o") + 0.5) / (n0 + 1)
-    seen = seen.withColumn("c", share_t * F.log(share_t / share_o))
-    apart = seen.where((F.col("t") >= max(3, SUPPORT * n1)) & (F.col("c") > 0)).orderBy(F.desc("c"), "word").limit(windows_kept).collect()  # at most windows_kept
-    plain = [r["word"] for r in seen.where("o > 0").orderBy(F.desc("o"), "word").limit(windows_kept).collect()]
-    apart = [r["word"] for r in apart if r["c"] >= contrast * apart[0]["c"]]
-    if not apart or not plain:
-        return ToxicModel(b"none    ", b"none    ", 1 << 30, 0.0, math.log((w1 + 0.5) / (w0 + 1.5)))
-    toxic, ordinary = dictionary(apart), dictionary([w for w in plain if w not in set(apart)])
-    model = ToxicModel(toxic, ordinary, MARGINS[0], 1.0, 0.0)
-    found = _hits_by_margin(train, model).groupBy("margin", "toxic", F.least("hits", F.lit(50)).alias("hits")).agg(F.sum("weight").alias("w")).collect()  # 102 rows a margin at most
-    at = {m: [(r["hits"], r["toxic"], r["w"]) for r in found if r["margin"] == m] for m in MARGINS}
-    margin = min(MARGINS, key=lambda m: (sum(w for h, t, w in at[m] if (h > 0) != (t == 1)), -m))
-    slope, offset = logistic([(math.log1p(h), t, w) for h, t, w in sorted(at[margin])])
-    return ToxicModel(toxic, ordinary, margin, slope, offset)
-
-
-def _hits_by_margin(train: DataFrame, model: ToxicModel) -> DataFrame:
-    """(toxic, weight, margin, hits) of each training text and each margin."""
+def unlike(train: DataFrame) -> DataFrame:
+    """(text, toxic): of training texts that share the least hash of their word triples, as near copies do, one."""
+
+    def run(batches):
+        for b in (s for batch in batches for s in slices(batch)):
+            keys = []
+            for t in b.column(0).to_pylist():
+                w = tokens(t)
+                keys.append(min((xxhash.xxh64_intdigest(b" ".join(x)) for x in zip(w, w[1:], w[2:])), default=0) >> 1)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int64())], names=["text", "toxic", "key"])
+
+    rows = mapped(train.select("text", "toxic"), run, "text string, toxic int, key long")
+    return rows.groupBy("key", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
+
+
+def toxic_windows(train: DataFrame) -> list[bytes]:
+    """Windows that stand for toxic passages, by the training documents that hold them; at most MOST_WINDOWS."""
+
+    def run(batches):
+        for b in (s for batch in batches for s in slices(batch)):
+            seen: Counter = Counter()
+            for t, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                seen.update((w, toxic) for w in {w for x in set(tokens(t)) for w in windows(x)})
+            keys = list(seen)
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.binary()), pa.array([k[1] for k in keys], pa.int32()), pa.array([seen[k] for k in keys], pa.int64())], names=["window", "toxic", "n"])
+
+    n = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}  # two rows
+    seen = mapped(train.select("text", "toxic"), run, "window binary, toxic int, n long").groupBy("window").agg(F.sum(F.col("n") * F.col("toxic")).alias("t"), F.sum(F.col("n") * (1 - F.col("toxic"))).alias("o"))
+    share_t, share_o = F.col("t") / n[1], (F.col("o") + 0.5) / (n[0] + 1)
+    rows = seen.where((F.col("t") >= max(3, SUPPORT * n[1])) & (share_t > RATIO * share_o)).orderBy(F.desc(share_t * F.log(share_t / share_o)), "window").limit(MOST_WINDOWS)
+    return [bytes(r["window"]) for r in rows.select("window").collect()]
+
+
+def samples(train: DataFrame, chosen: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+    """Training samples: of each toxic document its chosen windows as they follow one another; pieces of ordinary text."""
+    among = frozenset(chosen)
 
     def run(batches):
-        gain = _Gains(model)
         for b in (s for batch in batches for s in slices(batch)):
-            t, w, texts = (c.to_pylist() for c in b.columns)
-            rows = []
-            for i, text in enumerate(texts):
-                of = np.array([gain[x] for x in _WORD.findall(text.lower())])
-                rows += [(t[i], w[i], m, int((of >= m).sum())) for m in MARGINS]
-            kinds = [pa.int32(), pa.float64(), pa.float64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds], names=["toxic", "weight", "margin", "hits"])
-
-    return mapped(train.select("toxic", "weight", "text"), run, "toxic int, weight double, margin double, hits long")
-
-
-def logistic(rows: list[tuple[float, int, float]], ridge: float = 1e-3) -> tuple[float, float]:
-    """Slope and offset of a weighted one-feature logistic regression, by Newton's method; the slope is 0 at least."""
-    a = b = 0.0
-    total = sum(w for *_, w in rows)
-    for _ in range(50):
-        ga = gb = haa = hab = hbb = 0.0
-        for x, t, w in rows:
-            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, a * x + b))))
-            e, v, w = p - t, max(p * (1 - p), 1e-9), w / total
-            ga, gb = ga + w * e * x, gb + w * e
-            haa, hab, hbb = haa + w * v * x * x, hab + w * v * x, hbb + w * v
-        ga, haa, hbb = ga + ridge * a, haa + ridge, hbb + 1e-9
-        det = haa * hbb - hab * hab
-        if not det:
-            break
-        a, b = a - max(-2, min(2, (hbb * ga - hab * gb) / det)), b - max(-2, min(2, (haa * gb - hab * ga) / det))
-    return max(a, 0.0), b
-
-
-def hits(docs: DataFrame, model: ToxicModel, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and the number of hit windows of each whole text."""
+            out, kind = [], []
+            for t, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                words = tokens(t)
+                if toxic:
+                    raw = b"".join(w for x in words for w in windows(x) if w in among)
+                else:
+                    raw = b" ".join(words)
+                parts = [raw[i : i + SAMPLE] for i in range(0, len(raw), SAMPLE)]
+                out += parts
+                kind += [toxic] * len(parts)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(kind, pa.int32())], names=["sample", "toxic"])
+
+    found = mapped(train.select("text", "toxic"), run, "sample binary, toxic int")
+    pick = lambda k: [bytes(r["sample"]) for r in found.where(F.col("toxic") == k).orderBy(F.xxhash64("sample"), "sample").limit(ORDINARY_SAMPLES).collect()]
+    return pick(1), pick(0)
+
+
+def fit(train: DataFrame) -> ToxicModel:
+    """A model from (text, toxic, weight). Without rows of one class, or without windows that set toxic documents apart,
+    every score is the share of toxic rows, smoothed, and at most 0.49."""
+    train = train.select("text", "toxic", "weight", (F.pmod(F.xxhash64("text"), F.lit(CALIBRATE)) == 0).alias("calibrates")).cache()
+    first = None
+    try:
+        sums = {(r["toxic"], r["calibrates"]): (r["n"], r["w"]) for r in train.groupBy("toxic", "calibrates").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).collect()}  # four rows
+        w1, w0 = (sum(w for (toxic, _), (_, w) in sums.items() if toxic == k) for k in (1, 0))
+        share = min(0.49, (w1 + 0.5) / (w1 + w0 + 2))
+        none = ToxicModel(b"", b"", (0.0,) * len(MARGINS), math.log(share / (1 - share)))
+        if (1, False) not in sums or (0, False) not in sums:
+            return none
+        first = unlike(train.where("NOT calibrates")).cache()
+        chosen = toxic_windows(first)
+        if not chosen:
+            return none
+        toxic, ordinary = samples(first, chosen)
+        content = trained(toxic * 8, TOXIC_SIZE, 12)
+        content = b"".join(w for w in chosen if w not in content)[:TOXIC_SIZE] + content
+        model = ToxicModel(content, trained(ordinary, ORDINARY_SIZE, 32), none.slopes, none.offset)
+        both = {k[0] for k in sums if k[1]} == {0, 1}
+        rows = counted(train.where("calibrates") if both else train, model, ["toxic", "weight"]).collect()  # at most 2 * TRAIN_ROWS rows of a few numbers
+        rows.sort(key=lambda r: (r["toxic"], r["weight"], r["reached"]))
+        x, y, w = np.log1p(np.array([r["reached"] for r in rows], np.float64)), np.array([r["toxic"] for r in rows], np.float64), np.array([r["weight"] for r in rows])
+        slopes, offset = logistic(x, y, w)
+        return ToxicModel(model.toxic, model.ordinary, tuple(slopes), offset - best_cut(x @ slopes + offset, y, w))
+    finally:
+        train.unpersist()
+        if first is not None:
+            first.unpersist()
+
+
+def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, float]:
+    """Slopes and offset of a weighted logistic regression with a ridge on the slopes, by Newton's method."""
+    z, w = np.c_[x, np.ones(len(x))], w / w.sum()
+    b, keep = np.zeros(z.shape[1]), np.r_[np.ones(x.shape[1]), 1e-6]
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
+        step = np.linalg.solve((z * (w * (p * (1 - p) + 1e-9))[:, None]).T @ z + ridge * np.diag(keep), z.T @ (w * (p - y)) + ridge * keep * b)
+        b -= np.clip(step, -4, 4)
+    return b[:-1], float(b[-1])
+
+
+def best_cut(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
+    """The threshold on ``z`` with the best weighted F1, half way between the two values it divides."""
+    values = np.unique(z)
+    cuts = np.append((values[1:] + values[:-1]) / 2, values[-1] + 1)
+    f1 = [2 * (hit := w[(z > c) & (y == 1)].sum()) / max(hit + w[y == 1].sum() + w[(z > c) & (y == 0)].sum(), 1e-12) for c in cuts]
+    return float(cuts[int(np.argmax(f1))])
+
+
+def counted(docs: DataFrame, model: ToxicModel, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of ``docs`` and ``reached``: for each margin the number of windows of the whole text beyond it."""
     kept = docs.select(*keep, whole_text().alias("_text"))
 
     def run(batches):
-        counter = _Hits(model)
+        levels = Levels(model)
         for b in (s for batch in batches for s in slices(batch)):
-            n = [sum(map(counter.__getitem__, _WORD.findall(t.lower()))) for t in b.column(len(keep)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(n, pa.int64())], names=[*keep, "hits"])
+            got = levels.counts(b.column(len(keep)).to_pylist())
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got.tolist(), pa.list_(pa.int64()))], names=[*keep, "reached"])
 
-    return mapped(kept, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]) + ", hits long")
+    return mapped(kept, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]) + ", reached array<bigint>")
 
 
 def with_score(docs: DataFrame, model: ToxicModel, keep: list[str]) -> DataFrame:
     """Columns ``keep``, then score (0 to 1) and predicted (1 from 0.5 on). The score depends on the text alone; a null
     text counts as empty. Repeated rows stay."""
-    x = F.log1p(F.col("hits").cast("double")) * model.slope + model.offset
+    x = sum((F.log1p(F.col("reached")[i].cast("double")) * s for i, s in enumerate(model.slopes)), F.lit(model.offset))
     score = 1 / (1 + F.exp(-x))
-    return hits(docs, model, keep).select(*keep, score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+    return counted(docs, model, keep).select(*keep, score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
 
 
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -223,7 +291,7 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the model doesn't predict to be toxic, all columns kept."""
     model = fit(training_texts(docs, labels))
     columns = docs.columns
-    names = [f"_c{i}" for i in range(len(columns))]  # a clash with score, predicted or hits can't happen
+    names = [f"_c{i}" for i in range(len(columns))]  # a clash with score, predicted or reached can't happen
     inner = docs.toDF(*names)
     inner = inner.withColumn("text", F.col(names[columns.index("text")]))
     return with_score(inner, model, names).where("predicted = 0").select(*names).toDF(*columns)
