@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -365,14 +366,37 @@ def _ac_refine(coef, bits, blocks, lens, table, ss, se, al):
 _LENGTHS: dict[int, np.ndarray] = {}
 
 
-def _parse(raw: bytes, marks: list[int]) -> dict:
-    """Frame, tables and scans of one file. marks: positions of its markers other than restarts."""
-    image, dri, quant, huff, scans = {"comment": b""}, 0, {}, {}, []
-    for i, at in enumerate(marks):
+def _segments_of(raw: bytes, marks: list[int]):
+    """(kind, position, size, end of the entropy-coded data behind it) of the segments of a file, in order.
+
+    From segment to segment by their lengths, so that nothing in a body (comment, thumbnail, profile) counts as a marker;
+    only behind a scan's header does the next of ``marks``, positions of two bytes that can be a marker, end the data.
+    """
+    at = 2
+    while at + 4 <= len(raw):
+        if raw[at] != 255:
+            raise ValueError("a marker is missing")
         kind = raw[at + 1]
-        if kind in (0xD8, 0xD9, 0x01):
+        if kind == 0xD9:
+            return
+        if kind == 255 or kind == 0x01:  # a fill byte, or a marker without a body
+            at += 1 if kind == 255 else 2
             continue
         size = int.from_bytes(raw[at + 2 : at + 4], "big")
+        end = at + 2 + size
+        if kind == 0xDA:
+            i = bisect_left(marks, end)
+            end = marks[i] if i < len(marks) else len(raw)
+        yield kind, at, size, end
+        at = end
+
+
+def _parse(raw: bytes, marks: list[int]) -> dict:
+    """Frame, tables and scans of one file. marks: as in ``_segments_of``."""
+    image, dri, quant, huff, scans = {"comment": b""}, 0, {}, {}, []
+    if raw[:2] != b"\xff\xd8":
+        raise ValueError("not a JPEG file")
+    for kind, at, size, end in _segments_of(raw, marks):
         body = raw[at + 4 : at + 2 + size]
         if kind == 0xDB:
             while body:
@@ -398,7 +422,7 @@ def _parse(raw: bytes, marks: list[int]) -> dict:
             order = [next(j for j, c in enumerate(image["comps"]) if c[0] == body[1 + 2 * x]) for x in range(n)]
             last = body[1 + 2 * n :]
             used = tuple((huff.get(body[2 + 2 * x] >> 4), huff.get(16 | body[2 + 2 * x] & 15)) for x in range(n))
-            scans.append((tuple(order), used, last[0], last[1], last[2] >> 4, last[2] & 15, dri, at + 2 + size, marks[i + 1] if i + 1 < len(marks) else len(raw)))
+            scans.append((tuple(order), used, last[0], last[1], last[2] >> 4, last[2] & 15, dri, at + 2 + size, end))
     hmax, vmax = max(c[1] for c in image["comps"]), max(c[2] for c in image["comps"])
     mx, my = -(-image["w"] // (8 * hmax)), -(-image["h"] // (8 * vmax))
     image["grid"] = tuple((my * v, mx * h, -(-(-(-image["h"] * v // vmax)) // 8), -(-(-(-image["w"] * h // hmax)) // 8)) for _, h, v, _ in image["comps"])
@@ -525,13 +549,13 @@ _BYTE_TABLE[COEF_OF_BYTE.astype(int) + 256] = np.arange(256)
 
 
 def payload_and_feature(files: list[bytes]):
-    """For each file of ``encode_payload``: the payload, and a feature of its RGB tensor (size, CRC-32, channel sums)."""
+    """For each file of ``encode_payload``: the payload, its RGB tensor, and a feature of that (size, CRC-32, channel means)."""
     images, coef, base = coefficients(files)
     bytes_of = _BYTE_TABLE[coef + 256]
     for x, first, rgb in zip(images, base.tolist(), tensors(images, coef, base)):
         size = struct.unpack(">Q", x["comment"])[0]
         means = ".".join(str(int(s)) for s in rgb.sum((0, 1), dtype=np.int64) // (rgb.shape[0] * rgb.shape[1]))
-        yield bytes_of[first : first + size // 64].tobytes(), f"{rgb.shape[0]}x{rgb.shape[1]}x3:{zlib.crc32(rgb.tobytes()):08x}:{means}"
+        yield bytes_of[first : first + size // 64].tobytes(), rgb, f"{rgb.shape[0]}x{rgb.shape[1]}x3:{zlib.crc32(rgb.tobytes()):08x}:{means}"
 
 
 # ----------------------------------------------------------------------------------------------------------- DataFrames
@@ -562,11 +586,12 @@ def with_rgb(df: DataFrame, media: str = "media") -> DataFrame:
     return mapped(kept, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields) + ", " + RGB_SCHEMA)
 
 
-STORED = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+STORED = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, " + RGB_SCHEMA
 
 
 def stored_texts(docs: DataFrame, piece_chars: int = 1_500_000) -> DataFrame:
-    """Stores every whole text as a progressive JPEG, reads the file back and describes both (columns as in ``STORED``).
+    """Stores every whole text as a progressive JPEG, reads the file back, describes both and stores the full-resolution
+    tensor that the file decodes to (columns as in ``STORED``).
 
     A null text counts as empty and gives one block of zeros; equal texts give equal files. Repeated rows stay.
     Work is one narrow pass: no shuffle, and memory bounded by ``piece_chars`` characters or one text.
@@ -579,9 +604,9 @@ def stored_texts(docs: DataFrame, piece_chars: int = 1_500_000) -> DataFrame:
                 raw = [t.encode() for t in texts[a:b]]
                 files = encode_payload([r + bytes(-len(r) % 64 if r else 64) for r in raw])
                 rows = []
-                for i, r, f, (back, feature) in zip(ids[a:b], raw, files, payload_and_feature(files)):
-                    rows.append((i, len(r), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(f), hashlib.sha256(f).hexdigest(), feature))
-                kinds = [pa.int64()] * 3 + [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+                for i, r, f, (back, rgb, feature) in zip(ids[a:b], raw, files, payload_and_feature(files)):
+                    rows.append((i, len(r), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(f), hashlib.sha256(f).hexdigest(), feature, *rgb.shape, rgb.tobytes()))
+                kinds = [pa.int64()] * 3 + [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), *[pa.int32()] * 3, pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=[x.split()[0] for x in STORED.split(", ")])
 
     return mapped(docs.select("doc_id", whole_text().alias("text")), run, STORED)

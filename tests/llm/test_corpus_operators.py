@@ -37,7 +37,32 @@ def test_media_round_trip(docs, empty):
         raw = text[r.doc_id]
         assert (r.n_bytes, r.payload_sha256) == (len(raw), hashlib.sha256(raw + bytes(-len(raw) % 64 if raw else 64)).hexdigest())
     every = bytes(range(256)) * 25
-    assert [p for p, _ in media.payload_and_feature(media.encode_payload([every, bytes(64)]))] == [every, bytes(64)]
+    assert [p for p, *_ in media.payload_and_feature(media.encode_payload([every, bytes(64)]))] == [every, bytes(64)]
+    for r in rows:
+        assert (r.channels, len(r.rgb)) == (3, r.height * r.width * 3) and r.feature.startswith(f"{r.height}x{r.width}x3:")
+    clash = docs.withColumn("rgb", F.lit("x")).withColumn("height", F.lit(1)).unionByName(docs.withColumn("rgb", F.lit("x")).withColumn("height", F.lit(1)))
+    assert media.stored_texts(clash).count() == 2 * docs.count()
+
+
+def test_media_payload_lengths_that_look_like_markers():
+    """The comment holds the payload's length: every length whose bytes there can be taken for a marker."""
+    lengths = [64 * k for k in (*range(1, 40), *(n for high in range(3) for n in range(high * 1024 + 1018, high * 1024 + 1026)))] + [0xFFC0, 0xFFC0 + 65536, 0xC0FF40, 0x2FFC0]
+    for n in lengths:
+        data = (bytes(range(256)) * (n // 256 + 1))[:n]
+        (back, rgb, _), = media.payload_and_feature(media.encode_payload([data]))
+        assert back == data and rgb.shape[2] == 3
+
+
+def test_rgb_of_files_with_markers_in_bodies(spark):
+    """Application segments (thumbnails, profiles) may hold any bytes; files that are no progressive JPEG give nulls."""
+    plain = media.encode_payload([bytes(range(64)) * 9])[0]
+    body = b"\xff\xc0\xff\xda\xff\xd8\xff\xd9\xff\xd0\xff\x00" * 3
+    app = plain[:2] + b"\xff\xe1" + (len(body) + 2).to_bytes(2, "big") + body + b"\xff" + plain[2:]  # with a fill byte
+    files = [(1, bytearray(plain)), (2, bytearray(app)), (3, None), (4, bytearray(b"")), (5, bytearray(b"\xff\xd8junk")), (6, bytearray(plain[:60]))]
+    rows = {r.k: r for r in media.with_rgb(spark.createDataFrame(files, "k int, media binary")).collect()}
+    want = media.decode([plain])[0]
+    assert rows[1].rgb == rows[2].rgb == want.tobytes() and (rows[2].height, rows[2].width, rows[2].channels) == want.shape
+    assert all(rows[k].rgb is None for k in (3, 4, 5, 6))
 
 
 def test_progressive_decoder_against_the_jvm(spark):
