@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -143,10 +144,27 @@ def test_bpe_equals_the_library(docs, empty):
         assert got.n_tokens == len(e) and got.ids_sha256 == hashlib.sha256(" ".join(map(str, e)).encode()).hexdigest()
         assert got.decoded_sha256 == hashlib.sha256(t.decode(e, skip_special_tokens=False).encode()).hexdigest()
     own = bpe.TrieBpe(bpe.default_tokenizer())
-    for s in ("a<|endoftext|>B'LL ½²", "é" * 300 + "tion" * 200, "<|endoftex"):
+    rng = random.Random(4)
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    odd = ["".join(rng.choice(every) for _ in range(rng.randrange(1, 30))) for _ in range(4000)]
+    later = [chr(c) for a, b in (*bpe.LATER_LETTERS, *bpe.LATER_NUMBERS) for c in range(a, b + 1)] + [*map(chr, bpe.LATER_LOWER)]
+    odd += ["aA1 " + c + "bB!" + c + c for c in later]
+    for s in ("a<|endoftext|>B'LL ½²", "é" * 300 + "tion" * 200, "<|endoftex", "thé" * 2000 + " x", "中" * 3000, *odd):
         e = t.encode(s, add_special_tokens=False).ids
-        assert own.encode_batch([s])[0][:2] == (" ".join(map(str, e)), t.decode(e, skip_special_tokens=False))
+        (ids, n), = own.encode_batch([s])
+        assert (ids, n) == (" ".join(map(str, e)), len(e)) and own.decode(ids) == t.decode(e, skip_special_tokens=False)
     assert bpe.encoded(empty).count() == 0
+    again = bpe.decoded(bpe.encoded(docs.withColumn("n_tokens", F.lit("clash")), ids=True).withColumn("text", F.lit(1))).collect()
+    assert all(hashlib.sha256(r.text.encode()).hexdigest() == r.decoded_sha256 for r in again) and own.decode("1 999999 2") == own.decode("1 2")
+
+
+def test_bpe_of_very_long_words_is_linear():
+    own, took = bpe.TrieBpe(bpe.default_tokenizer()), []
+    for n in (40_000, 160_000):
+        start = time.perf_counter()
+        own.encode_batch(["中文字" * (n // 3)])
+        took.append(time.perf_counter() - start)
+    assert took[1] < 10 * took[0]
 
 
 def plain_simhash(text):
