@@ -1,11 +1,13 @@
 """Secret scans: base patterns, and a character convolutional network over every candidate and its context.
 
-Candidates are the base matches and every other run of 12 or more token characters. Each is seen through a window of
+Candidates are all runs of 12 or more token characters, those inside base matches too. Each is seen through a window of
 characters before, inside (its head and tail) and after it. The network (embedding, convolution, max pooling, one hidden
-layer, in numpy) is trained on labelled findings: base matches of a bounded sample of documents, with rewritten copies of
-them (other keys, alphabets and lengths), against the sample's other candidates. Its scores are calibrated on held-out
-findings (Platt), and the threshold is the highest that keeps the wanted recall there and doesn't fall below a floor of
-precision. Base spans always stay; the network adds others as kind ``cnn``.
+layer, in numpy) is trained on labelled findings: values of base matches of a bounded sample of documents, and findings
+that the base patterns don't make, of public key formats (``FORMATS``) and of random values, put into the sample's own
+contexts; against the sample's other candidates. It is trained twice, the second time with those of the sample's other
+candidates that it took for findings at first. Its scores are calibrated on held-out findings (Platt); the threshold is the
+highest that keeps the wanted recall there. Base spans always stay; a candidate that the network accepts and that is not inside
+base spans is added as kind ``cnn``.
 """
 
 from __future__ import annotations
@@ -49,12 +51,25 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """(start, end) of runs of token characters that no base span overlaps."""
-    runs = [m.span() for m in CANDIDATE.finditer(text)]
-    if not spans:
-        return runs
-    return [(a, b) for a, b in runs if not any(s < b and a < e for s, _, e in spans)]
+def candidates(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, how) of all runs of token characters; how: 0 apart from base spans, 1 touching them, 2 inside them.
+
+    One pass over both lists, which are sorted by start.
+    """
+    joined: list[list[int]] = []
+    for s, _, e in spans:
+        if joined and s <= joined[-1][1]:
+            joined[-1][1] = max(joined[-1][1], e)
+        else:
+            joined.append([s, e])
+    out, i = [], 0
+    for m in CANDIDATE.finditer(text):
+        a, b = m.span()
+        while i < len(joined) and joined[i][1] <= a:
+            i += 1
+        touches = i < len(joined) and joined[i][0] < b
+        out.append((a, b, 2 if touches and joined[i][0] <= a and b <= joined[i][1] else int(touches)))
+    return out
 
 
 def window(text: str, start: int, end: int) -> str:
@@ -157,7 +172,7 @@ def train(x: np.ndarray, y: np.ndarray, seed: int = 7, epochs: int = 10, e: int
 
 
 def calibrate(net: CharCnn, x: np.ndarray, y: np.ndarray, recall: float = RECALL) -> CharCnn:
-    """Platt scaling on held-out candidates, then the highest threshold with the wanted recall, 0.5 at least."""
+    """Platt scaling on held-out candidates, then the highest threshold with the wanted recall; 0.5 without findings."""
     z = net.logits(x)
     a, b = 1.0, 0.0
     for _ in range(200):
@@ -165,32 +180,36 @@ def calibrate(net: CharCnn, x: np.ndarray, y: np.ndarray, recall: float = RECALL
         a, b = a - 0.05 * (((p - y) * z).mean() + 1e-3 * a), b - 0.05 * (p - y).mean()
     net.scale, net.offset = float(max(a, 1e-3)), float(b)
     p = np.sort(net.probabilities(x[y == 1]))
-    net.threshold = float(max(0.5, p[int((1 - recall) * len(p))])) if len(p) else 0.5
+    net.threshold = float(p[int((1 - recall) * len(p))]) if len(p) else 0.5
     return net
 
 
-def rewritten(text: str, start: int, end: int, rng: random.Random) -> str:
-    """A window like that of a finding, with another key and a value drawn from another alphabet."""
-    hexes, base = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-    alphabet = rng.choice([hexes, hexes.upper(), base, base, base + "+/", base + "_-", base[:26] + "0123456789"])
-    value = "".join(rng.choice(alphabet) for _ in range(rng.choice([16, 20, 24, 32, 40, 48, 64])))
+_HEX, _BASE = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+# Public key formats, as prefix, alphabet and number of characters.
+FORMATS = (
+    ("ghp_", _BASE, 36), ("github_pat_", _BASE + "_", 60), ("glpat-", _BASE + "-_", 20), ("xoxb-", "0123456789-" + _BASE, 48), ("sk_live_", _BASE, 24),
+    ("AIza", _BASE + "-_", 35), ("ya29.", _BASE + "-_", 60), ("eyJ", _BASE + "-_", 60), ("SG.", _BASE + "-_", 60), ("npm_", _BASE, 36), ("ASIA", _BASE[:26] + "234567", 16),
+)
+
+
+def planted(context: str, rng: random.Random) -> str:
+    """A window with a finding that the base patterns don't make, behind the end of ``context``."""
+    if rng.random() < 0.4:
+        prefix, alphabet, size = rng.choice(FORMATS)
+    else:
+        prefix, alphabet = "", rng.choice([_HEX.upper(), _BASE, _BASE, _BASE + "+/", _BASE + "_-", _BASE[:26] + "0123456789"])
+        size = rng.choice([16, 20, 24, 32, 40, 48, 64])
+    value = prefix + "".join(rng.choice(alphabet) for _ in range(size))
     if not (any(ch.isdigit() for ch in value) and any(ch.isalpha() for ch in value)):
         value = value[:-2] + "7" + alphabet[10]
-    key = rng.choice(["key", "auth", "pwd", "private_key", "client_id", "access", "bearer", "sig", "token", "secret", "credential", ""])
+    key = rng.choice(["key", "auth", "pwd", "private_key", "client_id", "access", "Bearer", "sig", "credential", "Authorization", "", ""])
     joint = rng.choice([" = ", "=", ": ", ":", " ", '="', ' = "', "': '"]) if key else " "
-    made = text[max(0, start - BEFORE) : start] + key + joint
-    return window(made + value + text[end : end + AFTER], len(made), len(made) + len(value))
+    made = context + key + joint
+    return window(made + value + rng.choice([" ", "\n", '"', "'", ",", ""]), len(made), len(made) + len(value))
 
 
-def fit(docs: DataFrame, most_docs: int = TRAIN_DOCS, most_rows: int = TRAIN_ROWS) -> CharCnn:
-    """A calibrated network from a sample of at most ``most_docs`` documents, chosen by hash of doc_id.
-
-    The sample's ids are broadcast to one scan; its candidates (at most ``most_rows`` of each class, by hash) come to the driver as
-    short windows. Without any finding in the sample, rewritten findings alone stand for the class.
-    """
-    order = F.xxhash64("doc_id")
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(order, "doc_id").limit(most_docs)
-    sample = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(whole_text().alias("text"))
+def seen_in(docs: DataFrame) -> DataFrame:
+    """(seen, label) of the distinct candidates of whole texts: 1 for values of base matches, 0 for those apart from them."""
 
     def run(batches):
         for b in (s for batch in batches for s in slices(batch)):
@@ -201,26 +220,52 @@ def fit(docs: DataFrame, most_docs: int = TRAIN_DOCS, most_rows: int = TRAIN_ROW
                     if kind == 0:  # the network sees the value, as it does for other candidates
                         s = ASSIGN.match(t, s).start(2)
                     rows.append((window(t, s, e), 1))
-                rows += [(window(t, s, e), 0) for s, e in candidates(t, spans)]
+                rows += [(window(t, s, e), 0) for s, e, how in candidates(t, spans) if how == 0]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32())], names=["seen", "label"])
 
-    found = mapped(sample, run, "seen string, label int").distinct()
-    pick = lambda k: [r["seen"] for r in found.where(F.col("label") == k).orderBy(F.xxhash64("seen"), "seen").limit(most_rows).collect()]
-    return learned(pick(1), pick(0))
+    return mapped(docs.select(whole_text().alias("text")), run, "seen string, label int").distinct()
+
 
+def mistaken(found: DataFrame, net: CharCnn) -> DataFrame:
+    """The candidates labelled 0 that the network takes for findings."""
 
-def learned(positive: list[str], negative: list[str], seed: int = 7) -> CharCnn:
-    """Trains on four fifths of the windows, calibrates on the rest."""
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                yield b.filter(pa.array(net.probabilities(codes(b.column(0).to_pylist())) >= net.threshold))
+
+    return mapped(found.where("label = 0").select("seen"), run, "seen string")
+
+
+def fit(docs: DataFrame, most_docs: int = TRAIN_DOCS, most_rows: int = TRAIN_ROWS) -> CharCnn:
+    """A calibrated network from a sample of at most ``most_docs`` documents, chosen by hash of doc_id.
+
+    The sample's ids are broadcast to one scan; its candidates (at most ``most_rows`` of each class, by hash, and as many
+    mistaken ones) come to the driver as short windows. Without any finding in the sample, planted ones alone stand for the class.
+    """
+    order = F.xxhash64("doc_id")
+    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(order, "doc_id").limit(most_docs)
+    found = seen_in(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")).cache()
+    try:
+        pick = lambda df: [r["seen"] for r in df.orderBy(F.xxhash64("seen"), "seen").limit(most_rows).collect()]
+        positive, negative = pick(found.where("label = 1")), pick(found.where("label = 0"))
+        hard = pick(mistaken(found, learned(positive, negative)))
+        return learned(positive, list(dict.fromkeys(negative + hard)))
+    finally:
+        found.unpersist()
+
+
+def learned(positive: list[str], negative: list[str], seed: int = 7, recall: float = RECALL) -> CharCnn:
+    """Trains on four fifths of the windows and of as many planted findings (600 at least), calibrates on the rest."""
     rng = random.Random(seed)
-    plain = positive or ["\0" * BEFORE + "0" * (HEAD + TAIL) + "\0" * AFTER]
-    source = [p[:BEFORE].strip("\0") for p in plain + negative[:500]]
-    made = [rewritten(c + " ", len(c) + 1, len(c) + 1, rng) for c in (rng.choice(source) for _ in range(max(600, len(positive))))]
+    source = [p[:BEFORE].strip("\0") for p in positive + negative[:500]] or [""]
+    made = [planted(rng.choice(source) + " ", rng) for _ in range(max(600, len(positive)))]
     words = negative or ["\0" * BEFORE + "x" * (HEAD + TAIL) + "\0" * AFTER]
     x, y = codes(positive + made + words), np.array([1] * (len(positive) + len(made)) + [0] * len(words))
     order = np.random.default_rng(seed).permutation(len(x))
     cut = len(x) * 4 // 5
     net = train(x[order[:cut]], y[order[:cut]])
-    return calibrate(net, x[order[cut:]], y[order[cut:]])
+    return calibrate(net, x[order[cut:]], y[order[cut:]], recall)
 
 
 def joined(spans) -> str:
@@ -235,11 +280,11 @@ def all_spans(texts: list[str], net: CharCnn):
     """For each text its base spans, and those with the spans that the network adds."""
     base = [base_spans(t) for t in texts]
     more = [candidates(t, s) for t, s in zip(texts, base)]
-    seen = [window(t, a, b) for t, c in zip(texts, more) for a, b in c]
+    seen = [window(t, a, b) for t, c in zip(texts, more) for a, b, _ in c]
     yes = (net.probabilities(codes(seen)) >= net.threshold).tolist() if seen else []
     at = 0
     for s, c in zip(base, more):
-        added = [(a, 3, b) for (a, b), ok in zip(c, yes[at : at + len(c)]) if ok]
+        added = [(a, 3, b) for (a, b, how), ok in zip(c, yes[at : at + len(c)]) if ok and how < 2]
         at += len(c)
         yield s, sorted(s + added) if added else s
 
