@@ -12,8 +12,9 @@ KM_PER_DEGREE = 111.19
 
 
 def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = 6371.0) -> Column:
+    """Great-circle distance; null if a coordinate is (``greatest`` would pass over it)."""
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * radius_km * F.asin(F.sqrt(F.least(F.lit(1.0), F.greatest(F.lit(0.0), a))))
+    return F.when(a.isNotNull(), 2 * radius_km * F.asin(F.sqrt(F.least(F.lit(1.0), F.greatest(F.lit(0.0), a)))))
 
 
 def mercator_x(lon) -> Column:
@@ -76,15 +77,21 @@ def reached_cells(lat, lon, radius_km: float) -> Column:
     return F.flatten(F.transform(F.sequence(own - 1, own + 1), columns))
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once for a row: inside a lambda, an outer expression would be worked out anew
+    for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def ring_area_km2(ring: Column) -> Column:
     """Area of a ring of lon/lat by the shoelace rule on equal-area metres."""
     flat = F.transform(ring, lambda p: F.struct(equal_area_x(p["x"]).alias("x"), equal_area_y(p["y"]).alias("y")))
-    n = F.size(ring)
-    twice = F.aggregate(
-        F.sequence(F.lit(0), n - 1), F.lit(0.0),
-        lambda acc, i: acc + F.get(flat, i)["x"] * F.get(flat, (i + 1) % n)["y"] - F.get(flat, (i + 1) % n)["x"] * F.get(flat, i)["y"],
-    )
-    return F.when(n >= 3, F.abs(twice) / 2e6).otherwise(0.0)
+
+    def twice(v):
+        turned = F.concat(F.slice(v, 2, F.greatest(F.size(v) - 1, F.lit(0))), F.slice(v, 1, 1))
+        return F.aggregate(F.zip_with(v, turned, lambda p, q: p["x"] * q["y"] - q["x"] * p["y"]), F.lit(0.0), lambda acc, x: acc + x)
+
+    return F.when(F.size(ring) >= 3, F.abs(bound(flat, twice)) / 2e6).otherwise(0.0)
 
 
 def circle_ring(lat, lon, radius_km, points: int = 180) -> Column:
@@ -130,12 +137,15 @@ def radius_curve(ne, se, sw, nw, points: int = 360) -> Column:
             out = out.when(F.floor(i / q) == k, (1 - t) * a + t * b)
         return out
 
-    curve = F.transform(F.sequence(F.lit(0), F.lit(points - 1)), raw)
+    def smooth(curve):
+        back = F.concat(F.slice(curve, points, 1), F.slice(curve, 1, points - 1))
+        ahead = F.concat(F.slice(curve, 2, points - 1), F.slice(curve, 1, 1))
+        sides = F.zip_with(back, ahead, lambda a, c: F.struct(a.alias("a"), c.alias("c")))
+
+        def three(b, x):
+            a, c = F.coalesce(x["a"], b), F.coalesce(x["c"], b)
+            return (a + 2 * F.coalesce(b, (a + c) * 0.5) + c) / 4.0
 
-    def smooth(i):
-        b = F.get(curve, i)
-        a, c = F.get(curve, F.pmod(i - 1, F.lit(points))), F.get(curve, F.pmod(i + 1, F.lit(points)))
-        a, c = F.coalesce(a, b), F.coalesce(c, b)
-        return (a + 2 * F.coalesce(b, (a + c) * 0.5) + c) / 4.0
+        return F.zip_with(curve, sides, three)
 
-    return F.transform(F.sequence(F.lit(0), F.lit(points - 1)), smooth)
+    return bound(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), raw), smooth)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from perilframe.functions.geo import bound
+
 # Unicode dashes that stand for a hyphen; keywords of hazard types in order of precedence; member countries.
 DASHES = "‐‑‒–—−"
 HAZARDS = (("storm", ("storm", "cyclone", "typhoon", "hurricane")), ("earthquake", ("earth",)), ("tsunami", ("tsunami",)), ("flood", ("flood",)))
@@ -139,16 +141,26 @@ def intensity(mw: Column, r_km: Column, depth_km: Column, regime: str = "active"
 
 
 def intensity_radius(mw: Column, depth_km: Column, target: float, regime: str = "active", most_km: float = 1500.0, steps: int = 60) -> Column:
-    """The distance at which intensity falls to ``target``, by bisection inside one expression; 0 if it never reaches it."""
+    """The distance at which intensity falls to ``target``, by bisection inside one expression; 0 if it never reaches it.
+
+    A step adds its half width where intensity still reaches the target there; what doesn't change along the way is bound once.
+    """
+    c = ATTENUATION[regime]
+    level = c["C1"] + c["C2"] * (mw - 6.0) + c["C3"] * F.pow(mw - 6.0, 2)
+    fixed = F.struct((level - target).alias("over"), (c["C4"] + c["C7"] * mw).alias("slope"), F.pow(F.greatest(F.lit(c["h"]), F.coalesce(depth_km, F.lit(0.0))), F.lit(2)).alias("h2"))
+
+    def search(p):
+        def step(lo, width):
+            def reaches(r):
+                far = F.when(r > c["Rt"], F.log10(r / c["Rt"])).otherwise(0.0)
+                return p["over"] + p["slope"] * F.log10(r) + c["C5"] * r + c["C6"] * far >= 0
+
+            mid = lo + width
+            return F.when(bound(F.greatest(F.sqrt(mid * mid + p["h2"]), F.lit(1e-6)), reaches), mid).otherwise(lo)
 
-    def step(acc, _):
-        mid = (acc["lo"] + acc["hi"]) * 0.5
-        inside = intensity(mw, mid, depth_km, regime) >= target
-        return F.struct(F.when(inside, mid).otherwise(acc["lo"]).alias("lo"), F.when(inside, acc["hi"]).otherwise(mid).alias("hi"))
+        return F.aggregate(F.array(*(F.lit(most_km / 2.0**k) for k in range(1, steps + 1))), F.lit(0.0), step)
 
-    start = F.struct(F.lit(0.0).alias("lo"), F.lit(most_km).alias("hi"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)["lo"]
-    return F.when(intensity(mw, F.lit(0.0), depth_km, regime) < target, 0.0).otherwise(found)
+    return F.when(intensity(mw, F.lit(0.0), depth_km, regime) < target, 0.0).otherwise(bound(fixed, search))
 
 
 def runup_length_km(h: Column, least: float = 4.0, most: float = 60.0, factor: float = 8.0, exponent: float = 1.0) -> Column:

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one set here where it is unset (local tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where it is unset, a local master gets one of this machine's
+    own; a cluster has no folder that could be taken for it, so there it is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perilframe import network
-from perilframe.functions.geo import haversine_km
+from perilframe.functions.geo import haversine_km, own_cell, reached_cells
 from perilframe.functions.scalars import first_nonnull
 from perilframe.io import written
 from perilframe.operators import joins
@@ -85,14 +85,35 @@ def _greedy(pdf: pd.DataFrame, days: int, max_km: float) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["row_id", "cluster"])
 
 
-def enriched(floods: DataFrame, losses: DataFrame, days: int = 14) -> DataFrame:
+def enriched(floods: DataFrame, losses: DataFrame, days: int = 14, tiers_km: tuple[float, ...] = (200.0, 800.0, 3200.0)) -> DataFrame:
     """Each flood with its best loss record: overlapping in time and nearest; without any with coordinates, the first id.
 
-    floods: row_id, start_date, end_date, lat, lon; losses: rec_id, start_date, end_date, lat, lon.
+    floods: row_id, start_date, end_date, lat, lon; losses: rec_id, start_date, end_date, lat, lon. Searched in tiers of
+    distance, each by month and cell, written to the shared folder; only floods without a loss in a tier go on to the next,
+    and only those left at the end meet losses by time alone. What time alone decides looks at distinct intervals.
     """
     left = floods.select(F.col("row_id").alias("l_id"), F.col("start_date").alias("l_start"), F.col("end_date").alias("l_end"), F.col("lat").alias("l_lat"), F.col("lon").alias("l_lon"))
     right = losses.select(F.col("rec_id").alias("r_id"), F.col("start_date").alias("r_start"), F.col("end_date").alias("r_end"), F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"))
-    pairs = joins.overlap_pairs(left, right, days).withColumn("km", haversine_km(F.col("l_lat"), F.col("l_lon"), F.col("r_lat"), F.col("r_lon")))
-    return pairs.groupBy(F.col("l_id").alias("row_id")).agg(
-        F.coalesce(F.min_by("r_id", F.when(F.col("km").isNotNull(), F.struct("km", "r_id"))), F.min("r_id")).alias("rec_id"), F.min("km").alias("km"),
-    )
+    km = haversine_km(F.col("l_lat"), F.col("l_lon"), F.col("r_lat"), F.col("r_lon"))
+    placed, there = right.where("r_lat IS NOT NULL AND r_lon IS NOT NULL"), "l_lat IS NOT NULL AND l_lon IS NOT NULL"
+    rest, out = left.where(there), None
+    best = F.min(F.struct("km", "r_id")).alias("b")
+    for reach in (*tiers_km, None):
+        if reach is None:
+            pairs = joins.overlap_pairs(rest, placed, days)
+        else:
+            a = rest.withColumn("cell", own_cell(F.col("l_lat"), F.col("l_lon"), reach))
+            b = placed.withColumn("cell", F.explode(reached_cells(F.col("r_lat"), F.col("r_lon"), reach)))
+            pairs = joins.overlap_pairs(a, b, days, km <= reach, ["cell"])
+        found = written(pairs.withColumn("km", km).groupBy("l_id").agg(best).select(F.col("l_id").alias("row_id"), F.col("b.r_id").alias("rec_id"), "b.km"), "flood-nearest")
+        out = found if out is None else out.unionByName(found)
+        rest = written(rest.join(found, F.col("l_id") == F.col("row_id"), "left_anti"), "flood-rest")
+        if rest.isEmpty():
+            break
+    # no distance to go by: the first id of any loss that overlaps
+    rest = rest.unionByName(left.where(f"NOT ({there})"))
+    spans = joins.overlap_pairs(rest.select("l_start", "l_end").distinct(), right.groupBy("r_start", "r_end").agg(F.min("r_id").alias("r_id")), days)
+    spans = spans.groupBy("l_start", "l_end").agg(F.min("r_id").alias("rec_id"))
+    same = F.col("l_start").eqNullSafe(F.col("_s")) & F.col("l_end").eqNullSafe(F.col("_e"))
+    timed = rest.join(spans.withColumnsRenamed({"l_start": "_s", "l_end": "_e"}), same).select(F.col("l_id").alias("row_id"), "rec_id", F.lit(None).cast("double").alias("km"))
+    return out.unionByName(timed)

@@ -53,7 +53,7 @@ def r6(x):
 c = F.col
 
 # SQL that several oracles share. HAV: distance of points p and q; NL: normalised losses.
-HAV = "2 * 6371.0 * asin(sqrt(least(1.0, greatest(0.0, pow(sin(radians(q.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - p.lon) / 2), 2)))))"
+HAV = "CASE WHEN p.lat + p.lon + q.lat + q.lon IS NOT NULL THEN 2 * 6371.0 * asin(sqrt(least(1.0, greatest(0.0, pow(sin(radians(q.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(q.lat)) * pow(sin(radians(q.lon - p.lon) / 2), 2))))) END"
 NL = """nl AS (SELECT rec_id, trim(translate(event_id_raw, '‐‑‒–—−', '------')) AS event_id,
   CASE WHEN lower(disaster_type) LIKE '%storm%' OR lower(disaster_type) LIKE '%cyclone%' THEN 'storm' WHEN lower(disaster_type) LIKE '%earth%' THEN 'earthquake'
        WHEN lower(disaster_type) LIKE '%tsunami%' THEN 'tsunami' WHEN lower(disaster_type) LIKE '%flood%' THEN 'flood' ELSE 'other' END AS hazard,
@@ -291,10 +291,9 @@ def runups_for_event(runup):
 # ----------------------------------------------------------------------------------------------------------------- matching
 
 
-@query(f"WITH {NL} SELECT event_id FROM fx_quake p WHERE event_id % 3 = 0 AND EXISTS (SELECT 1 FROM nl q WHERE q.hazard = 'earthquake' AND q.country_id = 3 AND p.eq_time <= q.start_date + 7 AND p.eq_time >= q.start_date - 7)", "fx_quake", "fx_loss")
+@query(f"WITH {NL} SELECT event_id FROM fx_quake p WHERE EXISTS (SELECT 1 FROM nl q WHERE q.hazard = 'earthquake' AND p.eq_time <= q.start_date + 7 AND p.eq_time >= q.start_date - 7)", "fx_quake", "fx_loss")
 def temporal_overlap_semi(quake, loss):
-    right = A.as_right(A.loss_records(loss).where("country_id = 3"), "earthquake")
-    return joins.temporal_overlap_semi(A.quakes_as_left(quake.where("event_id % 3 = 0")), right).select(c("l_id").alias("event_id"))
+    return joins.temporal_overlap_semi(A.quakes_as_left(quake), A.as_right(A.loss_records(loss), "earthquake")).select(c("l_id").alias("event_id"))
 
 
 @query(f"WITH {NL} SELECT event_id FROM fx_quake p WHERE EXISTS (SELECT 1 FROM nl q WHERE q.hazard = 'earthquake' AND p.eq_time <= q.start_date + 7 AND p.eq_time >= q.start_date - 7)", "fx_quake", "fx_loss")
@@ -370,9 +369,9 @@ def _in_country(points, country):
     return both.where("lon >= minx AND lon < maxx AND lat >= miny AND lat < maxy")
 
 
-@query("SELECT event_id, iso3 FROM fx_quake JOIN fx_country ON lon >= minx AND lon < maxx AND lat >= miny AND lat < maxy WHERE country_id IN (SELECT country_id FROM fx_loss WHERE disaster_type = 'Earthquake' AND country_id % 2 = 0)", "fx_quake", "fx_country", "fx_loss")
+@query("SELECT event_id, iso3 FROM fx_quake JOIN fx_country ON lon >= minx AND lon < maxx AND lat >= miny AND lat < maxy WHERE country_id IN (SELECT country_id FROM fx_loss WHERE disaster_type = 'Earthquake')", "fx_quake", "fx_country", "fx_loss")
 def quakes_in_loss_countries(quake, country, loss):
-    wanted = loss.where("disaster_type = 'Earthquake' AND country_id % 2 = 0").select(c("country_id").alias("_c")).distinct()
+    wanted = loss.where("disaster_type = 'Earthquake'").select(c("country_id").alias("_c")).distinct()
     return _in_country(quake, country.join(wanted, c("country_id") == c("_c"), "left_semi")).select("event_id", "iso3")
 
 
@@ -382,9 +381,9 @@ def quakes_in_loss_countries_all(quake, country, loss):
     return _in_country(quake, country.join(wanted, c("country_id") == c("_c"), "left_semi")).select("event_id", "iso3")
 
 
-@query("SELECT row_id, source, o_orderpriority AS priority FROM fx_flood LEFT JOIN orders ON o_orderkey = row_id AND row_id % 2 = 0", "fx_flood", "orders")
+@query("SELECT row_id, source, o_orderpriority AS priority FROM fx_flood LEFT JOIN orders ON o_orderkey = row_id", "fx_flood", "orders")
 def attr_left_join(flood, orders):
-    attrs = orders.select(c("o_orderkey").alias("_id"), c("o_orderpriority").alias("priority")).where("_id % 2 = 0")
+    attrs = orders.select(c("o_orderkey").alias("_id"), c("o_orderpriority").alias("priority"))
     return flood.join(attrs, c("row_id") == c("_id"), "left").select("row_id", "source", "priority")
 
 
@@ -540,10 +539,10 @@ def hit_density(runup, coast):
     return sequence.density(hits, sequence.stations(_lengths(coast), 50_000.0), 100_000.0).select("part_id", "i", r6(c("sum_weight")).alias("weight"))
 
 
-@query(f"WITH {SNAP} SELECT part_id, runup_id, r FROM (SELECT part_id, runup_id, CAST(row_number() OVER (PARTITION BY part_id ORDER BY d, runup_id) AS INT) AS r FROM snap) WHERE r <= 5", "fx_runup", "fx_coast_vertex")
+@query(f"WITH {SNAP} SELECT part_id, runup_id, r FROM (SELECT part_id, runup_id, CAST(row_number() OVER (PARTITION BY part_id ORDER BY round(d, 3), runup_id) AS INT) AS r FROM snap) WHERE r <= 50", "fx_runup", "fx_coast_vertex")
 def topk_nearest(runup, coast):
-    w = Window.partitionBy("part_id").orderBy("distance_m", "runup_id")
-    return TS.events_snapped(runup, coast).withColumn("r", F.row_number().over(w)).where("r <= 5").select("part_id", "runup_id", "r")
+    w = Window.partitionBy("part_id").orderBy(F.round("distance_m", 3), "runup_id")
+    return TS.events_snapped(runup, coast).withColumn("r", F.row_number().over(w)).where("r <= 50").select("part_id", "runup_id", "r")
 
 
 ENVELOPE = """d AS (SELECT x_m / 1000.0 AS d, runup_ht AS h, CAST(floor(x_m / 1000.0 / 250.0) AS INT) AS bin FROM fx_runup WHERE runup_ht > 0),
@@ -632,12 +631,12 @@ def method_hysteresis(track):
 
 @query("""WITH q AS (SELECT DISTINCT sid, CAST(sid % 90 + 10 AS DOUBLE) AS ne, CAST(sid % 70 + 20 AS DOUBLE) AS se, CAST(sid % 50 + 30 AS DOUBLE) AS sw, CAST(sid % 30 + 40 AS DOUBLE) AS nw FROM fx_track),
 r AS (SELECT sid, i, CASE WHEN i < 90 THEN (1 - t) * ne + t * se WHEN i < 180 THEN (1 - t) * se + t * sw WHEN i < 270 THEN (1 - t) * sw + t * nw ELSE (1 - t) * nw + t * ne END AS r FROM (SELECT *, (i % 90) / 89.0 AS t FROM (SELECT *, unnest(range(0, 360)) AS i FROM q)))
-SELECT a.sid, a.i, round((b.r + 2 * a.r + d.r) / 4, 6) AS r FROM r a JOIN r b ON a.sid = b.sid AND b.i = (a.i + 359) % 360 JOIN r d ON a.sid = d.sid AND d.i = (a.i + 1) % 360 WHERE a.i % 45 = 0""", "fx_track")
+SELECT a.sid, a.i, round((b.r + 2 * a.r + d.r) / 4, 6) AS r FROM r a JOIN r b ON a.sid = b.sid AND b.i = (a.i + 359) % 360 JOIN r d ON a.sid = d.sid AND d.i = (a.i + 1) % 360""", "fx_track")
 def radius_curve(track):
     s = c("sid")
     q = track.select("sid").distinct().select("sid", *((s % m + k).cast("double").alias(n) for n, m, k in (("ne", 90, 10), ("se", 70, 20), ("sw", 50, 30), ("nw", 30, 40))))
     curve = q.select("sid", F.posexplode(geo.radius_curve(c("ne"), c("se"), c("sw"), c("nw"))).alias("i", "r"))
-    return curve.where("i % 45 = 0").select("sid", c("i").cast("long").alias("i"), r6(c("r")).alias("r"))
+    return curve.select("sid", c("i").cast("long").alias("i"), r6(c("r")).alias("r"))
 
 
 # ----------------------------------------------------------------------------------------------------- quakes, floods, covers
@@ -689,10 +688,10 @@ def flood_merge(flood):
     return got.select("cluster", c("start_date").cast("string").alias("start_date"), c("end_date").cast("string").alias("end_date"), "primary_id", "primary_source", "sources", "n", r6(c("area_km2")).alias("area_km2"), r6(c("lat")).alias("lat"))
 
 
-@query(f"""WITH {NL}, pr AS (SELECT p.row_id, q.rec_id, {HAV} AS km FROM fx_flood p JOIN nl q ON p.start_date <= q.start_date + 14 AND coalesce(p.end_date, p.start_date) >= q.start_date - 14 WHERE q.hazard = 'flood' AND p.row_id % 16 = 0)
+@query(f"""WITH {NL}, pr AS (SELECT p.row_id, q.rec_id, {HAV} AS km FROM fx_flood p JOIN nl q ON p.start_date <= q.start_date + 14 AND coalesce(p.end_date, p.start_date) >= q.start_date - 14 WHERE q.hazard = 'flood')
 SELECT row_id, coalesce(arg_min(rec_id, struct_pack(k := km, r := rec_id)) FILTER (km IS NOT NULL), min(rec_id)) AS rec_id, round(min(km), 6) AS km FROM pr GROUP BY 1""", "fx_flood", "fx_loss")
 def flood_enrich_best(flood, loss):
-    got = FL.enriched(flood.where("row_id % 16 = 0"), A.loss_records(loss).where("hazard = 'flood'"))
+    got = FL.enriched(flood, A.loss_records(loss).where("hazard = 'flood'"))
     return got.select("row_id", "rec_id", r6(c("km")).alias("km"))
 
 
@@ -777,14 +776,14 @@ def datetime_profile(quake):
     return T.datetime_profile(rows, ["size", "seen", "revised"]).select("field", r6(c("rate")).alias("rate"), "chosen")
 
 
-@query(f"""WITH {SEG}, o AS (SELECT tsunami_event_id AS event_id, avg(x_m) + 0.5 AS ox, avg(y_m) + 0.5 AS oy FROM fx_runup GROUP BY 1), k AS (SELECT unnest(range(0, 24)) AS k),
-r AS (SELECT event_id, k, part_id, s0, len, x1 - ox AS ax, y1 - oy AS ay, x2 - x1 AS dx, y2 - y1 AS dy, cos(radians(k * 15.0)) AS cb, sin(radians(k * 15.0)) AS sb FROM o, seg, k),
+@query(f"""WITH {SEG}, o AS (SELECT tsunami_event_id AS event_id, avg(x_m) + 0.5 AS ox, avg(y_m) + 0.5 AS oy FROM fx_runup GROUP BY 1), k AS (SELECT unnest(range(0, 360)) AS k),
+r AS (SELECT event_id, k, part_id, s0, len, x1 - ox AS ax, y1 - oy AS ay, x2 - x1 AS dx, y2 - y1 AS dy, cos(radians(k * 1.0)) AS cb, sin(radians(k * 1.0)) AS sb FROM o, seg, k),
 h AS (SELECT *, (ax * dy - ay * dx) / (cb * dy - sb * dx) AS t, (ax * sb - ay * cb) / (cb * dy - sb * dx) AS u FROM r WHERE cb * dy - sb * dx <> 0)
-SELECT event_id, k * 15.0::DOUBLE AS bearing_deg, round(t, 2) AS range_m, part_id, round(s0 + u * len, 2) AS station_m FROM h WHERE u BETWEEN -1e-9 AND 1 + 1e-9 AND t BETWEEN 0 AND 3000000.0
+SELECT event_id, k * 1.0::DOUBLE AS bearing_deg, round(t, 2) AS range_m, part_id, round(s0 + u * len, 2) AS station_m FROM h WHERE u BETWEEN -1e-9 AND 1 + 1e-9 AND t BETWEEN 0 AND 3000000.0
 QUALIFY row_number() OVER (PARTITION BY event_id, k ORDER BY t, part_id, s0 + u * len) = 1""", "fx_runup", "fx_coast_vertex")
 def bearing_first_hit(runup, coast):
     origins = runup.groupBy(c("tsunami_event_id").alias("event_id")).agg((F.avg("x_m") + 0.5).alias("ox"), (F.avg("y_m") + 0.5).alias("oy"))
-    hits = joins.first_hits(origins, joins.segments(coast), 15.0)
+    hits = joins.first_hits(origins, joins.segments(coast))
     return hits.select("event_id", "bearing_deg", F.round("range_m", 2).alias("range_m"), "part_id", F.round("station_m", 2).alias("station_m"))
 
 

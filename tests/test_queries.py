@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from perilframe.plans import registry
@@ -16,7 +17,7 @@ def rows(df):
     df = df[sorted(df.columns)]
 
     def plain(x):
-        if x is None or x != x:
+        if pd.isna(x):
             return None
         return round(float(x), 6) + 0.0 if isinstance(x, (int, float)) or hasattr(x, "dtype") and x.dtype.kind in "iufb" else str(x)
 
