@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +44,14 @@ def pieces(texts: list, most_chars: int = 4_000_000):
         held += len(t)
     if start < len(texts):
         yield start, len(texts)
+
+
+def of_hashes(h: np.ndarray) -> int:
+    """The 64-bit SimHash of hashes (big-endian): a bit is 1 if it is in over half of them."""
+    n, set_bits = len(h), np.unpackbits(h.view(np.uint8)).reshape(-1, 64)
+    if n > 255:
+        head = set_bits[: n // 255 * 255].reshape(-1, 255, 64).sum(1, dtype=np.uint8)  # small sums stay in bytes
+        count = head.sum(0, dtype=np.int64) + set_bits[n // 255 * 255 :].sum(0, dtype=np.int64)
+    else:
+        count = set_bits.sum(0, dtype=np.int64)
+    return int.from_bytes(np.packbits(count * 2 > n).tobytes(), "big")

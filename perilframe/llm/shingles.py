@@ -3,8 +3,9 @@
 Prefix filter: in any one order of all shingles, two sets of similarity s share a shingle among the first
 n - ceil(s * n) + 1 of each. The order here is by count in a sample of the documents, then by hash, so that what many
 documents share comes last; a poor sample costs candidates, never links. A list holds the sets that have a shingle in
-their prefix. Members are first compared with one leader of the list; of the others only those pairs are left whose ends
-aren't in one component already, since only components are wanted. Every link is verified on whole texts.
+their prefix. Links that are known already (``simhash.near_duplicates`` finds most) leave only lists with several components:
+their members are first compared with one leader of the list, then those pairs are left whose ends still aren't in one
+component, since only components are wanted. Every link is verified on whole texts.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import mapped, slices, whole_text, written
+from perilframe.llm.common import mapped, of_hashes, slices, whole_text, written
 from perilframe.network import components
 
 WORDS, NUM, DEN = 5, 4, 5
@@ -49,12 +50,13 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, g, n, hub, tokens): hash of the text, hash and size of its shingle set, thousandths of common shingles, prefix."""
+    """(doc_id, th, g, fp, n, hub, tokens): hash of the text, hash, SimHash and size of its shingle set, thousandths of common
+    shingles, prefix."""
     common, counts = common_shingles(docs)
 
     def run(batches):
         for b in (s for batch in batches for s in slices(batch)):
-            g, size, hub, tokens = [], [], [], []
+            g, fp, size, hub, tokens = [], [], [], [], []
             for t in b.column(2).to_pylist():
                 h = shingle_set(t)
                 n, c = len(h), np.zeros(len(h), np.int64)
@@ -63,18 +65,19 @@ def prefixes(docs: DataFrame) -> DataFrame:
                     c = np.where(common[at] == h, counts[at], 0)
                 first = n - -(-NUM * n // DEN) + 1 if n else 0
                 g.append(xxhash.xxh64_intdigest(h.tobytes()))
+                fp.append(of_hashes(h.astype(">u8")) if n else 0)
                 size.append(n)
                 hub.append(int(1000 * (c > 0).mean()) if n else 0)
                 tokens.append(h[np.lexsort((h, c))][:first].view(np.int64))
             ends = np.cumsum([0, *map(len, tokens)], dtype=np.int32)
             flat = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(tokens)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(np.array(g, np.uint64).view(np.int64)), pa.array(size, pa.int32()), pa.array(hub, pa.int32()), flat],
-                names=["doc_id", "th", "g", "n", "hub", "tokens"],
+                [b.column(0), b.column(1), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (g, fp)), pa.array(size, pa.int32()), pa.array(hub, pa.int32()), flat],
+                names=["doc_id", "th", "g", "fp", "n", "hub", "tokens"],
             )
 
     text = whole_text()
-    return mapped(docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("th"), text.alias("text")), run, "doc_id long, th long, g long, n int, hub int, tokens array<long>")
+    return mapped(docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("th"), text.alias("text")), run, "doc_id long, th long, g long, fp long, n int, hub int, tokens array<long>")
 
 
 def _possible(x: str, y: str):
@@ -88,7 +91,7 @@ def _bucket(th: str):
     return F.pmod(F.col(th), F.lit(BUCKETS)).cast("int").alias("bucket")
 
 
-def _texts(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
+def texts_of(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """(g, text) for the sets in ``pairs``. Texts in no wanted bucket of hashes are left behind before the others are dealt out."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("g")).distinct()
     wanted = written(sets.select("g", "th").join(ids, "g"), "wanted")
@@ -115,41 +118,43 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return mapped(rows.select("a", "b", "ta", "tb"), run, "a long, b long")
 
 
-def clusters(docs: DataFrame) -> DataFrame:
+def completed(docs: DataFrame, base: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
     """(doc_id, th, cluster): for every row the hash of its text and the component that links of at least 4/5 reach.
 
-    Equal sets are one node. Texts without words are one cluster.
+    base, sets: from ``prefixes``, and its distinct sets; links (a, b): verified ones that are known. Equal sets are one node.
+    Texts without words are one cluster.
     """
-    base = written(prefixes(docs), "shingle-sets")
-    sets = written(base.select("g", "th", "n", "hub", "tokens").dropDuplicates(["g"]), "distinct-sets")
-    listed = sets.select("g", "n", "hub", F.posexplode("tokens").alias("pos", "token"))
     by = Window.partitionBy("token")
-    lead = F.min(F.struct((-F.col("hub")).alias("hub"), "g", "n", "pos")).over(by).alias("lead")
-    lists = written(listed.select("token", "g", "n", "pos", lead, F.count(F.lit(1)).over(by).alias("k")).where("k > 1"), "lists")
-    member = lists.where("g != lead.g").select(F.col("lead").alias("x"), F.struct("g", "n", "pos").alias("y"))
-    star = written(member.where(_possible("x", "y")).select(F.col("x.g").alias("a"), F.col("y.g").alias("b")).distinct(), "star")
-    links = written(verified(star, _texts(docs, sets, star)), "links")
-
-    part = components(links, "a", "b").select(F.col("node").alias("g"), "component")
-    rest = lists.select("token", "g", "n", "pos").join(part, "g", "left").withColumn("c", F.coalesce("component", "g"))
-    rest = rest.withColumn("open", F.min("c").over(by) != F.max("c").over(by)).where("open").select("token", "g", "n", "pos", "c")
-    rest = written(rest, "open-lists")
+
+    def open_lists(known: DataFrame, listed: DataFrame) -> DataFrame:
+        """Lists with members of several components, c being a member's component."""
+        part = components(known, "a", "b").select(F.col("node").alias("g"), "component")
+        rows = listed.join(part, "g", "left").withColumn("c", F.coalesce("component", "g")).drop("component")
+        return written(rows.withColumn("_open", F.min("c").over(by) != F.max("c").over(by)).where("_open").drop("_open"), "open-lists")
+
+    listed = open_lists(links, sets.select("g", "n", "hub", F.posexplode("tokens").alias("pos", "token")))
+    lead = F.min(F.struct((-F.col("hub")).alias("hub"), "g", "n", "pos", "c")).over(by).alias("x")
+    star = listed.select(lead, F.struct("g", "n", "pos", "c").alias("y")).where("x.c != y.c")
+    star = written(star.where(_possible("x", "y")).select(F.col("x.g").alias("a"), F.col("y.g").alias("b")).distinct(), "star")
+    links = written(links.union(verified(star, texts_of(docs, sets, star))), "links")
+
+    rest = open_lists(links, listed.select("token", "g", "n", "pos"))
     x, y = rest.alias("x"), rest.alias("y")
     found = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c")) & _possible("x", "y"))
     found = found.groupBy(F.col("x.g").alias("a"), F.col("y.g").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first("x.n").alias("na"), F.first("y.n").alias("nb"))
-    # of the one set whose prefix ends first, every shared shingle is counted or lies behind its prefix
+    # of the one set whose prefix ends first, every shared shingle of an open list is counted or lies behind its prefix
     behind = F.greatest(*(F.floor((F.col(n) * NUM + DEN - 1) / DEN) - 1 for n in ("na", "nb")))
     found = found.where((F.col("shared") + behind) * (NUM + DEN) >= (F.col("na") + F.col("nb")) * NUM).select("a", "b")
     tried = star.union(star.select("b", "a"))
     pairs = written(found.join(tried, ["a", "b"], "left_anti"), "open-pairs")
-    more = verified(pairs, _texts(docs, sets, pairs))
+    more = verified(pairs, texts_of(docs, sets, pairs))
     final = components(written(links.union(more), "links"), "a", "b").select(F.col("node").alias("g"), "component")
     return base.select("doc_id", "th", "g").join(final, "g", "left").select("doc_id", "th", F.coalesce("component", "g").alias("cluster"))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, clusters: DataFrame) -> DataFrame:
     """``docs`` with one document of each cluster: the one with the smallest doc_id. Of fully repeated rows one stays."""
-    rows = written(clusters(docs).groupBy("cluster", "doc_id", "th").agg(F.count(F.lit(1)).alias("n")), "clustered")
+    rows = written(clusters.groupBy("cluster", "doc_id", "th").agg(F.count(F.lit(1)).alias("n")), "clustered")
     first = rows.groupBy("cluster").agg(F.min(F.struct("doc_id", "th")).alias("first"))
     rows = rows.join(first, "cluster").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th")))
     rows = written(rows.select("doc_id", "th", "kept", "n"), "kept")

@@ -5,22 +5,33 @@ bytes, so they share at least 5 of the 8: the count filter. Lists of a single po
 fingerprints each, and their pairs grow with the square of the corpus. The filter itself gives finer lists that lose
 nothing: of 5 shared bytes at least 3 lie in one half of the fingerprint, so the index is kept on (half, three bytes of
 it), 8 postings a fingerprint. In a list that is still long, the same argument gives two more shared bytes among the
-other five, and the list is split by those (10 postings a member). Candidates of a list have their shared positional
-bytes tallied; pairs with 5 or more are verified on bits.
+other five, and the list is split by those (10 postings a member). What is left of a list then shares five bytes; if it
+is very long, a member meets others by equality only: its three free bytes, with up to three bits turned, are looked up.
+Candidates of a list have their shared positional bytes tallied; pairs with 5 or more are verified on bits (which implies
+the tally: it is the cheaper test before it).
+
+``near_duplicates`` is for corpora: SimHash of 5-word shingles finds most near copies and an exact check on shingle sets
+verifies them; as fingerprints of texts that are 4/5 alike can differ in more bits than any such index covers, the links
+that they miss are then found by prefixes of the sets (``shingles``).
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import mapped, slices, whole_text, written
+from perilframe.llm import shingles
+from perilframe.llm.common import mapped, of_hashes, slices, whole_text, written
 from perilframe.network import components
 
-BITS, LONG_LIST = 3, 64
+BITS, LONG_LIST, HUGE_LIST = 3, 64, 8192
+#: Three bytes with up to three bits set: what can differ between members of a list that share five bytes.
+TURNS = [sum(1 << b for b in bits) for n in range(4) for bits in combinations(range(24), n)]
 
 
 def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
@@ -30,15 +41,8 @@ def fingerprint(text: str, words: int = 3, seed: int = 42) -> int:
         return 0
     one = xxhash.xxh64_intdigest
     join = b" ".join
-    n = max(1, len(w) - words + 1)
     h = np.array([one(join(s), seed) for s in zip(*(w[i:] for i in range(words)))] or [one(join(w), seed)], ">u8")
-    set_bits = np.unpackbits(h.view(np.uint8)).reshape(-1, 64)
-    if n > 255:
-        head = set_bits[: n // 255 * 255].reshape(-1, 255, 64).sum(1, dtype=np.uint8)  # small sums stay in bytes
-        count = head.sum(0, dtype=np.int64) + set_bits[n // 255 * 255 :].sum(0, dtype=np.int64)
-    else:
-        count = set_bits.sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(count * 2 > n).tobytes(), "big")
+    return of_hashes(h)
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
@@ -72,14 +76,36 @@ def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
     sizes = listed.groupBy("key").count().where(F.col("count") > 1)
     listed = listed.join(sizes, "key")  # a list of one has no pair
     rest = F.col("rest")
-    finer = [F.lit(c << 16).bitwiseOR(F.shiftleft(_byte(rest, i), 8)).bitwiseOR(_byte(rest, j)) for c, (i, j) in enumerate((i, j) for i in range(5) for j in range(i + 1, 5))]
-    split = F.when(F.col("count") > LONG_LIST, F.array(*finer)).otherwise(F.array(F.lit(-1).cast("long")))
-    listed = listed.select("fp", "key", F.explode(split).alias("split"))
+
+    def split(c, i, j):
+        k, m, n = (x for x in range(5) if x not in (i, j))
+        shared = F.lit(c << 16).bitwiseOR(F.shiftleft(_byte(rest, i), 8)).bitwiseOR(_byte(rest, j))
+        free = F.shiftleft(_byte(rest, k), 16).bitwiseOR(F.shiftleft(_byte(rest, m), 8)).bitwiseOR(_byte(rest, n))
+        return F.struct(shared.alias("split"), free.alias("free"))
+
+    whole = F.array(F.struct(F.lit(-1).cast("long").alias("split"), F.lit(0).cast("long").alias("free")))
+    splits = F.array(*(split(c, i, j) for c, (i, j) in enumerate(combinations(range(5), 2))))
+    short = listed.where(F.col("count") <= LONG_LIST).select("fp", "key", F.inline(whole))
+    long = listed.where(F.col("count") > LONG_LIST).select("fp", "key", F.inline(splits))
+    huge = long.groupBy("key", "split").count().where(F.col("count") > HUGE_LIST).select("key", "split")
+    out = _within(short.unionByName(long.join(huge, ["key", "split"], "left_anti")), bits)
+    return out.unionByName(_turned(long.join(huge, ["key", "split"]), bits)).distinct()
+
+
+def _within(listed: DataFrame, bits: int) -> DataFrame:
+    """Links among the members of each list (key, split)."""
     x, y = listed.alias("x"), listed.alias("y")
     differ = F.col("x.fp").bitwiseXOR(F.col("y.fp"))
     tally = sum(((_byte(differ, i) == 0).cast("int") for i in range(8)), F.lit(0))
     found = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.split") == F.col("y.split")) & (F.col("x.fp") < F.col("y.fp")) & (tally >= 8 - bits) & (F.bit_count(differ) <= bits))
-    return found.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct()
+    return found.select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
+
+
+def _turned(listed: DataFrame, bits: int) -> DataFrame:
+    """The same by equality: every member looks up its free bytes with up to ``bits`` of their bits turned."""
+    turns = F.array(*(F.lit(t).cast("long") for t in TURNS if t.bit_count() <= bits))
+    looks = listed.select(F.col("fp").alias("a"), "key", "split", F.explode(F.transform(turns, lambda t: t.bitwiseXOR(F.col("free")))).alias("free"))
+    return looks.join(listed.withColumnRenamed("fp", "b"), ["key", "split", "free"]).where("a < b").select("a", "b")
 
 
 def clusters(docs: DataFrame, words: int = 3, bits: int = BITS) -> DataFrame:
@@ -108,3 +134,17 @@ def deduplicated(docs: DataFrame, words: int = 3, bits: int = BITS) -> DataFrame
     """``docs`` with one document of each component: the one with the smallest doc_id. Of fully repeated rows one stays."""
     first = clusters(docs, words, bits).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
     return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id", "text"])
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document, that of the smallest doc_id, of each component of links of 5-word Jaccard similarity of at
+    least 4/5, all of them found. Texts without words are one component; of fully repeated rows one stays; nulls count as empty."""
+    base = written(shingles.prefixes(docs), "shingle-sets")
+    sets = written(base.select("g", "fp", "th", "n", "hub", "tokens").dropDuplicates(["g"]), "distinct-sets")
+    groups = written(sets.groupBy("fp").agg(F.min("g").alias("rep")), "groups")
+    reps = groups.select(F.col("fp").alias("a"), F.col("rep").alias("u"))
+    pairs = links(groups.select("fp")).join(reps, "a").select("u", F.col("b").alias("a")).join(reps.withColumnRenamed("u", "v"), "a").select("u", "v")
+    same = sets.select("g", "fp").join(groups, "fp").where("g != rep").select(F.col("rep").alias("u"), F.col("g").alias("v"))
+    likely = written(pairs.unionByName(same).toDF("a", "b"), "simhash-pairs")
+    found = written(shingles.verified(likely, shingles.texts_of(docs, sets, likely)), "links")
+    return shingles.one_of_each(docs, shingles.completed(docs, base, sets, found))

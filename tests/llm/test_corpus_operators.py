@@ -231,7 +231,10 @@ def test_simhash_components(spark, docs, empty):
     assert kept.count() == len(set(label.values())) + 1 and kept.columns == docs.columns
 
 
-def test_index_loses_no_link_even_in_long_lists(spark):
+@pytest.mark.parametrize("long, huge", [(64, 8192), (8, 16)])
+def test_index_loses_no_link_even_in_long_lists(spark, monkeypatch, long, huge):
+    monkeypatch.setattr(simhash, "LONG_LIST", long)
+    monkeypatch.setattr(simhash, "HUGE_LIST", huge)
     rng = random.Random(3)
     base = rng.getrandbits(64)
     fps = {base ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(6))) for _ in range(300)} | {rng.getrandbits(64) for _ in range(200)}
