@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from perilframe.llm.common import mapped, pieces, whole_text, written
 
@@ -178,13 +179,13 @@ def fingerprinted(docs: DataFrame) -> DataFrame:
 def _described_ends(ends: DataFrame) -> DataFrame:
     """Describes the last row of each partition by the first row of the next partition that has rows.
 
-    Partitions are ranges of doc_id, so that is the least first row beyond the last one's id. The driver sees one id for
-    each partition, no text.
+    Partitions are ranges of doc_id, so in the order of ids each partition's first row and last row are followed by the next
+    one's; that order is a window over two numbers a partition, no text.
     """
     key = F.coalesce("doc_id", F.lit(-(2**63)).cast("long"))
-    starts = sorted(r[0] for r in ends.where("place = 'first'").select(key).collect()) or [0]
-    beyond = F.filter(F.array(*(F.lit(s).cast("long") for s in starts)), lambda s: s > key)
-    following = F.coalesce(F.try_element_at(beyond, F.lit(1)), F.lit(starts[0]).cast("long"))
-    last = ends.where("place = 'last'").select("doc_id", "text", following.alias("_next"))
+    order = Window.orderBy("_key", "place")  # ids of two rows a partition; "first" comes before "last"
+    ids = ends.select(key.alias("_key"), "place").withColumn("_next", F.coalesce(F.lead("_key").over(order), F.min("_key").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    ids = ids.where("place = 'last'").select("_key", "_next")
+    last = ends.where("place = 'last'").select(key.alias("_key"), "doc_id", "text").join(ids, "_key")
     first = ends.where("place = 'first'").select(key.alias("_next"), F.col("text").alias("following"))
     return mapped(last.join(first, "_next").select("doc_id", "text", "following"), _across, SCHEMA)
