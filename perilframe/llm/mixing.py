@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from perilframe.llm.common import whole_text
+from perilframe.llm.common import whole_text, written
 
 BLOCKS, SEED, STEPS = 256, "mix-1", 60
+#: A source's blocks are doubled until a block of an even hash has at most so many rows of the whole corpus.
+BLOCK_ROWS = 1 << 20
 #: Rows of the block schedule (a few numbers each) up to which it is broadcast; beyond, it joins by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -35,15 +37,18 @@ def tokens():
     return F.when(F.octet_length(t) == 0, F.lit(0)).otherwise(gaps + 1).cast("long")
 
 
-def _block():
-    return F.pmod(_hash(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(BLOCKS)).cast("int")
+def _block(blocks: int):
+    """A row's block by doc_id; rows without one by text."""
+    return F.pmod(_hash(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit(""))), F.lit(blocks)).cast("int")
 
 
 def weights(sizes: DataFrame, repetition_limit: float | None = 2.0, entropy: float | None = None, budget: int | None = None) -> DataFrame:
     """(source, source_tokens, weight, source_budget) from (source, source_tokens).
 
     The bisection runs in one row over the array of token counts: the sources of a mixture are a recipe, not data. Without a
-    ``budget`` the budget is the least that takes every document once. Sources without tokens have weight and budget 0.
+    ``budget`` the budget is the least that takes every document once. With one, the repetition limit holds for it: the exponent
+    is the largest at which the smallest source comes at most that often, and a budget beyond ``repetition_limit`` times all
+    tokens, which no exponent could keep, is cut to that. Sources without tokens have weight and budget 0.
     """
     some = sizes.where("source_tokens > 0")
     n = some.agg(F.sort_array(F.collect_list(F.col("source_tokens").cast("double"))).alias("n"))
@@ -54,13 +59,18 @@ def weights(sizes: DataFrame, repetition_limit: float | None = 2.0, entropy: flo
     def total(a):
         return F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
 
-    if entropy is not None:
-        def high(e):  # entropy falls as the exponent grows
+    most = total(F.col("n")) * repetition_limit if repetition_limit is not None else F.lit(None)
+    asked = None if budget is None else F.least(F.lit(float(budget)), most) if repetition_limit is not None else F.lit(float(budget))
+
+    def high(e):  # whether the exponent has to be larger
+        if entropy is not None:  # entropy falls as the exponent grows
             p = F.transform(shares(e), lambda x: x / total(shares(e)))
             return total(F.transform(p, lambda x: -x * F.log(x))) >= entropy
-    else:
-        def high(e):
+        if repetition_limit is None:
+            return F.lit(False)
+        if asked is None:
             return F.pow(F.array_min("n") / F.array_max("n"), e - 1) > repetition_limit
+        return asked * F.pow(F.array_min("n") / F.array_max("n"), e) / total(shares(e)) / F.array_min("n") > repetition_limit * (1 + 1e-9)
 
     start = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
 
@@ -69,11 +79,10 @@ def weights(sizes: DataFrame, repetition_limit: float | None = 2.0, entropy: flo
         return F.struct(F.when(high(mid), mid).otherwise(acc["lo"]).alias("lo"), F.when(high(mid), acc["hi"]).otherwise(mid).alias("hi"))
 
     found = n.select("n", F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), start, step)["hi"].alias("e"))
-    found = found.select("n", F.when(high(F.lit(1.0)), F.lit(1.0)).when(high(F.col("e")), F.col("e")).otherwise(F.col("e")).alias("e") if entropy is not None else "e")
-    found = found.select("e", F.array_max("n").alias("top"), total(shares(F.col("e"))).alias("norm"))
-    out = some.crossJoin(F.broadcast(found)).select("source", "source_tokens", (F.pow(F.col("source_tokens") / F.col("top"), F.col("e")) / F.col("norm")).alias("weight"), "norm", "top")
-    whole = F.col("norm") * F.col("top") if budget is None else F.lit(float(budget))  # the largest source once, others oftener
-    out = out.select(F.col("source").alias("_s"), "weight", F.floor(F.col("weight") * whole + 1e-6).alias("source_budget"))
+    whole = total(shares(F.col("e"))) * F.array_max("n") if asked is None else asked  # the largest source once, others oftener
+    found = found.select("e", F.array_max("n").alias("top"), total(shares(F.col("e"))).alias("norm"), whole.alias("whole"))
+    out = some.crossJoin(F.broadcast(found)).select("source", "source_tokens", (F.pow(F.col("source_tokens") / F.col("top"), F.col("e")) / F.col("norm")).alias("weight"), "whole")
+    out = out.select(F.col("source").alias("_s"), "weight", F.floor(F.col("weight") * F.col("whole") + 1e-6).alias("source_budget"))
     zero = F.coalesce("weight", F.lit(0.0)).alias("weight"), F.coalesce("source_budget", F.lit(0)).cast("long").alias("source_budget")
     return sizes.join(out, F.col("source").eqNullSafe(F.col("_s")), "left").select("source", "source_tokens", *zero)
 
@@ -82,7 +91,7 @@ def schedule(blocks: DataFrame, weight: DataFrame) -> DataFrame:
     """(source, block, pass, place, start, whole, left) of every block and pass.
 
     place: the block's rank in the pass's order; start: the source's tokens before it; whole: it fits the budget; left:
-    tokens that the budget leaves it. ``blocks`` holds at most BLOCKS rows a source.
+    tokens that the budget leaves it.
     """
     passes = F.explode(F.sequence(F.lit(0), F.coalesce(F.greatest(F.ceil(F.col("source_budget") / F.nullif("source_tokens", F.lit(0))) - 1, F.lit(0)), F.lit(0)).cast("int")))
     rows = blocks.join(weight, F.col("source").eqNullSafe(F.col("_source"))).withColumn("pass", passes)
@@ -100,12 +109,15 @@ def mixed(docs: DataFrame, keep: list[str] | None = None, repetition_limit: floa
     has the target weights at every stretch. A null source is a source of its own, a null text has no tokens, a null doc_id
     hashes as empty. Documents without tokens go with their block. Repeated rows are placed as often as they come.
     """
-    keep = keep or ["doc_id", "source"]
+    keep, n_blocks, n_rows = keep or ["doc_id", "source"], BLOCKS, docs.count()  # of a Parquet table, read from its footers
+    while n_rows > n_blocks * BLOCK_ROWS:
+        n_blocks *= 2
     at = {c: f"_k{i}" for i, c in enumerate(keep)}
-    rows = docs.select(*(F.col(c).alias(a) for c, a in at.items()), F.col("source"), F.col("doc_id"), tokens().alias("mix_tokens"), _block().alias("block"))
-    blocks = docs.select("source", _block().alias("block"), tokens().alias("n")).groupBy("source", "block").agg(F.sum("n").alias("block_tokens"))
+    rows = docs.select(*(F.col(c).alias(a) for c, a in at.items()), F.col("source"), F.col("doc_id"), tokens().alias("mix_tokens"), _block(n_blocks).alias("block"))
+    blocks = docs.select("source", _block(n_blocks).alias("block"), tokens().alias("n")).groupBy("source", "block").agg(F.sum("n").alias("block_tokens"))
     sizes = blocks.groupBy("source").agg(F.sum("block_tokens").alias("source_tokens"))
-    plan = schedule(blocks, weights(sizes, repetition_limit, entropy, budget).withColumnRenamed("source", "_source")).cache()
+    plan = schedule(blocks, weights(sizes, repetition_limit, entropy, budget).withColumnRenamed("source", "_source"))
+    plan = written(plan, "mix-plan")
     side = F.broadcast(plan) if plan.count() <= BROADCAST_ROWS else plan
     placed = rows.join(side, F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block")))
     out = [*(F.col(a).alias(c) for c, a in at.items()), "mix_tokens", F.col("pass").alias("mix_pass"), F.col("block").alias("mix_block"), F.coalesce(F.col("start") / F.nullif("source_budget", F.lit(0)), F.lit(0.0)).alias("mix_place")]
@@ -125,22 +137,22 @@ def digest(docs: DataFrame) -> DataFrame:
 SQL = """
 WITH RECURSIVE t AS (
   SELECT doc_id, source, CASE WHEN length(w) = 0 THEN 0 ELSE length(w) - length(replace(w, ' ', '')) + 1 END AS n,
-         ('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT % 256 AS block
-  FROM (SELECT doc_id, source, trim(translate(coalesce(text, ''), chr(10) || chr(13) || chr(9), '   '), ' ') AS w FROM documents)),
+         ('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 13))::BIGINT % 256 AS block
+  FROM (SELECT doc_id, source, text, trim(translate(coalesce(text, ''), chr(10) || chr(13) || chr(9), '   '), ' ') AS w FROM documents)),
 b AS (SELECT source, block, CAST(sum(n) AS BIGINT) AS bt FROM t GROUP BY 1, 2),
-s AS (SELECT source, CAST(sum(bt) AS BIGINT) AS st FROM b GROUP BY 1 HAVING sum(bt) > 0),
+sz AS (SELECT source, CAST(sum(bt) AS BIGINT) AS st FROM b GROUP BY 1), s AS (SELECT * FROM sz WHERE st > 0),
 ends AS (SELECT CAST(min(st) AS DOUBLE) AS least, CAST(max(st) AS DOUBLE) AS top FROM s),
 bisect AS (SELECT 0 AS i, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi
   UNION ALL SELECT i + 1, CASE WHEN pow(least / top, (lo + hi) / 2 - 1) > 2.0 THEN (lo + hi) / 2 ELSE lo END,
                    CASE WHEN pow(least / top, (lo + hi) / 2 - 1) > 2.0 THEN hi ELSE (lo + hi) / 2 END FROM bisect, ends WHERE i < 60),
 e AS (SELECT hi AS e, top FROM bisect, ends WHERE i = 60),
 norm AS (SELECT sum(pow(st / top, e)) AS norm FROM s, e),
-w AS (SELECT source, st, CAST(floor(pow(st / top, e) / norm * (norm * top) + 1e-6) AS BIGINT) AS budget FROM s, e, norm),
-p AS (SELECT b.source, b.block, bt, st, budget, unnest(range(0, greatest(CAST(ceil(budget / st) AS BIGINT), 1))) AS pass FROM b JOIN w ON b.source IS NOT DISTINCT FROM w.source),
+w AS (SELECT source, st, CAST(floor(pow(st / top, e) / norm * (norm * top) + 1e-6) AS BIGINT) AS budget FROM s, e, norm UNION ALL SELECT source, st, 0 FROM sz WHERE st = 0),
+p AS (SELECT b.source, b.block, bt, st, budget, unnest(range(0, CASE WHEN st = 0 THEN 1 ELSE greatest(CAST(ceil(budget / st) AS BIGINT), 1) END)) AS pass FROM b JOIN w ON b.source IS NOT DISTINCT FROM w.source),
 o AS (SELECT *, sum(bt) OVER (PARTITION BY source, pass ORDER BY ('0x' || substr(md5('mix-1:' || coalesce(source, '') || ':' || pass || ':' || block), 1, 13))::BIGINT, block ROWS UNBOUNDED PRECEDING) AS run FROM p),
 k AS (SELECT *, pass * st + run - bt AS start, budget - (pass * st + run - bt) AS rest FROM o),
 j AS (SELECT t.doc_id, t.source, t.n, k.block, k.pass, k.start, k.rest, k.bt, k.budget,
   sum(t.n) OVER (PARTITION BY t.source, k.block, k.pass ORDER BY ('0x' || substr(md5('mix-1:doc:' || coalesce(CAST(t.doc_id AS VARCHAR), '')), 1, 13))::BIGINT, t.doc_id NULLS FIRST, t.n ROWS UNBOUNDED PRECEDING) AS run
   FROM t JOIN k ON t.source IS NOT DISTINCT FROM k.source AND t.block = k.block WHERE rest > 0 OR (bt = 0 AND rest >= 0))
-SELECT doc_id, source, CAST(n AS BIGINT) AS mix_tokens, pass AS mix_pass, block AS mix_block, round(CAST(start AS DOUBLE) / budget, 6) AS mix_place FROM j WHERE rest >= bt OR run <= rest
+SELECT doc_id, source, CAST(n AS BIGINT) AS mix_tokens, pass AS mix_pass, block AS mix_block, CASE WHEN budget = 0 THEN 0.0 ELSE round(CAST(start AS DOUBLE) / budget, 6) END AS mix_place FROM j WHERE rest >= bt OR run <= rest
 """

@@ -5,6 +5,7 @@ import os
 import random
 import re
 import time
+import zlib
 
 import numpy as np
 import pytest
@@ -376,7 +377,59 @@ def test_mixing_and_sharding(spark, docs, empty):
     assert len(out) == 3001 and max(load) - min(load) < 200
     for k in range(8):
         assert sorted(r["slot"] for r in out if r["shard"] == k) == list(range(sum(r["shard"] == k for r in out)))
-    sizes = sharding.first_map(sharding.slot_sizes(made))
-    old = {r.virtual_slot: r.shard for r in sizes.collect()}
-    new = {r.virtual_slot: r.shard for r in sharding.grown_map(sizes).collect()}
-    assert old.keys() == new.keys() and {new[s] for s in old if new[s] != old[s]} == {8} and sharding.digest(empty).count() == 0
+
+
+def test_mixing_keeps_limits_and_matches_sql(spark, empty):
+    import duckdb
+
+    rows = [(i, "w " * (1 + i % 9), "en", ["big", "mid", "small"][0 if i % 10 else 1 if i % 50 else 2], 1) for i in range(2000)] + [(9000, "", "en", "blank", 0), (9001, None, "en", None, 0), (None, "x y", "en", "big", 1), (None, "z", "en", "big", 1)]
+    made = spark.createDataFrame(rows, DOCS)
+    documents = made.toPandas().astype({"doc_id": "Int64"})  # noqa: F841
+    want = sorted((tuple(None if v is None else round(v, 6) if isinstance(v, float) else v for v in r) for r in duckdb.sql(f"SELECT doc_id, source, mix_tokens, mix_pass, mix_block, mix_place FROM ({mixing.SQL})").fetchall()), key=repr)
+    assert sorted((tuple(r) for r in mixing.digest(made.withColumn("block", F.lit("clash")).withColumn("pass", F.lit(1))).collect()), key=repr) == want
+    sizes = made.groupBy("source").agg(F.sum(mixing.tokens()).alias("source_tokens"))
+    have = {r.source: r.source_tokens for r in sizes.collect()}
+    some = {k: v for k, v in have.items() if v}
+    for budget in (2000, sum(have.values()), 3 * sum(have.values())):
+        got = {r.source: r for r in mixing.weights(sizes, 2.0, None, budget).collect()}
+        assert max(got[s].source_budget / n for s, n in some.items()) <= 2.0 + 1e-6 and got["blank"].source_budget == 0
+        assert sum(r.source_budget for r in got.values()) >= min(budget, 2 * sum(have.values())) - 4
+    got = {r.source: r.weight for r in mixing.weights(sizes, None, 1.0).collect()}
+    assert abs(-sum(w * np.log(w) for w in got.values() if w) - 1.0) < 1e-6
+    assert mixing.weights(sizes, None).count() == 5 and mixing.mixed(empty).count() == 0
+
+
+def test_sharding_by_brute_force(spark, empty, monkeypatch, tmp_path):
+    """The map dealt in plain Python, a copy that comes by the thousand, clashing columns, and the versions of the map."""
+    monkeypatch.setattr(sharding, "COPIES", 100)
+    rows = [(i, "w " * (1 + i % 50), "en", "s", 1) for i in range(3000)] + [(None, "hot", None, None, None)] * 1500 + [(5, None, None, None, None)] * 3
+    made = spark.createDataFrame(rows, DOCS).withColumn("copy", F.lit("clash")).withColumn("shard", F.lit("clash"))
+    out = sharding.digest(made, f"{tmp_path}/map").collect()
+    assert sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["size"], r["text_crc32"]) for r in out) == sorted((i if i is not None else -1, len(t or "") + 1, zlib.crc32((t or "").encode())) for i, t, *_ in rows)
+    slots, load = {}, [0] * 8
+    for r in out:
+        slots.setdefault(r["virtual_slot"], []).append(r)
+    shard = {}
+    for v in sorted(slots, key=lambda v: (-sum(r["size"] for r in slots[v]), v)):
+        shard[v] = min(range(8), key=lambda k: (load[k], k))
+        load[shard[v]] += sum(r["size"] for r in slots[v])
+    assert all(r["shard"] == shard[r["virtual_slot"]] for r in out) and max(load) - min(load) < 200
+    for k in range(8):
+        assert sorted(r["slot"] for r in out if r["shard"] == k) == list(range(sum(r["shard"] == k for r in out)))
+    hot = [sum(r["shard"] == k for r in out if r["doc_id"] is None) for k in range(8)]
+    assert min(hot) > 100
+
+    first = sharding.latest_map(spark, f"{tmp_path}/map")
+    old = {r.virtual_slot: r.shard for r in first.collect()}
+    assert old == shard and {r.version for r in first.collect()} == {1}
+    grown = {r.virtual_slot: r.shard for r in sharding.saved_map(sharding.grown_map(first), f"{tmp_path}/map").collect()}
+    assert old.keys() == grown.keys() and {grown[s] for s in old if grown[s] != old[s]} == {8}
+    again = sharding.slot_sizes(sharding.records(made.where("doc_id % 3 > 0 OR doc_id IS NULL").unionByName(made.where("doc_id < 900"))))
+    latest = sharding.latest_map(spark, f"{tmp_path}/map")
+    third = sharding.saved_map(sharding.rebalanced_map(latest, again), f"{tmp_path}/map").collect()
+    size = {r.virtual_slot: r.bytes for r in again.collect()}
+    total = [sum(size[r.virtual_slot] for r in third if r.shard == k) for k in range(9)]
+    before = [sum(b for v, b in size.items() if grown.get(v) == k) for k in range(9)]
+    assert {r.version for r in third} == {3} and {r.virtual_slot for r in third} == set(size) and max(total) - min(total) < max(200, (max(before) - min(before)) / 4)
+    assert sum(r.shard != grown.get(r.virtual_slot) for r in third) < len(third) / 2
+    assert sharding.digest(empty).count() == 0
