@@ -169,6 +169,16 @@ def runup_length_km(h: Column, least: float = 4.0, most: float = 60.0, factor: f
     return F.when(h > 0, grown).otherwise(F.lit(least))
 
 
+def inland_km(h: Column, least: float = 0.1, most: float = 12.0, factor: float = 1.0, exponent: float = 1.0) -> Column:
+    """How far inland a run-up height in metres reaches, a clamped power law; heights below 0 and nulls count as 0."""
+    return F.greatest(F.lit(least), F.least(F.lit(most), factor * F.pow(F.greatest(F.coalesce(h, F.lit(0.0)), F.lit(0.0)), F.lit(exponent))))
+
+
+def code_list(x: Column, separator: str = ";") -> Column:
+    """The distinct trimmed codes of a list in one string, in order; blanks are none."""
+    return F.array_sort(F.array_distinct(F.filter(F.transform(F.split(F.coalesce(x, F.lit("")), separator), lambda v: F.trim(v)), lambda v: v != "")))
+
+
 def decay_weight(d_km: Column, r0_km: Column | float) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.exp(-d_km / (F.lit(r0_km) if isinstance(r0_km, float) else r0_km))))
 

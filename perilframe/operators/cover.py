@@ -32,3 +32,17 @@ def clip(cover: DataFrame, mask: DataFrame) -> DataFrame:
 def minus(cover: DataFrame, mask: DataFrame) -> DataFrame:
     """Cells that the mask doesn't have."""
     return cover.join(mask.select("cx", "cy").distinct(), ["cx", "cy"], "left_anti")
+
+
+def line_cover(segs: DataFrame, width_m: float, res_m: float, keep: list[str]) -> DataFrame:
+    """Cells (cx, cy) whose centre lies within ``width_m`` of a segment (x1, y1, x2, y2), once for each ``keep``."""
+    low = lambda v: F.ceil((v - width_m) / res_m - 0.5).cast("long")
+    high = lambda v: F.floor((v + width_m) / res_m - 0.5).cast("long")
+    rows = segs.withColumn("cy", F.explode(F.sequence(low(F.least("y1", "y2")), high(F.greatest("y1", "y2")))))
+    rows = rows.withColumn("cx", F.explode(F.sequence(low(F.least("x1", "x2")), high(F.greatest("x1", "x2")))))
+    px, py = (F.col("cx") + 0.5) * res_m, (F.col("cy") + 0.5) * res_m
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    t = F.coalesce(((px - F.col("x1")) * dx + (py - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0))
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
+    near = F.hypot(px - F.col("x1") - t * dx, py - F.col("y1") - t * dy) <= width_m
+    return union(rows.where(near), keep)

@@ -34,9 +34,15 @@ def merge_intervals_variable(df: DataFrame, keys: list[str], base_km: float = 20
     return rows.select(*keys, F.inline(F.aggregate(F.slice("v", 2, F.greatest(F.size("v") - 1, F.lit(0))), F.slice("v", 1, 1), fold)))
 
 
-def gaps(merged: DataFrame, keys: list[str]) -> DataFrame:
-    """Gaps (g0, g1) between a key's disjoint intervals (s0, s1)."""
+def gaps(merged: DataFrame, keys: list[str], lengths: DataFrame | None = None) -> DataFrame:
+    """Gaps (g0, g1) between a key's disjoint intervals (s0, s1); with lengths (part_id, length_m) also a part's head and tail."""
     w = Window.partitionBy(*keys).orderBy("s0")
+    if lengths is not None:  # ends without extent stand before the first interval and behind the last
+        keyed = merged.select(*keys).distinct().join(lengths, "part_id")
+        ends = keyed.select(*keys, F.inline(F.array(F.struct(F.lit(0.0).alias("s0"), F.lit(0.0).alias("s1")), F.struct(F.col("length_m").alias("s0"), F.col("length_m").alias("s1")))))
+        w = Window.partitionBy(*keys).orderBy("s0", "s1")
+        rows = merged.select(*keys, "s0", "s1").unionByName(ends).withColumn("g0", F.max("s1").over(w)).withColumn("g1", F.lead("s0").over(w))
+        return rows.where("g1 > g0").select(*keys, "g0", "g1")
     return merged.withColumn("g1", F.lead("s0").over(w)).where("g1 IS NOT NULL").select(*keys, F.col("s1").alias("g0"), "g1")
 
 
@@ -110,18 +116,20 @@ def cut(segs: DataFrame, intervals: DataFrame) -> DataFrame:
     return rows.select("part_id", "i0", "i1", "seq", a.alias("from_m"), b.alias("to_m"), at("x", a).alias("xa"), at("y", a).alias("ya"), at("x", b).alias("xb"), at("y", b).alias("yb"))
 
 
-def stations(lengths: DataFrame, step_m: float) -> DataFrame:
-    """Evenly spaced stations of parts (part_id, length_m), both ends included: part_id, i, station_m."""
-    rows = lengths.withColumn("_n", F.greatest(F.lit(2), F.ceil(F.col("length_m") / step_m).cast("int"))).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+def stations(lengths: DataFrame, step_m: float, up: bool = True) -> DataFrame:
+    """Evenly spaced stations of parts (part_id, length_m), both ends included: part_id, i, station_m. Their number is the
+    length over the step, rounded up or down, and two at least."""
+    n = (F.ceil if up else F.floor)(F.col("length_m") / step_m).cast("int")
+    rows = lengths.withColumn("_n", F.greatest(F.lit(2), n)).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
     return rows.select("part_id", "i", (F.col("i") * F.col("length_m") / (F.col("_n") - 1)).alias("station_m"))
 
 
-def density(hits: DataFrame, samples: DataFrame, window_m: float) -> DataFrame:
-    """Samples (part_id, i, station_m) with the weight of hits (part_id, station_m, weight) within half a window either way."""
-    rows = samples.withColumn("weight", F.lit(0.0)).withColumn("_kind", F.lit(1)).unionByName(hits.select("part_id", "station_m", "weight", F.lit(0).alias("_kind")), allowMissingColumns=True)
+def density(hits: DataFrame, samples: DataFrame, window_m: float, keys: tuple[str, ...] = ("part_id",)) -> DataFrame:
+    """Samples (keys, i, station_m) with the weight of their keys' hits (keys, station_m, weight) within half a window either way."""
+    rows = samples.withColumn("weight", F.lit(0.0)).withColumn("_kind", F.lit(1)).unionByName(hits.select(*keys, "station_m", "weight", F.lit(0).alias("_kind")), allowMissingColumns=True)
     half = float(window_m) / 2
-    near = F.expr(f"sum(weight) OVER (PARTITION BY part_id ORDER BY station_m RANGE BETWEEN {half}D PRECEDING AND {half}D FOLLOWING)")
-    return rows.withColumn("sum_weight", near).where("_kind = 1").select("part_id", "i", "station_m", "sum_weight")
+    near = F.expr(f"sum(weight) OVER (PARTITION BY {', '.join(keys)} ORDER BY station_m RANGE BETWEEN {half}D PRECEDING AND {half}D FOLLOWING)")
+    return rows.withColumn("sum_weight", near).where("_kind = 1").select(*keys, "i", "station_m", "sum_weight")
 
 
 def hysteresis(df: DataFrame, key: str, order: list[str], margin: float = 0.08) -> DataFrame:

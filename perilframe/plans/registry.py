@@ -821,3 +821,6 @@ def coast_distance(coast):
 @query(None, "fx_track")
 def track_hull(track):
     return ST.track_hull(ST.steps(track).select("sid", c("lon").alias("x"), c("lat").alias("y")))
+
+
+from perilframe.plans import layer_queries  # noqa: E402,F401  its queries register themselves

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perilframe.functions import scalars as S
-from perilframe.operators import joins, sequence
+from perilframe.io import shared_dir
+from perilframe.operators import cover, joins, sequence
 
 
 def runup_envelope(runups: DataFrame, bin_km: float = 250.0, q: float = 0.9, least_n: int = 10) -> DataFrame:
@@ -90,3 +93,95 @@ def cross_part_pairs(segments: DataFrame, segs: DataFrame, max_m: float) -> Data
     left = at.where("side = 'l'").select("event_id", F.col("part_id").alias("left_part"), F.col("station_m").alias("left_s"), F.col("x").alias("x2"), F.col("y").alias("y2"))
     pairs = joins.near_pairs(right, left, max_m, F.col("right_part") != F.col("left_part"), ["event_id"])
     return pairs.select("event_id", "right_part", "right_s", "left_part", "left_s", "distance_m")
+
+
+def inland_cover(segments: DataFrame, snapped: DataFrame, segs: DataFrame, res_m: float, step_m: float = 250.0, land: DataFrame | None = None) -> DataFrame:
+    """(event_id, cx, cy): cells within reach inland of an event's segments, by the nearest run-up height along the part.
+
+    segments: event_id, part_id, s0, s1, sampled every ``step_m`` at most; snapped: event_id, part_id, station_m, h; land: cx, cy.
+    """
+    length = F.col("s1") - F.col("s0")
+    rows = segments.where("s1 > s0").select("event_id", "part_id", "s0", "s1").withColumn("_n", F.greatest(F.lit(2), F.ceil(length / step_m).cast("int")))
+    rows = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).select("event_id", "part_id", (F.col("s0") + F.col("i") * length / (F.col("_n") - 1)).alias("station_m")).distinct()
+    heights = joins.asof_nearest(rows, snapped.select("event_id", "part_id", "station_m", "h"), ["event_id", "part_id"], "station_m", "h")
+    discs = sequence.located(segs, heights).select("event_id", "x", "y", (S.inland_km(F.col("h")) * 1000.0).alias("r_m"))
+    out = cover.union(cover.disc_cover(discs, res_m, ["event_id"]), ["event_id"])
+    return out if land is None else cover.clip(out, land)
+
+
+def hit_segments(hits: DataFrame, lengths: DataFrame, expand_km: float = 125.0, base_km: float = 20.0, per_1000_km: float = 40.0) -> DataFrame:
+    """(event_id, part_id, s0, s1): alongshore intervals about ray hits, merged by a gap that grows with their range, within the part.
+
+    hits: event_id, part_id, station_m, range_m; lengths: part_id, length_m.
+    """
+    half = expand_km * 500.0
+    rows = hits.select("event_id", "part_id", (F.col("station_m") - half).alias("s0"), (F.col("station_m") + half).alias("s1"), (F.col("range_m") / 1000.0).alias("range_km"))
+    merged = sequence.merge_intervals_variable(rows, ["event_id", "part_id"], base_km, per_1000_km).join(lengths, "part_id")
+    merged = merged.select("event_id", "part_id", F.greatest(F.lit(0.0), "s0").alias("s0"), F.least("length_m", "s1").alias("s1"))
+    return merged.where("s1 > s0")
+
+
+def hit_density_cover(hits: DataFrame, segs: DataFrame, lengths: DataFrame, res_m: float, window_km: float = 1000.0, k: float = 0.02, least_km: float = 0.1, cap_km: float = 1.0, step_m: float = 250.0, land: DataFrame | None = None) -> DataFrame:
+    """(event_id, cx, cy): cells within reach of the parts that an event's rays hit, the reach in proportion to the hits' weight
+    in a window along the coast. hits: event_id, part_id, station_m, weight."""
+    samples = hits.select("event_id", "part_id").distinct().join(sequence.stations(lengths, step_m, up=False), "part_id")
+    dense = sequence.density(hits, samples, window_km * 1000.0, ("event_id", "part_id"))
+    reach = F.greatest(F.lit(least_km), F.least(F.lit(cap_km), k * F.col("sum_weight") / max(1.0, window_km)))
+    discs = sequence.located(segs, dense.select("event_id", "part_id", "station_m", (reach * 1000.0).alias("r_m")))
+    out = cover.union(cover.disc_cover(discs, res_m, ["event_id"]), ["event_id"])
+    return out if land is None else cover.clip(out, land)
+
+
+def buffer_on_land(lines: DataFrame, res_m: float, width_m: float = 1000.0, land: DataFrame | None = None, coast: DataFrame | None = None, coast_km: float | None = None) -> DataFrame:
+    """(event_id, cx, cy): cells within ``width_m`` of an event's lines, on land. lines: event_id, x1, y1, x2, y2.
+
+    Without a land mask, land is what lies within ``coast_km`` of the ``coast`` segments; without either, everything is.
+    """
+    out = cover.line_cover(lines, width_m, res_m, ["event_id"])
+    if land is None and coast is not None and coast_km is not None:
+        land = cover.line_cover(coast, coast_km * 1000.0, res_m, [])
+    return out if land is None else cover.clip(out, land)
+
+
+def lines_of(segments: DataFrame, segs: DataFrame) -> DataFrame:
+    """(event_id, x1, y1, x2, y2): the pieces of coast under an event's segments."""
+    cuts = sequence.cut(segs, segments.select("part_id", "s0", "s1").distinct())
+    both = segments.select("event_id", F.col("part_id").alias("_p"), "s0", "s1").join(cuts, (F.col("_p") == F.col("part_id")) & (F.col("s0") == F.col("i0")) & (F.col("s1") == F.col("i1")))
+    return both.where("to_m > from_m").select("event_id", F.col("xa").alias("x1"), F.col("ya").alias("y1"), F.col("xb").alias("x2"), F.col("yb").alias("y2"))
+
+
+def layers(runups: DataFrame, vertices: DataFrame, res_m: float = 2000.0, max_snap_m: float = 25_000.0, step_deg: float = 1.0, sample_m: float = 250.0, conservative_km: float = 12.0, land: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The layers of all tsunami events in one pass, ``event_id`` in each: origin, snapped and rejected run-ups, their segments
+    and infill, ray hits and their segments, impact covers of both, their union, and a conservative cover about all segments.
+
+    The decay length is fitted on all events' run-ups; an event's origin is the mean of its run-ups.
+    """
+    segs = joins.segments(vertices)
+    lengths = segs.groupBy("part_id").agg(F.sum("length").alias("length_m"))
+    snapped = events_snapped(runups, vertices, max_snap_m)
+    origin = runups.groupBy(F.col("tsunami_event_id").alias("event_id")).agg((F.avg("x_m") + 0.5).alias("ox"), (F.avg("y_m") + 0.5).alias("oy"))
+    far = runups.join(origin, F.col("tsunami_event_id") == F.col("event_id")).select((F.hypot(F.col("x_m") - F.col("ox"), F.col("y_m") - F.col("oy")) / 1000.0).alias("d_km"), F.col("runup_ht").alias("h"))
+    fit = decay_fit(runup_envelope(far))
+    search = fit.first()["search_km"]  # one row
+    base = runup_segments(snapped, lengths)
+    infill = infill_rulebased(base).where("reason = 'bridged'").select("event_id", "part_id", F.col("g0").alias("s0"), F.col("g1").alias("s1"))
+    hits = joins.first_hits(origin, segs, step_deg, search * 1000.0)
+    weighted = hits.crossJoin(F.broadcast(fit.select("r0_km"))).withColumn("weight", S.decay_weight(F.col("range_m") / 1000.0, F.col("r0_km")))
+    every = base.select("event_id", "part_id", "s0", "s1").unionByName(infill)
+    ray_segments = hit_segments(hits, lengths)
+    impact, ray_impact = inland_cover(every, snapped, segs, res_m, sample_m, land), hit_density_cover(weighted, segs, lengths, res_m, step_m=sample_m, land=land)
+    both = base.select("event_id", "part_id", "s0", "s1").unionByName(ray_segments)
+    return {
+        "origin": origin, "runups_snapped": snapped, "runups_rejected": runups.join(snapped.select("runup_id"), "runup_id", "left_anti"),
+        "runups_segments": base, "runups_infill": infill, "runups_impact": impact, "rays_hits": hits, "rays_segments": ray_segments, "rays_impact": ray_impact,
+        "merged_impact": cover.union(impact.unionByName(ray_impact), ["event_id"]), "merged_conservative": buffer_on_land(lines_of(both, segs), res_m, conservative_km * 1000.0, land),
+    }
+
+
+def written_layers(found: dict[str, DataFrame], path: str | None = None) -> dict[str, DataFrame]:
+    """Each layer as a Parquet folder of its name under ``path`` (a new one of the shared folder), read back."""
+    spark = next(iter(found.values())).sparkSession
+    path = path or f"{shared_dir(spark)}/tsunami-{uuid.uuid4().hex}"
+    for name, df in found.items():
+        df.write.parquet(f"{path}/{name}")
+    return {name: spark.read.schema(df.schema).parquet(f"{path}/{name}") for name, df in found.items()}
