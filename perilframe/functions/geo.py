@@ -125,27 +125,64 @@ def ellipse_ring(lat, lon, a_km, b_km, strike_deg, points: int = 72) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(points)), at)
 
 
-def radius_curve(ne, se, sw, nw, points: int = 360) -> Column:
-    """Radii by whole degree: linear between quadrants, a missing end as the other one, then smoothed (1/4, 1/2, 1/4) round the circle."""
-    quads, q = [(ne, se), (se, sw), (sw, nw), (nw, ne)], points // 4
+def quadrant_radius(i: Column, ne, se, sw, nw, points: int = 360) -> Column:
+    """The radius at whole degree ``i``: linear between quadrants, a missing end as the other one, not smoothed."""
+    q, out = points // 4, F
+    t = (i % q) / float(q - 1)
+    for k, (a, b) in enumerate([(ne, se), (se, sw), (sw, nw), (nw, ne)]):
+        a, b = F.coalesce(a, b), F.coalesce(b, a)
+        out = out.when(F.floor(i / q) == k, (1 - t) * a + t * b)
+    return out
+
+
+def smoothed_radius(a, b, c) -> Column:
+    """Weights 1/4, 1/2, 1/4 of three neighbours; a missing side counts as the middle, a missing middle as the mean of the sides."""
+    a, c = F.coalesce(a, b), F.coalesce(c, b)
+    return (a + 2 * F.coalesce(b, (a + c) * 0.5) + c) / 4.0
+
 
-    def raw(i):
-        t = (i % q) / float(q - 1)
-        out = F
-        for k, (a, b) in enumerate(quads):
-            a, b = F.coalesce(a, b), F.coalesce(b, a)
-            out = out.when(F.floor(i / q) == k, (1 - t) * a + t * b)
-        return out
+def radius_curve(ne, se, sw, nw, points: int = 360) -> Column:
+    """Radii by whole degree: ``quadrant_radius``, smoothed round the circle."""
 
     def smooth(curve):
         back = F.concat(F.slice(curve, points, 1), F.slice(curve, 1, points - 1))
         ahead = F.concat(F.slice(curve, 2, points - 1), F.slice(curve, 1, 1))
         sides = F.zip_with(back, ahead, lambda a, c: F.struct(a.alias("a"), c.alias("c")))
+        return F.zip_with(curve, sides, lambda b, x: smoothed_radius(x["a"], b, x["c"]))
+
+    return bound(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: quadrant_radius(i, ne, se, sw, nw, points)), smooth)
+
+
+def quadrant_ring(lat, lon, ne_km, se_km, sw_km, nw_km, points: int = 360) -> Column:
+    """The closed ring of a quadrant footprint on a flat earth of 111 km a degree; degrees without a radius have no vertex, and a
+    footprint of fewer than three vertices is null."""
+
+    def ring(curve):
+        at = F.filter(F.zip_with(curve, F.sequence(F.lit(0), F.lit(points - 1)), lambda r, i: F.struct(r.alias("r"), F.radians(i).alias("th"))), lambda p: p["r"] > 0)
+        ends = F.transform(at, lambda p: F.struct((lon + p["r"] * F.cos(p["th"]) / (111.0 * F.cos(F.radians(lat)))).alias("x"), (lat + p["r"] * F.sin(p["th"]) / 111.0).alias("y")))
+        return bound(ends, lambda v: F.when(F.size(v) >= 3, F.concat(v, F.slice(v, 1, 1))))
+
+    return bound(radius_curve(ne_km, se_km, sw_km, nw_km, points), ring)
+
+
+def thinned(ring: Column) -> Column:
+    """A ring without the vertices that lie on the line between their neighbours; first and last stay."""
+
+    def keep(v):
+        n = F.size(v)
+        inner = F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), n - 2)), lambda i: (i < n - 1) & ((F.get(v, i)["x"] - F.get(v, i - 1)["x"]) * (F.get(v, i + 1)["y"] - F.get(v, i)["y"]) != (F.get(v, i)["y"] - F.get(v, i - 1)["y"]) * (F.get(v, i + 1)["x"] - F.get(v, i)["x"])))
+        return F.when(n < 3, v).otherwise(F.concat(F.slice(v, 1, 1), F.transform(inner, lambda i: F.get(v, i)), F.slice(v, -1, 1)))
+
+    return bound(ring, keep)
+
 
-        def three(b, x):
-            a, c = F.coalesce(x["a"], b), F.coalesce(x["c"], b)
-            return (a + 2 * F.coalesce(b, (a + c) * 0.5) + c) / 4.0
+def ring_in_bounds(ring: Column) -> Column:
+    """Whether a ring is there, has finite coordinates only, and those are on the globe."""
+    ok = F.forall(ring, lambda p: p["x"].between(-180.0, 180.0) & p["y"].between(-90.0, 90.0))
+    return F.coalesce((F.size(ring) > 0) & ok, F.lit(False))
 
-        return F.zip_with(curve, sides, three)
 
-    return bound(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), raw), smooth)
+def diagnosis(ring: Column) -> Column:
+    """``none``, ``empty``, ``invalid`` (fewer than three places), ``zero_area`` or ``ok``."""
+    places = F.size(F.array_distinct(ring))
+    return F.when(ring.isNull(), "none").when(F.size(ring) == 0, "empty").when(places < 3, "invalid").when(ring_area_km2(ring) == 0, "zero_area").otherwise("ok")

@@ -6,10 +6,12 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from perilframe.functions import geo
 from perilframe.functions import scalars as S
 from perilframe.operators import cover, joins, sequence
 from perilframe.plans import tsunami as TS
-from perilframe.plans.registry import DISC, RSEG, SEG, SNAP, _discs, _lengths, _runup_segments, c, query, r6
+from perilframe.plans import storm as ST
+from perilframe.plans.registry import _E, _K0, DISC, RSEG, SEG, STEPS, _authalic_sql, _discs, _lengths, _runup_segments, c, query, r6
 
 # Ray hits of every event at each whole degree, as in bearing_first_hit.
 HITS = f"""{SEG}, o AS (SELECT tsunami_event_id AS event_id, avg(x_m) + 0.5 AS ox, avg(y_m) + 0.5 AS oy FROM fx_runup GROUP BY 1), k AS (SELECT unnest(range(0, 360)) AS k),
@@ -114,3 +116,72 @@ def inland_distance(runup):
 def code_list(flood):
     text = F.concat(F.lit(" "), (c("row_id") % 25).cast("string"), F.lit(";; "), ((c("row_id") + 7) % 25).cast("string"), F.lit(" ;"), (c("row_id") % 25).cast("string"))
     return flood.select("row_id", F.array_join(S.code_list(text), "|").alias("codes"))
+
+
+# --------------------------------------------------------------------------------------------------------------- storms
+
+BASINS = ("ATL", "EP", "WP", "SI", "SP", "NI")
+
+
+def _storm_steps(track):
+    """Track steps with four quadrants, an outer closed isobar and a radius of maximum wind made of the view's columns."""
+    rows = ST.steps(track).withColumn("basin", F.element_at(F.array(*map(F.lit, BASINS)), (F.floor(c("sid") / 8) % 6 + 1).cast("int")))
+    return rows.select(
+        "sid", *ST.STEP_ORDER, "lat", "lon", "category", "basin", c("usa_r34_ne").alias("ne"), c("usa_r34_se").alias("se"), F.when(c("k4") % 3 != 0, (c("k4") % 60 + 10).cast("double")).alias("sw"),
+        F.lit(None).cast("double").alias("nw"), F.when(c("k3") % 7 == 0, c("tokyo_wind")).alias("roci_nm"), (c("usa_wind") * 0.3).alias("rmw_nm"),
+    )
+
+
+_CLIMO = ", ".join(f"('{b}', {k}, {float(v)})" for b, row in ST.GALE_RADIUS_NM.items() for k, v in enumerate(row))
+_FACTOR = " ".join(f"WHEN {k} THEN {v}" for k, v in ST.SIZE_FACTOR.items())
+FOOT = f"""{STEPS}, climo(basin, cat, nm) AS (VALUES {_CLIMO}),
+ss AS (SELECT sid, iso_time, k1, k2, k3, k4, lat, lon, category, CASE WHEN usa_r34_ne > 0 THEN usa_r34_ne END AS ne, CASE WHEN usa_r34_se > 0 THEN usa_r34_se END AS se, CASE WHEN k4 % 3 <> 0 THEN CAST(k4 % 60 + 10 AS DOUBLE) END AS sw, CAST(NULL AS DOUBLE) AS nw,
+  CASE WHEN k3 % 7 = 0 AND tokyo_wind > 0 THEN tokyo_wind END AS roci, CASE WHEN usa_wind > 0 THEN usa_wind * 0.3 * CASE coalesce(category, 2) {_FACTOR} ELSE 2.0 END END AS rmw, {list(BASINS)!r}[CAST(sid // 8 % 6 AS INT) + 1] AS basin, max(category) OVER (PARTITION BY sid) AS top FROM sc),
+mm AS (SELECT ss.*, CASE WHEN coalesce(ne, se, sw, nw) IS NOT NULL THEN 'quadrant_smoothed' WHEN roci IS NOT NULL THEN 'roci' WHEN rmw IS NOT NULL THEN 'rmw_scaled' WHEN nm > 0 THEN 'climo_r34' END AS method, coalesce(roci, rmw, nm) AS r FROM ss LEFT JOIN climo ON climo.basin = ss.basin AND cat = category),
+qq AS (SELECT sid, iso_time, k1, k2, k3, k4, lat, lon, method, top, CASE method WHEN 'quadrant_smoothed' THEN 0.92 WHEN 'roci' THEN 0.80 WHEN 'rmw_scaled' THEN 0.65 ELSE 0.55 END::DOUBLE AS conf,
+  {", ".join(f"CASE WHEN method = 'quadrant_smoothed' THEN {q} ELSE r END AS {q}" for q in ST.QUADS)} FROM mm WHERE method IS NOT NULL),
+ar AS (SELECT *, ({" + ".join(f"coalesce((pow(coalesce({a}, {b}), 2) + coalesce({a}, {b}) * coalesce({b}, {a}) + pow(coalesce({b}, {a}), 2)) / 3.0, 0)" for a, b in (("ne", "se"), ("se", "sw"), ("sw", "nw"), ("nw", "ne")))}) * {3.141592653589793 / 4 * 1.852 * 1.852!r} AS area FROM qq),
+fp AS (SELECT *, {", ".join(f"{q} * 1.852 * grow AS {q}_km" for q in ST.QUADS)} FROM (SELECT *, greatest(1.0, sqrt((60.0 + 20.0 * greatest(0, coalesce(top, 0))) / area)) AS grow FROM ar))"""
+
+
+@query(f"WITH {FOOT} SELECT sid, k1, k2, k3, k4, CAST(iso_time AS VARCHAR) AS at, method, conf, {', '.join(f'round({q}_km, 4) AS {q}_km' for q in ST.QUADS)} FROM fp", "fx_track")
+def storm_steps(track):
+    got = ST.step_footprints(_storm_steps(track))
+    return got.select("sid", "k1", "k2", "k3", "k4", c("iso_time").cast("string").alias("at"), "method", "conf", *(F.round(f"{q}_km", 4).alias(f"{q}_km") for q in ST.QUADS))
+
+
+def _raw_sql(i):
+    arms = " ".join(f"WHEN {i} // 90 = {k} THEN (1 - ({i} % 90) / 89.0) * coalesce({a}_km, {b}_km) + ({i} % 90) / 89.0 * coalesce({b}_km, {a}_km)" for k, (a, b) in enumerate((("ne", "se"), ("se", "sw"), ("sw", "nw"), ("nw", "ne"))))
+    return f"CASE {arms} END"
+
+
+CELLED = f"""{FOOT}, br AS (SELECT *, greatest({", ".join(f"coalesce({q}_km, 0)" for q in ST.QUADS)}) AS reach, 111.0 * cos(radians(lat)) AS flat FROM fp),
+rw AS (SELECT *, unnest(range(CAST(floor((lat + 90 - reach / 111.0) / 0.5) AS BIGINT), CAST(ceil((lat + 90 + reach / 111.0) / 0.5) AS BIGINT) + 1)) AS row FROM br),
+cl AS (SELECT *, unnest(range(CAST(floor((lon + 180 - reach / flat) / 0.5) AS BIGINT), CAST(ceil((lon + 180 + reach / flat) / 0.5) AS BIGINT) + 1)) AS col FROM rw),
+dd AS (SELECT *, ((col + 0.5) * 0.5 - 180.0 - lon) * flat AS dx, ((row + 0.5) * 0.5 - 90.0 - lat) * 111.0 AS dy FROM cl),
+ii AS (SELECT *, CAST(floor((degrees(atan2(dy, dx)) % 360 + 360) % 360) AS BIGINT) % 360 AS i FROM dd WHERE sqrt(dx * dx + dy * dy) <= reach),
+rr AS (SELECT *, {_raw_sql("((i + 359) % 360)")} AS ra, {_raw_sql("i")} AS rb, {_raw_sql("((i + 1) % 360)")} AS rc FROM ii),
+ce AS (SELECT DISTINCT sid, row, (col % 720 + 720) % 720 AS col FROM rr WHERE sqrt(dx * dx + dy * dy) <= (coalesce(ra, rb) + 2 * coalesce(rb, (coalesce(ra, rb) + coalesce(rc, rb)) * 0.5) + coalesce(rc, rb)) / 4.0)"""
+
+
+@query(f"WITH {CELLED} SELECT sid, count(*) AS cells, round(sum(({_authalic_sql('((row + 1) * 0.5 - 90.0)')} - {_authalic_sql('(row * 0.5 - 90.0)')}) * {geo.WGS84_A / (2 * _K0) / (geo.WGS84_A / (2 * _K0))!r} * radians(0.5) * {geo.WGS84_A * _K0!r} / 1e6), 0) AS area_km2 FROM ce GROUP BY 1", "fx_track")
+def storm_footprints(track):
+    cells, _ = ST.storm_footprints(_storm_steps(track), 0.5)
+    return cells.groupBy("sid").agg(F.count(F.lit(1)).alias("cells"), F.round(F.sum(ST.cell_area_km2(c("row"), 0.5)), 0).alias("area_km2"))
+
+
+@query("""SELECT l_orderkey AS k1, l_linenumber AS k2, CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN 'BLEND(USA,TOKYO)' WHEN a IS NOT NULL THEN 'USA' WHEN b IS NOT NULL THEN 'TOKYO' END AS source,
+  round(CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN (degrees(atan2(sin(radians(a)) + 0.9 * sin(radians(b)), cos(radians(a)) + 0.9 * cos(radians(b)))) + 540) % 360 - 180 ELSE coalesce(a, b) END, 6) AS lon
+  FROM (SELECT *, CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE CAST(l_partkey % 40 AS DOUBLE) - 190 + CASE WHEN l_partkey % 40 < 10 THEN 360 ELSE 0 END END AS a, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(l_suppkey % 20 AS DOUBLE) - 180 END AS b FROM lineitem)""", "lineitem")
+def blend_position_tagged(lineitem):
+    a = F.when(c("l_linenumber") % 2 != 0, (c("l_partkey") % 40).cast("double") - 190 + F.when(c("l_partkey") % 40 < 10, 360).otherwise(0))
+    b = F.when(c("l_linenumber") % 3 != 0, (c("l_suppkey") % 20).cast("double") - 180)
+    none = F.lit(None).cast("double")
+    rows = lineitem.select(c("l_orderkey").alias("k1"), c("l_linenumber").alias("k2"), none.alias("lat"), none.alias("lon"), F.lit(1.0).alias("usa_lat"), a.alias("usa_lon"), F.lit(2.0).alias("tokyo_lat"), b.alias("tokyo_lon"))
+    return ST.blended_position(rows, ["usa", "tokyo"]).select("k1", "k2", c("pos_source").alias("source"), r6(c("pos_lon")).alias("lon"))
+
+
+@query("SELECT l_orderkey AS k1, l_linenumber AS k2, round((CAST(l_quantity AS DOUBLE) * 1.0 + CASE WHEN l_partkey % 4 = 0 THEN 0 ELSE l_partkey % 50 * 0.9 END + 0.75 * (l_suppkey % 30)) / (1.75 + CASE WHEN l_partkey % 4 = 0 THEN 0 ELSE 0.9 END), 6) AS ne FROM lineitem", "lineitem")
+def quadrant_radius_all(lineitem):
+    rows = lineitem.select(c("l_orderkey").alias("k1"), c("l_linenumber").alias("k2"), c("l_quantity").cast("double").alias("usa_r34_ne"), F.when(c("l_partkey") % 4 != 0, (c("l_partkey") % 50).cast("double")).alias("tokyo_r50_ne"), (c("l_suppkey") % 30).cast("double").alias("mlc_r64_ne"))
+    return ST.weighted_radii(rows).select("k1", "k2", r6(c("ne")).alias("ne"))

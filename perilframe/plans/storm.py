@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from perilframe.functions import geo
 from perilframe.functions import scalars as S
 from perilframe.operators import sequence
 
@@ -70,6 +71,128 @@ def chosen_methods(rows: DataFrame, basin: str = "WP") -> DataFrame:
     return sequence.hysteresis(rows.select("sid", *STEP_ORDER, "candidates"), "sid", STEP_ORDER)
 
 
+#: Kilometres in a nautical mile; confidences of the footprint methods, best first.
+NM_KM = 1.852
+METHODS = (("quadrant_smoothed", 0.92), ("roci", 0.80), ("rmw_scaled", 0.65), ("climo_r34", 0.55))
+QUADS = ("ne", "se", "sw", "nw")
+
+
+def weighted_radii(rows: DataFrame, tiers: tuple[str, ...] = ("r34", "r50", "r64")) -> DataFrame:
+    """Adds ne, se, sw, nw (nm): the weighted mean of the radii that there are, over all agencies' columns ``{agency}_{tier}_{quadrant}``."""
+    for q in QUADS:
+        found = {k: AGENCIES.get(k.split("_")[0], 0.75) for k in rows.columns if any(k.endswith(f"_{t}_{q}") for t in tiers)}
+        rows = rows.withColumn(f"_{q}", blended(found) if found else F.lit(None).cast("double"))
+    return rows.withColumnsRenamed({f"_{q}": q for q in QUADS})
+
+
+def blended_position(rows: DataFrame, agencies: list[str]) -> DataFrame:
+    """Adds pos_lat, pos_lon, pos_source: the master position (lat, lon) where both are there; else, of the agencies' positions
+    (``{agency}_lat``, ``{agency}_lon``, in this order), the only one, or their weighted mean, circular in longitude."""
+    place = lambda a: F.when(F.col(f"{a}_lat").isNotNull() & F.col(f"{a}_lon").isNotNull(), F.struct(F.lit(a.upper()).alias("name"), F.col(f"{a}_lat").cast("double").alias("lat"), F.col(f"{a}_lon").cast("double").alias("lon"), F.lit(AGENCIES.get(a, 0.75)).alias("w")))
+    rows = rows.withColumn("_p", F.filter(F.array(*map(place, agencies)), lambda p: p.isNotNull()))
+
+    def total(f):
+        return F.aggregate("_p", F.lit(0.0), lambda acc, p: acc + p["w"] * f(p))
+
+    lon = F.degrees(F.atan2(total(lambda p: F.sin(F.radians(p["lon"]))), total(lambda p: F.cos(F.radians(p["lon"])))))
+    lat = total(lambda p: F.greatest(F.lit(-90.0), F.least(F.lit(90.0), p["lat"]))) / F.nullif(total(lambda p: F.lit(1.0)), F.lit(0.0))
+    names = F.concat(F.lit("BLEND("), F.array_join(F.transform("_p", lambda p: p["name"]), ","), F.lit(")"))
+    one, master = F.get("_p", F.lit(0)), F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    pick = lambda a, b, c: F.when(master, a).when(F.size("_p") == 1, b).when(F.size("_p") > 1, c)
+    return rows.select("*", pick(F.col("lat"), one["lat"], lat).alias("pos_lat"), pick(F.col("lon"), one["lon"], S.wrap_lon(lon)).alias("pos_lon"), pick(F.lit("MASTER"), one["name"], names).alias("pos_source")).drop("_p")
+
+
+def climatology(steps: DataFrame) -> DataFrame:
+    """Adds climo_nm, the gale radius of a step's basin and category, and rmw_factor, the size factor of its category (2.2 without a
+    category, 2.0 for others). The tables have a few dozen rows and are broadcast."""
+    spark = steps.sparkSession
+    radii = spark.createDataFrame([(b, k, float(v)) for b, row in GALE_RADIUS_NM.items() for k, v in enumerate(row)], "_basin string, _cat int, climo_nm double")
+    factors = spark.createDataFrame(list(SIZE_FACTOR.items()), "_k int, _factor double")
+    rows = steps.join(F.broadcast(radii), (F.col("basin") == F.col("_basin")) & (F.col("category") == F.col("_cat")), "left").drop("_basin", "_cat")
+    rows = rows.join(F.broadcast(factors), F.coalesce("category", F.lit(2)) == F.col("_k"), "left")
+    return rows.withColumn("rmw_factor", F.coalesce("_factor", F.lit(2.0))).drop("_k", "_factor")
+
+
+def step_footprints(steps: DataFrame, margin: float = 0.08, least_coverage: float = 0.15) -> DataFrame:
+    """Each step's footprint: method, conf, and its radii ne_km to nw_km (a circle has four equal ones), grown to the track's least area.
+
+    steps: sid, order keys, lat, lon, category, basin, ne, se, sw, nw, roci_nm, rmw_nm (all nm). A track whose steps mostly lack
+    quadrants (coverage below ``least_coverage``) has them smoothed along the track. The last method stays while it is there and less
+    than ``margin`` worse. A step without any candidate has no footprint.
+    """
+    w = Window.partitionBy("sid").orderBy(*STEP_ORDER)
+    rows = steps
+    for q in QUADS:
+        rows = rows.withColumn(q, S.positive(F.col(q)))
+    some = F.coalesce(*QUADS).isNotNull()
+    rows = rows.withColumn("_cover", F.avg(some.cast("double")).over(Window.partitionBy("sid"))).withColumn("_top", F.max("category").over(Window.partitionBy("sid")))
+    thin = F.col("_cover") < least_coverage
+    rows = rows.select("*", *(F.when(thin, sequence.smooth_3pt(q, w)).otherwise(F.col(q)).alias(f"_{q}") for q in QUADS))
+    rows = climatology(rows)
+    circle = {"roci": S.positive(F.col("roci_nm")), "rmw_scaled": S.positive(F.col("rmw_nm")) * F.col("rmw_factor"), "climo_r34": F.col("climo_nm")}
+    there = {"quadrant_smoothed": F.coalesce(*(f"_{q}" for q in QUADS)).isNotNull()} | {k: v > 0 for k, v in circle.items()}
+    found = F.filter(F.array(*(F.when(there[m], F.struct(F.lit(m).alias("method"), F.lit(conf).alias("conf"))) for m, conf in METHODS)), lambda x: x.isNotNull())
+    rows = rows.withColumn("candidates", found)
+    chosen = sequence.hysteresis(rows.select("sid", *STEP_ORDER, "candidates"), "sid", STEP_ORDER, margin)
+    rows = rows.join(chosen, ["sid", *STEP_ORDER])
+    radius = F
+    for m, v in circle.items():
+        radius = radius.when(F.col("method") == m, v)
+    quad = F.col("method") == "quadrant_smoothed"
+    rows = rows.withColumn("_r", radius).select("sid", *STEP_ORDER, "lat", "lon", "method", "conf", "_top", *(F.when(quad, F.col(f"_{q}")).otherwise(F.col("_r")).alias(q) for q in QUADS))
+    # sectors of 90 degrees between two radii have the area pi / 4 * (a2 + ab + b2) / 3
+    sides = [(F.coalesce(a, b), F.coalesce(b, a)) for a, b in (("ne", "se"), ("se", "sw"), ("sw", "nw"), ("nw", "ne"))]
+    area = sum((F.coalesce((a * a + a * b + b * b) / 3.0, F.lit(0.0)) for a, b in sides), F.lit(0.0)) * (3.141592653589793 / 4 * NM_KM * NM_KM)
+    least = 60.0 + 20.0 * F.greatest(F.lit(0), F.coalesce("_top", F.lit(0)))
+    grow = F.greatest(F.lit(1.0), F.sqrt(least / F.nullif(area, F.lit(0.0))))
+    return rows.select("sid", *STEP_ORDER, "lat", "lon", "method", "conf", *((F.col(q) * NM_KM * grow).alias(f"{q}_km") for q in QUADS))
+
+
+def footprint_cells(steps: DataFrame, res_deg: float) -> DataFrame:
+    """(sid, row, col): cells of a longitude-latitude grid whose centre lies in a step's footprint, once a track. Columns go round the globe."""
+    n = round(360 / res_deg)
+    reach, flat = F.greatest(*(f"{q}_km" for q in QUADS)), 111.0 * F.cos(F.radians("lat"))
+    low = lambda v, far: F.ceil((v - far) / res_deg - 0.5).cast("int")
+    high = lambda v, far: F.floor((v + far) / res_deg - 0.5).cast("int")
+    rows = steps.withColumn("row", F.explode(F.sequence(low(F.col("lat") + 90.0, reach / 111.0), high(F.col("lat") + 90.0, reach / 111.0)))).where(F.col("row").between(0, round(180 / res_deg) - 1))
+    rows = rows.withColumn("col", F.explode(F.sequence(low(F.col("lon") + 180.0, reach / flat), high(F.col("lon") + 180.0, reach / flat))))
+    dx, dy = ((F.col("col") + 0.5) * res_deg - 180.0 - F.col("lon")) * flat, ((F.col("row") + 0.5) * res_deg - 90.0 - F.col("lat")) * 111.0
+    rows = rows.withColumn("_d", F.hypot(dx, dy)).where(F.col("_d") <= reach).withColumn("_i", F.pmod(F.floor(F.pmod(F.degrees(F.atan2(dy, dx)), F.lit(360.0))).cast("int"), F.lit(360)))
+    radii = [F.col(f"{q}_km") for q in QUADS]
+    three = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: geo.quadrant_radius(F.pmod(F.col("_i") + k, F.lit(360)), *radii))
+    # within a quadrant the radius is linear, and smoothing leaves it as it is
+    edge = geo.bound(three, lambda v: geo.smoothed_radius(v[0], v[1], v[2]))
+    inside = F.col("_d") <= F.when((F.col("_i") % 90).between(1, 88), geo.quadrant_radius(F.col("_i"), *radii)).otherwise(edge)
+    return rows.where(inside).select("sid", "row", F.pmod("col", F.lit(n)).alias("col")).distinct()
+
+
+def capsules(steps: DataFrame) -> DataFrame:
+    """Footprints for tracks without any: circles of the track's union radius about its points, at most 20 km apart."""
+    params = adaptive_params(steps)
+    far = geo.haversine_km(F.col("lat"), F.col("lon"), F.col("_y2"), F.col("_x2"))
+    points = sequence.densified(steps, "sid", STEP_ORDER, 20.0, "lon", "lat", far).select("sid", F.col("y").alias("lat"), F.col("x").alias("lon"))
+    points = points.unionByName(steps.select("sid", "lat", "lon")).join(params, "sid")
+    return points.select("sid", "lat", "lon", F.lit("capsule").alias("method"), *((F.col("union_nm") * NM_KM).alias(f"{q}_km") for q in QUADS))
+
+
+def storm_footprints(steps: DataFrame, res_deg: float = 0.25, margin: float = 0.08) -> tuple[DataFrame, DataFrame]:
+    """(cells, steps): the union of each track's step footprints as (sid, row, col), and the steps with their methods.
+
+    Tracks without a candidate in any step get a capsule along the track. Rows without a position take no part.
+    """
+    steps = steps.where("lat IS NOT NULL AND lon IS NOT NULL")
+    chosen = step_footprints(steps, margin)
+    bare = steps.join(chosen.select("sid").distinct(), "sid", "left_anti")
+    cells = footprint_cells(chosen.unionByName(capsules(bare), allowMissingColumns=True), res_deg)
+    return cells, chosen
+
+
+def cell_area_km2(row, res_deg: float):
+    """Area of a grid cell by its row, on the authalic sphere."""
+    south, north = row * res_deg - 90.0, (row + 1) * res_deg - 90.0
+    return (geo.equal_area_y(north) - geo.equal_area_y(south)) * geo.equal_area_x(F.lit(res_deg)) / 1e6
+
+
 def track_hull(points: DataFrame, key: str = "sid") -> DataFrame:
     """(key, i, x, y): corners of the convex hull of a track's points (x, y), counter-clockwise from the lowest x, then y.
 
