@@ -126,17 +126,21 @@ def completed(docs: DataFrame, base: DataFrame, sets: DataFrame, links: DataFram
     """
     by = Window.partitionBy("token")
 
-    def open_lists(known: DataFrame, listed: DataFrame) -> DataFrame:
+    def parts(known: DataFrame) -> DataFrame:
+        """(a, b): each linked set with the component it is in; as links, they keep the components and are one for a set."""
+        return components(known, "a", "b").where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+    def open_lists(part: DataFrame, listed: DataFrame) -> DataFrame:
         """Lists with members of several components, c being a member's component."""
-        part = components(known, "a", "b").select(F.col("node").alias("g"), "component")
-        rows = listed.join(part, "g", "left").withColumn("c", F.coalesce("component", "g")).drop("component")
+        rows = listed.join(part.withColumnRenamed("a", "g"), "g", "left").withColumn("c", F.coalesce("b", "g")).drop("b")
         return written(rows.withColumn("_open", F.min("c").over(by) != F.max("c").over(by)).where("_open").drop("_open"), "open-lists")
 
+    links = parts(links)
     listed = open_lists(links, sets.select("g", "n", "hub", F.posexplode("tokens").alias("pos", "token")))
     lead = F.min(F.struct((-F.col("hub")).alias("hub"), "g", "n", "pos", "c")).over(by).alias("x")
     star = listed.select(lead, F.struct("g", "n", "pos", "c").alias("y")).where("x.c != y.c")
     star = written(star.where(_possible("x", "y")).select(F.col("x.g").alias("a"), F.col("y.g").alias("b")).distinct(), "star")
-    links = written(links.union(verified(star, texts_of(docs, sets, star))), "links")
+    links = parts(links.union(written(verified(star, texts_of(docs, sets, star)), "star-links")))
 
     rest = open_lists(links, listed.select("token", "g", "n", "pos"))
     x, y = rest.alias("x"), rest.alias("y")
@@ -147,9 +151,8 @@ def completed(docs: DataFrame, base: DataFrame, sets: DataFrame, links: DataFram
     found = found.where((F.col("shared") + behind) * (NUM + DEN) >= (F.col("na") + F.col("nb")) * NUM).select("a", "b")
     tried = star.union(star.select("b", "a"))
     pairs = written(found.join(tried, ["a", "b"], "left_anti"), "open-pairs")
-    more = verified(pairs, texts_of(docs, sets, pairs))
-    final = components(written(links.union(more), "links"), "a", "b").select(F.col("node").alias("g"), "component")
-    return base.select("doc_id", "th", "g").join(final, "g", "left").select("doc_id", "th", F.coalesce("component", "g").alias("cluster"))
+    final = parts(links.union(written(verified(pairs, texts_of(docs, sets, pairs)), "open-links"))).withColumnRenamed("a", "g")
+    return base.select("doc_id", "th", "g").join(final, "g", "left").select("doc_id", "th", F.coalesce("b", "g").alias("cluster"))
 
 
 def one_of_each(docs: DataFrame, clusters: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from perilframe.llm import shingles
 from perilframe.llm.common import mapped, of_hashes, slices, whole_text, written
@@ -60,22 +61,34 @@ def _byte(x, i: int):
     return F.shiftrightunsigned(x, 8 * i).bitwiseAND(F.lit(255))
 
 
-def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
-    """(a, b), a < b: all pairs of distinct fingerprints in column ``fp`` that differ in at most ``bits`` (up to 3) bits."""
-    if bits > 3:
-        raise ValueError("the index guarantees pairs of at most 3 differing bits")
+def postings(fps: DataFrame) -> DataFrame:
+    """(fp, key, rest, count): the lists (half, three bytes of it) that hold each fingerprint, the other five bytes, and the
+    list's length; lists of one have no pair and are left out."""
     fp = F.col("fp")
     halves = [fp.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(fp, 32)]
-    postings = []
+    found = []
     for half in (0, 1):
         for d in range(4):
             key = halves[half].bitwiseAND(F.lit(0xFFFFFFFF ^ (255 << 8 * d))).bitwiseOR(F.lit((half * 4 + d) << 32))
             rest = halves[1 - half].bitwiseOR(F.shiftleft(_byte(halves[half], d), 32))
-            postings.append(F.struct(key.alias("key"), rest.alias("rest")))
-    listed = fps.select("fp", F.inline(F.array(*postings)))
+            found.append(F.struct(key.alias("key"), rest.alias("rest")))
+    listed = fps.select("fp", F.inline(F.array(*found)))
     sizes = listed.groupBy("key").count().where(F.col("count") > 1)
-    listed = listed.join(sizes, "key")  # a list of one has no pair
-    rest = F.col("rest")
+    return listed.join(sizes, "key")
+
+
+def led(fps: DataFrame, bits: int = BITS) -> DataFrame:
+    """(a, b), a < b: pairs of a list's least fingerprint with its members, if they differ in at most ``bits`` bits. As many as
+    there are postings at most, so a group of near copies gives no pairs by the square; other pairs of ``links`` may be left out."""
+    rows = postings(fps).withColumn("a", F.min("fp").over(Window.partitionBy("key")))
+    return rows.where("a < fp").where(F.bit_count(F.col("a").bitwiseXOR(F.col("fp"))) <= bits).select("a", F.col("fp").alias("b")).distinct()
+
+
+def links(fps: DataFrame, bits: int = BITS) -> DataFrame:
+    """(a, b), a < b: all pairs of distinct fingerprints in column ``fp`` that differ in at most ``bits`` (up to 3) bits."""
+    if bits > 3:
+        raise ValueError("the index guarantees pairs of at most 3 differing bits")
+    listed, rest = postings(fps), F.col("rest")
 
     def split(c, i, j):
         k, m, n = (x for x in range(5) if x not in (i, j))
@@ -143,7 +156,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = written(base.select("g", "fp", "th", "n", "hub", "tokens").dropDuplicates(["g"]), "distinct-sets")
     groups = written(sets.groupBy("fp").agg(F.min("g").alias("rep")), "groups")
     reps = groups.select(F.col("fp").alias("a"), F.col("rep").alias("u"))
-    pairs = links(groups.select("fp")).join(reps, "a").select("u", F.col("b").alias("a")).join(reps.withColumnRenamed("u", "v"), "a").select("u", "v")
+    pairs = led(groups.select("fp")).join(reps, "a").select("u", F.col("b").alias("a")).join(reps.withColumnRenamed("u", "v"), "a").select("u", "v")
     same = sets.select("g", "fp").join(groups, "fp").where("g != rep").select(F.col("rep").alias("u"), F.col("g").alias("v"))
     likely = written(pairs.unionByName(same).toDF("a", "b"), "simhash-pairs")
     found = written(shingles.verified(likely, shingles.texts_of(docs, sets, likely)), "links")
