@@ -5,9 +5,11 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from perilframe import network
 from perilframe.functions.geo import haversine_km, own_cell, reached_cells
+from perilframe.functions import scalars as S
 from perilframe.functions.scalars import first_nonnull
 from perilframe.io import written
 from perilframe.operators import joins
@@ -48,12 +50,16 @@ def pair_clusters(floods: DataFrame, days: int = 14, max_km: float = 200.0) -> D
 def clusters(floods: DataFrame, days: int = 14, max_km: float = 200.0) -> DataFrame:
     """(row_id, cluster): the greedy pass in start order, with a running mean position, inside each component.
 
-    A greedy cluster never leaves its component, so components are the unit of work. Rows without coordinates join by time
-    alone. A component is one chain of nearby events; it is handled as one group.
+    A greedy cluster never leaves its component, so components are the unit of work, cut further where a gap in time is
+    wider than the window: no cluster takes a record beyond it. Rows without coordinates join by time alone.
     """
     found = written(pair_clusters(floods, days, max_km), "flood-components")
-    sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    rows = floods.join(found, "row_id").join(sizes, "component").select("row_id", "component", "n", "start_date", F.coalesce("end_date", "start_date").alias("end_date"), "lat", "lon")
+    rows = floods.join(found, "row_id").select("row_id", "component", "start_date", F.coalesce("end_date", "start_date").alias("end_date"), "lat", "lon")
+    by_time = Window.partitionBy("component").orderBy("start_date", "row_id")
+    past = F.max("end_date").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_new", F.when(F.datediff("start_date", past) <= days, 0).otherwise(1))
+    rows = rows.withColumn("component", F.struct("component", F.sum("_new").over(by_time.rowsBetween(Window.unboundedPreceding, 0)).alias("slice"))).drop("_new")
+    rows = rows.join(rows.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "component")
     first = F.min(F.struct("start_date", "row_id"))  # one or two linked rows are a cluster without a pass
     small = rows.where("n <= 2").groupBy("component").agg(first["row_id"].alias("cluster"))
     small = rows.where("n <= 2").select("row_id", "component").join(small, "component").select("row_id", "cluster")
@@ -68,6 +74,7 @@ def _greedy(pdf: pd.DataFrame, days: int, max_km: float) -> pd.DataFrame:
     gap = pd.Timedelta(days=days)
     for r in pdf.itertuples(index=False):
         start, end = pd.Timestamp(r.start_date), pd.Timestamp(r.end_date)
+        open_ = [c for c in open_ if c["end"] + gap >= start]  # later records start no earlier, so the others stay closed
         home = None
         for c in open_:
             if start - gap <= c["end"] and end + gap >= c["start"]:
@@ -117,3 +124,67 @@ def enriched(floods: DataFrame, losses: DataFrame, days: int = 14, tiers_km: tup
     same = F.col("l_start").eqNullSafe(F.col("_s")) & F.col("l_end").eqNullSafe(F.col("_e"))
     timed = rest.join(spans.withColumnsRenamed({"l_start": "_s", "l_end": "_e"}), same).select(F.col("l_id").alias("row_id"), "rec_id", F.lit(None).cast("double").alias("km"))
     return out.unionByName(timed)
+
+
+# --------------------------------------------------------------------------------------------- records of three sources
+
+#: What the sources' severities mean.
+SEVERITY_NOTES = {"usfd": "USFD severity as given", "dfo": "DFO severity class (1, 1.5 or 2)"}
+
+
+def _prefixed(raw: DataFrame, prefix: str) -> list:
+    """All raw columns under lower-case names with the source's prefix."""
+    plain = lambda k: "_".join("".join(ch if ch.isalnum() or ch in " _" else "" for ch in k.lower()).split())
+    return [F.col(f"`{k}`").cast("string").alias(f"{prefix}_{plain(k)}") for k in raw.columns if k != "row_id"]
+
+
+def _record(raw: DataFrame, source: str, start, end, lat, lon, area, country, fatalities, affected, cause, how: str) -> DataFrame:
+    number = lambda v: F.lit(None).cast("double") if v is None else F.col(f"`{v}`").try_cast("double")
+    text = lambda v: F.lit(None).cast("string") if v is None else F.col(f"`{v}`").cast("string")
+    return raw.select(
+        "row_id", F.concat(F.lit(source + "_"), text("ID" if "ID" in raw.columns else "row_id")).alias("event_id"), F.lit(source).alias("source"), start.cast("date").alias("start_date"), end.cast("date").alias("end_date"),
+        number(lat).alias("lat"), number(lon).alias("lon"), number(area).alias("area_km2"), text(country).alias("country"), number(fatalities).alias("fatalities"), number(affected).alias("people_affected"),
+        text(cause).alias("cause"), F.lit(how).alias("footprint_method"), *_prefixed(raw, source.lower()),
+    )
+
+
+def flood_records(dfo: DataFrame, hanze: DataFrame, usfd: DataFrame) -> DataFrame:
+    """Records of three sources as one table: common columns, then each source's own ones under its prefix, null for the others.
+
+    Each input has a unique row_id and its source's columns as text. Bad numbers and dates are null, as are points off the globe.
+    """
+    a = _record(dfo, "DFO", F.col("Began").try_cast("date"), F.col("Ended").try_cast("date"), "lat", "long", "Area", "Country", "Dead", "Displaced", "MainCause", "DFO_polygon")
+    b = _record(hanze, "HANZE", S.dmy_date(F.col("Start date")), S.dmy_date(F.col("End date")), "lat", "lon", "Area flooded", "Country name", "Fatalities", "Persons affected", "Cause", "HANZE_regions")
+    c = _record(usfd, "USFD", S.compact_datetime(F.col("DATE_BEGIN")), S.compact_datetime(F.col("DATE_END")), "LAT", "LON", "AREA", "COUNTRY", "FATALITY", None, "CAUSE", "USFD_point")
+    rows = a.unionByName(b, allowMissingColumns=True).unionByName(c, allowMissingColumns=True)
+    there = F.col("lat").between(-90.0, 90.0) & F.col("lon").between(-180.0, 180.0)
+    return rows.withColumn("_there", there).withColumns({k: F.when(F.col("_there"), F.col(k)) for k in ("lat", "lon")}).drop("_there")
+
+
+def merged_records(records: DataFrame, key: str = "cluster") -> DataFrame:
+    """``merged``, with the ids of all records, severity with a note on whose it is, the first figures of deaths and people
+    affected, and ``fields``: the sources' own columns carried through, the first value of each by source priority, then id."""
+    names = [k for k in records.columns if k.split("_")[0] in ("usfd", "hanze", "dfo") and "_" in k]
+    names += [k for k in ("fatalities", "people_affected", "country", "cause", "event_id") if k in records.columns]
+    # one row for each value that is there: a few aggregates, however many columns the sources have
+    values = F.filter(F.array(*(F.struct(F.lit(k).alias("name"), F.col(k).cast("string").alias("value")) for k in names)), lambda x: x["value"].isNotNull())
+    long = records.select(key, "row_id", priority(F.col("source")).alias("_p"), F.inline(values))
+    firsts = long.groupBy(key, "name").agg(F.min_by("value", F.struct("_p", "row_id")).alias("value")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("fields"))
+    ids = records.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws(":", "source", "event_id"))), "|").alias("source_event_ids"))
+    of = lambda k: F.try_element_at("fields", F.lit(k))
+    number = lambda *keys: F.coalesce(*(of(k).try_cast("double") for k in keys))
+    note = F.when(of("usfd_severity").isNotNull(), SEVERITY_NOTES["usfd"]).when(of("dfo_severity").isNotNull(), SEVERITY_NOTES["dfo"])
+    more = ids.join(firsts, key, "left").select(
+        key, "source_event_ids", of("event_id").alias("event_id"), F.coalesce(of("usfd_severity"), of("dfo_severity")).alias("severity"), note.alias("severity_notes"),
+        number("fatalities", "usfd_fatality", "dfo_dead", "hanze_fatalities").alias("fatalities_any"), number("people_affected", "dfo_displaced", "hanze_persons_affected").alias("people_affected_any"), "fields",
+    )
+    return merged(records, key).join(more, key)
+
+
+def flood_events(records: DataFrame, losses: DataFrame, days: int = 14, max_km: float = 200.0) -> DataFrame:
+    """One row for each event: records clustered in time and space, merged by source priority and enriched with the best loss record
+    (rec_id, km). records: as from ``flood_records``; losses: rec_id, start_date, end_date, lat, lon."""
+    found = written(clusters(records, days, max_km), "flood-clusters")
+    events = written(merged_records(records.join(found, "row_id")), "flood-events")
+    best = enriched(events.withColumnRenamed("cluster", "row_id"), losses, days).withColumnRenamed("row_id", "cluster")
+    return events.join(best, "cluster", "left")

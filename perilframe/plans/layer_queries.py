@@ -10,6 +10,8 @@ from perilframe.functions import geo
 from perilframe.functions import scalars as S
 from perilframe.operators import cover, joins, sequence
 from perilframe.plans import tsunami as TS
+from perilframe.plans import audit as A
+from perilframe.plans import flood as FL
 from perilframe.plans import storm as ST
 from perilframe.plans.registry import _E, _K0, DISC, RSEG, SEG, STEPS, _authalic_sql, _discs, _lengths, _runup_segments, c, query, r6
 
@@ -185,3 +187,45 @@ def blend_position_tagged(lineitem):
 def quadrant_radius_all(lineitem):
     rows = lineitem.select(c("l_orderkey").alias("k1"), c("l_linenumber").alias("k2"), c("l_quantity").cast("double").alias("usa_r34_ne"), F.when(c("l_partkey") % 4 != 0, (c("l_partkey") % 50).cast("double")).alias("tokyo_r50_ne"), (c("l_suppkey") % 30).cast("double").alias("mlc_r64_ne"))
     return ST.weighted_radii(rows).select("k1", "k2", r6(c("ne")).alias("ne"))
+
+
+# --------------------------------------------------------------------------------------------------------------- floods
+
+
+def _sources(flood):
+    """The view's floods in the forms of three sources: texts, each with its own date format and column names."""
+    text = lambda v: c(v).cast("string")
+    day = lambda v, form: F.date_format(v, form)
+    k = c("row_id")
+    dfo = flood.where("source = 'DFO'").select("row_id", k.cast("string").alias("ID"), F.lit("X").alias("Country"), text("lon").alias("long"), text("lat").alias("lat"), text("area_km2").alias("Area"), day("start_date", "yyyy-MM-dd").alias("Began"), day("end_date", "yyyy-MM-dd").alias("Ended"),
+                                               F.when(k % 2 == 0, (k % 50).cast("string")).alias("Dead"), (k % 900).cast("string").alias("Displaced"), F.lit("rain").alias("MainCause"), F.when(k % 4 != 0, (k % 3).cast("string")).alias("Severity"))
+    hanze = flood.where("source = 'HANZE'").select("row_id", k.cast("string").alias("ID"), F.lit("Y").alias("Country name"), text("lat").alias("lat"), text("lon").alias("lon"), day("start_date", "dd/MM/yyyy").alias("Start date"), day("end_date", "dd/MM/yyyy").alias("End date"),
+                                                   text("area_km2").alias("Area flooded"), (k % 7).cast("string").alias("Fatalities"), F.lit("many").alias("Persons affected"), F.lit("river").alias("Cause"))
+    usfd = flood.where("source = 'USFD'").select("row_id", F.lit("US").alias("COUNTRY"), text("lat").alias("LAT"), text("lon").alias("LON"), text("area_km2").alias("AREA"), day("start_date", "yyyyMMdd").alias("DATE_BEGIN"), day("end_date", "yyyyMMdd").alias("DATE_END"),
+                                                 F.when(k % 5 == 0, (k % 11).cast("string")).alias("FATALITY"), F.lit("storm").alias("CAUSE"), F.when(k % 6 == 0, "high").alias("SEVERITY"))
+    return dfo, hanze, usfd
+
+
+RECORDS = """fr AS (SELECT row_id, source, source || '_' || row_id AS event_id, CAST(start_date AS DATE) AS start_date, CAST(end_date AS DATE) AS end_date, lat, lon, area_km2,
+  CAST(CASE source WHEN 'DFO' THEN CASE WHEN row_id % 2 = 0 THEN row_id % 50 END WHEN 'HANZE' THEN row_id % 7 ELSE CASE WHEN row_id % 5 = 0 THEN row_id % 11 END END AS DOUBLE) AS fatalities,
+  CAST(CASE source WHEN 'DFO' THEN row_id % 900 END AS DOUBLE) AS people_affected, CASE WHEN source = 'DFO' AND row_id % 4 <> 0 THEN CAST(row_id % 3 AS VARCHAR) END AS dfo_severity, CASE WHEN source = 'USFD' AND row_id % 6 = 0 THEN 'high' END AS usfd_severity FROM fx_flood)"""
+
+
+@query(f"WITH {RECORDS} SELECT row_id, source, event_id, CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date, round(lat, 6) AS lat, round(lon, 6) AS lon, round(area_km2, 6) AS area_km2, fatalities, people_affected, dfo_severity, usfd_severity FROM fr", "fx_flood")
+def flood_records(flood):
+    got = FL.flood_records(*_sources(flood))
+    return got.select("row_id", "source", "event_id", c("start_date").cast("string").alias("start_date"), c("end_date").cast("string").alias("end_date"), r6(c("lat")).alias("lat"), r6(c("lon")).alias("lon"), r6(c("area_km2")).alias("area_km2"), "fatalities", "people_affected", "dfo_severity", "usfd_severity")
+
+
+@query(f"""WITH {RECORDS}, p AS (SELECT *, row_id - row_id % 40 AS cluster, CASE source WHEN 'USFD' THEN 1 WHEN 'HANZE' THEN 2 ELSE 3 END::BIGINT * 1000000000 + row_id AS o FROM fr)
+SELECT cluster, string_agg(source || ':' || event_id, '|' ORDER BY source || ':' || event_id) AS source_event_ids, coalesce(arg_min(usfd_severity, o), arg_min(dfo_severity, o)) AS severity,
+  CASE WHEN arg_min(usfd_severity, o) IS NOT NULL THEN 'USFD severity as given' WHEN arg_min(dfo_severity, o) IS NOT NULL THEN 'DFO severity class (1, 1.5 or 2)' END AS severity_notes, arg_min(fatalities, o) AS fatalities_any, arg_min(people_affected, o) AS people_affected_any FROM p GROUP BY 1""", "fx_flood")
+def flood_merge_records(flood):
+    rows = FL.flood_records(*_sources(flood)).withColumn("cluster", c("row_id") - c("row_id") % 40)
+    return FL.merged_records(rows).select("cluster", "source_event_ids", "severity", "severity_notes", "fatalities_any", "people_affected_any")
+
+
+@query(None, "fx_flood", "fx_loss")
+def flood_events(flood, loss):
+    got = FL.flood_events(FL.flood_records(*_sources(flood)), A.loss_records(loss).where("hazard = 'flood'"))
+    return got.select("cluster", "event_id", c("start_date").cast("string").alias("start_date"), c("end_date").cast("string").alias("end_date"), "sources", "source_event_ids", "n", "severity", "rec_id", r6(c("km")).alias("km"))
