@@ -185,4 +185,4 @@ def ring_in_bounds(ring: Column) -> Column:
 def diagnosis(ring: Column) -> Column:
     """``none``, ``empty``, ``invalid`` (fewer than three places), ``zero_area`` or ``ok``."""
     places = F.size(F.array_distinct(ring))
-    return F.when(ring.isNull(), "none").when(F.size(ring) == 0, "empty").when(places < 3, "invalid").when(ring_area_km2(ring) == 0, "zero_area").otherwise("ok")
+    return F.when(ring.isNull(), "none").when(F.size(ring) == 0, "empty").when(places < 3, "invalid").when(ring_area_km2(ring) < 1e-6, "zero_area").otherwise("ok")

@@ -155,3 +155,14 @@ def hysteresis(df: DataFrame, key: str, order: list[str], margin: float = 0.08)
 def _first(s, order):
     best = F.array_max(F.transform(s["candidates"], lambda c: F.struct(c["conf"].alias("conf"), c["method"].alias("method"))))
     return F.struct(*(s[o].alias(o) for o in order), best["method"].alias("method"), best["conf"].alias("conf"))
+
+
+def in_band(df: DataFrame, column: str, low: float, high: float) -> DataFrame:
+    """Rows with low <= value < high."""
+    return df.where((F.col(column) >= low) & (F.col(column) < high))
+
+
+def longest_part(lengths: DataFrame, key: str) -> DataFrame:
+    """(key, part_id, length_m): the longest part of each group, the first of equals."""
+    best = F.max(F.struct("length_m", (-F.col("part_id")).alias("p"))).alias("b")
+    return lengths.groupBy(key).agg(best).select(key, (-F.col("b.p")).alias("part_id"), F.col("b.length_m").alias("length_m"))

@@ -184,7 +184,8 @@ def merged_records(records: DataFrame, key: str = "cluster") -> DataFrame:
 def flood_events(records: DataFrame, losses: DataFrame, days: int = 14, max_km: float = 200.0) -> DataFrame:
     """One row for each event: records clustered in time and space, merged by source priority and enriched with the best loss record
     (rec_id, km). records: as from ``flood_records``; losses: rec_id, start_date, end_date, lat, lon."""
-    found = written(clusters(records, days, max_km), "flood-clusters")
+    records = written(records, "flood-records")
+    found = written(clusters(records.select("row_id", "source", "start_date", "end_date", "lat", "lon"), days, max_km), "flood-clusters")
     events = written(merged_records(records.join(found, "row_id")), "flood-events")
     best = enriched(events.withColumnRenamed("cluster", "row_id"), losses, days).withColumnRenamed("row_id", "cluster")
     return events.join(best, "cluster", "left")

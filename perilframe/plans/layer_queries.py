@@ -13,7 +13,8 @@ from perilframe.plans import tsunami as TS
 from perilframe.plans import audit as A
 from perilframe.plans import flood as FL
 from perilframe.plans import storm as ST
-from perilframe.plans.registry import _E, _K0, DISC, RSEG, SEG, STEPS, _authalic_sql, _discs, _lengths, _runup_segments, c, query, r6
+from perilframe.plans.registry import _K0, DISC, RSEG, SEG, STEPS, _authalic_sql, _discs, _lengths, _runup_segments, c, query, r6
+from perilframe.sources import tables as T
 
 # Ray hits of every event at each whole degree, as in bearing_first_hit.
 HITS = f"""{SEG}, o AS (SELECT tsunami_event_id AS event_id, avg(x_m) + 0.5 AS ox, avg(y_m) + 0.5 AS oy FROM fx_runup GROUP BY 1), k AS (SELECT unnest(range(0, 360)) AS k),
@@ -229,3 +230,94 @@ def flood_merge_records(flood):
 def flood_events(flood, loss):
     got = FL.flood_events(FL.flood_records(*_sources(flood)), A.loss_records(loss).where("hazard = 'flood'"))
     return got.select("cluster", "event_id", c("start_date").cast("string").alias("start_date"), c("end_date").cast("string").alias("end_date"), "sources", "source_event_ids", "n", "severity", "rec_id", r6(c("km")).alias("km"))
+
+
+# ------------------------------------------------------------------------------------------------ filters, rings, times
+
+
+@query(f"WITH {STEPS} SELECT sid, count(*) AS n FROM st WHERE year(iso_time) >= 1998 GROUP BY 1", "fx_track")
+def season_filter(track):
+    return ST.in_seasons(ST.steps(track), 1998).groupBy("sid").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT runup_id, round(runup_ht, 6) AS h FROM fx_runup WHERE runup_ht >= 1.0 AND runup_ht < 2.0", "fx_runup")
+def half_open_band(runup):
+    return sequence.in_band(runup, "runup_ht", 1.0, 2.0).select("runup_id", r6(c("runup_ht")).alias("h"))
+
+
+@query("SELECT rec_id FROM fx_loss WHERE start_month IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL", "fx_loss")
+def required_columns(loss):
+    return T.required(loss, ["start_month", "lat", "lon"]).select("rec_id")
+
+
+@query("SELECT event_id, CAST(NULL AS VARCHAR) AS band, CAST(NULL AS DOUBLE) AS area_km2, round(mw, 6) AS mw FROM fx_quake", "fx_quake")
+def ensured_columns(quake):
+    return T.with_columns(quake, band="string", area_km2="double", mw="double").select("event_id", "band", "area_km2", r6(c("mw")).alias("mw"))
+
+
+@query("SELECT runup_id, tsunami_event_id AS event_id FROM fx_runup WHERE tsunami_event_id IN (3, 11)", "fx_runup")
+def event_filter(runup):
+    return T.of_events(runup, "tsunami_event_id", [" 3 ", "11"]).select("runup_id", c("tsunami_event_id").alias("event_id"))
+
+
+@query("""SELECT event_id, lat IS NOT NULL AND lon - 8000.0 / 111.0 / cos(radians(lat)) >= -180 AND lon + 8000.0 / 111.0 / cos(radians(lat)) <= 180 AND lat + 8000.0 / 111.0 <= 90 AND lat - 8000.0 / 111.0 >= -90 AS ok FROM fx_quake""", "fx_quake")
+def ring_bounds_ok(quake):
+    return quake.select("event_id", geo.ring_in_bounds(geo.circle_ring(c("lat"), c("lon"), F.lit(8000.0), 180)).alias("ok"))
+
+
+@query("SELECT country_id, CASE country_id % 5 WHEN 0 THEN 'none' WHEN 1 THEN 'empty' WHEN 2 THEN 'invalid' WHEN 3 THEN 'zero_area' ELSE 'ok' END AS label FROM fx_country", "fx_country")
+def ring_diagnosis(country):
+    at = lambda x, y: F.struct(c(x).alias("x"), c(y).alias("y"))
+    a, b, d = at("minx", "miny"), at("maxx", "miny"), at("maxx", "maxy")
+    empty, k = F.slice(F.array(a), 1, 0), c("country_id") % 5
+    ring = F.when(k == 1, empty).when(k == 2, F.array(a, b, a)).when(k == 3, F.array(a, b, F.struct(((c("minx") + c("maxx")) / 2).alias("x"), c("miny").alias("y")), a)).when(k == 4, F.array(a, b, d, a))
+    return country.select("country_id", geo.diagnosis(ring).alias("label"))
+
+
+@query("SELECT country_id, 5 AS vertices FROM fx_country", "fx_country")
+def ring_thinned(country):
+    """A box with a vertex in the middle of each side loses those."""
+    at = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    mx, my = (c("minx") + c("maxx")) / 2, (c("miny") + c("maxy")) / 2
+    ring = F.array(*(at(x, y) for x, y in ((c("minx"), c("miny")), (mx, c("miny")), (c("maxx"), c("miny")), (c("maxx"), my), (c("maxx"), c("maxy")), (mx, c("maxy")), (c("minx"), c("maxy")), (c("minx"), my), (c("minx"), c("miny")))))
+    return country.select("country_id", F.size(geo.thinned(ring)).alias("vertices"))
+
+
+@query("""WITH q AS (SELECT DISTINCT sid, CAST(sid % 90 + 10 AS DOUBLE) AS ne, CAST(sid % 70 + 20 AS DOUBLE) AS se FROM fx_track)
+SELECT sid, 271 AS vertices, round(20.0 + ne * cos(radians(1)) / 111.0 / cos(radians(10.0)) + ((se - ne) / 89.0) * cos(radians(1)) / 111.0 / cos(radians(10.0)), 6) AS x1 FROM q""", "fx_track")
+def quadrant_ring(track):
+    """Two radii only, north-east and south-east: degrees 0 to 179 and, from the north-west on, 270 to 359, and the closing vertex."""
+    s, none = c("sid"), F.lit(None).cast("double")
+    q = track.select("sid").distinct().select("sid", (s % 90 + 10).cast("double").alias("ne"), (s % 70 + 20).cast("double").alias("se"))
+    ring = geo.quadrant_ring(F.lit(10.0), F.lit(20.0), c("ne"), c("se"), none, none)
+    return q.withColumn("ring", ring).select("sid", F.size("ring").alias("vertices"), r6(F.get("ring", F.lit(1))["x"]).alias("x1"))
+
+
+@query("SELECT runup_id FROM (SELECT runup_id FROM fx_runup WHERE runup_ht < 0.5 ORDER BY runup_id LIMIT 50)", "fx_runup")
+def reject_sample(runup):
+    """The first fifty rejects, for a log: the limit is the feature."""
+    return runup.where("runup_ht < 0.5").orderBy("runup_id").limit(50).select("runup_id")
+
+
+@query(f"WITH {SEG} SELECT g AS coast, arg_max(part_id, struct_pack(l := length_m, p := -part_id)) AS part_id, round(max(length_m), 3) AS length_m FROM (SELECT *, part_id % 4 AS g FROM len) GROUP BY 1", "fx_coast_vertex")
+def longest_part(coast):
+    return sequence.longest_part(_lengths(coast).withColumn("coast", c("part_id") % 4), "coast").select("coast", "part_id", F.round("length_m", 3).alias("length_m"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(eq_time AS VARCHAR) || ' 01:30:00' END AS at FROM fx_quake", "fx_quake")
+def datetime_assembly(quake):
+    """No row has a date and a time in columns of their own, so the datetime column is taken, though the date column is fuller."""
+    rows = quake.select("event_id", F.lit("unknown").alias("date_text"), F.lit("01:30").alias("time_text"), F.when(c("event_id") % 4 != 0, F.concat(F.date_format("eq_time", "yyyy-MM-dd"), F.lit(" 01:30:00"))).alias("stamp"), F.date_format("eq_time", "yyyy-MM-dd").alias("day"))
+    ways = {"date and time": F.try_to_timestamp(F.concat_ws(" ", "date_text", "time_text"), F.lit("yyyy-MM-dd HH:mm")), "datetime": F.try_to_timestamp("stamp", F.lit("yyyy-MM-dd HH:mm:ss")), "date": F.try_to_timestamp("day", F.lit("yyyy-MM-dd"))}
+    return T.with_event_time(rows, ways).select("event_id", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("at"))
+
+
+@query("SELECT row_id FROM fx_flood WHERE area_km2 IS NULL UNION SELECT row_id FROM fx_flood WHERE end_date IS NULL", "fx_flood")
+def distinct_union(flood):
+    return flood.where("area_km2 IS NULL").select("row_id").union(flood.where("end_date IS NULL").select("row_id")).distinct()
+
+
+@query("SELECT DISTINCT least(country_id, o) AS a, greatest(country_id, o) AS b FROM (SELECT country_id, unnest([(country_id + 1) % 25, (country_id + 24) % 25]) AS o FROM fx_country)", "fx_country")
+def unordered_pairs(country):
+    both = country.select("country_id", F.explode(F.array((c("country_id") + 1) % 25, (c("country_id") + 24) % 25)).alias("o"))
+    return both.select(F.least("country_id", "o").alias("a"), F.greatest("country_id", "o").alias("b")).dropDuplicates(["a", "b"])

@@ -35,6 +35,12 @@ def steps(tracks: DataFrame) -> DataFrame:
     return rows.withColumn("wind", wind).withColumn("category", S.wind_category(F.col("wind")))
 
 
+def in_seasons(rows: DataFrame, first: int, last: int | None = None, time: str = "iso_time") -> DataFrame:
+    """Steps of seasons (years) from ``first`` on, up to ``last`` if it is given."""
+    year = F.year(time)
+    return rows.where(year >= first if last is None else year.between(first, last))
+
+
 def adaptive_params(rows: DataFrame) -> DataFrame:
     """(sid, category, union_nm, line_m, min_area_km2) from each track's highest category, 0 where it has none."""
     cat = F.greatest(F.lit(0), F.coalesce(F.max("category"), F.lit(-1)))

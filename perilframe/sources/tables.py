@@ -24,8 +24,44 @@ def sniff_separator(spark: SparkSession, path: str) -> str:
     return max(range(len(SEPARATORS)), key=lambda i: (counts[i] or 0, -i)) and SEPARATORS[max(range(len(SEPARATORS)), key=lambda i: (counts[i] or 0, -i))] or SEPARATORS[0]
 
 
+def sniff_encoding(spark: SparkSession, path: str) -> str:
+    """UTF-8 if all lines are, else ISO-8859-1, in which every byte is a character."""
+    return "UTF-8" if spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty() else "ISO-8859-1"
+
+
 def scan_sniffed(spark: SparkSession, path: str, types: dict[str, str] | None = None) -> DataFrame:
-    return scan_catalogue(spark, path, types, sniff_separator(spark, path))
+    """A CSV whose separator and encoding are found out; a byte order mark before the first column's name goes."""
+    encoding = sniff_encoding(spark, path)
+    df = spark.read.csv(path, header=True, sep=sniff_separator(spark, path), encoding=encoding)
+    names = [c.removeprefix("\ufeff").removeprefix("ï»¿") for c in df.columns]
+    df = df.toDF(*names)
+    return df.select(*(F.trim(F.col(f"`{c}`")).try_cast(types[c]).alias(c) if types and c in types else F.col(f"`{c}`") for c in names))
+
+
+def required(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows that have a value in every one of the columns; a column that isn't there is an error."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"columns are missing: {', '.join(missing)}")
+    return df.dropna(subset=columns)
+
+
+def with_columns(df: DataFrame, **kinds: str) -> DataFrame:
+    """``df`` with the named columns, null where it lacks them."""
+    return df.select("*", *(F.lit(None).cast(kind).alias(c) for c, kind in kinds.items() if c not in df.columns))
+
+
+def of_events(df: DataFrame, column: str, ids: list[str]) -> DataFrame:
+    """Rows of the given events; ids are compared as trimmed lower-case text."""
+    return df.where(F.lower(F.trim(F.col(column).cast("string"))).isin([str(i).strip().lower() for i in ids]))
+
+
+def with_event_time(df: DataFrame, ways: dict[str, object], name: str = "event_time") -> DataFrame:
+    """Adds the time by the first of the ``ways`` (expressions that give a timestamp or null, in order of precedence) that any row
+    can be read by; null if there is none. One pass over the table finds it: a number for each way."""
+    found = df.agg(*(F.count(x).alias(f"_{i}") for i, x in enumerate(ways.values()))).first()
+    first = next((x for i, x in enumerate(ways.values()) if found[i]), F.lit(None))
+    return df.withColumn(name, first.cast("timestamp_ntz"))
 
 
 def scan_features(spark: SparkSession, path: str) -> DataFrame:
