@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perilframe.functions import scalars as S
+from perilframe.io import written
 from perilframe.operators import joins
 
 #: Loss hazards that have a pipeline.
@@ -54,13 +55,25 @@ def loss_audit(losses: DataFrame, matched: DataFrame, status: DataFrame) -> Data
     return rows.withColumn("reason", reason).select("rec_id", "event_id", "hazard", "start_date", "in_scope", "reason", (F.col("reason") == "matched").alias("matched"), F.col("status").alias("pipeline_status"), "n_before")
 
 
-def audit(losses: DataFrame, quakes: DataFrame, floods: DataFrame, quake_km: float = 200.0, flood_km: float = 250.0) -> DataFrame:
-    """The audit over the quake and flood pipelines; storms are switched off, tsunamis have no features."""
-    eq = joins.matched_ids(quakes_as_left(quakes), as_right(losses.where("in_scope"), "earthquake"), quake_km)
-    fl = joins.matched_ids(floods_as_left(floods), as_right(losses.where("in_scope"), "flood"), flood_km)
-    matched = eq.select(F.lit("earthquake").alias("hazard"), F.col("r_id").alias("rec_id")).union(fl.select(F.lit("flood"), "r_id"))
-    none = quakes.limit(0).agg(F.count(F.lit(1)).alias("n_before"))
-    count = lambda df, name, on, st: df.agg(F.count(F.lit(1)).alias("n_before")).select(F.lit(name).alias("hazard"), F.lit(on).alias("enabled"), F.lit(st).alias("status"), "n_before")
-    status = count(quakes, "earthquake", True, "ok").union(count(floods, "flood", True, "ok"))
-    status = status.union(none.select(F.lit("tsunami"), F.lit(True), F.lit("empty"), "n_before")).union(none.select(F.lit("storm"), F.lit(False), F.lit("off"), "n_before"))
+def storms_as_left(tracks: DataFrame) -> DataFrame:
+    """One feature a track: its span in time and its mean position, circular in longitude."""
+    lon = F.radians("lon")
+    mean = F.degrees(F.atan2(F.avg(F.sin(lon)), F.avg(F.cos(lon))))
+    return tracks.groupBy(F.col("sid").alias("l_id")).agg(F.min("iso_time").alias("l_start"), F.max("iso_time").alias("l_end"), F.avg("lat").alias("l_lat"), mean.alias("l_lon"))
+
+
+def audit(losses: DataFrame, quakes: DataFrame, floods: DataFrame, tracks: DataFrame, runups: DataFrame, quake_km: float = 200.0, other_km: float = 250.0) -> DataFrame:
+    """The audit over the four pipelines. A pipeline is enabled if its hazard is among the losses in scope; it is empty without features.
+
+    Run-ups have neither times nor places on the globe, so tsunami losses are matched by none of them.
+    """
+    scope = written(losses.where("in_scope"), "losses-in-scope")
+    sides = {"storm": (storms_as_left(tracks), other_km), "earthquake": (quakes_as_left(quakes), quake_km), "flood": (floods_as_left(floods), other_km)}
+    found = [joins.matched_ids(left, as_right(scope, hazard), km).select(F.lit(hazard).alias("hazard"), F.col("r_id").alias("rec_id")) for hazard, (left, km) in sides.items()]
+    matched = found[0].unionByName(found[1]).unionByName(found[2])
+    features = {"storm": tracks.select("sid").distinct(), "earthquake": quakes, "tsunami": runups.select("tsunami_event_id").distinct(), "flood": floods}
+    counts = [df.agg(F.count(F.lit(1)).alias("n_before")).select(F.lit(hazard).alias("hazard"), "n_before") for hazard, df in features.items()]
+    status = counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+    enabled = scope.select(F.col("hazard").alias("_h")).distinct()
+    status = status.join(enabled, F.col("hazard") == F.col("_h"), "left").select("hazard", F.col("_h").isNotNull().alias("enabled"), F.when(F.col("n_before") > 0, "ok").otherwise("empty").alias("status"), "n_before")
     return loss_audit(losses, matched, status)

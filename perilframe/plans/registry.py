@@ -334,25 +334,27 @@ def matched_union(quake, loss):
 
 AUDIT = f"""WITH {NL}, eq AS (SELECT DISTINCT q.rec_id FROM fx_quake p JOIN nl q ON {EQ} WHERE q.hazard = 'earthquake' AND q.in_scope),
 fl AS (SELECT DISTINCT q.rec_id FROM fx_flood p JOIN nl q ON p.start_date <= q.start_date + 7 AND coalesce(p.end_date, p.start_date) >= q.start_date - 7 AND (q.lat IS NULL OR {HAV} <= 250.0) WHERE q.hazard = 'flood' AND q.in_scope),
-au AS (SELECT rec_id, event_id, hazard, start_date, in_scope, CASE WHEN NOT in_scope THEN 'oecd_excluded' WHEN hazard = 'other' THEN 'hazard_unrecognized' WHEN hazard = 'storm' THEN 'hazard_disabled'
-  WHEN hazard = 'tsunami' THEN 'pipeline_empty' WHEN (hazard = 'earthquake' AND rec_id IN (SELECT rec_id FROM eq)) OR (hazard = 'flood' AND rec_id IN (SELECT rec_id FROM fl)) THEN 'matched' ELSE 'not_matched' END AS reason FROM nl)"""
+tr AS (SELECT sid, min(iso_time) AS a, max(iso_time) AS b, avg(lat) AS lat, degrees(atan2(avg(sin(radians(lon))), avg(cos(radians(lon))))) AS lon FROM fx_track GROUP BY 1),
+sm AS (SELECT DISTINCT q.rec_id FROM tr p JOIN nl q ON p.a <= q.start_date + 7 AND p.b >= q.start_date - 7 AND (q.lat IS NULL OR {HAV} <= 250.0) WHERE q.hazard = 'storm' AND q.in_scope),
+au AS (SELECT rec_id, event_id, hazard, start_date, in_scope, CASE WHEN NOT in_scope THEN 'oecd_excluded' WHEN hazard = 'other' THEN 'hazard_unrecognized' WHEN hazard NOT IN (SELECT hazard FROM nl WHERE in_scope) THEN 'hazard_disabled'
+  WHEN hazard = 'tsunami' AND NOT EXISTS (SELECT 1 FROM fx_runup) THEN 'pipeline_empty' WHEN (hazard = 'storm' AND rec_id IN (SELECT rec_id FROM sm)) OR (hazard = 'earthquake' AND rec_id IN (SELECT rec_id FROM eq)) OR (hazard = 'flood' AND rec_id IN (SELECT rec_id FROM fl)) THEN 'matched' ELSE 'not_matched' END AS reason FROM nl)"""
 
 
-@query(AUDIT + " SELECT rec_id, event_id, hazard, CAST(start_date AS VARCHAR) AS start_date, in_scope, reason FROM au", "fx_loss", "fx_quake", "fx_flood")
-def loss_audit(loss, quake, flood):
-    return A.audit(A.loss_records(loss), quake, flood).select("rec_id", "event_id", "hazard", c("start_date").cast("string").alias("start_date"), "in_scope", "reason")
+@query(AUDIT + " SELECT rec_id, event_id, hazard, CAST(start_date AS VARCHAR) AS start_date, in_scope, reason FROM au", "fx_loss", "fx_quake", "fx_flood", "fx_track", "fx_runup")
+def loss_audit(loss, quake, flood, track, runup):
+    return A.audit(A.loss_records(loss), quake, flood, track, runup).select("rec_id", "event_id", "hazard", c("start_date").cast("string").alias("start_date"), "in_scope", "reason")
 
 
-@query(AUDIT + " SELECT hazard, reason, count(*) AS n FROM au GROUP BY 1, 2", "fx_loss", "fx_quake", "fx_flood")
-def audit_summary(loss, quake, flood):
-    return A.audit(A.loss_records(loss), quake, flood).groupBy("hazard", "reason").agg(F.count(F.lit(1)).alias("n"))
+@query(AUDIT + " SELECT hazard, reason, count(*) AS n FROM au GROUP BY 1, 2", "fx_loss", "fx_quake", "fx_flood", "fx_track", "fx_runup")
+def audit_summary(loss, quake, flood, track, runup):
+    return A.audit(A.loss_records(loss), quake, flood, track, runup).groupBy("hazard", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(AUDIT + " SELECT CASE WHEN reason = 'matched' THEN 'matched' WHEN reason = 'oecd_excluded' THEN 'out_of_scope' ELSE 'unmatched' END AS split, count(*) AS n FROM au GROUP BY 1", "fx_loss", "fx_quake", "fx_flood")
-def audit_splits(loss, quake, flood):
+@query(AUDIT + " SELECT CASE WHEN reason = 'matched' THEN 'matched' WHEN reason = 'oecd_excluded' THEN 'out_of_scope' ELSE 'unmatched' END AS split, count(*) AS n FROM au GROUP BY 1", "fx_loss", "fx_quake", "fx_flood", "fx_track", "fx_runup")
+def audit_splits(loss, quake, flood, track, runup):
     path = f"{shared_dir(loss.sparkSession)}/audit-{uuid.uuid4().hex}"
     split = F.when(c("reason") == "matched", "matched").when(c("reason") == "oecd_excluded", "out_of_scope").otherwise("unmatched")
-    A.audit(A.loss_records(loss), quake, flood).withColumn("split", split).write.partitionBy("split").csv(path, header=True)
+    A.audit(A.loss_records(loss), quake, flood, track, runup).withColumn("split", split).write.partitionBy("split").csv(path, header=True)
     return loss.sparkSession.read.csv(path, header=True).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
