@@ -48,22 +48,49 @@ def pair_clusters(floods: DataFrame, days: int = 14, max_km: float = 200.0) -> D
 
 
 def clusters(floods: DataFrame, days: int = 14, max_km: float = 200.0) -> DataFrame:
-    """(row_id, cluster): the greedy pass in start order, with a running mean position, inside each component.
+    """(row_id, cluster): the greedy pass in start order, each record to the first open cluster whose running mean position is in
+    reach, else to a new one. Rows without coordinates go by time alone.
 
-    A greedy cluster never leaves its component, so components are the unit of work, cut further where a gap in time is
-    wider than the window: no cluster takes a record beyond it. Rows without coordinates join by time alone.
+    The pass runs for groups of records apart: at first components of nearby records, cut at gaps in time wider than the window.
+    A mean can reach beyond its members, so then all states of all clusters are joined with the records of other groups;
+    groups with a record in reach of another group's open cluster are made one and run again, until there are none. Then
+    no record could have gone elsewhere, and the result is that of one pass over the whole table.
     """
-    found = written(pair_clusters(floods, days, max_km), "flood-components")
-    rows = floods.join(found, "row_id").select("row_id", "component", "start_date", F.coalesce("end_date", "start_date").alias("end_date"), "lat", "lon")
+    rows = floods.select("row_id", "start_date", F.coalesce("end_date", "start_date").alias("end_date"), F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
+    found = written(rows.join(pair_clusters(floods, days, max_km), "row_id"), "flood-components")
     by_time = Window.partitionBy("component").orderBy("start_date", "row_id")
     past = F.max("end_date").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("_new", F.when(F.datediff("start_date", past) <= days, 0).otherwise(1))
-    rows = rows.withColumn("component", F.struct("component", F.sum("_new").over(by_time.rowsBetween(Window.unboundedPreceding, 0)).alias("slice"))).drop("_new")
-    rows = rows.join(rows.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "component")
-    first = F.min(F.struct("start_date", "row_id"))  # one or two linked rows are a cluster without a pass
-    small = rows.where("n <= 2").groupBy("component").agg(first["row_id"].alias("cluster"))
-    small = rows.where("n <= 2").select("row_id", "component").join(small, "component").select("row_id", "cluster")
-    return small.unionByName(rows.where("n > 2").drop("n").groupBy("component").applyInPandas(lambda pdf: _greedy(pdf, days, max_km), "row_id long, cluster long"))
+    found = found.withColumn("_new", F.when(F.datediff("start_date", past) <= days, 0).otherwise(1)).withColumn("_slice", F.sum("_new").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
+    found = written(found.withColumn("group", F.min("row_id").over(Window.partitionBy("component", "_slice"))).select(*rows.columns, "group"), "flood-groups")
+    while True:
+        states = written(_passed(found, days, max_km), "flood-states")
+        merged_groups = network.components(_conflicts(states, found, days, max_km), "u", "v")
+        if merged_groups.isEmpty():
+            return states.select("row_id", "cluster")
+        found = found.join(merged_groups.withColumnRenamed("node", "group"), "group", "left").withColumn("group", F.coalesce("component", "group")).drop("component")
+        found = written(found.select(*rows.columns, "group"), "flood-groups")
+
+
+_STATE = "row_id long, group long, cluster long, start_date date, c_end date, c_lat double, c_lon double"
+
+
+def _passed(rows: DataFrame, days: int, max_km: float) -> DataFrame:
+    """The greedy pass in each group: each record's cluster, and the cluster's end and mean position once it has joined."""
+    rows = rows.join(rows.groupBy("group").agg(F.count(F.lit(1)).alias("_n")), "group")
+    single = rows.where("_n = 1").select("row_id", "group", F.col("row_id").alias("cluster"), "start_date", F.col("end_date").alias("c_end"), F.col("lat").alias("c_lat"), F.col("lon").alias("c_lon"))
+    return single.unionByName(rows.where("_n > 1").drop("_n").groupBy("group").applyInPandas(lambda pdf: _greedy(pdf, days, max_km), _STATE))
+
+
+def _conflicts(states: DataFrame, rows: DataFrame, days: int, max_km: float) -> DataFrame:
+    """(u, v): groups of which one has a record that an open cluster of the other reaches."""
+    order = Window.partitionBy("cluster").orderBy("start_date", "row_id")
+    states = states.withColumn("_until", F.lead(F.struct("start_date", "row_id")).over(order))
+    left = states.select(F.col("row_id").alias("l_id"), F.col("start_date").alias("l_start"), F.col("c_end").alias("l_end"), F.col("c_lat").alias("l_lat"), F.col("c_lon").alias("l_lon"))
+    right = rows.select(F.col("row_id").alias("r_id"), F.col("start_date").alias("r_start"), F.col("start_date").alias("r_end"), F.col("lat").alias("r_lat"), F.col("lon").alias("r_lon"))
+    pairs = joins.spacetime_pairs(left, right, max_km, days)
+    pairs = pairs.join(states.select(F.col("row_id").alias("l_id"), F.col("group").alias("u"), F.struct("start_date", "row_id").alias("_from"), "_until"), "l_id")
+    pairs = pairs.join(rows.select(F.col("row_id").alias("r_id"), F.col("group").alias("v"), F.struct("start_date", "row_id").alias("_at")), "r_id")
+    return pairs.where((F.col("u") != F.col("v")) & (F.col("_at") > F.col("_from")) & (F.col("_until").isNull() | (F.col("_at") < F.col("_until")))).select("u", "v").distinct()
 
 
 def _greedy(pdf: pd.DataFrame, days: int, max_km: float) -> pd.DataFrame:
@@ -88,8 +115,8 @@ def _greedy(pdf: pd.DataFrame, days: int, max_km: float) -> pd.DataFrame:
             open_.append(home)
         n = home["n"]
         home |= {"n": n + 1, "lat": (home["lat"] * n + r.lat) / (n + 1), "lon": (home["lon"] * n + r.lon) / (n + 1), "start": min(home["start"], start), "end": max(home["end"], end)}
-        out.append((r.row_id, home["id"]))
-    return pd.DataFrame(out, columns=["row_id", "cluster"])
+        out.append((r.row_id, pdf["group"].iloc[0], home["id"], r.start_date, home["end"].date(), home["lat"], home["lon"]))
+    return pd.DataFrame(out, columns=[c.split()[0] for c in _STATE.split(", ")])
 
 
 def enriched(floods: DataFrame, losses: DataFrame, days: int = 14, tiers_km: tuple[float, ...] = (200.0, 800.0, 3200.0)) -> DataFrame:

@@ -175,6 +175,7 @@ def footprint_cells(steps: DataFrame, res_deg: float) -> DataFrame:
 def capsules(steps: DataFrame) -> DataFrame:
     """Footprints for tracks without any: circles of the track's union radius about its points, at most 20 km apart."""
     params = adaptive_params(steps)
+    steps = sequence.unwrapped(steps, ["sid"], STEP_ORDER).withColumn("lon", F.col("lon_unwrapped"))  # the short way over the antimeridian
     far = geo.haversine_km(F.col("lat"), F.col("lon"), F.col("_y2"), F.col("_x2"))
     points = sequence.densified(steps, "sid", STEP_ORDER, 20.0, "lon", "lat", far).select("sid", F.col("y").alias("lat"), F.col("x").alias("lon"))
     points = points.unionByName(steps.select("sid", "lat", "lon")).join(params, "sid")
