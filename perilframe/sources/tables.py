@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,16 +93,18 @@ def find_column(columns: list[str], wanted: list[str]) -> str | None:
     return None
 
 
-def safe_names(columns: list[str], longest: int = 60) -> list[str]:
-    """Field names for writers: letters, digits and _, no leading digit, distinct whatever their case."""
+def safe_names(columns: list[str], longest: int = 60, prefer: list[str] = CANONICAL) -> list[str]:
+    """Field names for writers: words of letters, digits and single ``_``, no leading digit (``f_`` comes before it), distinct
+    whatever their case. Of names that clash, a later canonical one is numbered from 2 on, any other is marked as raw."""
     out: list[str] = []
     for c in columns:
-        base = re.sub("[^0-9A-Za-z_]", "_", c)[:longest] or "field"
-        base = f"_{base}"[:longest] if base[0].isdigit() else base
-        name, k = base, 1
-        while name.lower() in {o.lower() for o in out}:
-            tail = "_raw" if k == 1 else f"_raw{k}"
-            name, k = base[: longest - len(tail)] + tail, k + 1
+        words = [w for w in re.split(r"[\W_]+", c) if w]
+        base = "_".join(words) or "field"
+        base = (f"f_{base}" if base[0].isdigit() else base)[:longest]
+        taken, tails = {o.lower() for o in out}, itertools.count(2)
+        name = base if base.lower() not in taken or c in prefer else f"{base}_raw"
+        while name.lower() in taken:
+            name = f"{base}_{next(tails)}" if c in prefer else f"{base}_raw{next(tails)}"
         out.append(name)
     return out
 

@@ -132,4 +132,4 @@ def test_quake_ellipse_area_and_disc_cover(spark):
 
 def test_names():
     assert T.find_column(["Event ID", "Lat."], ["eventid"]) == "Event ID" and T.find_column(["a"], ["b"]) is None
-    assert T.safe_names(["a b", "A_b", "1x", "a.b"]) == ["a_b", "A_b_raw", "_1x", "a_b_raw2"]
+    assert T.safe_names(["a b", "A_b", "1x", "a.b", "__x -- y_", "...", "Band", "band"]) == ["a_b", "A_b_raw", "f_1x", "a_b_raw2", "x_y", "field", "Band", "band_2"]
