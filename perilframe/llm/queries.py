@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from perilframe.llm import bpe, chat, fingerprints, lexical, media, mixing, negatives, secret_scan, sharding, simhash, toxicity, urls
+from perilframe.llm import bpe, chat, fingerprints, lexical, media, mixing, negatives, secret_scan, setjoin, sharding, simhash, toxicity, urls
 from perilframe.llm.common import table
 
 
@@ -25,10 +25,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": lambda s, d: toxicity.scored(docs(s, d), table(s, d, "labels")),
         "op9_chat_perspectives": lambda s, d: chat.rotated(table(s, d, "conversations")),
         "op10_slot_sharding": lambda s, d: sharding.digest(docs(s, d)),
+        "op11_partition_join": lambda s, d: setjoin.joined(docs(s, d)),
         "op12_hard_negatives": lambda s, d: negatives.mined(table(s, d, "embeddings")),
         "op13_reversed_search": lambda s, d: lexical.ranked(docs(s, d), table(s, d, "benchmark")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_temperature_mixing": mixing.SQL, "op9_chat_perspectives": chat.SQL, "op12_hard_negatives": negatives.SQL, "op13_reversed_search": lexical.SQL}
+    return {"op1_temperature_mixing": mixing.SQL, "op9_chat_perspectives": chat.SQL, "op11_partition_join": setjoin.SQL, "op12_hard_negatives": negatives.SQL, "op13_reversed_search": lexical.SQL}

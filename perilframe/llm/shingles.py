@@ -1,11 +1,15 @@
-"""Near-duplicates by the exact Jaccard similarity of 5-word shingle sets, of which every link of at least 4/5 is kept.
+"""Links between documents by the exact Jaccard similarity of their sets of word shingles.
+
+An index gives lists of sets that may be alike: here a prefix filter over 5-word shingles for links of at least 4/5, in ``setjoin``
+a partition of the universe. As components are wanted, not pairs, ``settled`` never joins a list with itself at first: in rounds, every
+list that still holds several components has its members compared with one leader, which then leaves the list, as all its
+pairs are known. Pairs of different components that are left when lists are short, or after ROUNDS rounds, are joined, under a bitmap filter: a set's bitmap has for
+each of its bits the parity of the number of shingles there, so two bitmaps differ in at most as many bits as the sets
+in shingles, and what differs in more than the similarity allows isn't a pair. No filter loses a link; every link is verified on whole texts.
 
 Prefix filter: in any one order of all shingles, two sets of similarity s share a shingle among the first
 n - ceil(s * n) + 1 of each. The order here is by count in a sample of the documents, then by hash, so that what many
-documents share comes last; a poor sample costs candidates, never links. A list holds the sets that have a shingle in
-their prefix. Links that are known already (``simhash.near_duplicates`` finds most) leave only lists with several components:
-their members are first compared with one leader of the list, then those pairs are left whose ends still aren't in one
-component, since only components are wanted. Every link is verified on whole texts.
+documents share comes last; a poor sample costs candidates, never links.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perilframe.llm.common import mapped, of_hashes, slices, whole_text, written
@@ -22,6 +26,7 @@ from perilframe.network import components
 WORDS, NUM, DEN = 5, 4, 5
 SAMPLE, MOST_COMMON = 16, 50_000
 BUCKETS = 1 << 20
+ROUNDS, SHORT_LIST, BITMAP = 4, 16, 1024
 
 
 def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
@@ -33,6 +38,12 @@ def shingle_set(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(np.array([one(join(s)) for s in zip(*(w[i:] for i in range(words)))] or [one(join(w))], np.uint64))
 
 
+def parity_bitmap(h: np.ndarray) -> np.ndarray:
+    """BITMAP bits as longs: the parity of the number of hashes that fall on each."""
+    odd = np.bincount((h % np.uint64(BITMAP)).astype(np.int64), minlength=BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Hashes (sorted) and counts of shingles seen in several of a sample of the distinct texts; at most MOST_COMMON."""
     texts = docs.select(whole_text().alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
@@ -49,14 +60,20 @@ def common_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return h[order], n[order]
 
 
+def lists_of(arrays: list[np.ndarray]) -> pa.ListArray:
+    """Arrays of longs as an Arrow column."""
+    ends = np.cumsum([0, *map(len, arrays)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *arrays])))
+
+
 def prefixes(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, g, fp, n, hub, tokens): hash of the text, hash, SimHash and size of its shingle set, thousandths of common
-    shingles, prefix."""
+    """(doc_id, th, g, fp, n, hub, bits, tokens): hash of the text, hash, SimHash and size of its shingle set, thousandths of common
+    shingles, bitmap, prefix."""
     common, counts = common_shingles(docs)
 
     def run(batches):
         for b in (s for batch in batches for s in slices(batch)):
-            g, fp, size, hub, tokens = [], [], [], [], []
+            g, fp, size, hub, bits, tokens = [], [], [], [], [], []
             for t in b.column(2).to_pylist():
                 h = shingle_set(t)
                 n, c = len(h), np.zeros(len(h), np.int64)
@@ -68,23 +85,22 @@ def prefixes(docs: DataFrame) -> DataFrame:
                 fp.append(of_hashes(h.astype(">u8")) if n else 0)
                 size.append(n)
                 hub.append(int(1000 * (c > 0).mean()) if n else 0)
+                bits.append(parity_bitmap(h))
                 tokens.append(h[np.lexsort((h, c))][:first].view(np.int64))
-            ends = np.cumsum([0, *map(len, tokens)], dtype=np.int32)
-            flat = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(tokens)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (g, fp)), pa.array(size, pa.int32()), pa.array(hub, pa.int32()), flat],
-                names=["doc_id", "th", "g", "fp", "n", "hub", "tokens"],
+                [b.column(0), b.column(1), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (g, fp)), pa.array(size, pa.int32()), pa.array(hub, pa.int32()), lists_of(bits), lists_of(tokens)],
+                names=["doc_id", "th", "g", "fp", "n", "hub", "bits", "tokens"],
             )
 
     text = whole_text()
-    return mapped(docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("th"), text.alias("text")), run, "doc_id long, th long, g long, fp long, n int, hub int, tokens array<long>")
+    return mapped(docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("th"), text.alias("text")), run, "doc_id long, th long, g long, fp long, n int, hub int, bits array<long>, tokens array<long>")
 
 
-def _possible(x: str, y: str):
-    """Whether two sets that share a shingle at ``pos`` of each can reach the similarity: by sizes and by what can follow."""
+def within_prefixes(x: str, y: str):
+    """Whether two sets that share a shingle at ``pos`` of each can reach the similarity by what can follow."""
     nx, ny, i, j = (F.col(f"{side}.{c}") for c in ("n", "pos") for side in (x, y))
     most = F.least(i, j) + 1 + F.least(nx - i - 1, ny - j - 1)
-    return (F.least(nx, ny) * DEN >= F.greatest(nx, ny) * NUM) & (most * (NUM + DEN) >= (nx + ny) * NUM)
+    return most * (NUM + DEN) >= (nx + ny) * NUM
 
 
 def _bucket(th: str):
@@ -100,8 +116,8 @@ def texts_of(docs: DataFrame, sets: DataFrame, pairs: DataFrame) -> DataFrame:
     return written(near.join(wanted, "th").select("g", "text").dropDuplicates(["g"]), "texts")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) whose texts have a Jaccard similarity of at least NUM / DEN. texts: g, text."""
+def verified(pairs: DataFrame, texts: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Those of the pairs (a, b) whose texts have a Jaccard similarity of at least num / den. texts: g, text."""
 
     def run(batches):
         for b in (s for batch in batches for s in slices(batch)):
@@ -109,49 +125,96 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             for ids, at in ((x, 2), (y, 3)):
                 for g, t in zip(ids.to_pylist(), b.column(at)):
                     if g not in sets:
-                        sets[g] = shingle_set(t.as_py())
+                        sets[g] = shingle_set(t.as_py(), words)
             both = [(sets[p], sets[q]) for p, q in zip(x.to_pylist(), y.to_pylist())]
-            keep = [len(np.intersect1d(p, q, assume_unique=True)) * (NUM + DEN) >= (len(p) + len(q)) * NUM for p, q in both]
+            keep = [len(np.intersect1d(p, q, assume_unique=True)) * (num + den) >= (len(p) + len(q)) * num for p, q in both]
             yield pa.RecordBatch.from_arrays([x, y], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     rows = pairs.join(texts.select(F.col("g").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("g").alias("b"), F.col("text").alias("tb")), "b")
     return mapped(rows.select("a", "b", "ta", "tb"), run, "a long, b long")
 
 
-def completed(docs: DataFrame, base: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """(doc_id, th, cluster): for every row the hash of its text and the component that links of at least 4/5 reach.
+def parts(links: DataFrame) -> DataFrame:
+    """(a, b): each linked set with the component it is in; as links, they keep the components and are one for a set."""
+    return components(links, "a", "b").where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
 
-    base, sets: from ``prefixes``, and its distinct sets; links (a, b): verified ones that are known. Equal sets are one node.
-    Texts without words are one cluster.
+
+def several(listed: DataFrame) -> DataFrame:
+    """The rows of lists with several members, of which one may lead."""
+    kept = listed.groupBy("token").agg(F.count(F.lit(1)).alias("members"), F.max("leads").alias("led")).where("members > 1 AND led").select("token")
+    return written(listed.join(kept, "token"), "lists")
+
+
+def _open(listed: DataFrame, part: DataFrame) -> DataFrame:
+    """Lists with members of several components, c being a member's component."""
+    rows = written(listed.join(part.withColumnRenamed("a", "g"), "g", "left").withColumn("c", F.coalesce("b", "g")).drop("b"), "members")
+    kept = rows.groupBy("token").agg(F.min("c").alias("_first"), F.max("c").alias("_last"), F.max("leads").alias("_led")).where("_first != _last AND _led").select("token")
+    return rows.join(kept, "token")
+
+
+def settled(docs: DataFrame, sets: DataFrame, listed: DataFrame, links: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, possible=None) -> DataFrame:
+    """(a, b): every set that is linked with another, and its component.
+
+    sets: g, th, n, bits, hub (leaders have a large one); listed: token, g, leads (boolean) and what ``possible`` looks at, a row for a set
+    in a list; of two linked sets at least one leads in a list that holds both. links (a, b): verified ones that are known.
+    possible(x, y): a further condition on two members of a list.
     """
-    by = Window.partitionBy("token")
+    if not possible:
+        def possible(x, y):
+            return F.lit(True)
 
-    def parts(known: DataFrame) -> DataFrame:
-        """(a, b): each linked set with the component it is in; as links, they keep the components and are one for a set."""
-        return components(known, "a", "b").where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    extra = [c for c in listed.columns if c not in ("token", "g", "leads")]
+    listed = written(several(listed).join(sets.select("g", "n", "hub"), "g"), "sized-lists")
+    member = ["g", "n", *extra, "c"]
 
-    def open_lists(part: DataFrame, listed: DataFrame) -> DataFrame:
-        """Lists with members of several components, c being a member's component."""
-        rows = listed.join(part.withColumnRenamed("a", "g"), "g", "left").withColumn("c", F.coalesce("b", "g")).drop("b")
-        return written(rows.withColumn("_open", F.min("c").over(by) != F.max("c").over(by)).where("_open").drop("_open"), "open-lists")
+    def sizes(x, y):
+        return F.least(f"{x}.n", f"{y}.n") * den >= F.greatest(f"{x}.n", f"{y}.n") * num
 
-    links = parts(links)
-    listed = open_lists(links, sets.select("g", "n", "hub", F.posexplode("tokens").alias("pos", "token")))
-    lead = F.min(F.struct((-F.col("hub")).alias("hub"), "g", "n", "pos", "c")).over(by).alias("x")
-    star = listed.select(lead, F.struct("g", "n", "pos", "c").alias("y")).where("x.c != y.c")
-    star = written(star.where(_possible("x", "y")).select(F.col("x.g").alias("a"), F.col("y.g").alias("b")).distinct(), "star")
-    links = parts(links.union(written(verified(star, texts_of(docs, sets, star)), "star-links")))
+    def bitmaps(x, y):
+        differ = sum((F.bit_count(F.col(f"{x}.bits")[i].bitwiseXOR(F.col(f"{y}.bits")[i])) for i in range(BITMAP // 64)), F.lit(0))
+        return differ * (num + den) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (den - num)
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        return written(verified(pairs, texts_of(docs, sets, pairs), words, num, den), "verified")
 
-    rest = open_lists(links, listed.select("token", "g", "n", "pos"))
+    tried, marks = None, sets.select("g", "n", "bits")
+    links = parts(links)
+    rows = _open(listed, links)
+    for k in range(ROUNDS):
+        lead = rows.where("leads").groupBy("token").agg(F.min(F.struct((-F.col("hub")).alias("hub"), *member)).alias("x"))
+        rows = written(rows.join(lead, "token").join(rows.groupBy("token").agg(F.count(F.lit(1)).alias("members")), "token"), "led")
+        if rows.where(F.col("members") > (SHORT_LIST if k else 0)).isEmpty():
+            break
+        star = rows.select("x", F.struct(*member).alias("y")).where(F.col("x.c") != F.col("y.c")).where(sizes("x", "y") & possible("x", "y"))
+        star = star.select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b")).distinct()
+        star = star if tried is None else star.join(tried, ["a", "b"], "left_anti")
+        near = star.join(marks.select(F.col("g").alias("a"), F.struct("n", "bits").alias("x")), "a").join(marks.select(F.col("g").alias("b"), F.struct("n", "bits").alias("y")), "b")
+        near = written(near.where(bitmaps("x", "y")).select("a", "b"), "near")
+        tried = near if tried is None else tried.unionByName(near)
+        rows = rows.where("g != x.g").drop("x", "members")
+        if not near.isEmpty():
+            links = parts(links.union(checked(near)))
+            rows = rows.drop("c")
+            rows = _open(rows, links)
+
+    rest = written(rows.join(sets.select("g", "bits"), "g"), "open-lists")
+    if rest.isEmpty():
+        return links
     x, y = rest.alias("x"), rest.alias("y")
-    found = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c")) & _possible("x", "y"))
-    found = found.groupBy(F.col("x.g").alias("a"), F.col("y.g").alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.first("x.n").alias("na"), F.first("y.n").alias("nb"))
-    # of the one set whose prefix ends first, every shared shingle of an open list is counted or lies behind its prefix
-    behind = F.greatest(*(F.floor((F.col(n) * NUM + DEN - 1) / DEN) - 1 for n in ("na", "nb")))
-    found = found.where((F.col("shared") + behind) * (NUM + DEN) >= (F.col("na") + F.col("nb")) * NUM).select("a", "b")
-    tried = star.union(star.select("b", "a"))
-    pairs = written(found.join(tried, ["a", "b"], "left_anti"), "open-pairs")
-    final = parts(links.union(written(verified(pairs, texts_of(docs, sets, pairs)), "open-links"))).withColumnRenamed("a", "g")
+    meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.leads") | F.col("y.leads")) & sizes("x", "y") & possible("x", "y") & bitmaps("x", "y")
+    found = x.join(y, meets).select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b")).distinct()
+    pairs = written(found if tried is None else found.join(tried, ["a", "b"], "left_anti"), "open-pairs")
+    return links if pairs.isEmpty() else parts(links.union(checked(pairs)))
+
+
+def completed(docs: DataFrame, base: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, th, cluster): for every row the hash of its text and the component that links of at least 4/5 reach.
+
+    base, sets: from ``prefixes``, and its distinct sets; links (a, b): verified ones that are known. Equal sets are one node.
+    Texts without words are one cluster.
+    """
+    listed = sets.select("g", F.lit(True).alias("leads"), F.posexplode("tokens").alias("pos", "token"))
+    final = settled(docs, sets, listed, links, possible=within_prefixes).withColumnRenamed("a", "g")
     return base.select("doc_id", "th", "g").join(final, "g", "left").select("doc_id", "th", F.coalesce("b", "g").alias("cluster"))
 
 

@@ -153,7 +153,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one document, that of the smallest doc_id, of each component of links of 5-word Jaccard similarity of at
     least 4/5, all of them found. Texts without words are one component; of fully repeated rows one stays; nulls count as empty."""
     base = written(shingles.prefixes(docs), "shingle-sets")
-    sets = written(base.select("g", "fp", "th", "n", "hub", "tokens").dropDuplicates(["g"]), "distinct-sets")
+    sets = written(base.select("g", "fp", "th", "n", "hub", "bits", "tokens").dropDuplicates(["g"]), "distinct-sets")
     groups = written(sets.groupBy("fp").agg(F.min("g").alias("rep")), "groups")
     reps = groups.select(F.col("fp").alias("a"), F.col("rep").alias("u"))
     pairs = led(groups.select("fp")).join(reps, "a").select("u", F.col("b").alias("a")).join(reps.withColumnRenamed("u", "v"), "a").select("u", "v")
