@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from perilframe.io import written
 from perilframe.operators.joins import near_pairs
@@ -48,19 +49,60 @@ def part_edges(nodes: DataFrame, lengths: DataFrame) -> DataFrame:
     return both.where("u != v").groupBy("u", "v").agg(F.min("length_m").alias("cost"))
 
 
-def distances(edges: DataFrame, sources: DataFrame, cap: float, hops: int) -> DataFrame:
-    """(source, node, cost): the least cost over at most ``hops`` edges, if not above ``cap``; a source reaches itself at 0.
+def shortest(edges: DataFrame, sources: DataFrame, cap: float, keys: list[str] = [], shared: DataFrame | None = None, stop: Column | None = None) -> DataFrame:
+    """(keys, source, node, cost, path): the least cost from each source, if not above ``cap``, and the nodes of the way there, both
+    ends included; of equal costs the least path. A source reaches itself at 0.
 
-    Every round joins only the pairs that the last one found or improved, is written to the shared folder, and ends the walk
-    when there are none. edges: u, v, cost (above 0); sources: source.
+    edges: keys, u, v, cost; shared: u, v, cost of edges that hold for all keys; sources: keys, source. Every round joins only
+    the pairs that the last one found or improved, and is written to the shared folder; as long as a pair improves there is
+    another one, so no way is cut short by its number of edges. stop: a condition on (keys, source, node); such nodes are reached, but not passed.
     """
-    best = sources.select("source", F.col("source").alias("node"), F.lit(0.0).alias("cost"), F.lit(True).alias("fresh")).distinct()
-    for _ in range(hops):
-        step = best.where("fresh").select("source", F.col("node").alias("u"), F.col("cost").alias("so_far")).join(edges, "u")
-        step = step.select("source", F.col("v").alias("node"), (F.col("so_far") + F.col("cost")).alias("cost")).where(F.col("cost") <= cap)
-        both = best.select("source", "node", "cost", F.col("cost").alias("was")).union(step.withColumn("was", F.lit(None).cast("double")))
-        best = both.groupBy("source", "node").agg(F.min("cost").alias("cost"), F.min("was").alias("was"))
-        best = written(best.select("source", "node", "cost", (F.col("was").isNull() | (F.col("cost") < F.col("was"))).alias("fresh")), "distances")
+    found = sources.select(*keys, "source").distinct()
+    best = found.select(*keys, "source", F.col("source").alias("node"), F.lit(0.0).alias("cost"), F.array("source").alias("path"), F.lit(True).alias("fresh"))
+    pair = [*keys, "source", "node"]
+    while True:
+        last = best.where("fresh")
+        if stop is not None:
+            last = last.where((F.col("node") == F.col("source")) | ~stop)
+        last = last.select(*keys, "source", F.col("node").alias("u"), F.col("cost").alias("so_far"), "path")
+        step = last.join(edges, [*keys, "u"])
+        if shared is not None:
+            step = step.unionByName(last.join(shared, "u"))
+        step = step.select(*keys, "source", F.col("v").alias("node"), F.struct((F.col("so_far") + F.col("cost")).alias("cost"), F.concat("path", F.array("v")).alias("path")).alias("way")).where(F.col("way.cost") <= cap)
+        both = best.select(*pair, F.struct("cost", "path").alias("way"), F.col("cost").alias("was")).unionByName(step.withColumn("was", F.lit(None).cast("double")))
+        best = both.groupBy(*pair).agg(F.min("way").alias("way"), F.min("was").alias("was"))
+        best = written(best.select(*pair, "way.*", (F.col("was").isNull() | (F.col("way.cost") < F.col("was"))).alias("fresh")), "ways")
         if best.where("fresh").isEmpty():
-            break
-    return best.select("source", "node", "cost")
+            return best.drop("fresh")
+
+
+def station_edges(points: DataFrame, nodes: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(event_id, u, v, cost) both ways: each part that holds points of an event, cut at them; neighbours along the part are linked.
+
+    points: event_id, node (0 or more), part_id, station_m; nodes: as from ``stitched_nodes``, here as -1 - node, so that the
+    two kinds don't mix; lengths: part_id, length_m. Stations beyond a part's ends count as its ends.
+    """
+    held = points.join(lengths, "part_id").select("event_id", "part_id", "node", F.least("length_m", F.greatest(F.lit(0.0), "station_m")).alias("at"))
+    ends = held.select("event_id", "part_id").distinct().join(nodes, "part_id").join(lengths, "part_id")
+    ends = ends.select("event_id", "part_id", (-1 - F.col("node")).alias("node"), F.when(F.col("end") == 0, 0.0).otherwise(F.col("length_m")).alias("at"), (F.col("end") * 2).alias("side"))
+    order = Window.partitionBy("event_id", "part_id").orderBy("at", "side", "node")
+    rows = held.withColumn("side", F.lit(1)).unionByName(ends).withColumn("v", F.lead("node").over(order)).withColumn("cost", F.lead("at").over(order) - F.col("at"))
+    both = rows.where("v IS NOT NULL AND v != node").select("event_id", F.inline(F.array(F.struct(F.col("node").alias("u"), "v", "cost"), F.struct(F.col("v").alias("u"), F.col("node").alias("v"), "cost"))))
+    return both.groupBy("event_id", "u", "v").agg(F.min("cost").alias("cost"))
+
+
+def coast_edges(nodes: DataFrame, lengths: DataFrame) -> DataFrame:
+    """(u, v, cost) of whole parts between their ends, as ``station_edges`` names them."""
+    return part_edges(nodes, lengths).select((-1 - F.col("u")).alias("u"), (-1 - F.col("v")).alias("v"), "cost")
+
+
+def station_distances(points: DataFrame, sources: DataFrame, nodes: DataFrame, lengths: DataFrame, cap: float) -> DataFrame:
+    """(event_id, source, node, cost): along the coast between an event's points, if not above ``cap``. points: as in
+    ``station_edges``; sources: event_id, source, some of the points."""
+    edges, shared = written(station_edges(points, nodes, lengths), "station-edges"), written(coast_edges(nodes, lengths), "coast-edges")
+    return shortest(edges, sources, cap, ["event_id"], shared).where("node >= 0").select("event_id", "source", "node", "cost")
+
+
+def distances(edges: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
+    """(source, node, cost): the least cost between nodes, if not above ``cap``. edges: u, v, cost; sources: source."""
+    return shortest(edges, sources, cap).select("source", "node", "cost")

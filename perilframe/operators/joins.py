@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from perilframe.functions.geo import haversine_km, own_cell, reached_cells
+from perilframe.io import written
 
 #: Intervals of more months than this go to a side branch of their own (they would be exploded too far).
 LONG_MONTHS = 24
@@ -124,6 +125,11 @@ def segments(vertices: DataFrame, part: str = "part_id", seq: str = "seq", x: st
     return rows.withColumn("s0", F.coalesce(F.sum("length").over(along), F.lit(0.0)))
 
 
+def part_lengths(segs: DataFrame) -> DataFrame:
+    """(part_id, length_m) of parts given by ``segments``."""
+    return segs.groupBy("part_id").agg(F.sum("length").alias("length_m"))
+
+
 def _at(px, py) -> Column:
     """Share (0 to 1) of the segment at which it is nearest to a point."""
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
@@ -151,8 +157,8 @@ def snapped(points: DataFrame, segs: DataFrame, max_m: float, per_part: bool = F
 
 
 def nearest(points: DataFrame, segs: DataFrame, first_m: float = 50_000.0, tiers: int = 8) -> DataFrame:
-    """As ``snapped`` without a cap: misses are retried in cells of doubled size, then, if any are left, against each part's
-    segments whole. Returns (pt_id, part_id, station_m, distance_m)."""
+    """As ``snapped`` in tiers: what is missed is tried again within four times the distance, at most ``tiers`` times; beyond the last
+    distance (first_m * 4 ** (tiers - 1), more than the globe's girth by default) there is no row. Returns (pt_id, part_id, station_m, distance_m)."""
     out, left, reach = None, points, first_m
     for k in range(tiers):
         found = snapped(left, segs, reach)
@@ -180,17 +186,41 @@ def asof_nearest(samples: DataFrame, observed: DataFrame, keys: list[str], at: s
     return rows.where("_kind = 1").withColumn(value, closer).select(*samples.columns, value)
 
 
-def first_hits(origins: DataFrame, segs: DataFrame, step_deg: float = 1.0, max_m: float = 3_000_000.0) -> DataFrame:
+def first_hits(origins: DataFrame, segs: DataFrame, step_deg: float = 1.0, max_m: float = 3_000_000.0, first_m: float = 200_000.0) -> DataFrame:
     """First segment hit by each ray from an origin: event_id, bearing_deg, range_m, part_id, station_m; no row without a hit.
 
-    origins: event_id, ox, oy, in the segments' plane; bearings count from the x axis. Segments are exploded to the cells of
-    size ``max_m`` that their box touches, origins to the 3 x 3 cells round their own; a pair is exploded to the bearings that
-    the segment spans, and the nearest hit is taken before the shuffle as well as after. Ties go to the lower part, then
-    station; segments along a ray are hit at their neighbours' ends.
+    origins: event_id, ox, oy, in the segments' plane, and, if ranges differ, reach_m (at most ``max_m``); bearings count from the x
+    axis. The search goes in rings, each four times as wide as the last: a bearing with a hit in a ring is done, and an
+    origin whose bearings are all done, or whose reach ends there, meets no segment of the next ring. Ties go to the lower part, then station;
+    segments along a ray are hit at their neighbours' ends.
     """
-    cell = lambda v: F.floor(v / max_m).cast("long")
+    count = round(360 / step_deg)
+    reach = F.col("reach_m").cast("double") if "reach_m" in origins.columns else F.lit(float(max_m))
+    left = origins.select("event_id", "ox", "oy", F.least(reach, F.lit(float(max_m))).alias("reach_m"), F.sequence(F.lit(0), F.lit(count - 1)).alias("open"))
+    radius, out = min(first_m, max_m), None
+    while True:
+        hits = written(_hits_within(left, segs, step_deg, radius), "ray-hits")
+        out = hits if out is None else out.unionByName(hits)
+        if radius >= max_m:
+            break
+        done = hits.groupBy("event_id").agg(F.collect_set("k").alias("_done"))  # a bearing each at most
+        left = left.join(done, "event_id", "left").withColumn("open", F.array_except("open", F.coalesce("_done", F.array().cast("array<int>")))).drop("_done")
+        left = written(left.where((F.col("reach_m") > radius) & (F.size("open") > 0)), "open-rays")
+        if left.isEmpty():
+            break
+        radius = min(4.0 * radius, max_m)
+    return out.select("event_id", (F.col("k") * step_deg).alias("bearing_deg"), "range_m", "part_id", "station_m")
+
+
+def _hits_within(origins: DataFrame, segs: DataFrame, step_deg: float, radius: float) -> DataFrame:
+    """(event_id, k, range_m, part_id, station_m): the first hits of the open bearings of origins (event_id, ox, oy, reach_m, open) up to ``radius``.
+
+    Segments are exploded to the cells of that size that their box touches, origins to the 3 x 3 cells round their own; a pair is exploded
+    to the bearings that the segment spans, and the nearest hit is taken before the shuffle as well as after.
+    """
+    cell = lambda v: F.floor(v / radius).cast("long")
     around = F.sequence(F.lit(-1), F.lit(1))
-    near = origins.withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around)).select("event_id", "ox", "oy", (cell(F.col("ox")) + F.col("_dx")).alias("cx"), (cell(F.col("oy")) + F.col("_dy")).alias("cy"))
+    near = origins.withColumn("_dx", F.explode(around)).withColumn("_dy", F.explode(around)).select("event_id", "ox", "oy", "reach_m", "open", (cell(F.col("ox")) + F.col("_dx")).alias("cx"), (cell(F.col("oy")) + F.col("_dy")).alias("cy"))
     first = lambda axis: cell(F.least(f"{axis}1", f"{axis}2"))
     reach = segs.withColumn("cx", F.explode(F.sequence(first("x"), cell(F.greatest("x1", "x2"))))).withColumn("cy", F.explode(F.sequence(first("y"), cell(F.greatest("y1", "y2")))))
     ax, ay, dx, dy = F.col("x1") - F.col("ox"), F.col("y1") - F.col("oy"), F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
@@ -200,16 +230,15 @@ def first_hits(origins: DataFrame, segs: DataFrame, step_deg: float = 1.0, max_m
     start = F.degrees(F.atan2(ay, ax))
     turn = F.degrees(F.atan2(ax * (ay + dy) - ay * (ax + dx), ax * (ax + dx) + ay * (ay + dy)))
     lo, hi = start + F.least(F.lit(0.0), turn), start + F.greatest(F.lit(0.0), turn)
+    low, high = F.ceil(lo / step_deg - 1e-6).cast("int"), F.floor(hi / step_deg + 1e-6).cast("int")
     n = round(360 / step_deg)
-    ks = F.sequence(F.ceil(lo / step_deg - 1e-6).cast("long"), F.floor(hi / step_deg + 1e-6).cast("long"))
-    has = F.ceil(lo / step_deg - 1e-6) <= F.floor(hi / step_deg + 1e-6)
-    rays = both.where(has).withColumn("k", F.explode(ks)).withColumn("k", F.pmod("k", F.lit(n)))
+    rays = both.where(low <= high).withColumn("k", F.explode(F.sequence(low, high))).withColumn("k", F.pmod("k", F.lit(n))).where(F.array_contains("open", F.col("k")))
     cb, sb = F.cos(F.radians(F.col("k") * step_deg)), F.sin(F.radians(F.col("k") * step_deg))
     cross = F.nullif(cb * dy - sb * dx, F.lit(0.0))
     rays = rays.withColumn("range_m", (ax * dy - ay * dx) / cross).withColumn("_u", (ax * sb - ay * cb) / cross)
-    rays = rays.where((F.col("_u") >= -1e-9) & (F.col("_u") <= 1 + 1e-9) & (F.col("range_m") >= 0) & (F.col("range_m") <= max_m))
+    rays = rays.where((F.col("_u") >= -1e-9) & (F.col("_u") <= 1 + 1e-9) & (F.col("range_m") >= 0) & (F.col("range_m") <= F.least(F.lit(float(radius)), "reach_m")))
     best = F.min(F.struct("range_m", "part_id", (F.col("s0") + F.col("_u") * F.col("length")).alias("station_m"))).alias("b")
-    return rays.groupBy("event_id", "k").agg(best).select("event_id", (F.col("k") * step_deg).alias("bearing_deg"), "b.range_m", "b.part_id", "b.station_m")
+    return rays.groupBy("event_id", "k").agg(best).select("event_id", "k", "b.range_m", "b.part_id", "b.station_m")
 
 
 def near_pairs(left: DataFrame, right: DataFrame, max_m: float, extra: Column | None = None, keys: list[str] = []) -> DataFrame:

@@ -166,3 +166,14 @@ def longest_part(lengths: DataFrame, key: str) -> DataFrame:
     """(key, part_id, length_m): the longest part of each group, the first of equals."""
     best = F.max(F.struct("length_m", (-F.col("part_id")).alias("p"))).alias("b")
     return lengths.groupBy(key).agg(best).select(key, (-F.col("b.p")).alias("part_id"), F.col("b.length_m").alias("length_m"))
+
+
+def asof(rows: DataFrame, seen: DataFrame, keys: list[str], at: str, name: str, ahead: bool = False, strict: bool = False) -> DataFrame:
+    """Adds ``name``: a struct of the columns of the last row of ``seen`` (keys, _at, others) at or before each row's ``at``, or of the
+    first one at or after it (``ahead``); ``strict`` leaves out equal places. Null where there is none. Of several rows at one
+    place the greatest counts. A union and a window, no range join.
+    """
+    marks = seen.select(*keys, F.col("_at"), F.struct(*(c for c in seen.columns if c not in keys)).alias("_g")).groupBy(*keys, "_at").agg(F.max("_g").alias(name))
+    both = rows.withColumn("_at", F.col(at).cast("double")).withColumn("_kind", F.lit(1)).unionByName(marks.withColumn("_kind", F.lit(2 if strict else 0)), allowMissingColumns=True)
+    w = Window.partitionBy(*keys).orderBy(F.desc("_at") if ahead else F.asc("_at"), "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn(name, F.last(name, True).over(w)).where("_kind = 1").select(*rows.columns, name)

@@ -17,6 +17,7 @@ from perilframe.io import shared_dir
 from perilframe.operators import cover, joins, sequence
 from perilframe.plans import audit as A
 from perilframe.plans import flood as FL
+from perilframe.plans import infill
 from perilframe.plans import quake as QK
 from perilframe.plans import storm as ST
 from perilframe.plans import tsunami as TS
@@ -296,11 +297,6 @@ def temporal_overlap_semi(quake, loss):
     return joins.temporal_overlap_semi(A.quakes_as_left(quake), A.as_right(A.loss_records(loss), "earthquake")).select(c("l_id").alias("event_id"))
 
 
-@query(f"WITH {NL} SELECT event_id FROM fx_quake p WHERE EXISTS (SELECT 1 FROM nl q WHERE q.hazard = 'earthquake' AND p.eq_time <= q.start_date + 7 AND p.eq_time >= q.start_date - 7)", "fx_quake", "fx_loss")
-def temporal_overlap_semi_all(quake, loss):
-    return joins.temporal_overlap_semi(A.quakes_as_left(quake), A.as_right(A.loss_records(loss), "earthquake")).select(c("l_id").alias("event_id"))
-
-
 @query(f"WITH {NL} SELECT DISTINCT p.event_id FROM fx_quake p JOIN nl q ON {EQ} WHERE q.hazard = 'earthquake' AND q.lat IS NOT NULL", "fx_quake", "fx_loss")
 def spacetime_filter(quake, loss):
     right = A.as_right(A.loss_records(loss).where("lat IS NOT NULL"), "earthquake")
@@ -377,24 +373,12 @@ def quakes_in_loss_countries(quake, country, loss):
     return _in_country(quake, country.join(wanted, c("country_id") == c("_c"), "left_semi")).select("event_id", "iso3")
 
 
-@query("SELECT event_id, iso3 FROM fx_quake JOIN fx_country ON lon >= minx AND lon < maxx AND lat >= miny AND lat < maxy WHERE country_id IN (SELECT country_id FROM fx_loss WHERE disaster_type = 'Earthquake')", "fx_quake", "fx_country", "fx_loss")
-def quakes_in_loss_countries_all(quake, country, loss):
-    wanted = loss.where("disaster_type = 'Earthquake'").select(c("country_id").alias("_c")).distinct()
-    return _in_country(quake, country.join(wanted, c("country_id") == c("_c"), "left_semi")).select("event_id", "iso3")
-
-
 @query("SELECT row_id, source, o_orderpriority AS priority FROM fx_flood LEFT JOIN orders ON o_orderkey = row_id", "fx_flood", "orders")
 def attr_left_join(flood, orders):
     attrs = orders.select(c("o_orderkey").alias("_id"), c("o_orderpriority").alias("priority"))
     return flood.join(attrs, c("row_id") == c("_id"), "left").select("row_id", "source", "priority")
 
 
-@query("SELECT row_id, source, o_orderpriority AS priority FROM fx_flood LEFT JOIN orders ON o_orderkey = row_id", "fx_flood", "orders")
-def attr_left_join_all(flood, orders):
-    attrs = orders.select(c("o_orderkey").alias("_id"), c("o_orderpriority").alias("priority"))
-    return flood.join(attrs, c("row_id") == c("_id"), "left").select("row_id", "source", "priority")
-
-
 @query("""WITH e AS (SELECT row_id, unnest([row_id % 25, (row_id + 7) % 25]) AS code FROM fx_flood)
 SELECT row_id, count(*) AS regions, round(min(minx), 3) AS minx, round(max(maxx), 3) AS maxx FROM e JOIN fx_country ON country_id = code GROUP BY 1""", "fx_flood", "fx_country")
 def code_list_join(flood, country):
@@ -507,11 +491,6 @@ def coverage_gaps(runup, coast):
     return sequence.gaps(_runup_segments(runup, coast), ["event_id", "part_id"]).select("event_id", "part_id", F.round("g0", 3).alias("g0"), F.round("g1", 3).alias("g1"))
 
 
-@query(f"WITH {RSEG} SELECT event_id, part_id, round(s1, 3) AS g0, round(g1, 3) AS g1, CASE WHEN g1 - s1 <= 100000.0 THEN 'bridged' ELSE 'gap_over_cap' END AS reason FROM (SELECT *, lead(s0) OVER (PARTITION BY event_id, part_id ORDER BY s0) AS g1 FROM rseg) WHERE g1 IS NOT NULL", "fx_runup", "fx_coast_vertex")
-def infill_rulebased(runup, coast):
-    return TS.infill_rulebased(_runup_segments(runup, coast)).select("event_id", "part_id", F.round("g0", 3).alias("g0"), F.round("g1", 3).alias("g1"), "reason")
-
-
 CLUSTER = "cl AS (SELECT *, sum(CASE WHEN station_m - b <= 50000.0 THEN 0 ELSE 1 END) OVER (PARTITION BY event_id, part_id ORDER BY station_m RANGE UNBOUNDED PRECEDING) AS cluster FROM (SELECT *, lag(station_m) OVER (PARTITION BY event_id, part_id ORDER BY station_m) AS b FROM snap))"
 
 
@@ -520,20 +499,6 @@ def cluster_1d(runup, coast):
     return sequence.cluster_1d(TS.events_snapped(runup, coast), ["event_id", "part_id"], "station_m", 50_000.0).select("runup_id", "event_id", "part_id", c("cluster").cast("long").alias("cluster"))
 
 
-EVIDENCE = f"""WITH {RSEG}, {CLUSTER}, g AS (SELECT event_id, part_id, cluster, min(station_m) AS c0, max(station_m) AS c1, count(*) AS n FROM cl GROUP BY 1, 2, 3 HAVING count(*) > 1 AND max(station_m) > min(station_m)),
-v AS (SELECT g.*, coalesce((SELECT sum(greatest(0.0, least(s1, c1) - greatest(s0, c0))) FROM rseg WHERE rseg.event_id = g.event_id AND rseg.part_id = g.part_id), 0) / greatest(1.0, c1 - c0) AS cover FROM g)"""
-
-
-@query(EVIDENCE + " SELECT event_id, part_id, n, round(c0, 3) AS c0, round(c1, 3) AS c1, round(cover, 6) AS cover FROM v", "fx_runup", "fx_coast_vertex")
-def interval_coverage(runup, coast):
-    return TS.infill_evidence(TS.events_snapped(runup, coast), _runup_segments(runup, coast)).select("event_id", "part_id", "n", F.round("c0", 3).alias("c0"), F.round("c1", 3).alias("c1"), r6(c("cover")).alias("cover"))
-
-
-@query(EVIDENCE + " SELECT event_id, part_id, round(c0, 3) AS c0, cover >= 0.5 AS accepted FROM v", "fx_runup", "fx_coast_vertex")
-def infill_evidence(runup, coast):
-    return TS.infill_evidence(TS.events_snapped(runup, coast), _runup_segments(runup, coast)).select("event_id", "part_id", F.round("c0", 3).alias("c0"), "accepted")
-
-
 @query(f"""WITH {SNAP}, st AS (SELECT part_id, CAST(i AS INT) AS i, i * length_m / (n - 1) AS s FROM (SELECT *, unnest(range(0, n)) AS i FROM (SELECT *, greatest(2, CAST(ceil(length_m / 50000.0) AS BIGINT)) AS n FROM len)))
 SELECT st.part_id, st.i, round(coalesce(sum(h), 0), 6) AS weight FROM st LEFT JOIN snap ON snap.part_id = st.part_id AND snap.station_m BETWEEN s - 50000.0 AND s + 50000.0 GROUP BY 1, 2""", "fx_runup", "fx_coast_vertex")
 def hit_density(runup, coast):
@@ -699,13 +664,6 @@ def flood_enrich_best(flood, loss):
     return got.select("row_id", "rec_id", r6(c("km")).alias("km"))
 
 
-@query(f"""WITH {NL}, pr AS (SELECT p.row_id, q.rec_id, {HAV} AS km FROM fx_flood p JOIN nl q ON p.start_date <= q.start_date + 14 AND coalesce(p.end_date, p.start_date) >= q.start_date - 14 WHERE q.hazard = 'flood')
-SELECT row_id, coalesce(arg_min(rec_id, struct_pack(k := km, r := rec_id)) FILTER (km IS NOT NULL), min(rec_id)) AS rec_id, round(min(km), 6) AS km FROM pr GROUP BY 1""", "fx_flood", "fx_loss")
-def flood_enrich_all(flood, loss):
-    got = FL.enriched(flood, A.loss_records(loss).where("hazard = 'flood'"))
-    return got.select("row_id", "rec_id", r6(c("km")).alias("km"))
-
-
 FLOOD_PAIRS = f"""pr AS (SELECT p.row_id AS u, q.row_id AS v FROM fx_flood p JOIN fx_flood q ON p.row_id < q.row_id AND p.start_date <= coalesce(q.end_date, q.start_date) + 14 AND coalesce(p.end_date, p.start_date) >= q.start_date - 14 AND {HAV} <= 200.0)"""
 
 
@@ -797,7 +755,7 @@ pos AS (SELECT e.*, x1 + (s - s0) / len * (x2 - x1) AS x, y1 + (s - s0) / len *
 SELECT a.event_id, a.part_id AS right_part, round(a.s, 3) AS right_s, b.part_id AS left_part, round(b.s, 3) AS left_s, round(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)), 3) AS distance_m
 FROM pos a JOIN pos b ON a.event_id = b.event_id AND a.side = 'r' AND b.side = 'l' AND a.part_id <> b.part_id WHERE sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 250000.0""", "fx_runup", "fx_coast_vertex")
 def cross_part_pairs(runup, coast):
-    pairs = TS.cross_part_pairs(_runup_segments(runup, coast), joins.segments(coast), 250_000.0)
+    pairs = infill.cross_part_pairs(_runup_segments(runup, coast), joins.segments(coast), 250_000.0)
     return pairs.select("event_id", "right_part", F.round("right_s", 3).alias("right_s"), "left_part", F.round("left_s", 3).alias("left_s"), F.round("distance_m", 3).alias("distance_m"))
 
 
@@ -811,20 +769,9 @@ def coast_nodes(coast):
     return network.stitched_nodes(joins.segments(coast), 200_000.0)
 
 
-@query(f"""WITH RECURSIVE {NODES}, pe AS (SELECT part_id, arg_min(node, "end") AS u, arg_max(node, "end") AS v FROM nodes GROUP BY 1), ed AS (SELECT u, v, min(length_m) AS cost FROM (SELECT u, v, length_m FROM pe JOIN len USING (part_id) UNION ALL SELECT v, u, length_m FROM pe JOIN len USING (part_id)) WHERE u <> v GROUP BY 1, 2),
-w AS (SELECT DISTINCT node AS source, node, 0.0::DOUBLE AS cost, 0 AS hops FROM nodes UNION SELECT source, ed.v, w.cost + ed.cost, hops + 1 FROM w JOIN ed ON ed.u = w.node WHERE hops < 3 AND w.cost + ed.cost <= 3000000.0)
-SELECT CAST(source AS BIGINT) AS source, CAST(node AS BIGINT) AS node, round(min(cost), 3) AS cost_m FROM w GROUP BY 1, 2""", "fx_coast_vertex")
-def coast_distance(coast):
-    segs = joins.segments(coast)
-    nodes = network.stitched_nodes(segs, 200_000.0)
-    edges = network.part_edges(nodes, segs.groupBy("part_id").agg(F.sum("length").alias("length_m")))
-    found = network.distances(edges, nodes.select(c("node").alias("source")), 3_000_000.0, 3)
-    return found.select("source", "node", F.round("cost", 3).alias("cost_m"))
-
-
 @query(None, "fx_track")
 def track_hull(track):
     return ST.track_hull(ST.steps(track).select("sid", c("lon").alias("x"), c("lat").alias("y")))
 
 
-from perilframe.plans import layer_queries  # noqa: E402,F401  its queries register themselves
+from perilframe.plans import infill_queries, layer_queries  # noqa: E402,F401  their queries register themselves

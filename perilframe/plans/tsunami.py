@@ -8,19 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perilframe.functions import scalars as S
-from perilframe.io import shared_dir
+from perilframe.io import shared_dir, written
 from perilframe.operators import cover, joins, sequence
+from perilframe.plans import infill
 
 
-def runup_envelope(runups: DataFrame, bin_km: float = 250.0, q: float = 0.9, least_n: int = 10) -> DataFrame:
-    """(bin, n, d, q): quantile of heights in distance bins; a bin with few run-ups is merged with the next one.
+def runup_envelope(runups: DataFrame, bin_km: float = 250.0, q: float = 0.9, least_n: int = 10, keys: list[str] = []) -> DataFrame:
+    """(keys, bin, n, d, q): quantile of heights in distance bins; a bin with few run-ups is merged with the next one.
 
-    runups: d_km, h. The merge walks the bins in order (an ordered fold over a few dozen bins); heights of a merged pair
+    runups: keys, d_km, h. The merge walks the bins in order (an ordered fold over a few dozen bins); heights of a merged pair
     are pooled, so the quantile is of both.
     """
     rows = runups.where("d_km >= 0 AND h > 0").withColumn("bin", F.floor(F.col("d_km") / bin_km).cast("int"))
-    sizes = rows.groupBy("bin").agg(F.count(F.lit(1)).cast("int").alias("n"))
-    walk = sizes.agg(F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("v"))
+    sizes = rows.groupBy(*keys, "bin").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    walk = sizes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("v"))
 
     def fold(acc, x):
         last = F.element_at(acc, -1)
@@ -30,22 +31,24 @@ def runup_envelope(runups: DataFrame, bin_km: float = 250.0, q: float = 0.9, lea
         return F.concat(acc, F.array(F.struct(x["bin"].alias("bin"), x["n"].alias("n"), into.alias("into"), takes.alias("full"))))
 
     start = F.array().cast("array<struct<bin:int,n:int,into:int,full:boolean>>")
-    plan = walk.select(F.inline(F.aggregate("v", start, fold))).select("bin", "into")
-    pooled = rows.join(F.broadcast(plan), "bin").groupBy("into").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("bin").alias("bins"), F.expr(f"percentile(h, {q})").alias("q"))
+    plan = walk.select(*keys, F.inline(F.aggregate("v", start, fold))).select(*keys, "bin", "into")
+    pooled = rows.join(plan, [*keys, "bin"]).groupBy(*keys, "into").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("bin").alias("bins"), F.expr(f"percentile(h, {q})").alias("q"))
     kept = pooled.where((F.col("bins") > 1) | (F.col("n") >= least_n))
     d = (F.col("into") + 0.5 + (F.col("bins") - 1) * 0.5) * bin_km
-    return kept.select(F.col("into").alias("bin"), "n", d.alias("d"), "q")
+    return kept.select(*keys, F.col("into").alias("bin"), "n", d.alias("d"), "q")
 
 
-def decay_fit(envelope: DataFrame, least_h: float = 0.0) -> DataFrame:
-    """One row: slope, intercept, r2 of ln(q) over distance, R0 = 1/decay clamped to 500..5000 km, search radius 3 R0 clamped to
-    2000..10000; 1500 and 3000 where there are fewer than two bins or no decay."""
+def decay_fit(envelope: DataFrame, least_h: float = 0.0, keys: list[str] = [], among: DataFrame | None = None) -> DataFrame:
+    """One row, or one for each of ``keys``: slope, intercept, r2 of ln(q) over distance, R0 = 1/decay clamped to 500..5000 km, search radius 3 R0
+    clamped to 2000..10000; 1500 and 3000 where there are fewer than two bins or no decay. among: keys that get a row in any case."""
     y = F.log(F.col("q") + 1e-6)
-    fit = envelope.where(F.col("q") > least_h).agg(F.count(F.lit(1)).alias("bins"), F.regr_slope(y, F.col("d")).alias("slope"), F.regr_intercept(y, F.col("d")).alias("intercept"), F.regr_r2(y, F.col("d")).alias("r2"))
+    fit = envelope.where(F.col("q") > least_h).groupBy(*keys).agg(F.count(F.lit(1)).alias("bins"), F.regr_slope(y, F.col("d")).alias("slope"), F.regr_intercept(y, F.col("d")).alias("intercept"), F.regr_r2(y, F.col("d")).alias("r2"))
+    if among is not None:
+        fit = among.select(*keys).distinct().join(fit, keys, "left").withColumn("bins", F.coalesce("bins", F.lit(0)))
     ok = (F.col("bins") >= 2) & (F.col("slope") < 0)
     r0 = F.when(ok, F.greatest(F.lit(500.0), F.least(F.lit(5000.0), -1.0 / F.col("slope")))).otherwise(1500.0)
     search = F.when(ok, F.greatest(F.lit(2000.0), F.least(F.lit(10000.0), 3.0 * r0))).otherwise(3000.0)
-    return fit.select("bins", "slope", "intercept", "r2", r0.alias("r0_km"), search.alias("search_km"))
+    return fit.select(*keys, "bins", "slope", "intercept", "r2", r0.alias("r0_km"), search.alias("search_km"))
 
 
 def runup_segments(snapped: DataFrame, lengths: DataFrame, gap_m: float = 1000.0) -> DataFrame:
@@ -58,25 +61,6 @@ def runup_segments(snapped: DataFrame, lengths: DataFrame, gap_m: float = 1000.0
     return sequence.merge_intervals(rows.where("s1 > s0"), ["event_id", "part_id"], gap_m)
 
 
-def infill_rulebased(segments: DataFrame, cap_m: float = 100_000.0) -> DataFrame:
-    """Gaps between an event's segments on one part, bridged if at most ``cap_m`` long: event_id, part_id, g0, g1, reason."""
-    gaps = sequence.gaps(segments, ["event_id", "part_id"])
-    return gaps.withColumn("reason", F.when(F.col("g1") - F.col("g0") <= cap_m, "bridged").otherwise("gap_over_cap"))
-
-
-def infill_evidence(points: DataFrame, base: DataFrame, eps_m: float = 50_000.0, share: float = 0.5) -> DataFrame:
-    """Clusters of stations with the share of them that base intervals cover, and whether it is enough.
-
-    points: event_id, part_id, station_m; base: event_id, part_id, s0, s1 (disjoint). Clusters of one point are left out.
-    """
-    keys = ["event_id", "part_id"]
-    groups = sequence.cluster_1d(points, keys, "station_m", eps_m).groupBy(*keys, "cluster").agg(F.min("station_m").alias("c0"), F.max("station_m").alias("c1"), F.count(F.lit(1)).alias("n")).where("n > 1 AND c1 > c0")
-    covered = F.greatest(F.lit(0.0), F.least("s1", "c1") - F.greatest("s0", "c0"))
-    both = groups.join(base.select(*keys, "s0", "s1"), keys, "left").groupBy(*keys, "cluster", "c0", "c1", "n").agg(F.coalesce(F.sum(covered), F.lit(0.0)).alias("covered"))
-    cover = F.col("covered") / F.greatest(F.lit(1.0), F.col("c1") - F.col("c0"))
-    return both.select(*keys, "cluster", "c0", "c1", "n", cover.alias("cover"), (cover >= share).alias("accepted"))
-
-
 def events_snapped(runups: DataFrame, vertices: DataFrame, max_m: float = 25_000.0) -> DataFrame:
     """Run-ups on their nearest coast part: runup_id, event_id, part_id, station_m, distance_m, h."""
     pts = runups.select(F.col("runup_id").alias("pt_id"), F.col("x_m").alias("x"), F.col("y_m").alias("y"))
@@ -84,17 +68,6 @@ def events_snapped(runups: DataFrame, vertices: DataFrame, max_m: float = 25_000
     return runups.join(near, runups["runup_id"] == near["pt_id"]).select("runup_id", F.col("tsunami_event_id").alias("event_id"), "part_id", "station_m", "distance_m", F.col("runup_ht").alias("h"))
 
 
-def cross_part_pairs(segments: DataFrame, segs: DataFrame, max_m: float) -> DataFrame:
-    """Right ends of an event's segments with left ends on other parts at most ``max_m`` away: event_id, right_part, right_s,
-    left_part, left_s, distance_m. segments: event_id, part_id, s0, s1; segs: the parts' line segments."""
-    both = F.inline(F.array(F.struct(F.lit("l").alias("side"), F.col("s0").alias("station_m")), F.struct(F.lit("r").alias("side"), F.col("s1").alias("station_m"))))
-    at = sequence.located(segs, segments.select("event_id", "part_id", both).distinct())
-    right = at.where("side = 'r'").select("event_id", F.col("part_id").alias("right_part"), F.col("station_m").alias("right_s"), "x", "y")
-    left = at.where("side = 'l'").select("event_id", F.col("part_id").alias("left_part"), F.col("station_m").alias("left_s"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    pairs = joins.near_pairs(right, left, max_m, F.col("right_part") != F.col("left_part"), ["event_id"])
-    return pairs.select("event_id", "right_part", "right_s", "left_part", "left_s", "distance_m")
-
-
 def inland_cover(segments: DataFrame, snapped: DataFrame, segs: DataFrame, res_m: float, step_m: float = 250.0, land: DataFrame | None = None) -> DataFrame:
     """(event_id, cx, cy): cells within reach inland of an event's segments, by the nearest run-up height along the part.
 
@@ -150,30 +123,49 @@ def lines_of(segments: DataFrame, segs: DataFrame) -> DataFrame:
     return both.where("to_m > from_m").select("event_id", F.col("xa").alias("x1"), F.col("ya").alias("y1"), F.col("xb").alias("x2"), F.col("yb").alias("y2"))
 
 
-def layers(runups: DataFrame, vertices: DataFrame, res_m: float = 2000.0, max_snap_m: float = 25_000.0, step_deg: float = 1.0, sample_m: float = 250.0, conservative_km: float = 12.0, land: DataFrame | None = None) -> dict[str, DataFrame]:
+def event_origins(runups: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """(event_id, ox, oy): of each event with run-ups, the place that ``events`` gives (longitude and latitude before lon and lat, before x and y;
+    names in any case; of several rows the least), or else the mean of its run-ups. Ids compare as trimmed text."""
+    means = runups.groupBy(F.col("tsunami_event_id").alias("event_id")).agg(F.avg("x_m").alias("mx"), F.avg("y_m").alias("my"))
+    if events is None:
+        return means.select("event_id", F.col("mx").alias("ox"), F.col("my").alias("oy"))
+    names = {n.lower(): n for n in events.columns}
+    first = lambda *wanted: next((names[n] for n in wanted if n in names), None)
+    x, y, key = first("longitude", "lon", "x", "x_m"), first("latitude", "lat", "y", "y_m"), first("event_id", "id", "tsunamieventid")
+    if not (x and y and key):
+        raise ValueError("events need an id and two coordinates")
+    at = events.select(F.lower(F.trim(F.col(key).cast("string"))).alias("_key"), F.col(x).cast("double").alias("ex"), F.col(y).cast("double").alias("ey")).where("ex IS NOT NULL AND ey IS NOT NULL")
+    at = at.groupBy("_key").agg(F.min(F.struct("ex", "ey")).alias("e"))
+    rows = means.withColumn("_key", F.lower(F.trim(F.col("event_id").cast("string")))).join(at, "_key", "left")
+    return rows.select("event_id", F.coalesce("e.ex", "mx").alias("ox"), F.coalesce("e.ey", "my").alias("oy"))
+
+
+def layers(runups: DataFrame, vertices: DataFrame, res_m: float = 2000.0, max_snap_m: float = 25_000.0, step_deg: float = 1.0, sample_m: float = 250.0, conservative_km: float = 12.0, land: DataFrame | None = None, events: DataFrame | None = None, infill_cap_m: float = 250_000.0) -> dict[str, DataFrame]:
     """The layers of all tsunami events in one pass, ``event_id`` in each: origin, snapped and rejected run-ups, their segments
     and infill, ray hits and their segments, impact covers of both, their union, and a conservative cover about all segments.
 
-    The decay length is fitted on all events' run-ups; an event's origin is the mean of its run-ups.
+    An event's layers don't depend on the others: its decay length and search range are fitted on its own snapped run-ups by their distance
+    from its origin (see ``event_origins``). The infill is rule-based, with low run-ups and ray hits as amplifiers.
     """
-    segs = joins.segments(vertices)
-    lengths = segs.groupBy("part_id").agg(F.sum("length").alias("length_m"))
-    snapped = events_snapped(runups, vertices, max_snap_m)
-    origin = runups.groupBy(F.col("tsunami_event_id").alias("event_id")).agg((F.avg("x_m") + 0.5).alias("ox"), (F.avg("y_m") + 0.5).alias("oy"))
-    far = runups.join(origin, F.col("tsunami_event_id") == F.col("event_id")).select((F.hypot(F.col("x_m") - F.col("ox"), F.col("y_m") - F.col("oy")) / 1000.0).alias("d_km"), F.col("runup_ht").alias("h"))
-    fit = decay_fit(runup_envelope(far))
-    search = fit.first()["search_km"]  # one row
-    base = runup_segments(snapped, lengths)
-    infill = infill_rulebased(base).where("reason = 'bridged'").select("event_id", "part_id", F.col("g0").alias("s0"), F.col("g1").alias("s1"))
-    hits = joins.first_hits(origin, segs, step_deg, search * 1000.0)
-    weighted = hits.crossJoin(F.broadcast(fit.select("r0_km"))).withColumn("weight", S.decay_weight(F.col("range_m") / 1000.0, F.col("r0_km")))
-    every = base.select("event_id", "part_id", "s0", "s1").unionByName(infill)
+    segs = written(joins.segments(vertices), "coast-segments")
+    lengths = joins.part_lengths(segs)
+    snapped = written(events_snapped(runups, vertices, max_snap_m), "snapped")
+    origin = written(event_origins(runups, events), "origins")
+    near = snapped.select("runup_id", "h").join(runups, "runup_id").withColumnRenamed("tsunami_event_id", "event_id")
+    far = near.join(origin, "event_id").select("event_id", (F.hypot(F.col("x_m") - F.col("ox"), F.col("y_m") - F.col("oy")) / 1000.0).alias("d_km"), "h")
+    fit = written(decay_fit(runup_envelope(far, keys=["event_id"]), keys=["event_id"], among=origin), "decay")
+    base = written(runup_segments(snapped, lengths), "runup-segments")
+    hits = joins.first_hits(origin.join(fit.select("event_id", (F.col("search_km") * 1000.0).alias("reach_m")), "event_id"), segs, step_deg, 10_000_000.0)
+    found = infill.rulebased_decisions(base, infill.amplifiers(infill.low_runups(snapped), hits), infill_cap_m)
+    bridges = written(infill.rulebased_bridges(found), "infill")
+    weighted = hits.join(fit.select("event_id", "r0_km"), "event_id").withColumn("weight", S.decay_weight(F.col("range_m") / 1000.0, F.col("r0_km")))
+    every = base.select("event_id", "part_id", "s0", "s1").unionByName(bridges)
     ray_segments = hit_segments(hits, lengths)
     impact, ray_impact = inland_cover(every, snapped, segs, res_m, sample_m, land), hit_density_cover(weighted, segs, lengths, res_m, step_m=sample_m, land=land)
     both = base.select("event_id", "part_id", "s0", "s1").unionByName(ray_segments)
     return {
         "origin": origin, "runups_snapped": snapped, "runups_rejected": runups.join(snapped.select("runup_id"), "runup_id", "left_anti"),
-        "runups_segments": base, "runups_infill": infill, "runups_impact": impact, "rays_hits": hits, "rays_segments": ray_segments, "rays_impact": ray_impact,
+        "runups_segments": base, "runups_infill": bridges, "runups_impact": impact, "rays_hits": hits, "rays_segments": ray_segments, "rays_impact": ray_impact,
         "merged_impact": cover.union(impact.unionByName(ray_impact), ["event_id"]), "merged_conservative": buffer_on_land(lines_of(both, segs), res_m, conservative_km * 1000.0, land),
     }
 

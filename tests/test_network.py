@@ -4,6 +4,8 @@ import itertools
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from perilframe import network
 from perilframe.operators import joins
 from perilframe.plans import storm
@@ -48,10 +50,11 @@ def test_coast_network(spark):
     assert {(r.part_id, r.end): r.node for r in nodes.collect()} == {(0, 0): 0, (0, 1): 1, (1, 0): 1, (1, 1): 3, (2, 0): 0, (2, 1): 1, (3, 0): 6, (3, 1): 7}
     edges = network.part_edges(nodes, segs.groupBy("part_id").agg({"length": "sum"}).withColumnRenamed("sum(length)", "length_m"))
     source = spark.createDataFrame([(0,), (0,)], "source long")
-    found = lambda cap, hops: {r.node: round(r.cost, 6) for r in network.distances(edges, source, cap, hops).collect()}
-    assert found(100.0, 5) == {0: 0.0, 1: 10.0, 3: 19.5}
-    assert found(19.0, 5) == found(100.0, 1) == {0: 0.0, 1: 10.0}
-    assert network.distances(edges, source.where("false"), 1.0, 2).isEmpty()
+    found = lambda cap: {r.node: round(r.cost, 6) for r in network.distances(edges, source, cap).collect()}
+    assert found(100.0) == {0: 0.0, 1: 10.0, 3: 19.5} and found(19.0) == {0: 0.0, 1: 10.0}
+    ways = network.shortest(edges, source, 100.0, stop=F.col("node") == 1)
+    assert {r.node: r.path for r in ways.collect()} == {0: [0], 1: [0, 1]}
+    assert network.distances(edges, source.where("false"), 1.0).isEmpty()
 
 
 def test_track_hull(spark):
