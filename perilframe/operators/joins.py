@@ -92,16 +92,17 @@ def spacetime_pairs(left: DataFrame, right: DataFrame, max_km: float, tolerance_
     return placed.unionByName(timed).unionByName(overlap_pairs(left.where(l_has), right.where(~r_has), tolerance_days).select("l_id", "r_id"))
 
 
-def _placed_ids(left: DataFrame, right: DataFrame, max_km: float, tolerance_days: int, keep: str) -> DataFrame:
-    """Distinct ``keep`` ids that match; the time-only branches look at distinct intervals of the other side only."""
+def _placed_ids(left: DataFrame, right: DataFrame, max_km: float, tolerance_days: int, keep: str, keys: list[str] = []) -> DataFrame:
+    """Distinct ``keep`` ids (with the keys that both sides share) that match; the time-only branches look at distinct intervals of the other
+    side only. Left rows may have a reach of their own, ``reach_km``, at most ``max_km``."""
     l_has, r_has = F.col("l_lat").isNotNull() & F.col("l_lon").isNotNull(), F.col("r_lat").isNotNull() & F.col("r_lon").isNotNull()
-    near = haversine_km(F.col("l_lat"), F.col("l_lon"), F.col("r_lat"), F.col("r_lon")) <= max_km
+    near = haversine_km(F.col("l_lat"), F.col("l_lon"), F.col("r_lat"), F.col("r_lon")) <= (F.col("reach_km") if "reach_km" in left.columns else max_km)
     a = left.where(l_has).withColumn("cell", own_cell(F.col("l_lat"), F.col("l_lon"), max_km))
     b = right.where(r_has).withColumn("cell", F.explode(reached_cells(F.col("r_lat"), F.col("r_lon"), max_km)))
-    out = overlap_pairs(a, b, tolerance_days, near, ["cell"]).select(keep)
+    out = overlap_pairs(a, b, tolerance_days, near, [*keys, "cell"]).select(*keys, keep)
     l_cols, r_cols = (["l_id", "l_start", "l_end"], ["r_start", "r_end"]) if keep == "l_id" else (["l_start", "l_end"], ["r_id", "r_start", "r_end"])
     for x, y in ((left.where(~l_has), right), (left.where(l_has), right.where(~r_has))):
-        out = out.unionByName(overlap_pairs(x.select(l_cols).distinct(), y.select(r_cols).distinct(), tolerance_days).select(keep))
+        out = out.unionByName(overlap_pairs(x.select(*keys, *l_cols).distinct(), y.select(*keys, *r_cols).distinct(), tolerance_days, keys=keys).select(*keys, keep))
     return out.distinct()
 
 
@@ -111,9 +112,9 @@ def spacetime_filter(left: DataFrame, right: DataFrame, max_km: float = 250.0, t
     return left.join(ids, F.col("l_id") == F.col("_id"), "left_semi")
 
 
-def matched_ids(left: DataFrame, right: DataFrame, max_km: float = 250.0, tolerance_days: int = 7) -> DataFrame:
-    """(r_id) of rows of ``right`` that some row of ``left`` matches."""
-    return _placed_ids(left, right, max_km, tolerance_days, "r_id")
+def matched_ids(left: DataFrame, right: DataFrame, max_km: float = 250.0, tolerance_days: int = 7, keys: list[str] = []) -> DataFrame:
+    """(keys, r_id) of rows of ``right`` that some row of ``left`` with the same keys matches."""
+    return _placed_ids(left, right, max_km, tolerance_days, "r_id", keys)
 
 
 def segments(vertices: DataFrame, part: str = "part_id", seq: str = "seq", x: str = "x_m", y: str = "y_m") -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perilframe.functions import scalars as S
@@ -13,15 +16,16 @@ from perilframe.operators import joins
 PIPELINES = ("storm", "earthquake", "tsunami", "flood")
 
 
-def loss_records(raw: DataFrame) -> DataFrame:
+def loss_records(raw: DataFrame, member: Column | None = None) -> DataFrame:
     """Normalised loss records: rec_id, event_id, hazard, country_id, start_date, end_date, lat, lon, in_scope.
 
-    Day and month are clamped to real dates; in_scope is the member flag of the country.
+    Day and month are clamped to real dates; in_scope tells whether the country is a member: by its code in column ``iso3``, or by ``member``.
     """
+    member = S.is_member(F.col("iso3")) if member is None else member
     start = S.ymd_clamped(F.col("start_year"), F.col("start_month"), F.col("start_day"))
     return raw.select(
         "rec_id", S.norm_event_id(F.col("event_id_raw")).alias("event_id"), S.classify_hazard(F.col("disaster_type")).alias("hazard"), "country_id",
-        start.alias("start_date"), start.alias("end_date"), "lat", "lon", (F.col("country_id") < 13).alias("in_scope"),
+        start.alias("start_date"), start.alias("end_date"), "lat", "lon", F.coalesce(member, F.lit(False)).alias("in_scope"),
     )
 
 
@@ -62,18 +66,43 @@ def storms_as_left(tracks: DataFrame) -> DataFrame:
     return tracks.groupBy(F.col("sid").alias("l_id")).agg(F.min("iso_time").alias("l_start"), F.max("iso_time").alias("l_end"), F.avg("lat").alias("l_lat"), mean.alias("l_lon"))
 
 
-def audit(losses: DataFrame, quakes: DataFrame, floods: DataFrame, tracks: DataFrame, runups: DataFrame, quake_km: float = 200.0, other_km: float = 250.0) -> DataFrame:
-    """The audit over the four pipelines. A pipeline is enabled if its hazard is among the losses in scope; it is empty without features.
+def isolated(pipelines: dict[str, Callable[[], DataFrame]]) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """(features, errors) by hazard: each pipeline's rows, written; one that fails is left out with its message, and the others go on."""
+    done, errors = {}, {}
+    for hazard, run in pipelines.items():
+        try:
+            done[hazard] = written(run(), f"features-{hazard}")
+        except Exception as error:  # whatever a peril's own data or code may raise: the audit reports it as pipeline_error
+            errors[hazard] = f"{type(error).__name__}: {error}"[:500]
+    return done, errors
+
+
+def run_audit(losses: DataFrame, pipelines: dict[str, Callable[[], DataFrame]], reach_km: dict[str, float]) -> DataFrame:
+    """The audit over pipelines that give features (l_id, l_start, l_end, l_lat, l_lon), matched to losses of their hazard within ``reach_km``.
 
-    Run-ups have neither times nor places on the globe, so tsunami losses are matched by none of them.
+    A pipeline is enabled if its hazard is among the losses in scope; it is empty without features, and in error if it fails. The losses are cut
+    into months and cells once, for all hazards, and there is one join, with the hazard in its key.
     """
-    scope = written(losses.where("in_scope"), "losses-in-scope")
-    sides = {"storm": (storms_as_left(tracks), other_km), "earthquake": (quakes_as_left(quakes), quake_km), "flood": (floods_as_left(floods), other_km)}
-    found = [joins.matched_ids(left, as_right(scope, hazard), km).select(F.lit(hazard).alias("hazard"), F.col("r_id").alias("rec_id")) for hazard, (left, km) in sides.items()]
-    matched = found[0].unionByName(found[1]).unionByName(found[2])
-    features = {"storm": tracks.select("sid").distinct(), "earthquake": quakes, "tsunami": runups.select("tsunami_event_id").distinct(), "flood": floods}
-    counts = [df.agg(F.count(F.lit(1)).alias("n_before")).select(F.lit(hazard).alias("hazard"), "n_before") for hazard, df in features.items()]
-    status = counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+    spark, scope = losses.sparkSession, written(losses.where("in_scope"), "losses-in-scope")
+    done, errors = isolated(pipelines)
+    left = [df.select(F.lit(hazard).alias("hazard"), "l_id", F.col("l_start").cast("date").alias("l_start"), F.col("l_end").cast("date").alias("l_end"), F.col("l_lat").cast("double").alias("l_lat"), F.col("l_lon").cast("double").alias("l_lon"), F.lit(reach_km[hazard]).alias("reach_km")) for hazard, df in done.items()]
+    matched = spark.createDataFrame([], "hazard string, rec_id long")
+    if left:
+        right = as_right(scope).join(scope.select(F.col("rec_id").alias("r_id"), "hazard"), "r_id")
+        matched = joins.matched_ids(reduce(DataFrame.unionByName, left), right, max(reach_km.values()), keys=["hazard"]).select("hazard", F.col("r_id").alias("rec_id"))
+    counts = [(hazard, done[hazard].count() if hazard in done else None, errors.get(hazard)) for hazard in pipelines]
+    status = spark.createDataFrame(counts, "hazard string, n_before long, error string")
     enabled = scope.select(F.col("hazard").alias("_h")).distinct()
-    status = status.join(enabled, F.col("hazard") == F.col("_h"), "left").select("hazard", F.col("_h").isNotNull().alias("enabled"), F.when(F.col("n_before") > 0, "ok").otherwise("empty").alias("status"), "n_before")
+    kind = F.when(F.col("error").isNotNull(), "error").when(F.col("n_before") > 0, "ok").otherwise("empty")
+    status = status.join(enabled, F.col("hazard") == F.col("_h"), "left").select("hazard", F.col("_h").isNotNull().alias("enabled"), kind.alias("status"), "n_before")
     return loss_audit(losses, matched, status)
+
+
+def audit(losses: DataFrame, quakes: DataFrame, floods: DataFrame, tracks: DataFrame, runups: DataFrame, quake_km: float = 200.0, other_km: float = 250.0) -> DataFrame:
+    """The audit over the four perils. Run-ups have neither times nor places on the globe, so tsunami losses are matched by none of them."""
+    none = (F.lit(None).cast("date").alias("l_start"), F.lit(None).cast("date").alias("l_end"), F.lit(None).cast("double").alias("l_lat"), F.lit(None).cast("double").alias("l_lon"))
+    pipelines = {
+        "storm": lambda: storms_as_left(tracks), "earthquake": lambda: quakes_as_left(quakes),
+        "tsunami": lambda: runups.select(F.col("tsunami_event_id").alias("l_id")).distinct().select("l_id", *none), "flood": lambda: floods_as_left(floods),
+    }
+    return run_audit(losses, pipelines, {h: quake_km if h == "earthquake" else other_km for h in pipelines})

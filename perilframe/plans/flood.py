@@ -49,15 +49,17 @@ def pair_clusters(floods: DataFrame, days: int = 14, max_km: float = 200.0) -> D
 
 def clusters(floods: DataFrame, days: int = 14, max_km: float = 200.0) -> DataFrame:
     """(row_id, cluster): the greedy pass in start order, each record to the first open cluster whose running mean position is in
-    reach, else to a new one. Rows without coordinates go by time alone.
+    reach, else to a new one. A distance must be known: a record without a start or finite coordinates is a cluster of its own.
 
     The pass runs for groups of records apart: at first components of nearby records, cut at gaps in time wider than the window.
     A mean can reach beyond its members, so then all states of all clusters are joined with the records of other groups;
     groups with a record in reach of another group's open cluster are made one and run again, until there are none. Then
     no record could have gone elsewhere, and the result is that of one pass over the whole table.
     """
-    rows = floods.select("row_id", "start_date", F.coalesce("end_date", "start_date").alias("end_date"), F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
-    found = written(rows.join(pair_clusters(floods, days, max_km), "row_id"), "flood-components")
+    every = floods.select("row_id", "start_date", F.coalesce("end_date", "start_date").alias("end_date"), F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
+    known = F.coalesce((F.abs("lat") < float("inf")) & (F.abs("lon") < float("inf")) & F.col("start_date").isNotNull(), F.lit(False)) & ~F.isnan(F.coalesce("lat", F.lit(0.0))) & ~F.isnan(F.coalesce("lon", F.lit(0.0)))
+    rows, alone = every.where(known), every.where(~known).select("row_id", F.col("row_id").alias("cluster"))
+    found = written(rows.join(pair_clusters(rows, days, max_km), "row_id"), "flood-components")
     by_time = Window.partitionBy("component").orderBy("start_date", "row_id")
     past = F.max("end_date").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
     found = found.withColumn("_new", F.when(F.datediff("start_date", past) <= days, 0).otherwise(1)).withColumn("_slice", F.sum("_new").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
@@ -66,7 +68,7 @@ def clusters(floods: DataFrame, days: int = 14, max_km: float = 200.0) -> DataFr
         states = written(_passed(found, days, max_km), "flood-states")
         merged_groups = network.components(_conflicts(states, found, days, max_km), "u", "v")
         if merged_groups.isEmpty():
-            return states.select("row_id", "cluster")
+            return states.select("row_id", "cluster").unionByName(alone)
         found = found.join(merged_groups.withColumnRenamed("node", "group"), "group", "left").withColumn("group", F.coalesce("component", "group")).drop("component")
         found = written(found.select(*rows.columns, "group"), "flood-groups")
 
@@ -107,7 +109,7 @@ def _greedy(pdf: pd.DataFrame, days: int, max_km: float) -> pd.DataFrame:
             if start - gap <= c["end"] and end + gap >= c["start"]:
                 p, q = np.radians([r.lat, c["lat"]])
                 a = np.sin((q - p) / 2) ** 2 + np.cos(p) * np.cos(q) * np.sin(np.radians(c["lon"] - r.lon) / 2) ** 2
-                if not a == a or 2 * 6371.0 * np.arcsin(min(1.0, np.sqrt(a))) <= max_km:
+                if 2 * 6371.0 * np.arcsin(min(1.0, np.sqrt(a))) <= max_km:
                     home = c
                     break
         if home is None:
@@ -119,8 +121,8 @@ def _greedy(pdf: pd.DataFrame, days: int, max_km: float) -> pd.DataFrame:
     return pd.DataFrame(out, columns=[c.split()[0] for c in _STATE.split(", ")])
 
 
-def enriched(floods: DataFrame, losses: DataFrame, days: int = 14, tiers_km: tuple[float, ...] = (200.0, 800.0, 3200.0)) -> DataFrame:
-    """Each flood with its best loss record: overlapping in time and nearest; without any with coordinates, the first id.
+def enriched(floods: DataFrame, losses: DataFrame, days: int = 0, tiers_km: tuple[float, ...] = (200.0, 800.0, 3200.0)) -> DataFrame:
+    """Each flood with its best loss record: overlapping in time, ``days`` more at both ends if given, and nearest; without any with coordinates, the first id.
 
     floods: row_id, start_date, end_date, lat, lon; losses: rec_id, start_date, end_date, lat, lon. Searched in tiers of
     distance, each by month and cell, written to the shared folder; only floods without a loss in a tier go on to the next,

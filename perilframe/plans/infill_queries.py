@@ -162,12 +162,12 @@ def station_distance(runup, coast):
 
 @query(None, "fx_runup", "fx_coast_vertex")
 def infill_cross_part(runup, coast):
-    found = infill.cross_part_bridges(_runup_segments(runup, coast), joins.segments(coast), 250_000.0, 200_000.0)
+    found = infill.cross_part_bridges(_runup_segments(runup, coast), joins.segments(coast), 400_000.0, 210_000.0)
     return _rounded(found, "event_id", "part_a", "station_a", "part_b", "station_b", "length_m")
 
 
 @query(None, "fx_runup", "fx_coast_vertex")
 def infill_chain(runup, coast):
     """Chains between segments on different parts over low run-ups."""
-    found = infill.infill_chain(_runup_segments(runup, coast), joins.segments(coast), _low(runup, coast).where("station_m < 200000"), 300_000.0, 500_000.0, snap_m=200_000.0)
+    found = infill.infill_chain(_runup_segments(runup, coast), joins.segments(coast), _low(runup, coast).where("station_m < 200000"), 300_000.0, 500_000.0, snap_m=210_000.0)
     return found.select("event_id", "pass", "part_start", F.round("station_start", 3).alias("station_start"), "part_end", F.round("station_end", 3).alias("station_end"), "hops", F.round("length_m", 3).alias("length_m"))

@@ -13,7 +13,7 @@ from perilframe.plans import tsunami as TS
 from perilframe.plans import audit as A
 from perilframe.plans import flood as FL
 from perilframe.plans import storm as ST
-from perilframe.plans.registry import _K0, DISC, RSEG, SEG, STEPS, _authalic_sql, _discs, _lengths, _runup_segments, c, query, r6
+from perilframe.plans.registry import _K0, DISC, RSEG, SEG, STEPS, _authalic_sql, _discs, _lengths, _losses, _runup_segments, c, query, r6
 from perilframe.sources import tables as T
 
 # Ray hits of every event at each whole degree, as in bearing_first_hit.
@@ -228,7 +228,7 @@ def flood_merge_records(flood):
 
 @query(None, "fx_flood", "fx_loss")
 def flood_events(flood, loss):
-    got = FL.flood_events(FL.flood_records(*_sources(flood)), A.loss_records(loss).where("hazard = 'flood'"))
+    got = FL.flood_events(FL.flood_records(*_sources(flood)), _losses(loss).where("hazard = 'flood'"))
     return got.select("cluster", "event_id", c("start_date").cast("string").alias("start_date"), c("end_date").cast("string").alias("end_date"), "sources", "source_event_ids", "n", "severity", "rec_id", r6(c("km")).alias("km"))
 
 

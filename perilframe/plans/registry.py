@@ -26,6 +26,11 @@ from perilframe.sources import tables as T
 _QUERIES: dict[str, tuple[Callable, str | None]] = {}
 
 
+def _losses(loss):
+    """Loss records of the view, whose countries below 13 are the members."""
+    return A.loss_records(loss, F.col("country_id") < 13)
+
+
 def query(sql: str | None, *views: str):
     """Registers a function of the named views' DataFrames, with its SQL."""
 
@@ -276,12 +281,12 @@ def min_category(track):
 
 @query(f"WITH {NL} SELECT 'oecd' AS scope, count(*) AS n FROM nl WHERE in_scope UNION ALL SELECT 'non_oecd', count(*) FROM nl WHERE NOT in_scope", "fx_loss")
 def scope_filter(loss):
-    return A.loss_records(loss).groupBy(F.when(c("in_scope"), "oecd").otherwise("non_oecd").alias("scope")).agg(F.count(F.lit(1)).alias("n"))
+    return _losses(loss).groupBy(F.when(c("in_scope"), "oecd").otherwise("non_oecd").alias("scope")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"WITH {NL} SELECT DISTINCT hazard FROM nl WHERE in_scope", "fx_loss")
 def hazards_in_scope(loss):
-    return A.loss_records(loss).where("in_scope").select("hazard").distinct()
+    return _losses(loss).where("in_scope").select("hazard").distinct()
 
 
 @query("SELECT tsunami_event_id AS event_id, count(*) AS n, round(max(runup_ht), 6) AS top FROM fx_runup GROUP BY 1", "fx_runup")
@@ -294,23 +299,23 @@ def runups_for_event(runup):
 
 @query(f"WITH {NL} SELECT event_id FROM fx_quake p WHERE EXISTS (SELECT 1 FROM nl q WHERE q.hazard = 'earthquake' AND p.eq_time <= q.start_date + 7 AND p.eq_time >= q.start_date - 7)", "fx_quake", "fx_loss")
 def temporal_overlap_semi(quake, loss):
-    return joins.temporal_overlap_semi(A.quakes_as_left(quake), A.as_right(A.loss_records(loss), "earthquake")).select(c("l_id").alias("event_id"))
+    return joins.temporal_overlap_semi(A.quakes_as_left(quake), A.as_right(_losses(loss), "earthquake")).select(c("l_id").alias("event_id"))
 
 
 @query(f"WITH {NL} SELECT DISTINCT p.event_id FROM fx_quake p JOIN nl q ON {EQ} WHERE q.hazard = 'earthquake' AND q.lat IS NOT NULL", "fx_quake", "fx_loss")
 def spacetime_filter(quake, loss):
-    right = A.as_right(A.loss_records(loss).where("lat IS NOT NULL"), "earthquake")
+    right = A.as_right(_losses(loss).where("lat IS NOT NULL"), "earthquake")
     return joins.spacetime_filter(A.quakes_as_left(quake), right, 200.0).select(c("l_id").alias("event_id"))
 
 
 @query(f"WITH {NL} SELECT DISTINCT q.rec_id FROM fx_quake p JOIN nl q ON {EQ} WHERE q.hazard = 'earthquake'", "fx_quake", "fx_loss")
 def matched_records(quake, loss):
-    return joins.matched_ids(A.quakes_as_left(quake), A.as_right(A.loss_records(loss), "earthquake"), 200.0).select(c("r_id").alias("rec_id"))
+    return joins.matched_ids(A.quakes_as_left(quake), A.as_right(_losses(loss), "earthquake"), 200.0).select(c("r_id").alias("rec_id"))
 
 
 @query(f"WITH {NL} SELECT rec_id, event_id FROM nl x WHERE hazard = 'earthquake' AND NOT EXISTS (SELECT 1 FROM fx_quake p JOIN nl q ON {EQ} WHERE q.rec_id = x.rec_id)", "fx_quake", "fx_loss")
 def unmatched_records(quake, loss):
-    losses = A.loss_records(loss).where("hazard = 'earthquake'")
+    losses = _losses(loss).where("hazard = 'earthquake'")
     hit = joins.matched_ids(A.quakes_as_left(quake), A.as_right(losses), 200.0)
     return losses.join(hit, c("rec_id") == c("r_id"), "left_anti").select("rec_id", "event_id")
 
@@ -323,7 +328,7 @@ def excluded_features(quake, loss):
 
 @query(f"WITH {NL} SELECT rec_id, count(*) AS n FROM (SELECT q.rec_id FROM fx_quake p JOIN nl q ON {EQ} WHERE q.hazard = 'earthquake' AND q.lat IS NOT NULL UNION ALL SELECT rec_id FROM nl WHERE hazard = 'flood') GROUP BY 1", "fx_quake", "fx_loss")
 def matched_union(quake, loss):
-    losses = A.loss_records(loss)
+    losses = _losses(loss)
     pairs = joins.spacetime_pairs(A.quakes_as_left(quake), A.as_right(losses.where("lat IS NOT NULL"), "earthquake"), 200.0)
     return pairs.select(c("r_id").alias("rec_id")).unionByName(losses.where("hazard = 'flood'").select("rec_id")).groupBy("rec_id").agg(F.count(F.lit(1)).alias("n"))
 
@@ -338,19 +343,19 @@ au AS (SELECT rec_id, event_id, hazard, start_date, in_scope, CASE WHEN NOT in_s
 
 @query(AUDIT + " SELECT rec_id, event_id, hazard, CAST(start_date AS VARCHAR) AS start_date, in_scope, reason FROM au", "fx_loss", "fx_quake", "fx_flood", "fx_track", "fx_runup")
 def loss_audit(loss, quake, flood, track, runup):
-    return A.audit(A.loss_records(loss), quake, flood, track, runup).select("rec_id", "event_id", "hazard", c("start_date").cast("string").alias("start_date"), "in_scope", "reason")
+    return A.audit(_losses(loss), quake, flood, track, runup).select("rec_id", "event_id", "hazard", c("start_date").cast("string").alias("start_date"), "in_scope", "reason")
 
 
 @query(AUDIT + " SELECT hazard, reason, count(*) AS n FROM au GROUP BY 1, 2", "fx_loss", "fx_quake", "fx_flood", "fx_track", "fx_runup")
 def audit_summary(loss, quake, flood, track, runup):
-    return A.audit(A.loss_records(loss), quake, flood, track, runup).groupBy("hazard", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return A.audit(_losses(loss), quake, flood, track, runup).groupBy("hazard", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(AUDIT + " SELECT CASE WHEN reason = 'matched' THEN 'matched' WHEN reason = 'oecd_excluded' THEN 'out_of_scope' ELSE 'unmatched' END AS split, count(*) AS n FROM au GROUP BY 1", "fx_loss", "fx_quake", "fx_flood", "fx_track", "fx_runup")
 def audit_splits(loss, quake, flood, track, runup):
     path = f"{shared_dir(loss.sparkSession)}/audit-{uuid.uuid4().hex}"
     split = F.when(c("reason") == "matched", "matched").when(c("reason") == "oecd_excluded", "out_of_scope").otherwise("unmatched")
-    A.audit(A.loss_records(loss), quake, flood, track, runup).withColumn("split", split).write.partitionBy("split").csv(path, header=True)
+    A.audit(_losses(loss), quake, flood, track, runup).withColumn("split", split).write.partitionBy("split").csv(path, header=True)
     return loss.sparkSession.read.csv(path, header=True).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -657,10 +662,10 @@ def flood_merge(flood):
     return got.select("cluster", c("start_date").cast("string").alias("start_date"), c("end_date").cast("string").alias("end_date"), "primary_id", "primary_source", "sources", "n", r6(c("area_km2")).alias("area_km2"), r6(c("lat")).alias("lat"))
 
 
-@query(f"""WITH {NL}, pr AS (SELECT p.row_id, q.rec_id, {HAV} AS km FROM fx_flood p JOIN nl q ON p.start_date <= q.start_date + 14 AND coalesce(p.end_date, p.start_date) >= q.start_date - 14 WHERE q.hazard = 'flood')
+@query(f"""WITH {NL}, pr AS (SELECT p.row_id, q.rec_id, {HAV} AS km FROM fx_flood p JOIN nl q ON p.start_date <= q.start_date AND coalesce(p.end_date, p.start_date) >= q.start_date WHERE q.hazard = 'flood')
 SELECT row_id, coalesce(arg_min(rec_id, struct_pack(k := km, r := rec_id)) FILTER (km IS NOT NULL), min(rec_id)) AS rec_id, round(min(km), 6) AS km FROM pr GROUP BY 1""", "fx_flood", "fx_loss")
 def flood_enrich_best(flood, loss):
-    got = FL.enriched(flood, A.loss_records(loss).where("hazard = 'flood'"))
+    got = FL.enriched(flood, _losses(loss).where("hazard = 'flood'"))
     return got.select("row_id", "rec_id", r6(c("km")).alias("km"))
 
 
@@ -774,4 +779,4 @@ def track_hull(track):
     return ST.track_hull(ST.steps(track).select("sid", c("lon").alias("x"), c("lat").alias("y")))
 
 
-from perilframe.plans import infill_queries, layer_queries  # noqa: E402,F401  their queries register themselves
+from perilframe.plans import infill_queries, layer_queries, ring_queries  # noqa: E402,F401  their queries register themselves

@@ -157,12 +157,15 @@ def step_footprints(steps: DataFrame, margin: float = 0.08, least_coverage: floa
 def footprint_cells(steps: DataFrame, res_deg: float) -> DataFrame:
     """(sid, row, col): cells of a longitude-latitude grid whose centre lies in a step's footprint, once a track. Columns go round the globe."""
     n = round(360 / res_deg)
-    reach, flat = F.greatest(*(f"{q}_km" for q in QUADS)), 111.0 * F.cos(F.radians("lat"))
+    reach, flat = F.greatest(*(f"{q}_km" for q in QUADS)), 111.0 * F.greatest(F.lit(0.0), F.cos(F.radians("lat")))
     low = lambda v, far: F.ceil((v - far) / res_deg - 0.5).cast("int")
     high = lambda v, far: F.floor((v + far) / res_deg - 0.5).cast("int")
     rows = steps.withColumn("row", F.explode(F.sequence(low(F.col("lat") + 90.0, reach / 111.0), high(F.col("lat") + 90.0, reach / 111.0)))).where(F.col("row").between(0, round(180 / res_deg) - 1))
-    rows = rows.withColumn("col", F.explode(F.sequence(low(F.col("lon") + 180.0, reach / flat), high(F.col("lon") + 180.0, reach / flat))))
-    dx, dy = ((F.col("col") + 0.5) * res_deg - 180.0 - F.col("lon")) * flat, ((F.col("row") + 0.5) * res_deg - 90.0 - F.col("lat")) * 111.0
+    # near a pole a step may reach all columns; each is looked at once, by its shorter way round
+    span = F.when(reach >= 180.0 * flat, F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.sequence(low(F.col("lon") + 180.0, reach / F.nullif(flat, F.lit(0.0))), high(F.col("lon") + 180.0, reach / F.nullif(flat, F.lit(0.0)))))
+    rows = rows.withColumn("col", F.explode(span))
+    turn = F.pmod((F.col("col") + 0.5) * res_deg - F.col("lon"), F.lit(360.0)) - 180.0  # of the centre from the step
+    dx, dy = turn * flat, ((F.col("row") + 0.5) * res_deg - 90.0 - F.col("lat")) * 111.0
     rows = rows.withColumn("_d", F.hypot(dx, dy)).where(F.col("_d") <= reach).withColumn("_i", F.pmod(F.floor(F.pmod(F.degrees(F.atan2(dy, dx)), F.lit(360.0))).cast("int"), F.lit(360)))
     radii = [F.col(f"{q}_km") for q in QUADS]
     three = F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda k: geo.quadrant_radius(F.pmod(F.col("_i") + k, F.lit(360)), *radii))

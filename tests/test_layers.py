@@ -72,7 +72,39 @@ def test_greedy_clusters_over_long_chains(spark):
     assert dict(flood.clusters(df).collect()) == greedy(rows)
 
 
-def test_enrichment_by_brute_force(spark):
+def test_greedy_clusters_without_coordinates(spark):
+    """A record without coordinates is a cluster of its own, and no other joins it."""
+    day = date(2000, 1, 1)
+    rows = [(1, 10.0, 10.0), (2, None, None), (3, -60.0, 170.0), (4, 50.0, -100.0), (5, 10.5, 10.0), (6, float("nan"), 10.0), (7, 10.2, None)]
+    df = spark.createDataFrame([(i, "DFO", day + timedelta(k), None, a, b, 1.0) for k, (i, a, b) in enumerate(rows)] + [(8, "DFO", None, None, 10.0, 10.0, 1.0)], "row_id long, source string, start_date date, end_date date, lat double, lon double, area_km2 double")
+    assert dict(flood.clusters(df).collect()) == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1, 6: 6, 7: 7, 8: 8}
+
+
+def test_footprints_at_the_poles(spark):
+    """A step at a pole reaches all columns, and none twice; one beside it as many as lie within its radius."""
+    steps = spark.createDataFrame([(1, 90.0, 0.0), (2, 89.9, 30.0), (3, -90.0, 10.0), (4, 0.0, 179.9)], "sid long, lat double, lon double")
+    for q in ("ne", "se", "sw", "nw"):
+        steps = steps.withColumn(f"{q}_km", F.lit(100.0))
+    got = {}
+    for r in storm.footprint_cells(steps, 0.5).collect():
+        got.setdefault(r.sid, []).append((r.row, r.col))
+    assert set(got) == {1, 2, 3, 4} and all(0 <= c < 720 and 0 <= r < 360 for v in got.values() for r, c in v)
+    assert {c for r, c in got[1] if r == 359} == set(range(720)) and {c for _, c in got[4]} & {0, 719} == {0, 719}
+
+
+def test_audit_isolates_a_failing_pipeline(spark):
+    losses = spark.createDataFrame([(1, "a", "flood", date(2000, 1, 1), 1.0, 1.0, True), (2, "b", "storm", date(2000, 1, 1), 1.0, 1.0, True), (3, "c", "tsunami", date(2000, 1, 1), None, None, True), (4, "d", "flood", date(2000, 1, 1), 1.0, 1.0, False)], "rec_id long, event_id string, hazard string, start_date date, lat double, lon double, in_scope boolean").withColumn("end_date", F.col("start_date"))
+    feature = spark.createDataFrame([(9, date(2000, 1, 2), date(2000, 1, 2), 1.5, 1.0)], "l_id long, l_start date, l_end date, l_lat double, l_lon double")
+
+    def broken():
+        raise ValueError("no such file")
+
+    got = audit.run_audit(losses, {"flood": lambda: feature, "storm": broken, "tsunami": lambda: feature.limit(0), "earthquake": lambda: feature}, dict.fromkeys(audit.PIPELINES, 250.0))
+    assert {r.rec_id: r.reason for r in got.collect()} == {1: "matched", 2: "pipeline_error", 3: "pipeline_empty", 4: "oecd_excluded"}
+
+
+@pytest.mark.parametrize("days", [0, 14])
+def test_enrichment_by_brute_force(spark, days):
     rng = random.Random(3)
     day = lambda: date(2000, 1, 1) + timedelta(rng.randrange(200))
     place = lambda: (rng.uniform(-60, 60), rng.uniform(-180, 180)) if rng.random() < 0.8 else (None, None)
@@ -82,11 +114,11 @@ def test_enrichment_by_brute_force(spark):
     b = spark.createDataFrame(losses, "rec_id long, start_date date, end_date date, lat double, lon double")
     want = {}
     for i, s, e, la, lo in floods:
-        pairs = [(hav(la, lo, x, y), k) for k, u, v, x, y in losses if s and s <= v + timedelta(14) and e >= u - timedelta(14)]
+        pairs = [(hav(la, lo, x, y), k) for k, u, v, x, y in losses if s and s <= v + timedelta(days) and e >= u - timedelta(days)]
         near = [p for p in pairs if p[0] is not None]
         if pairs:
             want[i] = min(near)[1] if near else min(k for _, k in pairs)
-    got = {r.row_id: (r.rec_id, r.km) for r in flood.enriched(a, b).collect()}
+    got = {r.row_id: (r.rec_id, r.km) for r in flood.enriched(a, b, days).collect()}
     assert {i: k for i, (k, _) in got.items()} == want and any(km is None for _, km in got.values()) and flood.enriched(a.limit(0), b).count() == 0
 
 
