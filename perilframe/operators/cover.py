@@ -35,13 +35,27 @@ def minus(cover: DataFrame, mask: DataFrame) -> DataFrame:
 
 
 def line_cover(segs: DataFrame, width_m: float, res_m: float, keep: list[str]) -> DataFrame:
-    """Cells (cx, cy) whose centre lies within ``width_m`` of a segment (x1, y1, x2, y2), once for each ``keep``."""
-    low = lambda v: F.ceil((v - width_m) / res_m - 0.5).cast("long")
-    high = lambda v: F.floor((v + width_m) / res_m - 0.5).cast("long")
-    rows = segs.withColumn("cy", F.explode(F.sequence(low(F.least("y1", "y2")), high(F.greatest("y1", "y2")))))
-    rows = rows.withColumn("cx", F.explode(F.sequence(low(F.least("x1", "x2")), high(F.greatest("x1", "x2")))))
-    px, py = (F.col("cx") + 0.5) * res_m, (F.col("cy") + 0.5) * res_m
+    """Cells (cx, cy) whose centre lies within ``width_m`` of a segment (x1, y1, x2, y2), once for each ``keep``.
+
+    Rows first, then in each row the stretch between the outermost points of the strip's two sides and of the discs about its ends (the
+    shape is convex, so it is one stretch): the work goes with the cells that are found, however a segment runs.
+    """
+    low = F.ceil((F.least("y1", "y2") - width_m) / res_m - 0.5).cast("long")
+    high = F.floor((F.greatest("y1", "y2") + width_m) / res_m - 0.5).cast("long")
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    norm = F.nullif(F.hypot(dx, dy), F.lit(0.0))
+    rows = segs.withColumn("_nx", -dy / norm * width_m).withColumn("_ny", dx / norm * width_m).withColumn("cy", F.explode(F.sequence(low, high)))
+    y, xs = (F.col("cy") + 0.5) * res_m, []
+    for k in ("1", "2"):
+        away = y - F.col(f"y{k}")
+        chord = F.when(F.abs(away) <= width_m, F.sqrt(F.greatest(F.lit(0.0), width_m * width_m - away * away)))
+        xs += [F.col(f"x{k}") - chord, F.col(f"x{k}") + chord]
+    for sign in (1.0, -1.0):
+        t = (y - F.col("y1") - sign * F.col("_ny")) / F.nullif(dy, F.lit(0.0))
+        xs.append(F.when(t.between(0.0, 1.0), F.col("x1") + sign * F.col("_nx") + t * dx))
+    rows = rows.withColumn("_from", F.least(*xs)).withColumn("_to", F.greatest(*xs)).where("_from IS NOT NULL")
+    rows = rows.withColumn("cx", F.explode(F.sequence(F.floor(F.col("_from") / res_m - 0.5).cast("long"), F.ceil(F.col("_to") / res_m - 0.5).cast("long"))))
+    px, py = (F.col("cx") + 0.5) * res_m, (F.col("cy") + 0.5) * res_m
     t = F.coalesce(((px - F.col("x1")) * dx + (py - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0))
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), t))
     near = F.hypot(px - F.col("x1") - t * dx, py - F.col("y1") - t * dy) <= width_m

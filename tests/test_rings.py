@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from perilframe.functions import projections as P
-from perilframe.operators import rings
+from perilframe.operators import cover, rings
 
 RINGS = "id long, code string, ring array<struct<x:double,y:double>>"
 
@@ -76,6 +76,21 @@ def test_edge_cells_hold_every_side(spark, made):
     assert [tuple(r) for r in meets.collect()] == [(1, "C6")]
 
 
+def test_line_cover_by_brute_force(spark):
+    draw, width, res = random.Random(4), 7.0, 2.0
+    lines = [(i, *(draw.uniform(-60, 60) for _ in range(4))) for i in range(12)] + [(20, 0.0, 0.0, 0.0, 0.0), (21, -30.0, 5.0, 30.0, 5.0), (22, 5.0, -30.0, 5.0, 30.0), (23, -40.0, -40.0, 40.0, 41.0)]
+    got = {tuple(r) for r in cover.line_cover(spark.createDataFrame(lines, "id long, x1 double, y1 double, x2 double, y2 double"), width, res, ["id"]).collect()}
+    want = set()
+    for i, x1, y1, x2, y2 in lines:
+        for cx in range(-36, 36):
+            for cy in range(-36, 36):
+                px, py, dx, dy = (cx + 0.5) * res, (cy + 0.5) * res, x2 - x1, y2 - y1
+                t = max(0.0, min(1.0, ((px - x1) * dx + (py - y1) * dy) / (dx * dx + dy * dy))) if dx or dy else 0.0
+                if math.hypot(px - x1 - t * dx, py - y1 - t * dy) <= width:
+                    want.add((i, cx, cy))
+    assert got == want and len(want) > 1000
+
+
 def area(ring):
     return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1]))) / 2
 
