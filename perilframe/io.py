@@ -20,9 +20,23 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Folders that ``written`` has made in this process, for ``cleanup``.
+_MADE: list[str] = []
+
+
+def cleanup(spark: SparkSession) -> int:
+    """Deletes what ``written`` has left in the shared folder, once no DataFrame made from it is needed; returns the number of folders."""
+    count = len(_MADE)
+    while _MADE:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return count
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read again: later jobs start from those files, not from
     the work before them, and a lost executor costs no more than its own tasks."""
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -36,8 +36,10 @@ def steps(tracks: DataFrame) -> DataFrame:
 
 
 def in_seasons(rows: DataFrame, first: int, last: int | None = None, time: str = "iso_time") -> DataFrame:
-    """Steps of seasons (years) from ``first`` on, up to ``last`` if it is given."""
-    year = F.year(time)
+    """Steps of seasons from ``first`` on, up to ``last`` if it is given: by the column ``season`` where there is one (in the south a season begins in
+    the year before), else by the calendar year."""
+    named = next((n for n in rows.columns if n.lower() == "season"), None)
+    year = F.col(named).cast("string").try_cast("int") if named else F.year(time)
     return rows.where(year >= first if last is None else year.between(first, last))
 
 

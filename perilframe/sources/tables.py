@@ -65,11 +65,36 @@ def with_event_time(df: DataFrame, ways: dict[str, object], name: str = "event_t
     return df.withColumn(name, first.cast("timestamp_ntz"))
 
 
-def scan_features(spark: SparkSession, path: str) -> DataFrame:
-    """Vertices of a GeoJSON feature collection's polygons: feature, ring, seq, x, y, and the properties as a struct."""
-    doc = spark.read.json(path, multiLine=True).select(F.posexplode("features").alias("feature", "f"))
-    rings = doc.select("feature", "f.properties", F.posexplode("f.geometry.coordinates").alias("ring", "r"))
-    return rings.select("feature", "properties", "ring", F.posexplode("r").alias("seq", "p")).select("feature", "properties", "ring", "seq", F.get("p", F.lit(0)).alias("x"), F.get("p", F.lit(1)).alias("y"))
+def scan_features(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Vertices of GeoJSON features: file, feature, kind, properties (map of texts), part, ring, seq, x, y.
+
+    A file holds a feature collection, or, with ``lines``, a feature in each of its lines, which large layers should have, as a collection is
+    read by one task. Coordinates nest to any depth (points, lines, polygons with holes, and several of each), which no one schema holds, so they are read
+    as VARIANT and cast by the geometry's kind: a line or point is ring 0 of its part. Features without a geometry, and geometry collections, have no rows.
+    """
+    text = spark.read.text(path, wholetext=not lines).select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("v")).where("v IS NOT NULL")
+    many = F.coalesce(F.try_variant_get("v", "$.features", "array<variant>"), F.array("v"))
+    at = text.select("file", F.posexplode(many).alias("feature", "f")).select("file", "feature", "f", F.try_variant_get("f", "$.geometry.type", "string").alias("kind"))
+
+    def read(depth: int):
+        return F.try_variant_get("f", "$.geometry.coordinates", "array<" * depth + "double" + ">" * depth)
+
+    k = F.col("kind")
+    parts = (
+        F.when(k == "Point", F.array(F.array(F.array(read(1))))).when(k == "LineString", F.array(F.array(read(2)))).when(k == "MultiPoint", F.transform(read(2), lambda p: F.array(F.array(p))))
+        .when(k == "MultiLineString", F.transform(read(3), lambda line: F.array(line))).when(k == "Polygon", F.array(read(3))).when(k == "MultiPolygon", read(4))
+    )
+    keep = ["file", "feature", "kind", "properties"]
+    rows = at.select("file", "feature", "kind", F.try_variant_get("f", "$.properties", "map<string,string>").alias("properties"), F.posexplode(parts).alias("part", "r"))
+    rows = rows.select(*keep, "part", F.posexplode("r").alias("ring", "v")).select(*keep, "part", "ring", F.posexplode("v").alias("seq", "p"))
+    return rows.select(*keep, "part", "ring", "seq", F.get("p", F.lit(0)).alias("x"), F.get("p", F.lit(1)).alias("y")).where("x IS NOT NULL AND y IS NOT NULL")
+
+
+def rings_of(vertices: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, ring): the rings of polygons given by ``scan_features``, for the operators on rings; holes are rings of their own."""
+    order = F.array_sort(F.collect_list(F.struct("seq", "x", "y")))
+    rows = vertices.where(F.col("kind").isin("Polygon", "MultiPolygon")).groupBy(*dict.fromkeys([*keys, "file", "feature", "part", "ring"])).agg(order.alias("v"))
+    return rows.select(*keys, F.transform("v", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("ring"))
 
 
 def tile_index(paths: DataFrame, size_deg: int = 5, path: str = "path") -> DataFrame:
