@@ -779,4 +779,4 @@ def track_hull(track):
     return ST.track_hull(ST.steps(track).select("sid", c("lon").alias("x"), c("lat").alias("y")))
 
 
-from perilframe.plans import infill_queries, layer_queries, ring_queries  # noqa: E402,F401  their queries register themselves
+from perilframe.plans import infill_queries, layer_queries, lookup_queries, ring_queries  # noqa: E402,F401  their queries register themselves
