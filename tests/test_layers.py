@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from perilframe import fixtures
 from perilframe.functions import geo
 from perilframe.operators import sequence
-from perilframe.plans import audit, flood, layer_queries, registry, storm, tsunami
+from perilframe.plans import audit, flood, layer_queries, quake, registry, storm, tsunami
 
 DIR = "/root/testdata/sf0.001"
 there = pytest.mark.skipif(not os.path.isdir(DIR), reason="tables are not there")
@@ -103,6 +103,16 @@ def test_audit_isolates_a_failing_pipeline(spark):
     assert {r.rec_id: r.reason for r in got.collect()} == {1: "matched", 2: "pipeline_error", 3: "pipeline_empty", 4: "oecd_excluded"}
 
 
+def test_quake_errors_and_strikes(spark):
+    rows = spark.createDataFrame([(1, date(2000, 1, 1), 10.0, 20.0, 7.0, 10.0, 0.0, 30.0), (2, date(2000, 1, 1), 10.0, 20.0, None, 10.0, 0.0, 30.0), (3, date(2000, 1, 1), None, 20.0, 7.0, 10.0, 0.0, 30.0)], "event_id long, eq_time date, lat double, lon double, mw double, depth_km double, rake1 double, strike double")
+    plain = {r.band: r for r in quake.quake_bands(rows).collect()}
+    more = rows.withColumn("SMAJAX", F.lit(12.0)).withColumn("sminax", F.lit(None).cast("double")).withColumn("str1", F.lit(75.0))
+    got = {r.band: r for r in quake.quake_bands(more).collect()}
+    assert set(plain) == set(got) == {"VI", "VII"}
+    for band, r in got.items():
+        assert abs(r.a_km - math.hypot(plain[band].a_km, 12.0)) < 1e-9 and r.b_km == plain[band].b_km and (plain[band].strike_deg, r.strike_deg) == (30.0, 75.0)
+
+
 @pytest.mark.parametrize("days", [0, 14])
 def test_enrichment_by_brute_force(spark, days):
     rng = random.Random(3)
