@@ -68,11 +68,12 @@ def interval_coverage(runup, coast):
 @query(f"""WITH {EVIDENCE}, hb AS (SELECT v.*, EXISTS (SELECT 1 FROM bb WHERE bb.event_id = v.event_id AND bb.part_id = v.part_id) AS has FROM v)
 SELECT event_id, part_id, round(c0, 3) AS c0, round(c1, 3) AS c1, n, reason NOT IN ('min_samples', 'no_base_for_part', 'no_left_or_right', 'bridge_gap_large', 'cover_too_small') AS accepted, reason FROM (
   SELECT *, CASE WHEN n < 2 AND n <> 1 THEN 'min_samples' WHEN cover >= 0.5 THEN 'majority' WHEN rt - lf <= 150000.0 THEN 'bridge' WHEN least(c0 - lf, rt - c1) <= 150000.0 THEN 'one_side' WHEN touch > 0 THEN 'overlap'
-    WHEN c1 <= c0 AND lf IS NULL AND rt IS NULL AND has THEN 'proximity' WHEN NOT has THEN 'seed' WHEN lf IS NULL OR rt IS NULL THEN 'no_left_or_right' WHEN rt - lf > 150000.0 THEN 'bridge_gap_large' ELSE 'cover_too_small' END AS reason FROM hb)""".replace("rseg WHERE", "bb WHERE").replace("rseg.event_id", "bb.event_id").replace("rseg.part_id", "bb.part_id").replace(", cl AS", ", bb AS (SELECT * FROM rseg WHERE s1 - s0 > 15000.0), cl AS"), "fx_runup", "fx_coast_vertex")
+    WHEN c1 <= c0 AND lf IS NULL AND rt IS NULL AND has THEN 'proximity' WHEN NOT has THEN 'seed' WHEN lf IS NULL OR rt IS NULL THEN 'no_left_or_right' WHEN rt - lf > 150000.0 THEN 'bridge_gap_large' ELSE 'cover_too_small' END AS reason FROM hb)""".replace("rseg WHERE", "bb WHERE").replace("rseg.event_id", "bb.event_id").replace("rseg.part_id", "bb.part_id").replace(", cl AS", ", bb AS (SELECT event_id, part_id, round(s0, 3) AS s0, round(s1, 3) AS s1 FROM rseg WHERE s1 - s0 > 15000.0), cl AS").replace("FROM snap)", "FROM (SELECT * REPLACE (round(station_m, 3) AS station_m) FROM snap))"), "fx_runup", "fx_coast_vertex")
 def infill_evidence(runup, coast):
-    """Long segments as the base, and every run-up as evidence, with all ways of acceptance switched on."""
-    points = TS.events_snapped(runup, coast).select("event_id", "part_id", "station_m")
-    base = _runup_segments(runup, coast).where(c("s1") - c("s0") > 15_000.0)
+    """Long segments as the base, and every run-up as evidence, with all ways of acceptance switched on; places in whole millimetres, as many
+    run-ups and segments end where their part does."""
+    points = TS.events_snapped(runup, coast).select("event_id", "part_id", F.round("station_m", 3).alias("station_m"))
+    base = _runup_segments(runup, coast).where(c("s1") - c("s0") > 15_000.0).select("event_id", "part_id", F.round("s0", 3).alias("s0"), F.round("s1", 3).alias("s1"))
     found = infill.evidence_clusters(points, base, 50_000.0, bridge_m=150_000.0, zero_cover=True, one_side=True, singletons=True, seed_m=30_000.0)
     return _rounded(found, "event_id", "part_id", "c0", "c1", "n", "accepted", "reason")
 
