@@ -13,21 +13,31 @@ from perilframe.operators.joins import near_pairs
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, component): the smallest node id that each node of an edge table reaches.
 
-    Min-label propagation with pointer jumping. Each round is written to the shared folder, so the plan stays short and
-    an executor's loss costs one round at most; the driver sees only the number of changed rows. Null ends are ignored,
-    repeated edges and self loops change nothing.
+    By contraction: in each round every node goes to the neighbour, or stays with itself, that comes first in an order by hash, new for each
+    round; edges go to where their ends went, and those within one node are dropped. So the number of rounds grows with the
+    logarithm of the nodes, however long the ways are, and each round has a share of the last one's edges. Then the rounds are
+    followed backwards. Each is written to the shared folder, so the plan stays short; the driver sees only whether edges are left.
+    Joins are sort-merge joins by hint: a file of nodes is small beside its rows in memory. Null ends are ignored, repeated edges change nothing.
     """
-    both = edges.select(F.col(u).alias("node"), F.col(v).alias("other")).where("node IS NOT NULL AND other IS NOT NULL")
-    both = written(both.union(both.select("other", "node")).distinct(), "edges")
-    labels = written(both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("component")), "labels")
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("component").alias("near"))
-        step = labels.join(near, "node").select("node", F.col("component").alias("was"), F.least("component", "near").alias("at"))
-        jump = labels.select(F.col("node").alias("at"), F.col("component").alias("over"))
-        step = written(step.join(jump, "at").select("node", F.least("at", "over").alias("component"), (F.least("at", "over") != F.col("was")).alias("changed")), "labels")
-        labels = step.select("node", "component")
-        if step.where("changed").isEmpty():
-            return labels
+    there = edges.where(F.col(u).isNotNull() & F.col(v).isNotNull())
+    left = written(there.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct(), "edges")
+    gone = []
+    while not left.isEmpty():
+        order = lambda k: F.struct(F.xxhash64(F.lit(len(gone)), k).alias("h"), F.col(k).alias("node"))
+        both = left.select(F.col("u").alias("node"), F.col("v").alias("other")).union(left.select("v", "u"))
+        to = both.groupBy("node").agg(F.min(order("other")).alias("b")).select("node", F.least(order("node"), F.col("b"))["node"].alias("to"))
+        gone.append(written(to, "went"))
+        a, b = (gone[-1].select(F.col("node").alias(k), F.col("to").alias(f"{k}2")).hint("merge") for k in "uv")
+        moved = left.join(a, "u").join(b, "v").where("u2 != v2")
+        left = written(moved.select(F.least("u2", "v2").alias("u"), F.greatest("u2", "v2").alias("v")).distinct(), "edges")
+    if not gone:
+        return left.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    found = gone[-1]
+    for step in gone[-2::-1]:  # nodes that a round left without edges have gone no further
+        last = found.select(F.col("node").alias("to"), F.col("to").alias("end")).hint("merge")
+        found = written(step.join(last, "to", "left").select("node", F.coalesce("end", "to").alias("to")), "went")
+    least = found.groupBy("to").agg(F.min("node").alias("component"))
+    return found.join(least.hint("merge"), "to").select("node", "component")
 
 
 def stitched_nodes(segs: DataFrame, snap_m: float = 250.0) -> DataFrame:

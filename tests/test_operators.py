@@ -8,7 +8,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from perilframe import network
+from perilframe import io, network
 from perilframe.functions import geo
 from perilframe.functions import scalars as S
 from perilframe.operators import cover, joins, sequence
@@ -49,6 +49,26 @@ def test_overlap_pairs_with_nulls_and_long_intervals(spark):
     assert {r.l_id for r in joins.temporal_overlap_semi(a, b, 7).collect()} == {i for i, _ in want}
 
 
+def test_exploded_sides_are_not_broadcast(spark):
+    """A side exploded to cells and months has many times the rows that its file's size promises, so it must not go through the driver."""
+    day = date(2000, 1, 1)
+    left = spark.createDataFrame([(1, day, day, 1.0, 1.0)], "l_id long, l_start date, l_end date, l_lat double, l_lon double")
+    right = spark.createDataFrame([(2, day, day, 1.0, 1.0)], "r_id long, r_start date, r_end date, r_lat double, r_lon double")
+    plan = joins.spacetime_pairs(left, right, 200.0)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_components_of_a_long_way(spark):
+    """Far fewer rounds than the way is long, whatever the order of its ids."""
+    ids = list(range(1000))
+    random.Random(2).shuffle(ids)
+    edges = spark.createDataFrame(list(zip(ids, ids[1:])) + [(2000, 2001), (3000, 3000)], "u long, v long").coalesce(1)
+    made = len(io._MADE)
+    got = dict(network.components(edges).collect())
+    assert got == dict.fromkeys(range(1000), 0) | {2000: 2000, 2001: 2000, 3000: 3000}
+    assert len(io._MADE) - made < 60
+
+
 def test_snap_and_nearest(spark):
     rng = random.Random(3)
     verts = [(p, s, s * 1000.0, p * 5000.0 + rng.uniform(-300, 300)) for p in range(3) for s in range(8)]
