@@ -301,7 +301,7 @@ def reject_sample(runup):
 
 @query(f"WITH {SEG} SELECT g AS coast, arg_max(part_id, struct_pack(l := length_m, p := -part_id)) AS part_id, round(max(length_m), 3) AS length_m FROM (SELECT *, part_id % 4 AS g FROM len) GROUP BY 1", "fx_coast_vertex")
 def longest_part(coast):
-    return sequence.longest_part(_lengths(coast).withColumn("coast", c("part_id") % 4), "coast").select("coast", "part_id", F.round("length_m", 3).alias("length_m"))
+    return sequence.longest_part(joins.part_lengths(joins.segments(coast)).withColumn("coast", c("part_id") % 4), "coast").select("coast", "part_id", F.round("length_m", 3).alias("length_m"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(eq_time AS VARCHAR) || ' 01:30:00' END AS at FROM fx_quake", "fx_quake")

@@ -69,6 +69,16 @@ def test_components_of_a_long_way(spark):
     assert len(io._MADE) - made < 60
 
 
+def test_equally_long_parts_are_a_tie(spark):
+    """Parts with the same segments in another order are equally long, so the first one is the longest."""
+    a, b = [1e8] + [0.1] * 10, [0.1] * 10 + [1e8]
+    total = lambda v: list(itertools.accumulate(v))[-1]
+    low, high = sorted((a, b), key=total)
+    assert total(low) < total(high)
+    segs = spark.createDataFrame([(k, x) for k, v in ((4, low), (8, high)) for x in v], "part_id long, length double").coalesce(1)
+    assert sequence.longest_part(joins.part_lengths(segs).withColumn("g", F.lit(0)), "g").first().part_id == 4
+
+
 def test_snap_and_nearest(spark):
     rng = random.Random(3)
     verts = [(p, s, s * 1000.0, p * 5000.0 + rng.uniform(-300, 300)) for p in range(3) for s in range(8)]
