@@ -72,6 +72,17 @@ def test_track_hull(spark):
         assert all(turn(a, b, (x, y)) >= 0 for _, x, y in pts)
 
 
+def test_track_hull_goes_by_many_tracks(spark):
+    """No group of its own for each track; repeated points, lines and nulls in tracks beside each other."""
+    points = spark.createDataFrame([(1, 0.0, 0.0), (1, 0.0, 0.0), (2, 0.0, 0.0), (2, 1.0, 1.0), (2, 2.0, 2.0), (3, None, 1.0), (4, 0.0, 0.0), (4, 1.0, 0.0), (4, 0.0, 1.0), (4, 0.2, 0.2)], "sid long, x double, y double")
+    hull = storm.track_hull(points)
+    assert "FlatMapGroups" not in hull._jdf.queryExecution().sparkPlan().toString()
+    got = {}
+    for r in sorted(hull.collect(), key=lambda r: (r.sid, r.i)):
+        got.setdefault(r.sid, []).append((r.x, r.y))
+    assert got == {1: [(0.0, 0.0)], 2: [(0.0, 0.0), (2.0, 2.0)], 4: [(0.0, 0.0), (1.0, 0.0), (0.0, 1.0)]}
+
+
 def test_datetime_profile(spark):
     rows = spark.createDataFrame([("x", "2020-01-01", "2020-01-01"), ("y", None, "2020-01-02"), ("2020-02-30", "2020-01-03", "z"), (None, "n", "2020-03-03")], "a string, b string, c string")
     assert [tuple(r) for r in tables.datetime_profile(rows, ["a", "b", "c"]).collect()] == [("a", 0.0, False), ("b", 0.5, False), ("c", 0.75, True)]
