@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 from datetime import date, timedelta
 
 import pytest
@@ -69,6 +70,23 @@ def test_components_of_a_long_way(spark):
     assert len(io._MADE) - made < 60
 
 
+def test_matches_by_time_alone_build_no_pairs(spark):
+    """Rows without coordinates match by time alone: against brute force, with nulls, turned intervals and long ones. No join goes by the hazard alone."""
+    rng = random.Random(8)
+    day = lambda: date(2000, 1, 1) + timedelta(rng.randrange(3000))
+    end = lambda s: None if rng.random() < 0.2 else s + timedelta(rng.choice([-3, 0, 5, 1200]))
+    left = [(i, rng.choice("ab"), s := day(), end(s)) for i in range(12)] + [(90, "a", None, None)]
+    right = [(i, rng.choice("abc"), s := day(), end(s)) for i in range(60)] + [(91, "a", None, None)]
+    a = spark.createDataFrame(left, "l_id long, hazard string, l_start date, l_end date").withColumn("l_lat", F.lit(1.0)).withColumn("l_lon", F.lit(1.0))
+    b = spark.createDataFrame(right, "r_id long, hazard string, r_start date, r_end date").withColumn("r_lat", F.lit(None).cast("double")).withColumn("r_lon", F.lit(None).cast("double"))
+    tol = timedelta(7)
+    pairs = [(h, i, k) for i, h, s, e in left if s for k, g, u, v in right if u and g == h and s <= max(u - tol, (v or u) + tol) and max(s, e or s) >= u - tol]
+    got = joins.matched_ids(a, b, 250.0, 7, ["hazard"])
+    assert not re.search(r"Join \[hazard#\d+\],", got._jdf.queryExecution().sparkPlan().toString())
+    assert {tuple(r) for r in got.collect()} == {(h, k) for h, _, k in pairs}
+    assert {r.l_id for r in joins.temporal_overlap_semi(a, b, 7).collect()} == {i for i, _, s, e in left if s and any(u and s <= max(u - tol, (v or u) + tol) and max(s, e or s) >= u - tol for _, _, u, v in right)}
+
+
 def test_equally_long_parts_are_a_tie(spark):
     """Parts with the same segments in another order are equally long, so the first one is the longest."""
     a, b = [1e8] + [0.1] * 10, [0.1] * 10 + [1e8]
