@@ -46,6 +46,14 @@ def test_hysteresis_keeps_the_last_method(spark):
     assert got == want and {"a", "b", "c"} == set(want.values())
 
 
+def test_hysteresis_carries_columns(spark):
+    """Columns come along with their step, in tracks that are folded and in those that aren't."""
+    steps = [(1, i, [("a", 0.9), ("c", 0.5)], i * 10) for i in range(4)] + [(2, 0, [("b", 0.85)], 7), (2, 1, [("a", 0.9), ("b", 0.85)], 8), (2, 2, [], 9)]
+    df = spark.createDataFrame(steps, "sid int, t int, candidates array<struct<method:string,conf:double>>, v int")
+    got = {(r.sid, r.t, r.method, r.conf, r.v) for r in sequence.hysteresis(df, "sid", ["t"], 0.1, ["v"]).collect()}
+    assert got == {(1, i, "a", 0.9, i * 10) for i in range(4)} | {(2, 0, "b", 0.85, 7), (2, 1, "b", 0.85, 8)}
+
+
 def greedy(rows, days=14, km=200.0):
     """The reference order: every record joins the first open cluster in reach of its running centre, over the whole table."""
     out, clusters = {}, []
