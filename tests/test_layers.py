@@ -54,6 +54,11 @@ def test_hysteresis_carries_columns(spark):
     assert got == {(1, i, "a", 0.9, i * 10) for i in range(4)} | {(2, 0, "b", 0.85, 7), (2, 1, "b", 0.85, 8)}
 
 
+def test_rings_are_dealt_to_all_tasks(spark):
+    rows = spark.createDataFrame([(i, date(2000, 1, 1), 10.0, 20.0, 7.0, 10.0, 0.0, 30.0) for i in range(40)], "event_id long, eq_time date, lat double, lon double, mw double, depth_km double, rake1 double, strike double").coalesce(1)
+    assert quake.quake_footprints(rows).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
 def greedy(rows, days=14, km=200.0):
     """The reference order: every record joins the first open cluster in reach of its running centre, over the whole table."""
     out, clusters = {}, []
