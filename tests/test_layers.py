@@ -85,6 +85,17 @@ def test_greedy_clusters_over_long_chains(spark):
     assert dict(flood.clusters(df).collect()) == greedy(rows)
 
 
+@pytest.mark.parametrize(("tile", "margin"), [(2.0, 0.0), (3.0, 150.0)])
+def test_greedy_clusters_over_tiles(spark, tile, margin):
+    """Dense records are one component in space and time; no pass holds them all, and the tiles agree on one pass over the table, at the date line and a pole, too."""
+    rng = random.Random(11)
+    rows = [(i, date(2000, 1, 1) + timedelta(rng.randrange(60)), *((rng.uniform(0, 8), rng.uniform(176, 184)) if i % 4 else (rng.uniform(84, 90), rng.uniform(-180, 180)))) for i in range(400)]
+    rows = [(i, s, s + timedelta(rng.randrange(6)), a, b) for i, s, a, b in rows]
+    df = spark.createDataFrame([(i, "DFO", s, e, a, b, 1.0) for i, s, e, a, b in rows], "row_id long, source string, start_date date, end_date date, lat double, lon double, area_km2 double")
+    reached = df.select(F.explode(flood._tiles_reached("lat", "lon", margin + 400.0, tile))).groupBy("col").count().agg(F.max("count")).first()[0]
+    assert reached < 350 and dict(flood.clusters(df, tile_deg=tile, margin_km=margin).collect()) == greedy(rows)
+
+
 def test_greedy_clusters_without_coordinates(spark):
     """A record without coordinates is a cluster of its own, and no other joins it."""
     day = date(2000, 1, 1)
