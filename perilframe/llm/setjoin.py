@@ -12,7 +12,8 @@ units, nearly every one, doesn't emit them, and a pair still shares a key. (If b
 them; if one does, what isn't found lies in its own empty segments.) A set with more emits all.
 
 Units are 1 unless the costs say otherwise (``allocation``): on a bounded sample of the texts (SAMPLE in expectation, by hash) a band's segments
-are charged for the keys that they make and, scaled to all rows, for the pairs that share them. The dearest segments, those of a passage
+are charged for the keys that they make and, scaled to all rows, for the pairs that ``settled`` compares, which grow with a list's
+members and not with their square; so the share of the keys of neighbourhoods doesn't grow with the table. The dearest segments, those of a passage
 that many documents hold, then lose their unit to the cheapest neighbourhoods. Any allocation of the same sum is exact.
 
 Lists of keys are settled in rounds (``shingles.settled``): every link between different sets is found or lies in
@@ -29,8 +30,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import mapped, slices, whole_text, written
-from perilframe.llm.shingles import lists_of, parity_bitmap, settled, several, shingle_set, texts_of, verified
+from perilframe.llm.common import mapped, only, slices, whole_text, written
+from perilframe.llm.shingles import ROUNDS, lists_of, parity_bitmap, settled, several, shingle_set, texts_of, verified
 
 WORDS, NUM, DEN, SAMPLE = 3, 90, 100, 4000
 _A, _B = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -132,7 +133,10 @@ def allocation(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = D
 
     some = texts.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).distinct()
     lists = mapped(some, run, "band int, segment int, key long, leads boolean").groupBy("band", "segment", "key").agg(F.count_if("leads").alias("e"), F.count_if(~F.col("leads")).alias("d"))
-    sums = lists.groupBy("band", "segment").agg(F.sum("e"), F.sum("d"), F.sum(F.expr("e * (e - 1) / 2")), F.sum(F.expr("CAST(e * d AS DOUBLE)")))
+    # a list of all rows is ``share`` times as long; its pairs are never more than those with the leaders of its rounds
+    pairs = F.least(F.expr("e * (e - 1) / 2") * share, F.when(F.col("e") > 1, F.col("e") * ROUNDS).otherwise(0))
+    others = F.least(F.expr("CAST(e * d AS DOUBLE)") * share, F.when((F.col("e") > 0) & (F.col("d") > 0), (F.col("e") + F.col("d")) * ROUNDS).otherwise(0))
+    sums = lists.groupBy("band", "segment").agg(F.sum("e"), F.sum("d"), F.sum(pairs), F.sum(others))
     costs: dict[int, list] = {}
     for r in sums.collect():  # a row for each segment of each band: as many as a few times the largest set at most
         costs.setdefault(r[0], []).append(r[1:])
@@ -141,8 +145,8 @@ def allocation(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = D
         band = Band(number, num, den)
         one, two = np.zeros(band.segments), np.zeros(band.segments)
         for segment, keys, near, pairs, others in rows:
-            one[segment] = keys * share + pair_cost * pairs * share**2
-            two[segment] = one[segment] + near * share + pair_cost * others * share**2
+            one[segment] = keys + pair_cost * pairs
+            two[segment] = one[segment] + near + pair_cost * others
         units, dear, cheap = np.ones(band.segments, np.int64), np.argsort(-one, kind="stable"), np.argsort(two - one, kind="stable")
         for i, j in zip(dear.tolist(), cheap.tolist()):
             if i == j or units[i] != 1 or units[j] != 1 or one[i] <= two[j] - one[j]:
@@ -203,10 +207,14 @@ def joined(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN)
     Repeated rows give repeated rows. A null doc_id takes part with the least id, shown as null where it is the smallest. Other
     columns are not looked at; an empty table gives none.
     """
-    base, sets, listed = _lists(docs, words, num, den)
-    none = docs.sparkSession.createDataFrame([], "a long, b long")
-    found = settled(docs, sets, listed, none, words, num, den).withColumnRenamed("a", "g")
-    rows = written(base.join(found, "g", "left").withColumn("c", F.coalesce("b", "g")).select("doc_id", "n", "c"), "components")
+
+    def members() -> DataFrame:
+        base, sets, listed = _lists(docs, words, num, den)
+        none = docs.sparkSession.createDataFrame([], "a long, b long")
+        found = settled(docs, sets, listed, none, words, num, den).withColumnRenamed("a", "g")
+        return base.join(found, "g", "left").withColumn("c", F.coalesce("b", "g")).select("doc_id", "n", "c")
+
+    rows = only(members, "components")
     least = F.lit(-(2**63)).cast("long")
     first = rows.where("n > 0").groupBy("c").agg(F.min(F.coalesce("doc_id", least)).alias("first"))
     alone = rows.where("n = 0").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from perilframe.llm.common import mapped, of_hashes, slices, whole_text, written
+from perilframe.llm.common import dropped, mapped, of_hashes, only, slices, whole_text, written
 from perilframe.network import components
 
 WORDS, NUM, DEN = 5, 4, 5
@@ -136,7 +136,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int = WORDS, num: int =
 
 def parts(links: DataFrame) -> DataFrame:
     """(a, b): each linked set with the component it is in; as links, they keep the components and are one for a set."""
-    return components(links, "a", "b").where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return only(lambda: components(links, "a", "b").where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")), "parts")
 
 
 def several(listed: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ def settled(docs: DataFrame, sets: DataFrame, listed: DataFrame, links: DataFram
             return F.lit(True)
 
     extra = [c for c in listed.columns if c not in ("token", "g", "leads")]
-    listed = written(several(listed).join(sets.select("g", "n", "hub"), "g"), "sized-lists")
+    listed = only(lambda: several(listed).join(sets.select("g", "n", "hub"), "g"), "sized-lists")
     member = ["g", "n", *extra, "c"]
 
     def sizes(x, y):
@@ -175,14 +175,26 @@ def settled(docs: DataFrame, sets: DataFrame, listed: DataFrame, links: DataFram
         return differ * (num + den) <= (F.col(f"{x}.n") + F.col(f"{y}.n")) * (den - num)
 
     def checked(pairs: DataFrame) -> DataFrame:
-        return written(verified(pairs, texts_of(docs, sets, pairs), words, num, den), "verified")
+        return only(lambda: verified(pairs, texts_of(docs, sets, pairs), words, num, den), "verified")
+
+    def with_leaders(rows: DataFrame, part: DataFrame | None) -> DataFrame:
+        rows = _open(rows, part) if part is not None else rows
+        lead = rows.where("leads").groupBy("token").agg(F.min(F.struct((-F.col("hub")).alias("hub"), *member)).alias("x"))
+        return rows.join(lead, "token").join(rows.groupBy("token").agg(F.count(F.lit(1)).alias("members")), "token")
+
+    def joined_to(links: DataFrame, pairs: DataFrame) -> DataFrame:
+        more = checked(pairs)
+        out = parts(links.union(more))
+        dropped(links, more)
+        return out
 
     tried, marks = None, sets.select("g", "n", "bits")
     links = parts(links)
-    rows = _open(listed, links)
+    rows, held, part = listed, listed, links
     for k in range(ROUNDS):
-        lead = rows.where("leads").groupBy("token").agg(F.min(F.struct((-F.col("hub")).alias("hub"), *member)).alias("x"))
-        rows = written(rows.join(lead, "token").join(rows.groupBy("token").agg(F.count(F.lit(1)).alias("members")), "token"), "led")
+        rows = only(lambda rows=rows, part=part: with_leaders(rows, part), "led")
+        dropped(held)
+        held, part = rows, None
         if rows.where(F.col("members") > (SHORT_LIST if k else 0)).isEmpty():
             break
         star = rows.select("x", F.struct(*member).alias("y")).where(F.col("x.c") != F.col("y.c")).where(sizes("x", "y") & possible("x", "y"))
@@ -193,18 +205,19 @@ def settled(docs: DataFrame, sets: DataFrame, listed: DataFrame, links: DataFram
         tried = near if tried is None else tried.unionByName(near)
         rows = rows.where("g != x.g").drop("x", "members")
         if not near.isEmpty():
-            links = parts(links.union(checked(near)))
+            links = part = joined_to(links, near)
             rows = rows.drop("c")
-            rows = _open(rows, links)
 
-    rest = written(rows.join(sets.select("g", "bits"), "g"), "open-lists")
+    rest = only(lambda: (rows if part is None else _open(rows, part)).join(sets.select("g", "bits"), "g"), "open-lists")
+    dropped(held)
     if rest.isEmpty():
         return links
     x, y = rest.alias("x"), rest.alias("y")
     meets = (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.leads") | F.col("y.leads")) & sizes("x", "y") & possible("x", "y") & bitmaps("x", "y")
     found = x.join(y, meets).select(F.least("x.g", "y.g").alias("a"), F.greatest("x.g", "y.g").alias("b")).distinct()
     pairs = written(found if tried is None else found.join(tried, ["a", "b"], "left_anti"), "open-pairs")
-    return links if pairs.isEmpty() else parts(links.union(checked(pairs)))
+    dropped(rest)
+    return links if pairs.isEmpty() else joined_to(links, pairs)
 
 
 def completed(docs: DataFrame, base: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:

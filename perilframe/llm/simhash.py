@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from perilframe.llm import shingles
-from perilframe.llm.common import mapped, of_hashes, slices, whole_text, written
+from perilframe.llm.common import mapped, of_hashes, only, slices, whole_text, written
 from perilframe.network import components
 
 BITS, LONG_LIST, HUGE_LIST = 3, 64, 8192
@@ -152,6 +152,10 @@ def deduplicated(docs: DataFrame, words: int = 3, bits: int = BITS) -> DataFrame
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one document, that of the smallest doc_id, of each component of links of 5-word Jaccard similarity of at
     least 4/5, all of them found. Texts without words are one component; of fully repeated rows one stays; nulls count as empty."""
+    return shingles.one_of_each(docs, only(lambda: _near_clusters(docs), "near-clusters"))
+
+
+def _near_clusters(docs: DataFrame) -> DataFrame:
     base = written(shingles.prefixes(docs), "shingle-sets")
     sets = written(base.select("g", "fp", "th", "n", "hub", "bits", "tokens").dropDuplicates(["g"]), "distinct-sets")
     groups = written(sets.groupBy("fp").agg(F.min("g").alias("rep")), "groups")
@@ -159,5 +163,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = led(groups.select("fp")).join(reps, "a").select("u", F.col("b").alias("a")).join(reps.withColumnRenamed("u", "v"), "a").select("u", "v")
     same = sets.select("g", "fp").join(groups, "fp").where("g != rep").select(F.col("rep").alias("u"), F.col("g").alias("v"))
     likely = written(pairs.unionByName(same).toDF("a", "b"), "simhash-pairs")
-    found = written(shingles.verified(likely, shingles.texts_of(docs, sets, likely)), "links")
-    return shingles.one_of_each(docs, shingles.completed(docs, base, sets, found))
+    found = only(lambda: shingles.verified(likely, shingles.texts_of(docs, sets, likely)), "links")
+    return shingles.completed(docs, base, sets, found)

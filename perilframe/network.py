@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from perilframe.io import written
+from perilframe.io import dropped, only, written
 from perilframe.operators.joins import near_pairs
 
 
@@ -29,13 +29,15 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
         gone.append(written(to, "went"))
         a, b = (gone[-1].select(F.col("node").alias(k), F.col("to").alias(f"{k}2")).hint("merge") for k in "uv")
         moved = left.join(a, "u").join(b, "v").where("u2 != v2")
-        left = written(moved.select(F.least("u2", "v2").alias("u"), F.greatest("u2", "v2").alias("v")).distinct(), "edges")
+        last, left = left, written(moved.select(F.least("u2", "v2").alias("u"), F.greatest("u2", "v2").alias("v")).distinct(), "edges")
+        dropped(last)
     if not gone:
         return left.select(F.col("u").alias("node"), F.col("v").alias("component"))
     found = gone[-1]
     for step in gone[-2::-1]:  # nodes that a round left without edges have gone no further
         last = found.select(F.col("node").alias("to"), F.col("to").alias("end")).hint("merge")
-        found = written(step.join(last, "to", "left").select("node", F.coalesce("end", "to").alias("to")), "went")
+        later, found = found, written(step.join(last, "to", "left").select("node", F.coalesce("end", "to").alias("to")), "went")
+        dropped(later, step)
     least = found.groupBy("to").agg(F.min("node").alias("component"))
     return found.join(least.hint("merge"), "to").select("node", "component")
 

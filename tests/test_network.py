@@ -2,11 +2,12 @@
 
 import itertools
 import math
+import os
 import random
 
 from pyspark.sql import functions as F
 
-from perilframe import network
+from perilframe import io, network
 from perilframe.operators import joins
 from perilframe.plans import storm
 from perilframe.sources import tables
@@ -88,3 +89,14 @@ def test_datetime_profile(spark):
     assert [tuple(r) for r in tables.datetime_profile(rows, ["a", "b", "c"]).collect()] == [("a", 0.0, False), ("b", 0.5, False), ("c", 0.75, True)]
     assert [tuple(r) for r in tables.datetime_profile(rows, ["b", "b"]).collect()] == [("b", 0.5, True), ("b", 0.5, False)]
     assert [tuple(r) for r in tables.datetime_profile(rows.where("false"), ["a"]).collect()] == [("a", None, False)]
+
+
+def test_steps_leave_only_their_result(spark):
+    """Tables of earlier rounds are gone once a later one has taken their place, and a step's own are gone at its end."""
+    edges = spark.range(300).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
+    before = len(io._MADE)
+    found = io.only(lambda: network.components(edges), "found")
+    assert len(io._MADE) == before + 1 and found.where("component = 0").count() == 301
+    new = io.written(found, "again")
+    io.dropped(found)
+    assert new.count() == 301 and not os.path.exists(found.written_to)
