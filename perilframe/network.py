@@ -71,7 +71,7 @@ def shortest(edges: DataFrame, sources: DataFrame, cap: float, keys: list[str] =
     """
     found = sources.select(*keys, "source").distinct()
     best = found.select(*keys, "source", F.col("source").alias("node"), F.lit(0.0).alias("cost"), F.array("source").alias("path"), F.lit(True).alias("fresh"))
-    pair = [*keys, "source", "node"]
+    pair, former = [*keys, "source", "node"], None
     while True:
         last = best.where("fresh")
         if stop is not None:
@@ -83,7 +83,10 @@ def shortest(edges: DataFrame, sources: DataFrame, cap: float, keys: list[str] =
         step = step.select(*keys, "source", F.col("v").alias("node"), F.struct((F.col("so_far") + F.col("cost")).alias("cost"), F.concat("path", F.array("v")).alias("path")).alias("way")).where(F.col("way.cost") <= cap)
         both = best.select(*pair, F.struct("cost", "path").alias("way"), F.col("cost").alias("was")).unionByName(step.withColumn("was", F.lit(None).cast("double")))
         best = both.groupBy(*pair).agg(F.min("way").alias("way"), F.min("was").alias("was"))
-        best = written(best.select(*pair, "way.*", (F.col("was").isNull() | (F.col("way.cost") < F.col("was"))).alias("fresh")), "ways")
+        done = written(best.select(*pair, "way.*", (F.col("was").isNull() | (F.col("way.cost") < F.col("was"))).alias("fresh")), "ways")
+        if former is not None:
+            dropped(former)
+        best = former = done
         if best.where("fresh").isEmpty():
             return best.drop("fresh")
 
@@ -110,9 +113,29 @@ def coast_edges(nodes: DataFrame, lengths: DataFrame) -> DataFrame:
 
 def station_distances(points: DataFrame, sources: DataFrame, nodes: DataFrame, lengths: DataFrame, cap: float) -> DataFrame:
     """(event_id, source, node, cost): along the coast between an event's points, if not above ``cap``. points: as in
-    ``station_edges``; sources: event_id, source, some of the points."""
-    edges, shared = written(station_edges(points, nodes, lengths), "station-edges"), written(coast_edges(nodes, lengths), "coast-edges")
-    return shortest(edges, sources, cap, ["event_id"], shared).where("node >= 0").select("event_id", "source", "node", "cost")
+    ``station_edges``; sources: event_id, source, some of the points.
+
+    A way stays in its part or leaves it by an end: so only the ends' ways to each other, few however many points there are, are searched in
+    rounds. Where a point lies in several parts, ways lead through it, and the points themselves are searched.
+    """
+    held = points.join(lengths, "part_id").select("event_id", "part_id", "node", F.least("length_m", F.greatest(F.lit(0.0), "station_m")).alias("at"), "length_m")
+    held = written(held.distinct(), "stations")
+    if not held.groupBy("event_id", "node").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        edges, shared = written(station_edges(points, nodes, lengths), "station-edges"), written(coast_edges(nodes, lengths), "coast-edges")
+        return shortest(edges, sources, cap, ["event_id"], shared).where("node >= 0").select("event_id", "source", "node", "cost")
+    pair, near = ["event_id", "source", "node"], F.col("cost") <= cap
+    start = sources.distinct().join(held.withColumnRenamed("node", "source"), ["event_id", "source"])
+    other = held.select("event_id", "part_id", "node", F.col("at").alias("at2"))
+    within = start.join(other, ["event_id", "part_id"]).select(*pair, F.abs(F.col("at") - F.col("at2")).alias("cost")).where(near)
+    ends = nodes.select("part_id", "end", F.col("node").alias("u"))
+    leave = F.when(F.col("end") == 0, F.col("at")).otherwise(F.col("length_m") - F.col("at")).alias("cost")
+    out = start.join(ends, "part_id").select("event_id", "source", "u", leave).where(near)
+    ways = distances(part_edges(nodes, lengths), nodes.select(F.col("node").alias("source")), cap).select(F.col("source").alias("u"), F.col("node").alias("v"), F.col("cost").alias("way"))
+    out = out.join(ways, "u").groupBy("event_id", "source", "v").agg(F.min(F.col("cost") + F.col("way")).alias("so_far")).where(F.col("so_far") <= cap)
+    reach = held.join(ends.withColumnRenamed("u", "v"), "part_id").select("event_id", "node", "v", leave.alias("last"))
+    across = out.join(reach, ["event_id", "v"]).select(*pair, (F.col("so_far") + F.col("last")).alias("cost")).where(near)
+    itself = sources.distinct().where("source >= 0").select("event_id", "source", F.col("source").alias("node"), F.lit(0.0).alias("cost"))
+    return within.unionByName(across).unionByName(itself).groupBy(*pair).agg(F.min("cost").alias("cost"))
 
 
 def distances(edges: DataFrame, sources: DataFrame, cap: float) -> DataFrame:

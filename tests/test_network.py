@@ -100,3 +100,15 @@ def test_steps_leave_only_their_result(spark):
     new = io.written(found, "again")
     io.dropped(found)
     assert new.count() == 301 and not os.path.exists(found.written_to)
+
+
+def test_station_distances_in_few_rounds(spark, monkeypatch):
+    """Ways along a part don't go from point to point: as many tables are written for many points as for few."""
+    nodes = spark.createDataFrame([(0, 0, 0), (0, 1, 1), (1, 0, 1), (1, 1, 3)], "part_id long, end int, node long")
+    lengths = spark.createDataFrame([(0, 100.0), (1, 50.0)], "part_id long, length_m double")
+    points = spark.createDataFrame([(7, i, 0 if i < 50 else 1, float(2 * i if i < 50 else i - 50)) for i in range(60)], "event_id long, node long, part_id long, station_m double")
+    calls, plain = [], network.written
+    monkeypatch.setattr(network, "written", lambda df, name: calls.append(name) or plain(df, name))
+    got = {r.node: r.cost for r in network.station_distances(points, points.where("node = 3").selectExpr("event_id", "node AS source"), nodes, lengths, 99.0).collect()}
+    at = [2.0 * i if i < 50 else 50.0 + i for i in range(60)]
+    assert got == {i: abs(a - 6.0) for i, a in enumerate(at) if abs(a - 6.0) <= 99.0} and len(got) > 50 and len(calls) < 8
