@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 
 from perilframe.llm.common import mapped, slices, whole_text
 
-#: Distinct words whose encodings a Python worker keeps between batches.
+#: Distinct words whose encodings a Python worker keeps between batches: after so many a new generation begins, and of
+#: the last one only what is met again goes on, so frequent words are encoded once.
 KEPT_WORDS = 200_000
-#: Token pairs whose fit it keeps, a rank beyond all, and the symbols from which on a word is a branch of its own.
-KEPT_PAIRS, NEVER, LONG_WORD = 200_000, 1 << 60, 1024
+#: Token pairs whose fit it keeps, and a rank beyond all.
+KEPT_PAIRS, NEVER = 200_000, 1 << 60
 
 
 def default_tokenizer() -> str:
@@ -97,6 +98,7 @@ class TrieBpe:
         self.ids: dict[str, int] = {}
         self.fits: dict[str, bool] = {}
         self.cache: dict[str, tuple[str, int]] = {}
+        self.older: dict[str, tuple[str, int]] = {}
 
     def units(self, token: str) -> list[str]:
         """The symbols of a token: characters, the last one with the word-end mark if the token has it."""
@@ -158,34 +160,23 @@ class TrieBpe:
     def learn(self, words: dict[str, str]) -> None:
         """Adds the encodings of distinct words to the cache, by one walk over the trie of their byte symbols (the keys).
 
-        A path keeps no more than its last symbols, as many as the longest token has, so the walk is linear in the
-        words' length. Very long words are a branch each, walked without nodes.
+        In sorted order words come as the walk meets them: a word's way down starts at the node where it leaves the word before, and lasts
+        holds the states of all nodes above. A node keeps no more than its last symbols, as many as the longest token has, so the walk
+        is linear in the words' length.
         """
-        root: dict = {}
-        most = self.longest
-        for w, word in words.items():
-            if len(w) > LONG_WORD:
-                lasts, tail = [""], ""
-                for depth, c in enumerate(w, 1):
-                    tail = (tail + c)[-most:]
-                    lasts.append(self.last(tail, depth, lasts, False) if depth < len(w) else "")
-                self._keep(word, tail, len(w), lasts)
-                continue
-            node = root
-            for c in w:
-                node = node.setdefault(c, {})
-            node[""] = word
-        lasts = [""] * (min(LONG_WORD, max(map(len, words), default=0)) + 1)
-        stack: list[tuple[dict, str, int]] = [(root, "", 0)]
-        while stack:  # children come off before the parent's siblings, so lasts holds this path's states below their depth
-            node, tail, depth = stack.pop()
-            for c, child in node.items():
-                if c:
-                    stack.append((child, (tail + c)[-most:], depth + 1))
-            if depth and len(node) > ("" in node):  # else no longer word shares this prefix
-                lasts[depth] = self.last(tail, depth, lasts, False)
-            if "" in node:
-                self._keep(node[""], tail, depth, lasts)
+        lasts = [""] * max(map(len, words), default=0)
+        most, last, before = self.longest, self.last, ""
+        for w in sorted(words):
+            shared = 0  # the nodes of both words: prefixes shorter than either
+            for a, b in zip(w[:-1], before[:-1]):
+                if a != b:
+                    break
+                shared += 1
+            n = len(w)
+            for depth in range(shared + 1, n):
+                lasts[depth] = last(w[depth - most if depth > most else 0 : depth], depth, lasts, False)
+            self._keep(words[w], w[-most:], n, lasts)
+            before = w
 
     def split(self, text: str) -> list[str]:
         """Words of a text, and special tokens as they stand."""
@@ -207,8 +198,12 @@ class TrieBpe:
         """For each text its ids, joined by one space, and their number."""
         split = [self.split(t) for t in texts]
         if len(self.cache) > KEPT_WORDS:
-            self.cache = {}
-        new = set().union(*split).difference(self.cache)
+            self.cache, self.older = {}, self.cache
+        new, older = set().union(*split).difference(self.cache), self.older
+        if older:
+            met = new & older.keys()
+            self.cache.update({w: older[w] for w in met})
+            new -= met
         for s in new & self.special.keys():
             self.cache[s] = (str(self.special[s]), 1)
         symbols = self.symbols

@@ -229,6 +229,17 @@ def test_bpe_of_very_long_words_is_linear():
     assert took[1] < 10 * took[0]
 
 
+def test_bpe_encodes_words_met_again_once(monkeypatch):
+    own, learnt = bpe.TrieBpe(bpe.default_tokenizer()), []
+    plain = own._keep
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 40)
+    monkeypatch.setattr(own, "_keep", lambda word, *rest: (learnt.append(word), plain(word, *rest)))
+    texts = ["the reoning thes then " + " ".join("q" + chr(97 + i // 26) + chr(97 + i % 26) + x for x in ("", "a", "ab", "abc")) for i in range(60)]
+    got = [own.encode_batch([t])[0] for t in texts]
+    assert learnt.count("the") == learnt.count("reoning") == 1 and len(learnt) == len(set(learnt)) and len(own.cache) + len(own.older) < 100
+    assert got == [bpe.TrieBpe.encode_batch(bpe.tokenizer(bpe.default_tokenizer()), [t])[0] for t in texts]
+
+
 def plain_simhash(text):
     w = re.findall("[^\x20\x09-\x0d]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
     h = [xxhash.xxh64_intdigest(" ".join(w[i : i + 3]), 42) for i in range(max(1, len(w) - 2))] if w else []
