@@ -10,36 +10,44 @@ from perilframe.io import dropped, only, written
 from perilframe.operators.joins import near_pairs
 
 
+#: Rows of two longs up to which ``components`` broadcasts a table of nodes: some 10 MB in memory.
+SMALL = 200_000
+
+
 def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
     """(node, component): the smallest node id that each node of an edge table reaches.
 
-    By contraction: in each round every node goes to the neighbour, or stays with itself, that comes first in an order by hash, new for each
-    round; edges go to where their ends went, and those within one node are dropped. So the number of rounds grows with the
+    By contraction: in each round every node goes to the one that comes first within two steps of it, itself included, in an order by hash, new for
+    each round; so all leaves of a star, which are two steps apart, meet in the first round. Edges go to where their ends went, and
+    those within one node are dropped. So the number of rounds grows with the
     logarithm of the nodes, however long the ways are, and each round has a share of the last one's edges. Then the rounds are
     followed backwards. Each is written to the shared folder, so the plan stays short; the driver sees only whether edges are left.
-    Joins are sort-merge joins by hint: a file of nodes is small beside its rows in memory. Null ends are ignored, repeated edges change nothing.
+    A table of nodes with at most SMALL rows is broadcast, which spares all shuffles but those of the groups; larger ones are joined by
+    sort-merge, by hint: a file of nodes is small beside its rows in memory. Null ends are ignored, repeated edges change nothing.
     """
     there = edges.where(F.col(u).isNotNull() & F.col(v).isNotNull())
     left = written(there.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct(), "edges")
-    gone = []
-    while not left.isEmpty():
+    gone, hints = [], []
+    while edge_count := left.count():
+        hints.append("broadcast" if 2 * edge_count <= SMALL else "merge")  # an edge has two nodes at most
         order = lambda k: F.struct(F.xxhash64(F.lit(len(gone)), k).alias("h"), F.col(k).alias("node"))
         both = left.select(F.col("u").alias("node"), F.col("v").alias("other")).union(left.select("v", "u"))
-        to = both.groupBy("node").agg(F.min(order("other")).alias("b")).select("node", F.least(order("node"), F.col("b"))["node"].alias("to"))
+        one = both.groupBy("node").agg(F.min(order("other")).alias("b")).select(F.col("node").alias("other"), F.least(order("node"), F.col("b")).alias("b"))
+        to = both.join(one.hint(hints[-1]), "other").groupBy("node").agg(F.min("b").alias("b")).select("node", F.col("b.node").alias("to"))
         gone.append(written(to, "went"))
-        a, b = (gone[-1].select(F.col("node").alias(k), F.col("to").alias(f"{k}2")).hint("merge") for k in "uv")
+        a, b = (gone[-1].select(F.col("node").alias(k), F.col("to").alias(f"{k}2")).hint(hints[-1]) for k in "uv")
         moved = left.join(a, "u").join(b, "v").where("u2 != v2")
         last, left = left, written(moved.select(F.least("u2", "v2").alias("u"), F.greatest("u2", "v2").alias("v")).distinct(), "edges")
         dropped(last)
     if not gone:
         return left.select(F.col("u").alias("node"), F.col("v").alias("component"))
     found = gone[-1]
-    for step in gone[-2::-1]:  # nodes that a round left without edges have gone no further
-        last = found.select(F.col("node").alias("to"), F.col("to").alias("end")).hint("merge")
+    for step, hint in zip(gone[-2::-1], hints[:0:-1]):  # nodes that a round left without edges have gone no further
+        last = found.select(F.col("node").alias("to"), F.col("to").alias("end")).hint(hint)
         later, found = found, written(step.join(last, "to", "left").select("node", F.coalesce("end", "to").alias("to")), "went")
         dropped(later, step)
     least = found.groupBy("to").agg(F.min("node").alias("component"))
-    return found.join(least.hint("merge"), "to").select("node", "component")
+    return found.join(least.hint(hints[0]), "to").select("node", "component")
 
 
 def stitched_nodes(segs: DataFrame, snap_m: float = 250.0) -> DataFrame:

@@ -112,3 +112,18 @@ def test_station_distances_in_few_rounds(spark, monkeypatch):
     got = {r.node: r.cost for r in network.station_distances(points, points.where("node = 3").selectExpr("event_id", "node AS source"), nodes, lengths, 99.0).collect()}
     at = [2.0 * i if i < 50 else 50.0 + i for i in range(60)]
     assert got == {i: abs(a - 6.0) for i, a in enumerate(at) if abs(a - 6.0) <= 99.0} and len(got) > 50 and len(calls) < 8
+
+
+def test_stars_contract_in_one_round(spark, monkeypatch):
+    rounds, plain = [], network.written
+    monkeypatch.setattr(network, "written", lambda df, name: (rounds.append(name), plain(df, name))[1])
+    edges = [(500, i) for i in range(2000) if i != 500] + [(5000, 4000 + i) for i in range(900)] + [(9000, 9001)]
+    for small in (network.SMALL, 0):  # broadcast, and by sort-merge
+        monkeypatch.setattr(network, "SMALL", small)
+        rounds.clear()
+        got = {r.node: r.component for r in network.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+        assert got == {i: 0 for i in range(2000)} | {i: 4000 for i in range(4000, 4900)} | {5000: 4000, 9000: 9000, 9001: 9000}
+        assert rounds.count("went") == 1
+    path = spark.range(3000).selectExpr("id AS u", "id + 1 AS v")
+    rounds.clear()
+    assert network.components(path).where("component = 0").count() == 3001 and rounds.count("edges") < 12
