@@ -41,8 +41,8 @@ def runs(sides: DataFrame, keys: list[str], res: float) -> DataFrame:
 
 
 def ring_cover(rings: DataFrame, res: float, keys: list[str], ring: str = "ring") -> DataFrame:
-    """(keys, cx, cy): the cells whose centre lies inside a polygon, holes left out, each once."""
-    return runs(edges(rings, keys, ring), keys, res).select(*keys, F.explode(F.sequence("from_cx", "to_cx")).alias("cx"), "cy").distinct()
+    """(keys, cx, cy): the cells whose centre lies inside a polygon, holes left out, each once: the runs of a row share no cell."""
+    return runs(edges(rings, keys, ring), keys, res).select(*keys, F.explode(F.sequence("from_cx", "to_cx")).alias("cx"), "cy")
 
 
 def _side_rows(sides: DataFrame, res: float) -> DataFrame:
@@ -66,7 +66,7 @@ def classified_cells(rings: DataFrame, res: float, keys: list[str], ring: str =
     slack = res * 1e-9  # a side along a line of the grid belongs to the cells on both of its sides
     cols = F.sequence(F.floor((F.least(a, b) - slack) / res).cast("long"), F.floor((F.greatest(a, b) + slack) / res).cast("long"))
     touched = rows.select(*keys, F.explode(cols).alias("cx"), "cy").distinct().withColumn("edge", F.lit(True))
-    inside = runs(sides, keys, res).select(*keys, F.explode(F.sequence("from_cx", "to_cx")).alias("cx"), "cy").distinct().withColumn("edge", F.lit(False))
+    inside = runs(sides, keys, res).select(*keys, F.explode(F.sequence("from_cx", "to_cx")).alias("cx"), "cy").withColumn("edge", F.lit(False))
     return touched.unionByName(inside).groupBy(*keys, "cx", "cy").agg(F.max("edge").alias("edge"))
 
 

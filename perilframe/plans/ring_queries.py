@@ -18,7 +18,8 @@ def _stars(quake):
     lon, lat, far = c("lon"), c("lat"), (c("event_id") % 7 + 3).cast("double")
     star = _ring((lon + far, lat + 0.0), (lon + 1.0, lat + 1.0), (lon + 0.0, lat + far), (lon - 1.0, lat + 1.0), (lon - far, lat + 0.0), (lon - 1.0, lat - 1.0), (lon + 0.0, lat - far), (lon + 1.0, lat - 1.0))
     hole = _ring((lon + 0.7, lat + 0.0), (lon + 0.0, lat + 0.7), (lon - 0.7, lat + 0.0), (lon + 0.0, lat - 0.7))
-    return quake.select("event_id", F.explode(F.array(star, hole)).alias("ring"))
+    # dealt out as quakes, so that their many crossings and cells, which keep the key, need no shuffle
+    return quake.repartition("event_id").select("event_id", F.explode(F.array(star, hole)).alias("ring"))
 
 
 @query("""WITH f AS (SELECT event_id, lon, lat, CAST(event_id % 7 + 3 AS DOUBLE) AS r FROM fx_quake),

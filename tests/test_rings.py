@@ -144,3 +144,13 @@ def test_projections_there_and_back(spark):
     r = df.where("i = 5").select("*", P.aeqd(c("lon"), c("lat"), *args).alias("p")).first()
     p0, p1, dl = math.radians(r.lat0), math.radians(r.lat), math.radians(r.lon - r.lon0)
     assert abs(math.hypot(*r.p) - 6_371_000 * math.acos(math.sin(p0) * math.sin(p1) + math.cos(p0) * math.cos(p1) * math.cos(dl))) < 1e-2
+
+
+def test_ring_cover_of_quakes_shuffles_quakes_only(spark):
+    from perilframe.plans import ring_queries
+
+    quake = spark.createDataFrame([(i, float(i % 50), float(i % 40)) for i in range(40)], "event_id long, lon double, lat double")
+    got = rings.ring_cover(ring_queries._stars(quake), 0.5, ["event_id"]).groupBy("event_id").agg(F.count(F.lit(1)).alias("cells"), F.count_distinct("cx", "cy").alias("n"))
+    assert got.where("cells = n").count() == 40
+    cells = rings.ring_cover(ring_queries._stars(quake), 0.5, ["event_id"]).groupBy("event_id").count()
+    assert cells._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1
