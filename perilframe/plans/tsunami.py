@@ -62,10 +62,12 @@ def runup_segments(snapped: DataFrame, lengths: DataFrame, gap_m: float = 1000.0
 
 
 def events_snapped(runups: DataFrame, vertices: DataFrame, max_m: float = 25_000.0) -> DataFrame:
-    """Run-ups on their nearest coast part: runup_id, event_id, part_id, station_m, distance_m, h."""
+    """Run-ups on their nearest coast part: runup_id, event_id, part_id, station_m, distance_m, h.
+
+    Both sides of the join grow with the run-ups, so it is a sort-merge join by hint: their columns make small files, which would be broadcast."""
     pts = runups.select(F.col("runup_id").alias("pt_id"), F.col("x_m").alias("x"), F.col("y_m").alias("y"))
     near = joins.snapped(pts, joins.segments(vertices), max_m)
-    return runups.join(near, runups["runup_id"] == near["pt_id"]).select("runup_id", F.col("tsunami_event_id").alias("event_id"), "part_id", "station_m", "distance_m", F.col("runup_ht").alias("h"))
+    return runups.join(near.hint("merge"), runups["runup_id"] == near["pt_id"]).select("runup_id", F.col("tsunami_event_id").alias("event_id"), "part_id", "station_m", "distance_m", F.col("runup_ht").alias("h"))
 
 
 def inland_cover(segments: DataFrame, snapped: DataFrame, segs: DataFrame, res_m: float, step_m: float = 250.0, land: DataFrame | None = None) -> DataFrame:

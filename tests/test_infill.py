@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from perilframe import network
 from perilframe.operators import joins, sequence
-from perilframe.plans import infill
+from perilframe.plans import infill, tsunami
 
 BASE, POINTS = "event_id long, part_id long, s0 double, s1 double", "event_id long, part_id long, station_m double"
 
@@ -346,3 +346,11 @@ def test_chains(spark, coast):
     assert {tuple(r)[:1] + tuple(r)[2:6] for r in more.collect()} >= {(e, p, s, *w[:2]) for (e, p, s), w in want.items()}
     assert any(r.hops > 1 for r in more.collect())
     assert infill.infill_chain(args[0].limit(0), segs).isEmpty()
+
+
+def test_snapping_broadcasts_no_runups(spark):
+    vertices = spark.createDataFrame([(p, i, i * 10_000.0, p * 200_000.0) for p in range(3) for i in range(5)], "part_id long, seq int, x_m double, y_m double")
+    runups = spark.createDataFrame([(i, i % 2, i * 1_000.0, (i % 3) * 200_000.0 + 500.0, float(i)) for i in range(30)], "runup_id long, tsunami_event_id long, x_m double, y_m double, runup_ht double")
+    got = tsunami.events_snapped(runups, vertices)
+    assert {(r.runup_id, r.event_id, r.part_id, r.station_m, r.h) for r in got.collect()} == {(i, i % 2, i % 3, i * 1_000.0, float(i)) for i in range(30)}
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
