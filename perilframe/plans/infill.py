@@ -284,10 +284,10 @@ def _numbered(rows: DataFrame) -> DataFrame:
     return written(rows.select(*KEYS, "station_m", "kind").distinct().withColumn("node", F.row_number().over(order).cast("long")), "chain-nodes")
 
 
-def chain_edges(nodes: DataFrame, segs: DataFrame, coast: DataFrame, lengths: DataFrame, hop_m: float, k: int) -> DataFrame:
+def chain_edges(nodes: DataFrame, places: DataFrame, coast: DataFrame, lengths: DataFrame, hop_m: float, k: int) -> DataFrame:
     """(event_id, u, v, cost): from each node to its ``k`` nearest neighbours, of each part the nearest, if one end is a terminal and the way
-    along the coast is at most ``hop_m``. coast: the stitched ends of the parts."""
-    at = written(sequence.located(segs, nodes), "chain-points")
+    along the coast is at most ``hop_m``. places: part_id, station_m, x, y of the nodes' stations; coast: the stitched ends of the parts."""
+    at = written(nodes.join(places, ["part_id", "station_m"]), "chain-points")
     other = at.select("event_id", F.col("node").alias("v"), F.col("part_id").alias("part_v"), F.col("kind").alias("kind_v"), F.col("x").alias("x2"), F.col("y").alias("y2"))
     pairs = joins.near_pairs(at, other, hop_m, F.col("node") != F.col("v"), ["event_id"])
     near = pairs.groupBy("event_id", "node", "kind", "part_v").agg(F.min(F.struct("distance_m", "kind_v", "v")).alias("n"))
@@ -310,12 +310,14 @@ def infill_chain(base: DataFrame, segs: DataFrame, boosters: DataFrame | None =
     """
     coast, lengths = written(network.stitched_nodes(segs, snap_m), "coast-nodes"), written(joins.part_lengths(segs), "part-lengths")
     nodes, out = chain_nodes(base, boosters), None
+    # later passes add no stations, so the segments of the coast, many more than the stations, are gone through once
+    places = written(sequence.located(segs, nodes.select("part_id", "station_m").distinct()), "chain-places")
     for step in range(1, passes + 1):
-        edges = chain_edges(nodes, segs, coast, lengths, hop_m, k)
+        edges = chain_edges(nodes, places, coast, lengths, hop_m, k)
         names = nodes.where("kind = 'term'").select("event_id", F.col("node").alias("v"), F.col("part_id").alias("_part"))
         from_part = names.select("event_id", F.col("v").alias("source"), F.col("_part").alias("part_start"))
         # the part of the end is carried in the edges, and that of the start in the source, so that a goal is known where it is reached
-        tagged = edges.join(names.select("event_id", "v", F.col("_part").alias("goal_part")), ["event_id", "v"], "left")
+        tagged = written(edges.join(names.select("event_id", "v", F.col("_part").alias("goal_part")), ["event_id", "v"], "left"), "tagged-edges")
         ways = _ways_to_goals(tagged, from_part, total_m)
         goal = ways.groupBy("event_id", "source").agg(F.min(F.struct("cost", "node", "hops")).alias("g"))
         at = nodes.select("event_id", "node", "part_id", "station_m")

@@ -354,3 +354,12 @@ def test_snapping_broadcasts_no_runups(spark):
     got = tsunami.events_snapped(runups, vertices)
     assert {(r.runup_id, r.event_id, r.part_id, r.station_m, r.h) for r in got.collect()} == {(i, i % 2, i % 3, i * 1_000.0, float(i)) for i in range(30)}
     assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_chains_go_through_the_coast_once(spark, coast, monkeypatch):
+    segs, lengths, _ = coast
+    calls, located = [], sequence.located
+    monkeypatch.setattr(infill.sequence, "located", lambda *args: calls.append(1) or located(*args))
+    base = spark.createDataFrame([(1, p, 1_000.0, 5_000.0) for p in sorted(lengths)], BASE)
+    found = infill.infill_chain(base, segs, None, 90_000.0, 170_000.0, 3, passes=3)
+    assert found.count() and len(calls) == 1
