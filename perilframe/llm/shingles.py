@@ -152,19 +152,23 @@ def _open(listed: DataFrame, part: DataFrame) -> DataFrame:
     return rows.join(kept, "token")
 
 
-def settled(docs: DataFrame, sets: DataFrame, listed: DataFrame, links: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, possible=None) -> DataFrame:
+def settled(docs: DataFrame, sets: DataFrame, listed: DataFrame, links: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN, possible=None, spent: DataFrame | None = None) -> DataFrame:
     """(a, b): every set that is linked with another, and its component.
 
     sets: g, th, n, bits, hub (leaders have a large one); listed: token, g, leads (boolean) and what ``possible`` looks at, a row for a set
     in a list; of two linked sets at least one leads in a list that holds both. links (a, b): verified ones that are known.
-    possible(x, y): a further condition on two members of a list.
+    possible(x, y): a further condition on two members of a list. spent: a written table that ``listed`` alone is read from, deleted once that is done.
     """
     if not possible:
         def possible(x, y):
             return F.lit(True)
 
     extra = [c for c in listed.columns if c not in ("token", "g", "leads")]
-    listed = only(lambda: several(listed).join(sets.select("g", "n", "hub"), "g"), "sized-lists")
+    kept = several(listed)
+    if spent is not None:
+        dropped(spent)
+    listed = written(kept.join(sets.select("g", "n", "hub"), "g"), "sized-lists")
+    dropped(kept)
     member = ["g", "n", *extra, "c"]
 
     def sizes(x, y):
@@ -220,14 +224,14 @@ def settled(docs: DataFrame, sets: DataFrame, listed: DataFrame, links: DataFram
     return links if pairs.isEmpty() else joined_to(links, pairs)
 
 
-def completed(docs: DataFrame, base: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
+def completed(docs: DataFrame, base: DataFrame, sets: DataFrame, tokens: DataFrame, links: DataFrame) -> DataFrame:
     """(doc_id, th, cluster): for every row the hash of its text and the component that links of at least 4/5 reach.
 
-    base, sets: from ``prefixes``, and its distinct sets; links (a, b): verified ones that are known. Equal sets are one node.
-    Texts without words are one cluster.
+    base: doc_id, th, g of ``prefixes``; sets, tokens: its distinct sets without and with their prefixes, the latter deleted once lists are made of them;
+    links (a, b): verified ones that are known. Equal sets are one node. Texts without words are one cluster.
     """
-    listed = sets.select("g", F.lit(True).alias("leads"), F.posexplode("tokens").alias("pos", "token"))
-    final = settled(docs, sets, listed, links, possible=within_prefixes).withColumnRenamed("a", "g")
+    listed = tokens.select("g", F.lit(True).alias("leads"), F.posexplode("tokens").alias("pos", "token"))
+    final = settled(docs, sets, listed, links, possible=within_prefixes, spent=tokens).withColumnRenamed("a", "g")
     return base.select("doc_id", "th", "g").join(final, "g", "left").select("doc_id", "th", F.coalesce("b", "g").alias("cluster"))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from perilframe.llm import shingles
-from perilframe.llm.common import mapped, of_hashes, only, slices, whole_text, written
+from perilframe.llm.common import dropped, mapped, of_hashes, only, slices, whole_text, written
 from perilframe.network import components
 
 BITS, LONG_LIST, HUGE_LIST = 3, 64, 8192
@@ -156,12 +156,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def _near_clusters(docs: DataFrame) -> DataFrame:
-    base = written(shingles.prefixes(docs), "shingle-sets")
-    sets = written(base.select("g", "fp", "th", "n", "hub", "bits", "tokens").dropDuplicates(["g"]), "distinct-sets")
+    full = written(shingles.prefixes(docs), "shingle-sets")
+    distinct = written(full.select("g", "fp", "th", "n", "hub", "bits", "tokens").dropDuplicates(["g"]), "distinct-sets")
+    # bitmaps and prefixes are most of these tables: they go once the documents have their ids, and prefixes once lists are made of them
+    base = written(full.select("doc_id", "th", "g"), "set-ids")
+    dropped(full)
+    sets, tokens = written(distinct.drop("tokens"), "set-marks"), written(distinct.select("g", "tokens"), "set-prefixes")
+    dropped(distinct)
     groups = written(sets.groupBy("fp").agg(F.min("g").alias("rep")), "groups")
     reps = groups.select(F.col("fp").alias("a"), F.col("rep").alias("u"))
     pairs = led(groups.select("fp")).join(reps, "a").select("u", F.col("b").alias("a")).join(reps.withColumnRenamed("u", "v"), "a").select("u", "v")
     same = sets.select("g", "fp").join(groups, "fp").where("g != rep").select(F.col("rep").alias("u"), F.col("g").alias("v"))
     likely = written(pairs.unionByName(same).toDF("a", "b"), "simhash-pairs")
     found = only(lambda: shingles.verified(likely, shingles.texts_of(docs, sets, likely)), "links")
-    return shingles.completed(docs, base, sets, found)
+    return shingles.completed(docs, base, sets, tokens, found)

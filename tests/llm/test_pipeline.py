@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__
 import corpus_pipeline
+from perilframe import io
+from perilframe.llm import shingles, simhash
 from perilframe.llm.common import written
 
 DIR = "/root/testdata/sf0.01"  # the smallest tables have too few toxic labels
@@ -84,3 +86,20 @@ def test_near_duplicates_of_one_large_group(spark):
     want, links = kept_by_brute_force(rows)
     got = [r.doc_id for r in corpus_pipeline.near_duplicates_out(spark, docs, DIR).select("doc_id").collect()]
     assert links > 300 and 100 < len(want) < 400 and sorted(got) == sorted(want)
+
+
+def test_near_duplicates_keep_no_spent_tables(spark, monkeypatch):
+    left, completed = [], shingles.completed
+
+    def names():
+        return {path.rsplit("/", 1)[1].rsplit("-", 1)[0] for path in io._MADE}
+
+    def seen(run):
+        return lambda *args, **more: left.append((run.__name__, names())) or run(*args, **more)
+
+    io.cleanup(spark)
+    monkeypatch.setattr(shingles, "completed", seen(completed))
+    rows = [(i, " ".join(f"w{i // 3}x{j + (i % 3) * (j == 40)}" for j in range(80))) for i in range(30)]
+    assert {r.doc_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == set(range(0, 30, 3))
+    assert left and all(not {"shingle-sets", "distinct-sets"} & tables for _, tables in left)
+    assert "set-prefixes" not in names()
