@@ -156,6 +156,20 @@ def test_enrichment_by_brute_force(spark, days):
     assert {i: k for i, (k, _) in got.items()} == want and any(km is None for _, km in got.values()) and flood.enriched(a.limit(0), b).count() == 0
 
 
+def test_enrichment_reaches_as_far_as_losses_are_dense(spark):
+    rng = random.Random(4)
+    spread = [(i, date(2000, 1, 1 + i % 28), date(2000, 1, 1 + i % 28), rng.uniform(-60, 60), rng.uniform(-180, 180)) for i in range(4000)]
+    kind = "r_id long, r_start date, r_end date, r_lat double, r_lon double"
+    few, many = (flood._tiers(spark.createDataFrame(rows, kind)) for rows in (spread[:40], spread))
+    assert many[0] < few[0] and many[-1] == few[-1] == 3200.0 and all(b == 2 * a for a, b in zip(many, many[1:]))
+    assert flood._tiers(spark.createDataFrame([(i, date(2000, 1, 1), date(2000, 1, 1), 1.0, 1.0) for i in range(40)], kind))[0] <= 1.0 and flood._tiers(spark.createDataFrame([], kind)) == [3200.0]
+    a = spark.createDataFrame([(i, s, e, la, lo) for i, s, e, la, lo in spread[::40]] + [(-1, date(1990, 1, 1), date(2010, 1, 1), 5.0, 5.0)], "row_id long, start_date date, end_date date, lat double, lon double")
+    b = spark.createDataFrame([(k * 10_000 + i, *x) for i, *x in spread for k in (2, 1)], "rec_id long, start_date date, end_date date, lat double, lon double")
+    got = {r.row_id: (r.rec_id, round(r.km, 6)) for r in flood.enriched(a, b).collect()}
+    near = min((hav(5.0, 5.0, la, lo), i) for i, _, _, la, lo in spread)
+    assert got == {i: (10_000 + i, 0.0) for i, *_ in spread[::40]} | {-1: (10_000 + near[1], round(near[0], 6))}
+
+
 def test_storm_without_candidates_gets_a_capsule(spark):
     rows = [(1, date(2000, 1, 1 + i), 1, i, 1, 1, 10.0, 179.0 + i if i < 1 else -180.0 + i, None, "XX", None, None, None, None, None, None) for i in range(3)]
     kinds = "sid int, iso_time date, k1 int, k2 int, k3 int, k4 int, lat double, lon double, category int, basin string, ne double, se double, sw double, nw double, roci_nm double, rmw_nm double"
