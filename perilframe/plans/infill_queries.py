@@ -169,6 +169,6 @@ def infill_cross_part(runup, coast):
 
 @query(None, "fx_runup", "fx_coast_vertex")
 def infill_chain(runup, coast):
-    """Chains between segments on different parts over low run-ups."""
-    found = infill.infill_chain(_runup_segments(runup, coast), joins.segments(coast), _low(runup, coast).where("station_m < 200000"), 300_000.0, 500_000.0, snap_m=210_000.0)
+    """Chains between segments on different parts over low run-ups, wherever they lie."""
+    found = infill.infill_chain(_runup_segments(runup, coast), joins.segments(coast), _low(runup, coast), 300_000.0, 500_000.0, snap_m=210_000.0)
     return found.select("event_id", "pass", "part_start", F.round("station_start", 3).alias("station_start"), "part_end", F.round("station_end", 3).alias("station_end"), "hops", F.round("length_m", 3).alias("length_m"))

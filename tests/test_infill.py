@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from perilframe import network
 from perilframe.operators import joins, sequence
-from perilframe.plans import infill, tsunami
+from perilframe.plans import infill, infill_queries, tsunami
 
 BASE, POINTS = "event_id long, part_id long, s0 double, s1 double", "event_id long, part_id long, station_m double"
 
@@ -363,3 +363,12 @@ def test_chains_go_through_the_coast_once(spark, coast, monkeypatch):
     base = spark.createDataFrame([(1, p, 1_000.0, 5_000.0) for p in sorted(lengths)], BASE)
     found = infill.infill_chain(base, segs, None, 90_000.0, 170_000.0, 3, passes=3)
     assert found.count() and len(calls) == 1
+
+
+def test_chains_take_low_runups_of_the_whole_part(spark, monkeypatch):
+    vertices = spark.createDataFrame([(p, i, i * 10_000.0, p * 200_000.0) for p in range(2) for i in range(61)], "part_id long, seq int, x_m double, y_m double")
+    runups = spark.createDataFrame([(i, 1, i * 50_000.0, (i % 2) * 200_000.0 + 500.0, 1.0 if i % 3 else 4.0) for i in range(12)], "runup_id long, tsunami_event_id long, x_m double, y_m double, runup_ht double")
+    taken, chain = [], infill.infill_chain
+    monkeypatch.setattr(infill, "infill_chain", lambda base, segs, boosters, *args, **kwargs: taken.append(boosters) or chain(base, segs, boosters, *args, **kwargs))
+    infill_queries.infill_chain(runups, vertices).collect()
+    assert {(r.part_id, r.station_m) for r in taken[0].collect()} == {(i % 2, i * 50_000.0) for i in range(12) if i % 3}
