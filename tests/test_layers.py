@@ -207,3 +207,32 @@ def test_flood_events_cover_all_records(spark):
     assert {e.cluster: e.n for e in events} == sizes and all(len(e.source_event_ids.split("|")) == e.n for e in events)
     assert all(e.fields["event_id"].startswith(e.sources.split("|")[-1]) or len(e.sources.split("|")) > 1 for e in events)
     assert list(itertools.islice((e for e in events if e.km is not None and e.km < 0), 1)) == []
+
+
+@pytest.mark.parametrize("spread, days", [(1.0, 14), (30.0, 14), (30.0, 0)])
+def test_flood_components_by_brute_force(spark, monkeypatch, spread, days):
+    draw, rows = random.Random(round(spread) + days), []
+    for i in range(500):
+        lat, lon = draw.choice([0.0, 50.0, 89.0]) + draw.uniform(-spread / 2, spread / 2), draw.choice([0.0, 180.0]) + draw.uniform(-spread, spread)
+        start = date(2000, 1, 1) + timedelta(draw.randrange(700))
+        end = draw.choice([None, start + timedelta(draw.randrange(9)), start + timedelta(5), start - timedelta(draw.choice([3, 40])) if i % 9 == 0 else start, start + timedelta(1500) if i % 97 == 0 else start])
+        rows.append((1000 - i, None if i % 50 == 7 else start, end, min(lat, 90.0), lon - 360.0 * (lon > 180)))
+    rows += [(2000 + i, date(2003, 1, 1) + timedelta(40 * i), None, *draw.choice([(None, 1.0), (1.0, None)])) for i in range(3)] + [(3000, date(2003, 1, 9), None, float("nan"), 2.0), (3001, date(2003, 1, 9), None, 3.0, 4.0)]
+    up = {r[0]: r[0] for r in rows}
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    by_time = timedelta(days)
+    pairs = 0
+    for k, p in enumerate(rows):
+        for q in rows[:k]:
+            if p[1] and q[1] and p[1] <= (q[2] or q[1]) + by_time and q[1] <= (p[2] or p[1]) + by_time and (None in p[3:] + q[3:] or hav(*p[3:], *q[3:]) <= 200.0):
+                up[max(top(p[0]), top(q[0]))], pairs = min(top(p[0]), top(q[0])), pairs + 1
+    want, edges, components = {i: top(i) for i in up}, [], flood.network.components
+    monkeypatch.setattr(flood.network, "components", lambda links, *args: edges.append(links.count()) or components(links, *args))
+    got = flood.pair_clusters(spark.createDataFrame(rows, "row_id long, start_date date, end_date date, lat double, lon double"), days)
+    assert {r.row_id: r.component for r in got.collect()} == want and got.count() == len(rows)
+    assert len(set(want.values())) > 8 and (spread > 1 or sum(edges) < len(rows) < pairs)  # pairs of dense records aren't listed
