@@ -236,3 +236,15 @@ def test_flood_components_by_brute_force(spark, monkeypatch, spread, days):
     got = flood.pair_clusters(spark.createDataFrame(rows, "row_id long, start_date date, end_date date, lat double, lon double"), days)
     assert {r.row_id: r.component for r in got.collect()} == want and got.count() == len(rows)
     assert len(set(want.values())) > 8 and (spread > 1 or sum(edges) < len(rows) < pairs)  # pairs of dense records aren't listed
+
+
+@there
+def test_storm_steps_are_dealt_out_once(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        cells, _ = storm.storm_footprints(layer_queries._storm_steps(fixtures.view(spark, DIR, "fx_track")), 0.5)
+        plan = cells.groupBy("sid").count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    dealt = [line for line in plan.split("\n") if " Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    assert sum("REPARTITION_BY_COL" in line for line in dealt) == 1 and len(dealt) <= 2
