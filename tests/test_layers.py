@@ -59,6 +59,14 @@ def test_rings_are_dealt_to_all_tasks(spark):
     assert quake.quake_footprints(rows).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
 
 
+def test_rings_of_many_splits_are_not_dealt_out(spark):
+    rows = spark.createDataFrame([(i, date(2000, 1, 1), 10.0, 20.0, 7.0, 10.0, 0.0, 30.0) for i in range(40)], "event_id long, eq_time date, lat double, lon double, mw double, depth_km double, rake1 double, strike double")
+    rows = rows.repartition(spark.sparkContext.defaultParallelism)
+    got, dealt = quake.quake_footprints(rows), quake.quake_footprints(rows.coalesce(1))
+    assert "hashpartitioning(event_id" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.count() == 80 and sorted(got.collect()) == sorted(dealt.collect())
+
+
 def greedy(rows, days=14, km=200.0):
     """The reference order: every record joins the first open cluster in reach of its running centre, over the whole table."""
     out, clusters = {}, []
