@@ -104,6 +104,19 @@ def test_greedy_clusters_over_tiles(spark, tile, margin):
     assert reached < 350 and dict(flood.clusters(df, tile_deg=tile, margin_km=margin).collect()) == greedy(rows)
 
 
+@pytest.mark.parametrize("tile", [4.0, 360.0])
+def test_greedy_clusters_over_windows(spark, tile):
+    """Clusters that stay open over several windows of days keep their number, mean and order, and none of a settled window is gone over again."""
+    rng = random.Random(12)
+    rows = [(i, date(2000, 1, 1) + timedelta(rng.randrange(120)), rng.uniform(0, 9), rng.uniform(176, 184)) for i in range(300)]
+    rows = [(i, s, s + timedelta(rng.randrange(60) if i % 40 == 0 else rng.randrange(6)), a, b) for i, s, a, b in rows]
+    df = spark.createDataFrame(rows, "row_id long, start_date date, end_date date, lat double, lon double")
+    want = greedy(rows)
+    assert dict(flood.clusters(df, tile_deg=tile, margin_km=300.0, window=100).collect()) == want
+    begun = {r[0]: r[1] for r in rows}
+    assert max(r[1] - begun[want[r[0]]] for r in rows) > timedelta(60)
+
+
 def test_greedy_clusters_without_coordinates(spark):
     """A record without coordinates is a cluster of its own, and no other joins it."""
     day = date(2000, 1, 1)
